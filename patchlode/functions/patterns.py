@@ -11,22 +11,27 @@ from .taint import analyze_taint, source_class
 from .text import STRING_ARRAY, blank, constant, empty_array, first_filled, let, strip
 
 
+ANALYSIS_FIELDS = ("sources", "sinks", "taint_flows", "tainted_variables")
+
+
 def make_pattern(analysis: Column, missing: Column) -> Column:
     """Analysis plus measures plus the four summary flags."""
-    return F.struct(
-        analysis["sources"].alias("sources"),
-        analysis["sinks"].alias("sinks"),
-        analysis["taint_flows"].alias("taint_flows"),
-        analysis["tainted_variables"].alias("tainted_variables"),
-        missing.alias("missing_sanitizers"),
-        missing.alias("added_security_measures"),
-        F.struct(
-            (F.size(analysis["sources"]) > 0).alias("has_source"),
-            (F.size(analysis["sinks"]) > 0).alias("has_sink"),
-            (F.size(analysis["taint_flows"]) > 0).alias("has_taint_flow"),
-            (F.size(missing) > 0).alias("missing_security"),
-        ).alias("summary"),
-    )
+
+    def build(a: Column) -> Column:
+        flags = {
+            "has_source": F.size(a["sources"]) > 0,
+            "has_sink": F.size(a["sinks"]) > 0,
+            "has_taint_flow": F.size(a["taint_flows"]) > 0,
+            "missing_security": F.size(missing) > 0,
+        }
+        return F.struct(
+            *[a[name].alias(name) for name in ANALYSIS_FIELDS],
+            missing.alias("missing_sanitizers"),
+            missing.alias("added_security_measures"),
+            F.struct(*[flag.alias(name) for name, flag in flags.items()]).alias("summary"),
+        )
+
+    return let(analysis, build)
 
 
 def extract_pattern(
@@ -44,12 +49,8 @@ def extract_pattern(
     missing = F.when(usable, added_measures(before, file_after)).otherwise(
         empty_array(STRING_ARRAY)
     )
-    return let(
-        F.struct(
-            analyze_taint(code, source_class(cwe_id), **options).alias("a"), missing.alias("m")
-        ),
-        lambda both: make_pattern(both["a"], both["m"]),
-    )
+    analysis = analyze_taint(code, source_class(cwe_id), **options)
+    return let(missing, lambda m: make_pattern(analysis, m))
 
 
 def keeps(cwe_id: Column, summary: Column) -> Column:

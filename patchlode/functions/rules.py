@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from .text import FLAGS, SPACE, WORD, shape_anchor, shape_regex
+from .text import ASSIGN, FLAGS, SPACE, WORD, shape_anchor, shape_regex
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ class SourceRule:
     def regex(self) -> str:
         if self.kind == "annotation":
             return f"{FLAGS}{shape_regex(self.shape)}{SPACE}*"
-        return f"{FLAGS}({WORD}+){SPACE}*={SPACE}*{shape_regex(self.shape)}{self.tail}"
+        return f"{FLAGS}{ASSIGN}{shape_regex(self.shape)}{self.tail}"
 
 
 @dataclass(frozen=True)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from . import rules as R
 from .text import (
+    ASSIGN,
     FLAGS,
     SPACE,
     STRING_ARRAY,
@@ -122,7 +123,8 @@ def propagate(code: Column, folded: Column, start: Column) -> Column:
     as by a search for exactly these names.
     """
     gap = SPACE + "*"
-    left = f"{FLAGS}({WORD}+){gap}={gap}"
+    left = FLAGS + ASSIGN
+    owner = rf"{FLAGS}(?:\G|(?<!{WORD}))({WORD}++)"
     text = '"[^"]*"'
 
     def new_names(known: Column) -> Column:
@@ -148,7 +150,7 @@ def propagate(code: Column, folded: Column, start: Column) -> Column:
                 only_if('"', found(left + text + plus)),
                 only_if('"', found(left, plus + text)),
                 only_if("+", found(left, plus, any_known)),
-                only_if(".append", found(rf"{FLAGS}({WORD}+)\.append{gap}\({gap}", rf"{gap}\)")),
+                only_if(".append", found(rf"{owner}\.append{gap}\({gap}", rf"{gap}\)")),
                 only_if(
                     "stringbuilder",
                     found(rf"{left}new{SPACE}+StringBuilder{gap}\({gap}", rf"{gap}\)"),

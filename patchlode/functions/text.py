@@ -14,6 +14,10 @@ WORD = r"[\w\p{L}\p{N}]"
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 FLAGS = "(?iud)"
 
+# A word followed by "=", as a search for it would find it: it begins where a word begins, or
+# where the match before it ended. Nothing here needs backtracking, so none is allowed.
+ASSIGN = rf"(?:\G|(?<!{WORD}))({WORD}++){SPACE}*+={SPACE}*+"
+
 STRING_ARRAY = "array<string>"
 
 

@@ -6,11 +6,14 @@ backslash in a literal, ``~`` for a line feed in code templates, ``floor`` befor
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import stage
+
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -212,27 +215,45 @@ def with_sql(final: str, *registries: Mapping[str, str]) -> str:
     return f"WITH {ctes}\n{final}"
 
 
-def load_base(spark: SparkSession, sf_dir: str) -> None:
-    """Make the given Parquet tables visible to the SQL texts."""
-    for name in BASE_TABLES:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+_STAGED: dict[tuple[str, str, float, str], DataFrame] = {}
 
 
 class Tables:
-    """The derived tables of one data folder, each a lazy DataFrame."""
+    """The tables of one data folder: those given, and those derived from them.
+
+    A derived table is written once per session to the shared folder of the session and read
+    from there, as a real fix database would be, so that filters and column choices reach the
+    scan and no query repeats the derivation.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self._known: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_") or (name not in FIXTURE_SQL and name not in BASE_TABLES):
+        if name in BASE_TABLES:
+            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in FIXTURE_SQL:
             raise AttributeError(name)
-        if name not in self._known:
-            used = with_sql(f"SELECT * FROM {name}")
-            for base in BASE_TABLES:
-                if re.search(rf"\b{base}\b", used):
-                    path = f"{self.sf_dir}/{base}.parquet"
-                    self.spark.read.parquet(path).createOrReplaceTempView(base)
-            self._known[name] = self.spark.sql(used)
-        return self._known[name]
+        return self.staged(name, lambda: self._derive(name))
+
+    def staged(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The table staged under this name, built now if this session has not done so."""
+        app = self.spark.sparkContext.applicationId
+        key = (app, self.sf_dir, _changed_at(self.sf_dir), name)
+        if key not in _STAGED:
+            _STAGED[key] = stage(build(), name)
+        return _STAGED[key]
+
+    def _derive(self, name: str) -> DataFrame:
+        used = [t for t in (*BASE_TABLES, *FIXTURE_SQL) if t != name]
+        for other in used:
+            if re.search(rf"\b{other}\b", FIXTURE_SQL[name]):
+                getattr(self, other).createOrReplaceTempView(other)
+        return self.spark.sql(FIXTURE_SQL[name])
+
+
+def _changed_at(folder: str) -> float:
+    """Newest change of a local folder's files, so that new data is never read as old."""
+    if not os.path.isdir(folder):
+        return 0.0
+    return max((entry.stat().st_mtime for entry in os.scandir(folder)), default=0.0)
