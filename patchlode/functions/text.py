@@ -154,3 +154,21 @@ def shape_anchor(shape: str) -> str:
 
 def is_literal(shape: str) -> bool:
     return not re.search("[ ~*…]", shape)
+
+
+def line_neighbours(content: Column, needle: str) -> Column:
+    """Lines that hold ``needle``, each with its number and the lines before and after it."""
+
+    def context(lines: Column) -> Column:
+        rows = F.transform(
+            lines,
+            lambda line, n: F.struct(
+                (n + 1).alias("line_no"),
+                F.when(n > 0, F.get(lines, n - 1)).alias("line_before"),
+                line.alias("line"),
+                F.get(lines, n + 1).alias("line_after"),
+            ),
+        )
+        return F.filter(rows, lambda r: F.contains(r["line"], F.lit(needle)))
+
+    return let(F.split(content, "\n", -1), context)
