@@ -45,9 +45,10 @@ def _inline_search(
     """Every query against every file inside one pass over the corpus; nothing is shuffled."""
     fields = ["github_query", *carry]
     table = queries.agg(F.collect_list(F.struct(*fields, *GROUPS)).alias("q")).scalar()
-    hits = F.filter(table, lambda q: _matches(q, F.col("content")))
+    listed = corpus.withColumn("_queries", table)
+    hits = F.filter("_queries", lambda q: _matches(q, F.col("content")))
     found = F.transform(hits, lambda q: F.struct(*[q[f].alias(f) for f in fields]))
-    return corpus.select(*keys, F.inline(found))
+    return listed.select(*keys, F.inline(found))
 
 
 def keyword_table(queries: DataFrame) -> DataFrame:
@@ -72,8 +73,9 @@ def keyword_postings(corpus: DataFrame, keywords: DataFrame, keys: Sequence[str]
     widening terms, whatever the number of queries.
     """
     words = keywords.agg(F.collect_set("keyword").alias("w")).scalar()
-    present = F.filter(words, lambda w: F.contains(F.col("content"), w))
-    return corpus.select(*keys, F.explode(present).alias("keyword"))
+    present = F.filter("_words", lambda w: F.contains(F.col("content"), w))
+    listed = corpus.withColumn("_words", words)
+    return listed.select(*keys, F.explode(present).alias("keyword"))
 
 
 def _posting_search(corpus: DataFrame, queries: DataFrame, keys: Sequence[str]) -> DataFrame:

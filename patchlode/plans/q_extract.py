@@ -486,7 +486,8 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "tnt1_method_slice",
-    "SELECT method_change_id, method_code, method_code_after FROM cut_rows",
+    """SELECT method_change_id, method_code, method_code_after FROM cut_rows
+       WHERE method_code <> ''""",
 )
 def _(t: Tables) -> DataFrame:
     found = with_method_code(method_changes(t.file_change, t.fixes, t.method_change))

@@ -171,7 +171,8 @@ def _(t: Tables) -> DataFrame:
     """SELECT fc.file_change_id, coalesce(m.missing, '') AS missing
        FROM file_change fc JOIN cut_rows c ON c.file_change_id = fc.file_change_id
        LEFT JOIN an_measures m ON m.code_before = fc.code_before
-         AND m.code_after IS NOT DISTINCT FROM fc.code_after""",
+         AND m.code_after IS NOT DISTINCT FROM fc.code_after
+       WHERE c.method_code <> ''""",
 )
 def _(t: Tables) -> DataFrame:
     code = with_method_code(method_changes(t.file_change, t.fixes, t.method_change))
@@ -353,8 +354,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     folder = stage_path(t.spark, "instance_csv")
     S.write_instances(queried(t), folder)
-    read = read_csv(t.spark, f"{folder}/pattern_instances.csv", schemas.INSTANCE_FILE)
-    return read.select(*read.columns)
+    return read_csv(t.spark, f"{folder}/pattern_instances.csv", schemas.INSTANCE_FILE)
 
 
 @query("snk3_instance_table", f"SELECT {INSTANCE_SQL}, github_query FROM queried_rows")

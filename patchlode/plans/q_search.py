@@ -97,9 +97,9 @@ def _(t: Tables) -> DataFrame:
     return starred(t)
 
 
-@query("flt12_minimum_stars", f"SELECT * FROM ({STARS_SQL}) WHERE stars >= 500")
+@query("flt12_minimum_stars", f"SELECT * FROM ({STARS_SQL}) WHERE stars >= 100")
 def _(t: Tables) -> DataFrame:
-    return Q.popular(starred(t), 500)
+    return Q.popular(starred(t), 100)
 
 
 SEEN_SQL = "SELECT repo_url FROM repository WHERE stars_count % 2 = 0"

@@ -15,7 +15,7 @@ def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header; arrays and structs become JSON at this edge only."""
     nested = [f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "struct")]
     flat = df.withColumns({name: F.to_json(name) for name in nested}) if nested else df
-    flat.write.csv(path, header=True, escape='"', quote='"', emptyValue='""')
+    flat.write.csv(path, header=True, escape='"')
 
 
 def extract_output(records: DataFrame) -> DataFrame:

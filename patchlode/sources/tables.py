@@ -86,9 +86,12 @@ def run_query(
 def read_csv(
     spark: SparkSession, path: str, schema: str, required: Sequence[str] = ()
 ) -> DataFrame:
-    """CSV with header, quoted line breaks and doubled quotes."""
+    """CSV with header, quoted line breaks and doubled quotes.
+
+    An empty field is NULL, a quoted empty field is ''.
+    """
     df = spark.read.schema(schema).csv(
-        path, header=True, multiLine=True, escape='"', enforceSchema=False
+        path, header=True, multiLine=True, escape='"', enforceSchema=False, nullValue="\\N"
     )
     absent = [name for name in required if name not in df.columns]
     if absent:
