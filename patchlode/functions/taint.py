@@ -20,6 +20,7 @@ from .text import (
     STRING_ARRAY,
     WORD,
     blank,
+    choose,
     constant,
     empty_array,
     fold,
@@ -36,12 +37,12 @@ ANALYSIS_TYPE = (
     f"taint_flows:{FLOW_TYPE},tainted_variables:{STRING_ARRAY}>"
 )
 
+EDGE_TYPE = "array<struct<into:string,from:string>>"
 SOURCE_RULE_TYPE = (
-    "array<struct<rule_id:string,category:string,type:string,anchor:string,regex:string,"
-    "reach:boolean>>"
+    "array<struct<n:int,rule_id:string,category:string,type:string,anchor:string,reach:boolean>>"
 )
 SINK_RULE_TYPE = (
-    "array<struct<rule_id:string,vuln_type:string,name:string,anchor:string,regex:string>>"
+    "array<struct<n:int,rule_id:string,vuln_type:string,name:string,anchor:string>>"
 )
 
 ALL_CATEGORIES = "+".join(R.SOURCE_CATEGORIES)
@@ -81,24 +82,29 @@ def find_sources(
     catalogue = constant(
         [
             {
+                "n": n,
                 "rule_id": r.rule_id,
                 "category": r.category,
                 "type": r.type,
                 "anchor": r.anchor,
-                "regex": _source_regex(r, annotation_mode),
                 "reach": r.kind == "annotation" and annotation_mode == "compat",
             }
-            for r in rules
+            for n, r in enumerate(rules)
         ],
         SOURCE_RULE_TYPE,
     )
     second = rf"{FLAGS}@{WORD}+{SPACE}+{WORD}+{SPACE}+({WORD}+)"
 
+    regexes = [F.lit(_source_regex(r, annotation_mode)) for r in rules]
+    searches = [F.regexp_extract_all(code, regex, F.lit(1)) for regex in regexes]
+
     def names(rule: Column) -> Column:
-        found = F.regexp_extract_all(code, rule["regex"], F.lit(1))
-        return F.when(
-            rule["reach"], F.transform(found, lambda t: F.regexp_extract(t, second, 1))
-        ).otherwise(found)
+        return let(
+            choose(rule["n"], searches),
+            lambda found: F.when(
+                rule["reach"], F.transform(found, lambda t: F.regexp_extract(t, second, 1))
+            ).otherwise(found),
+        )
 
     def hits(rule: Column) -> Column:
         return F.transform(
@@ -115,88 +121,114 @@ def find_sources(
     return F.flatten(F.transform(usable, hits))
 
 
+def _edges(code: Column, folded: Column) -> Column:
+    """Moves of a whole variable: plain assignment, and a string builder that takes it in.
+
+    Two such places never overlap, so one search for any variable finds those of every set.
+    """
+    gap = SPACE + "*+"
+    word = f"({WORD}++)"
+    owner = rf"(?:\G|(?<!{WORD})){word}"
+
+    def pairs(regex: str, needed: str, skip: bool = False) -> Column:
+        left = F.regexp_extract_all(code, F.lit(FLAGS + regex), F.lit(1))
+        right = F.regexp_extract_all(code, F.lit(FLAGS + regex), F.lit(2))
+        found = F.zip_with(
+            left, right, lambda x, y: F.struct(x.alias("into"), fold(y).alias("from"))
+        )
+        if skip:
+            found = F.filter(found, lambda e: ~e["into"].isin(*R.NOT_VARIABLES))
+        return F.when(F.contains(folded, F.lit(needed)), found).otherwise(empty_array(EDGE_TYPE))
+
+    return F.flatten(
+        F.array(
+            pairs(rf"{ASSIGN}{word}{gap}[;,\)]", "=", skip=True),
+            pairs(rf"{owner}\.append{gap}\({gap}{word}{gap}\)", ".append"),
+            pairs(rf"{ASSIGN}new{SPACE}++StringBuilder{gap}\({gap}{word}{gap}\)", "stringbuilder"),
+        )
+    )
+
+
+def _joined_into(code: Column, folded: Column, known: Column) -> Column:
+    """Variables that take a text joined with a known variable.
+
+    Matches may overlap here (a text can hold what looks like an assignment), so the search is
+    for exactly the known names, built from the row.
+    """
+    any_known = F.concat(F.lit("(?:"), F.array_join(known, "|"), F.lit(")"))
+    text, plus = '"[^"]*"', rf"{SPACE}*+\+{SPACE}*+"
+
+    def found(before: str, *after: Column) -> Column:
+        regex = F.concat(F.lit(FLAGS + ASSIGN + before), any_known, *after)
+        return F.regexp_extract_all(code, regex, F.lit(1))
+
+    nothing = empty_array(STRING_ARRAY)
+    with_text = F.flatten(F.array(found(text + plus), found("", F.lit(plus + text))))
+    return F.when(
+        F.contains(folded, F.lit("+")),
+        F.concat(
+            found("", F.lit(plus), any_known),
+            F.when(F.contains(folded, F.lit('"')), with_text).otherwise(nothing),
+        ),
+    ).otherwise(nothing)
+
+
 def propagate(code: Column, folded: Column, start: Column) -> Column:
     """Variables reached from ``start`` by assignment, joining of strings or a string builder.
 
-    Each round sees the set as it was when the round began; at most five rounds. The
-    expressions are built from the row's own variables, so that overlapping text is consumed
-    as by a search for exactly these names.
+    Each round sees the set as it was when the round began; at most five rounds, fewer if a
+    round finds nothing new.
     """
-    gap = SPACE + "*"
-    left = FLAGS + ASSIGN
-    owner = rf"{FLAGS}(?:\G|(?<!{WORD}))({WORD}++)"
-    text = '"[^"]*"'
-
-    def new_names(known: Column) -> Column:
-        any_known = F.concat(F.lit("(?:"), F.array_join(known, "|"), F.lit(")"))
-
-        def found(before: str, *after: str | Column) -> Column:
-            parts = [F.lit(before), any_known]
-            parts += [p if isinstance(p, Column) else F.lit(p) for p in after]
-            return F.regexp_extract_all(code, F.concat(*parts), F.lit(1))
-
-        def only_if(needed: str, names: Column) -> Column:
-            return F.when(F.contains(folded, F.lit(needed)), names).otherwise(
-                empty_array(STRING_ARRAY)
-            )
 
-        assigned = F.filter(
-            found(left, rf"{gap}[;,\)]"), lambda v: ~v.isin(*R.NOT_VARIABLES)
-        )
-        plus = rf"{gap}\+{gap}"
-        return F.flatten(
-            F.array(
-                assigned,
-                only_if('"', found(left + text + plus)),
-                only_if('"', found(left, plus + text)),
-                only_if("+", found(left, plus, any_known)),
-                only_if(".append", found(rf"{owner}\.append{gap}\({gap}", rf"{gap}\)")),
-                only_if(
-                    "stringbuilder",
-                    found(rf"{left}new{SPACE}+StringBuilder{gap}\({gap}", rf"{gap}\)"),
+    def rounds(edges: Column) -> Column:
+        def moved(known: Column) -> Column:
+            return let(
+                F.transform(known, fold),
+                lambda keys: F.transform(
+                    F.filter(edges, lambda e: F.array_contains(keys, e["from"])),
+                    lambda e: e["into"],
                 ),
             )
-        )
 
-    def one_round(state: Column, _: Column) -> Column:
-        known, before = state["known"], state["before"]
-        grown = F.struct(
-            F.array_union(known, new_names(known)).alias("known"), F.size(known).alias("before")
+        def one_round(state: Column, _: Column) -> Column:
+            known, before = state["known"], state["before"]
+            new = F.concat(moved(known), _joined_into(code, folded, known))
+            grown = F.struct(
+                F.array_union(known, new).alias("known"), F.size(known).alias("before")
+            )
+            return F.when(F.size(known) == before, state).otherwise(grown)
+
+        return F.aggregate(
+            F.sequence(F.lit(1), F.lit(R.PROPAGATION_ROUNDS)),
+            F.struct(start.alias("known"), F.lit(0).alias("before")),
+            one_round,
+            lambda state: F.array_sort(state["known"]),
         )
-        return F.when(F.size(known) == before, state).otherwise(grown)
 
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(R.PROPAGATION_ROUNDS)),
-        F.struct(start.alias("known"), F.lit(0).alias("before")),
-        one_round,
-        lambda state: F.array_sort(state["known"]),
-    )
+    return let(_edges(code, folded), rounds)
 
 
-def match_offsets(code: Column, regex: Column) -> Column:
-    """Character offset (from 0) of every match of a regular expression."""
+def match_offsets(code: Column, found: Column) -> Column:
+    """Character offset (from 0) of each of the texts that a search without lookaround found.
 
-    def add_up(found: Column) -> Column:
-        return F.aggregate(
-            F.arrays_zip(F.split(code, regex, -1).alias("gap"), found.alias("hit")),
-            F.struct(F.lit(0).alias("at"), empty_array("array<int>").alias("starts")),
-            lambda acc, part: F.when(part["hit"].isNull(), acc).otherwise(
-                let(
-                    acc["at"] + F.length(part["gap"]),
-                    lambda begin: F.struct(
-                        (begin + F.length(part["hit"])).alias("at"),
-                        F.array_append(acc["starts"], begin).alias("starts"),
-                    ),
-                )
+    The text of a match, looked up from the end of the match before it, is found at the match:
+    were it found earlier, the expression would have matched there.
+    """
+
+    def next_offset(acc: Column, hit: Column) -> Column:
+        return let(
+            F.position(hit, code, acc["after"]),
+            lambda at: F.struct(
+                (at + F.length(hit)).alias("after"),
+                F.array_append(acc["starts"], at - 1).alias("starts"),
             ),
-            lambda acc: acc["starts"],
         )
 
-    return let(
-        F.regexp_extract_all(code, regex, F.lit(0)),
-        lambda found: F.when(F.size(found) == 0, empty_array("array<int>")).otherwise(
-            add_up(found)
-        ),
+    return F.aggregate(
+        found,
+        F.struct(F.lit(1).alias("after"), empty_array("array<int>").alias("starts")),
+        next_offset,
+        lambda acc: acc["starts"],
     )
 
 
@@ -207,20 +239,22 @@ def find_sink_hits(
     catalogue = constant(
         [
             {
+                "n": n,
                 "rule_id": r.rule_id,
                 "vuln_type": r.vuln_type,
                 "name": r.name,
                 "anchor": r.anchor,
-                "regex": r.regex,
             }
-            for r in rules
+            for n, r in enumerate(rules)
         ],
         SINK_RULE_TYPE,
     )
 
+    searches = [F.regexp_extract_all(code, F.lit(r.regex), F.lit(0)) for r in rules]
+
     def hits(rule: Column) -> Column:
         return F.transform(
-            match_offsets(code, rule["regex"]),
+            match_offsets(code, choose(rule["n"], searches)),
             lambda at: F.struct(
                 at.alias("at"),
                 rule["rule_id"].alias("rule_id"),
@@ -247,7 +281,7 @@ def tainted_hits(code: Column, hits: Column, tainted: Column, sink_context: str)
         end_of_word = F.when(
             F.rlike(before, F.lit(rf"{WORD}\z")), F.regexp_extract(after, rf"\A{WORD}+", 0)
         ).otherwise(F.lit(""))
-        return F.transform(words(F.concat(before, end_of_word)), fold)
+        return words(fold(F.concat(before, end_of_word)))
 
     def judge(hit: Column) -> Column:
         return let(
@@ -261,11 +295,9 @@ def tainted_hits(code: Column, hits: Column, tainted: Column, sink_context: str)
                     hit["rule_id"].alias("rule_id"),
                     hit["sink_name"].alias("sink_name"),
                     hit["vuln_type"].alias("vuln_type"),
-                    strip(
-                        F.concat(
-                            F.substring_index(cut["head"], "\n", -1),
-                            F.substring_index(cut["rest"], "\n", 1),
-                        )
+                    F.concat(
+                        F.substring_index(cut["head"], "\n", -1),
+                        F.substring_index(cut["rest"], "\n", 1),
                     ).alias("line"),
                     F.array_min(
                         F.transform(
@@ -273,16 +305,13 @@ def tainted_hits(code: Column, hits: Column, tainted: Column, sink_context: str)
                             lambda v: v["name"],
                         )
                     ).alias("source"),
-                    (
-                        F.contains(cut["head"], F.lit("\n"))
-                        | ~F.contains(
-                            F.substring(code, F.lit(1), F.length(code) - 1), F.lit("\n")
-                        )
-                    ).alias("in_reach"),
+                    (F.contains(cut["head"], F.lit("\n")) | one_line).alias("in_reach"),
                 ),
             ),
         )
 
+    one_line = ~F.contains(F.substring(code, F.lit(1), F.length(code) - 1), F.lit("\n"))
+
     def counts(hit: Column) -> Column:
         reached = hit["source"].isNotNull()
         return reached if sink_context == "symmetric" else reached & hit["in_reach"]
@@ -316,7 +345,7 @@ def analyze_taint(
                     h["rule_id"].alias("rule_id"),
                     h["sink_name"].alias("sink_name"),
                     h["vuln_type"].alias("vuln_type"),
-                    h["line"].alias("line"),
+                    strip(h["line"]).alias("line"),
                 ),
             ).alias("sinks"),
             F.transform(
@@ -325,7 +354,7 @@ def analyze_taint(
                     h["source"].alias("source"),
                     h["sink_name"].alias("sink"),
                     h["vuln_type"].alias("vuln_type"),
-                    h["line"].alias("line"),
+                    strip(h["line"]).alias("line"),
                 ),
             ).alias("taint_flows"),
             tainted.alias("tainted_variables"),

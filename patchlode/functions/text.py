@@ -35,6 +35,17 @@ def constant(value, ddl_type: str) -> Column:
     return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), ddl_type)
 
 
+def choose(index: Column, branches) -> Column:
+    """The branch with the given number (from 0); only that one is computed.
+
+    Used to keep regular expressions constant, so that each is compiled once per task.
+    """
+    chain = F
+    for n, branch in enumerate(branches):
+        chain = chain.when(index == n, branch)
+    return chain
+
+
 def fold(text: Column) -> Column:
     """Lower case, with the three letters that only match i and s when case is ignored."""
     plain = F.replace(F.replace(text, F.lit("İ"), F.lit("i")), F.lit("ı"), F.lit("i"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import LANGUAGE_EXTENSIONS
@@ -36,23 +36,17 @@ def tfidf_terms(
     Smoothed idf = ln((1 + files) / (1 + files with the term)) + 1. Words of ``base_query`` and
     short words are left out of the result (not of the norms). ``keys`` must identify a file.
 
-    The words are joined with their idf once; each file's words are then gathered with the
-    file's norm (no larger than the file was) and spread again for the sum, instead of joining
-    the norm back.
+    The words are joined with their idf once. The norm is a window over the words of one file
+    (no larger than the file was), so it need not be joined back.
     """
     pairs = distinct_terms(corpus, keys, content)
     frequency = pairs.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     total = corpus.agg(F.count(F.lit(1)).alias("n")).scalar()
     idf = frequency.select("term", (F.ln((total + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    files = (
-        pairs.join(idf, "term")
-        .groupBy(*keys)
-        .agg(
-            F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("norm"),
-            F.collect_list(F.struct("term", "idf")).alias("terms"),
-        )
-    )
-    weights = files.select("norm", F.inline("terms"))
+    weighted = pairs.join(idf, "term")
+    of_file = Window.partitionBy(*keys)
+    norm = F.sqrt(F.sum(F.col("idf") * F.col("idf")).over(of_file))
+    weights = weighted.select("term", "idf", norm.alias("norm"))
     scores = weights.groupBy("term").agg(F.sum(F.col("idf") / F.col("norm")).alias("score"))
     kept = scores.filter(F.length("term") >= min_length)
     if base_query:

@@ -1,7 +1,5 @@
 from pyspark.sql import functions as F
 
-import pytest
-
 from patchlode.functions.patterns import (
     api_names,
     extract_pattern,
@@ -90,27 +88,28 @@ def tainted(spark, code, cwe="CWE-79", **options):
 P = 'a = request.getParameter("x");\n'
 
 
-@pytest.mark.parametrize(
-    "code, names",
-    [
-        (P.replace("\n", "\r\n") + "b = a;\r\n", ["a", "b"]),
-        ('größe = request.getParameter("x");\nb = größe;', ["b", "größe"]),
-        ('null = request.getParameter("x");', []),
-        (P + "sb.append(a);\ns = new StringBuilder(a);", ["a", "s", "sb"]),
-        (P + "b = a.trim();\nc = f(a);", ["a"]),
-        ('id = request.getParameter("x");\nq = "x" + identity;', ["id", "q"]),
-        ('id = request.getParameter("x");\nq = identity + "x";', ["id"]),
-        (P + 'c = request.getHeader("y");\nd = a + c;\ne = z + c;', ["a", "c", "d"]),
-        (P + "B = A;", ["B", "a"]),
-        (P + "true = a;", ["a"]),
-        (P + 'c = "k=" + z + "+ " + a;', ["a"]),
-        (P + 'c = "k=" + z + "+ a";', ["a", "k"]),
-        ("REQUEST = 1; x = MyRequestWrapper.GETPARAMETER ( 1 )", ["x"]),
-        (P + "ıd = a;", ["a", "ıd"]),
-    ],
-)
-def test_propagation(spark, code, names):
-    assert tainted(spark, code).tainted_variables == names
+PROPAGATION = [
+    (P.replace("\n", "\r\n") + "b = a;\r\n", ["a", "b"]),
+    ('größe = request.getParameter("x");\nb = größe;', ["b", "größe"]),
+    ('null = request.getParameter("x");', []),
+    (P + "sb.append(a);\ns = new StringBuilder(a);", ["a", "s", "sb"]),
+    (P + "b = a.trim();\nc = f(a);", ["a"]),
+    ('id = request.getParameter("x");\nq = "x" + identity;', ["id", "q"]),
+    ('id = request.getParameter("x");\nq = identity + "x";', ["id"]),
+    (P + 'c = request.getHeader("y");\nd = a + c;\ne = z + c;', ["a", "c", "d"]),
+    (P + "B = A;", ["B", "a"]),
+    (P + "true = a;", ["a"]),
+    (P + 'c = "k=" + z + "+ " + a;', ["a"]),
+    (P + 'c = "k=" + z + "+ a";', ["a", "k"]),
+    ("REQUEST = 1; x = MyRequestWrapper.GETPARAMETER ( 1 )", ["x"]),
+    (P + "ıd = a;", ["a", "ıd"]),
+]
+
+
+def test_propagation(spark):
+    rows = run(spark, [(code, None, "CWE-79") for code, _ in PROPAGATION])
+    for row, (code, names) in zip(rows, PROPAGATION, strict=True):
+        assert row.p.tainted_variables == names, code
 
 
 def test_annotation_modes(spark):
@@ -124,22 +123,23 @@ def test_annotation_modes(spark):
     assert tainted(spark, far).sources == []
 
 
-@pytest.mark.parametrize(
-    "code, lines",
-    [
-        (P + "out.print(a);", ["out.print(a);"] * 2),  # the line above names it
-        (P + "\nout.print(a);", []),  # two lines above: out of reach
-        (P + "x(); out.print(a);\n", ["x(); out.print(a);"] * 2),
-        (P + "\na .println(1);", ["a .println(1);"]),
-        (P + "\nxa.println(1);", []),  # not a whole word
-        (P + "\nA.println(1); a.println(2);", ["A.println(1); a.println(2);"] * 2),
-        ("a" + P[1:-1] + " a.println(1);", [(P[:-1] + " a.println(1);")]),  # one line only
-        ("a" + P[1:-1] + " a.println(1);\n}", []),  # first of two lines
-        (P + "\na.execute\n(1);", ["a.execute"]),  # the match runs over the line end
-    ],
-)
-def test_sink_context(spark, code, lines):
-    assert [s.line for s in tainted(spark, code).sinks] == lines
+CONTEXTS = [
+    (P + "out.print(a);", ["out.print(a);"] * 2),  # the line above names it
+    (P + "\nout.print(a);", []),  # two lines above: out of reach
+    (P + "x(); out.print(a);\n", ["x(); out.print(a);"] * 2),
+    (P + "\na .println(1);", ["a .println(1);"]),
+    (P + "\nxa.println(1);", []),  # not a whole word
+    (P + "\nA.println(1); a.println(2);", ["A.println(1); a.println(2);"] * 2),
+    ("a" + P[1:-1] + " a.println(1);", [(P[:-1] + " a.println(1);")]),  # one line only
+    ("a" + P[1:-1] + " a.println(1);\n}", []),  # first of two lines
+    (P + "\na.execute\n(1);", ["a.execute"]),  # the match runs over the line end
+]
+
+
+def test_sink_context(spark):
+    rows = run(spark, [(code, None, "CWE-79") for code, _ in CONTEXTS])
+    for row, (code, lines) in zip(rows, CONTEXTS, strict=True):
+        assert [s.line for s in row.p.sinks] == lines, code
 
 
 def test_symmetric_context(spark):
