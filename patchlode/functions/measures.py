@@ -11,7 +11,6 @@ from . import rules as R
 from .text import (
     FLAGS,
     STRING_ARRAY,
-    choose,
     constant,
     empty_array,
     fold,
@@ -22,7 +21,7 @@ from .text import (
 )
 
 
-MEASURE_RULE_TYPE = "array<struct<n:int,name:string,anchor:string>>"
+MEASURE_RULE_TYPE = "array<struct<regex:string,name:string,anchor:string>>"
 
 
 def measures_in(text: Column, measures: Mapping[str, Sequence[str]]) -> Column:
@@ -32,22 +31,23 @@ def measures_in(text: Column, measures: Mapping[str, Sequence[str]]) -> Column:
     literal needs none.
     """
     pairs = [(name, shape) for name, shapes in measures.items() for shape in shapes]
-    searched = [shape for _, shape in pairs if not is_literal(shape)]
-    number = {shape: n for n, shape in enumerate(dict.fromkeys(searched))}
     catalogue = constant(
         [
-            {"n": number.get(shape), "name": name, "anchor": shape_anchor(shape)}
+            {
+                "regex": None if is_literal(shape) else FLAGS + shape_regex(shape),
+                "name": name,
+                "anchor": shape_anchor(shape),
+            }
             for name, shape in pairs
         ],
         MEASURE_RULE_TYPE,
     )
-    searches = [F.rlike(text, F.lit(FLAGS + shape_regex(shape))) for shape in number]
 
     def search(folded: Column) -> Column:
         hits = F.filter(
             catalogue,
             lambda r: F.contains(folded, r["anchor"])
-            & (r["n"].isNull() | choose(r["n"], searches)),
+            & (r["regex"].isNull() | F.rlike(text, r["regex"])),
         )
         return F.array_distinct(F.transform(hits, lambda r: r["name"]))
 

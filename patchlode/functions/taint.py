@@ -20,7 +20,6 @@ from .text import (
     STRING_ARRAY,
     WORD,
     blank,
-    choose,
     constant,
     empty_array,
     fold,
@@ -39,10 +38,10 @@ ANALYSIS_TYPE = (
 
 EDGE_TYPE = "array<struct<into:string,from:string>>"
 SOURCE_RULE_TYPE = (
-    "array<struct<n:int,rule_id:string,category:string,type:string,anchor:string,reach:boolean>>"
+    "array<struct<regex:string,rule_id:string,category:string,type:string,anchor:string,reach:boolean>>"
 )
 SINK_RULE_TYPE = (
-    "array<struct<n:int,rule_id:string,vuln_type:string,name:string,anchor:string>>"
+    "array<struct<regex:string,rule_id:string,vuln_type:string,name:string,anchor:string>>"
 )
 
 ALL_CATEGORIES = "+".join(R.SOURCE_CATEGORIES)
@@ -82,25 +81,23 @@ def find_sources(
     catalogue = constant(
         [
             {
-                "n": n,
+                "regex": _source_regex(r, annotation_mode),
                 "rule_id": r.rule_id,
                 "category": r.category,
                 "type": r.type,
                 "anchor": r.anchor,
                 "reach": r.kind == "annotation" and annotation_mode == "compat",
             }
-            for n, r in enumerate(rules)
+            for r in rules
         ],
         SOURCE_RULE_TYPE,
     )
     second = rf"{FLAGS}@{WORD}+{SPACE}+{WORD}+{SPACE}+({WORD}+)"
 
-    regexes = [F.lit(_source_regex(r, annotation_mode)) for r in rules]
-    searches = [F.regexp_extract_all(code, regex, F.lit(1)) for regex in regexes]
 
     def names(rule: Column) -> Column:
         return let(
-            choose(rule["n"], searches),
+            F.regexp_extract_all(code, rule["regex"], F.lit(1)),
             lambda found: F.when(
                 rule["reach"], F.transform(found, lambda t: F.regexp_extract(t, second, 1))
             ).otherwise(found),
@@ -239,22 +236,21 @@ def find_sink_hits(
     catalogue = constant(
         [
             {
-                "n": n,
+                "regex": r.regex,
                 "rule_id": r.rule_id,
                 "vuln_type": r.vuln_type,
                 "name": r.name,
                 "anchor": r.anchor,
             }
-            for n, r in enumerate(rules)
+            for r in rules
         ],
         SINK_RULE_TYPE,
     )
 
-    searches = [F.regexp_extract_all(code, F.lit(r.regex), F.lit(0)) for r in rules]
 
     def hits(rule: Column) -> Column:
         return F.transform(
-            match_offsets(code, choose(rule["n"], searches)),
+            match_offsets(code, F.regexp_extract_all(code, rule["regex"], F.lit(0))),
             lambda at: F.struct(
                 at.alias("at"),
                 rule["rule_id"].alias("rule_id"),

@@ -5,6 +5,9 @@ from __future__ import annotations
 import json
 import re
 
+from functools import wraps
+
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +24,27 @@ ASSIGN = rf"(?:\G|(?<!{WORD}))({WORD}++){SPACE}*+={SPACE}*+"
 STRING_ARRAY = "array<string>"
 
 
+_BUILT: dict[tuple, Column] = {}
+
+
+def by_name(build):
+    """The same expression, for columns given by name, built once per process.
+
+    The large expressions take thousands of calls into the JVM to put together; they hold names
+    only, so one object serves every plan.
+    """
+
+    @wraps(build)
+    def remembered(*names: str, **options) -> Column:
+        jvm = id(SparkContext._gateway)
+        key = (jvm, build.__module__, build.__qualname__, names, tuple(sorted(options.items())))
+        if key not in _BUILT:
+            _BUILT[key] = build(*[F.col(name) for name in names], **options)
+        return _BUILT[key]
+
+    return remembered
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row, however often the body names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -35,17 +59,6 @@ def constant(value, ddl_type: str) -> Column:
     return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), ddl_type)
 
 
-def choose(index: Column, branches) -> Column:
-    """The branch with the given number (from 0); only that one is computed.
-
-    Used to keep regular expressions constant, so that each is compiled once per task.
-    """
-    chain = F
-    for n, branch in enumerate(branches):
-        chain = chain.when(index == n, branch)
-    return chain
-
-
 def fold(text: Column) -> Column:
     """Lower case, with the three letters that only match i and s when case is ignored."""
     plain = F.replace(F.replace(text, F.lit("İ"), F.lit("i")), F.lit("ı"), F.lit("i"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import query_text, search_terms
+from ..functions.text import by_name
 from .mining import ROW_ORDER
 
 EXCLUDED_COLUMNS = (
@@ -62,7 +63,7 @@ def compile_queries(
         patterns = top_pattern_per_cwe(patterns)
     usable = F.coalesce("cwe_id", F.lit("")) != ""
     compiled = patterns.withColumn(
-        "_terms", search_terms(F.col("pattern"), F.col("cwe_id"))
+        "_terms", by_name(search_terms)("pattern", "cwe_id")
     ).withColumn("github_query", F.when(usable, query_text(F.col("_terms"))).otherwise(""))
     if keep_terms:
         compiled = compiled.select("*", "_terms.*")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.measures import added_measures
 from ..functions.patterns import keeps, key_part, make_pattern, pattern_key, sorted_names
 from ..functions.taint import analyze_taint, source_class
-from ..functions.text import commit_link, first_filled, let, line_slice
+from ..functions.text import by_name, commit_link, first_filled, let, line_slice
 from .extract import classification_of, frequent_cwes, in_languages
 from .methods import line_number, usable_methods
 
@@ -59,6 +59,7 @@ def weakness_targets(records: DataFrame, classification: DataFrame, cwe: DataFra
     )
 
 
+@by_name
 def _kept_patterns(weaknesses: Column, code: Column, missing: Column, **options) -> Column:
     """Per weakness that the method is evidence for: the weakness and the pattern.
 
@@ -109,7 +110,7 @@ def method_patterns(
         in_languages(java) & F.col("code_before").isNotNull() & (F.col("code_before") != "")
     ).select("file_change_id", "hash", "code_before", "code_after", "diff")
     files = files.join(wanted, "file_change_id").withColumn(
-        "missing", added_measures(F.col("code_before"), F.col("code_after"))
+        "missing", by_name(added_measures)("code_before", "code_after")
     )
     methods = usable_methods(method_change).select(
         "file_change_id",
@@ -140,9 +141,7 @@ def method_patterns(
     found = cut.select(
         "*",
         F.explode(
-            _kept_patterns(
-                F.col("weaknesses"), F.col("method_code"), F.col("missing"), **options
-            )
+            _kept_patterns("weaknesses", "method_code", "missing", **options)
         ).alias("kept"),
     )
     return found.select(

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as FP
 from ..functions.measures import added_measures
-from ..functions.taint import analyze_taint, source_class
-from ..functions.text import commit_link, fold, let, line_neighbours
-from ..functions.taint import find_sink_hits, find_sources
+from ..functions.rules import SOURCE_RULES
+from ..functions.taint import analyze_taint, find_sink_hits, find_sources, source_class
+from ..functions.text import by_name, commit_link, fold, let, line_neighbours
 from ..operators import compile as C
 from ..operators.extract import run_statistics
 from ..operators.methods import method_changes, with_method_code
@@ -20,6 +20,7 @@ from ..sources import sinks as S
 from ..sources.tables import read_csv, read_queries
 from .fixtures import Tables
 from .inputs import instances, mined, patterns, queried, records
+from .mine import run_mining
 from .oracle import CLASS_SQL
 from .registry import joined, query
 
@@ -81,8 +82,6 @@ def _(t: Tables) -> DataFrame:
         JOIN source_rules r ON r.rid = s.rid WHERE r.kind = 'annotation'""",
 )
 def _(t: Tables) -> DataFrame:
-    from ..functions.rules import SOURCE_RULES
-
     annotations = [r for r in SOURCE_RULES if r.kind == "annotation"]
     code = F.col("method_code")
     sources = let(fold(code), lambda f: find_sources(code, f, F.col("cls"), annotations))
@@ -96,7 +95,7 @@ def _(t: Tables) -> DataFrame:
         FROM ({ANALYSED_SQL}) a JOIN an_result r ON r.code = a.code AND r.cls = a.cls""",
 )
 def _(t: Tables) -> DataFrame:
-    rows = per_method(t, analyze_taint(F.col("method_code"), F.col("cls")))
+    rows = per_method(t, by_name(analyze_taint)("method_code", "cls"))
     return rows.select(
         "method_change_id", "cls", joined("r.tainted_variables").alias("tainted")
     ).filter("tainted <> ''")
@@ -123,7 +122,7 @@ def _(t: Tables) -> DataFrame:
         WHERE r.flows IS NOT NULL""",
 )
 def _(t: Tables) -> DataFrame:
-    rows = per_method(t, analyze_taint(F.col("method_code"), F.col("cls")))
+    rows = per_method(t, by_name(analyze_taint)("method_code", "cls"))
     flow = F.transform("r.taint_flows", lambda f: F.concat_ws(">", f["source"], f["sink"], f["line"]))
     return rows.select("method_change_id", "cls", F.array_join(flow, "; ").alias("flows")).filter(
         "flows <> ''"
@@ -161,8 +160,8 @@ PATTERN_SQL = f"""
 
 @query("tnt9_pattern_struct", PATTERN_SQL)
 def _(t: Tables) -> DataFrame:
-    missing = added_measures(F.col("file_code_before"), F.col("file_code_after"))
-    pattern = FP.make_pattern(analyze_taint(F.col("method_code"), F.col("cls")), missing)
+    missing = by_name(added_measures)("file_code_before", "file_code_after")
+    pattern = FP.make_pattern(by_name(analyze_taint)("method_code", "cls"), missing)
     return per_method(t, pattern).select("method_change_id", "cls", "r.summary.*")
 
 
@@ -179,7 +178,7 @@ def _(t: Tables) -> DataFrame:
     files = code.filter("method_code <> ''").select(
         "file_change_id", "file_code_before", "file_code_after"
     )
-    names = added_measures(F.col("file_code_before"), F.col("file_code_after"))
+    names = by_name(added_measures)("file_code_before", "file_code_after")
     return files.distinct().select("file_change_id", FP.sorted_names(names).alias("missing"))
 
 
@@ -196,8 +195,8 @@ def _(t: Tables) -> DataFrame:
 
 @query("sec3_summary_flags", PATTERN_SQL.replace("a.method_change_id, a.cls,", "a.cls,", 1))
 def _(t: Tables) -> DataFrame:
-    missing = added_measures(F.col("file_code_before"), F.col("file_code_after"))
-    pattern = FP.make_pattern(analyze_taint(F.col("method_code"), F.col("cls")), missing)
+    missing = by_name(added_measures)("file_code_before", "file_code_after")
+    pattern = FP.make_pattern(by_name(analyze_taint)("method_code", "cls"), missing)
     return per_method(t, pattern).select("cls", "r.summary.*")
 
 
@@ -341,8 +340,6 @@ def _(t: Tables) -> DataFrame:
         FROM (SELECT *, unnest(range(copies)) AS n FROM queried_rows)""",
 )
 def _(t: Tables) -> DataFrame:
-    from .mine import run_mining
-
     names = ("fixes", "commits", "file_change", "method_change", "cwe_classification", "cwe")
     return run_mining({n: getattr(t, n) for n in names}, top_n=None).instance_file
 
@@ -569,7 +566,7 @@ def _(t: Tables) -> DataFrame:
        ON a.file_change_id = b.file_change_id AND a.measure = b.measure""",
 )
 def _(t: Tables) -> DataFrame:
-    names = added_measures(F.col("code_before"), F.col("code_after"))
+    names = by_name(added_measures)("code_before", "code_after")
     return t.file_change.select("file_change_id", F.explode(names).alias("measure"))
 
 

@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..operators.search import first_per_repository, keep_last
 
@@ -27,7 +28,9 @@ def _part(folder: str, batch: int) -> str:
     return f"{folder}/batch={batch:09d}"
 
 
-def state_before(spark: SparkSession, folder: str, batch: int, schema: str) -> DataFrame:
+def state_before(
+    spark: SparkSession, folder: str, batch: int, schema: StructType | str
+) -> DataFrame:
     """State as all batches before ``batch`` left it."""
     parts = [_part(folder, n) for n in range(batch)]
     return (
@@ -58,7 +61,7 @@ def first_hits(
     order_by: Sequence[str] = ("query_ord", "hit_ord"),
 ) -> StreamingQuery:
     """The first hit per repository over all batches, in arrival order of the batches."""
-    schema = stream.schema.simpleString().removeprefix("struct<").removesuffix(">")
+    schema = stream.schema
 
     def on_batch(df: DataFrame, batch: int) -> None:
         seen = state_before(df.sparkSession, state, batch, schema).select("repository")
