@@ -19,6 +19,7 @@ from .report import with_query_text
 GROUPS = ("source_kw", "sink_kw", "not_kw")
 # Up to this many distinct queries the query list travels with the plan; beyond it, postings.
 MAX_INLINE_QUERIES = 1000
+MAX_KEYWORDS = 5000
 PAGE_SIZE = 100
 MAX_PAGES = 5
 
@@ -66,19 +67,32 @@ def keyword_table(queries: DataFrame) -> DataFrame:
     return groups.select("github_query", "grp", F.explode("kws").alias("keyword"))
 
 
-def keyword_postings(corpus: DataFrame, keywords: DataFrame, keys: Sequence[str]) -> DataFrame:
+def keyword_postings(
+    corpus: DataFrame, keywords: DataFrame, keys: Sequence[str], parts: int = 1
+) -> DataFrame:
     """(file, keyword) rows for the keywords that a file holds.
 
-    The keywords come from fixed catalogues (fewer than a hundred words) and at most a few
-    widening terms, whatever the number of queries.
+    Keywords of compiled queries come from fixed catalogues (fewer than a hundred words). A
+    longer list is cut into ``parts`` by hash, each looked up in a pass of its own.
     """
-    words = keywords.agg(F.collect_set("keyword").alias("w")).scalar()
-    present = F.filter("_words", lambda w: F.contains(F.col("content"), w))
-    listed = corpus.withColumn("_words", words)
-    return listed.select(*keys, F.explode(present).alias("keyword"))
-
-
-def _posting_search(corpus: DataFrame, queries: DataFrame, keys: Sequence[str]) -> DataFrame:
+    postings = None
+    for part in range(parts):
+        chunk = keywords.filter(F.pmod(F.hash("keyword"), F.lit(parts)) == part)
+        words = chunk.agg(F.collect_set("keyword").alias("w")).scalar()
+        listed = corpus.withColumn("_words", words)
+        present = F.filter("_words", lambda w: F.contains(F.col("content"), w))
+        found = listed.select(*keys, F.explode(present).alias("keyword"))
+        postings = found if postings is None else postings.unionByName(found)
+    return postings
+
+
+def _posting_search(
+    corpus: DataFrame,
+    queries: DataFrame,
+    keys: Sequence[str],
+    carry: Sequence[str] = (),
+    parts: int = 1,
+) -> DataFrame:
     """Equi-join of postings and query keywords; for long query lists.
 
     Files meet only queries that share a word with them. Excluded words decide last.
@@ -86,10 +100,11 @@ def _posting_search(corpus: DataFrame, queries: DataFrame, keys: Sequence[str])
     table = keyword_table(queries)
     needs = queries.select(
         "github_query",
+        *carry,
         (F.size("source_kw") > 0).alias("needs_source"),
         (F.size("sink_kw") > 0).alias("needs_sink"),
     )
-    postings = keyword_postings(corpus, table, keys)
+    postings = keyword_postings(corpus, table, keys, parts)
 
     def seen(group: str) -> Column:
         return F.bool_or(F.col("grp") == group).alias(group)
@@ -104,7 +119,27 @@ def _posting_search(corpus: DataFrame, queries: DataFrame, keys: Sequence[str])
         (F.col("source_kw") | ~F.col("needs_source"))
         & (F.col("sink_kw") | ~F.col("needs_sink"))
         & ~F.col("not_kw")
-    ).select(*keys, "github_query")
+    ).select(*keys, "github_query", *carry)
+
+
+def _search(
+    corpus: DataFrame,
+    distinct: DataFrame,
+    keys: Sequence[str],
+    strategy: str,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """Search by the given strategy; ``auto`` measures the query list before choosing."""
+    parts = 1
+    if strategy == "auto":
+        many = distinct.limit(MAX_INLINE_QUERIES + 1).count() > MAX_INLINE_QUERIES
+        strategy = "postings" if many else "inline"
+        if many:
+            words = keyword_table(distinct).select("keyword").distinct().count()
+            parts = -(-words // MAX_KEYWORDS)
+    if strategy == "inline":
+        return _inline_search(corpus, distinct, keys, carry)
+    return _posting_search(corpus, distinct, keys, carry, parts)
 
 
 def search_corpus(
@@ -122,12 +157,7 @@ def search_corpus(
     """
     if language:
         corpus = corpus.filter(F.lower("lang") == language.lower())
-    distinct = distinct_queries(queries)
-    if strategy == "auto":
-        many = distinct.limit(MAX_INLINE_QUERIES + 1).count() > MAX_INLINE_QUERIES
-        strategy = "postings" if many else "inline"
-    search = _posting_search if strategy == "postings" else _inline_search
-    return search(corpus, distinct, keys)
+    return _search(corpus, distinct_queries(queries), keys, strategy)
 
 
 def cap_per_query(
@@ -187,6 +217,7 @@ def adaptive_search(
     max_results: int | None = 1000,
     tried: DataFrame | None = None,
     keys: Sequence[str] = ("repository", "path"),
+    strategy: str = "auto",
 ) -> DataFrame:
     """Hits per query, narrowed by further keywords as long as a search is saturated.
 
@@ -226,7 +257,8 @@ def adaptive_search(
     for word in reversed(keywords):
         here = F.contains(F.col("content"), F.lit(word))
         held = F.when(here, held + 1).otherwise(F.lit(0))
-    hits = _inline_search(corpus.withColumn("held", held), distinct, (*keys, "held"), ("allowed",))
+    marked = corpus.withColumn("held", held)
+    hits = _search(marked, distinct, (*keys, "held"), strategy, ("allowed",))
 
     # One row per hit and search that would return it; the first page of each search.
     searches = F.array(

@@ -16,13 +16,13 @@ from .registry import query
 HIT = "github_query, repository, path"
 
 
-def code_hits(t: Tables, strategy: str = "inline") -> DataFrame:
+def code_hits(t: Tables, strategy: str = "auto") -> DataFrame:
     return Q.search_corpus(t.corpus_code, patterns(t), strategy=strategy)
 
 
 @query("srch1_inline_search", f"SELECT {HIT} FROM code_hits")
 def _(t: Tables) -> DataFrame:
-    return code_hits(t)
+    return code_hits(t, "inline")
 
 
 @query("srch2_posting_search", f"SELECT {HIT} FROM code_hits")

@@ -55,6 +55,20 @@ def test_both_strategies_equal_brute_force(spark):
         assert len(got) == len(want) and {tuple(r) for r in got} == want, strategy
 
 
+def test_long_lists_use_postings_in_parts(spark, monkeypatch):
+    rows = corpus_rows()
+    corpus, queries = spark.createDataFrame(rows, CORPUS), spark.createDataFrame(QUERIES, TERMS)
+    few = Q.search_corpus(corpus, queries).select("github_query", "repository", "path")
+    narrow = Q.adaptive_search(corpus, queries, ["k0", "k1"], page_size=5, max_pages=1)
+    want, want_narrow = set(map(tuple, few.collect())), set(map(tuple, narrow.collect()))
+    monkeypatch.setattr(Q, "MAX_INLINE_QUERIES", 2)
+    monkeypatch.setattr(Q, "MAX_KEYWORDS", 2)
+    many = Q.search_corpus(corpus, queries).select("github_query", "repository", "path").collect()
+    assert len(many) == len(want) and set(map(tuple, many)) == want
+    narrow = Q.adaptive_search(corpus, queries, ["k0", "k1"], page_size=5, max_pages=1)
+    assert set(map(tuple, narrow.collect())) == want_narrow
+
+
 def plain_adaptive(rows, query, keywords, limit, most):
     """One search after the other, as a person would do it."""
 
