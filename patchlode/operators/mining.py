@@ -35,12 +35,16 @@ INSTANCE_COLUMNS = (
 )
 
 
-def weakness_targets(records: DataFrame, classification: DataFrame, cwe: DataFrame) -> DataFrame:
-    """Per file change, weakness and repository: how many records ask for it (``copies``).
+def weakness_targets(
+    records: DataFrame, classification: DataFrame, cwe: DataFrame, by_repository: bool = False
+) -> DataFrame:
+    """Per file change and weakness: how many records ask for it (``copies``).
 
     Uses ids only. Records are counted before the join, so a CVE or file that holds a large
-    part of all records is one row per partition by then.
+    part of all records is one row per partition by then. ``by_repository`` keeps the records'
+    repositories apart.
     """
+    repo = ["repo_url"] if by_repository else []
     frequent = frequent_cwes(classification_of(records, classification, cwe))
     pairs = (
         classification.select("cve_id", "cwe_id")
@@ -49,12 +53,12 @@ def weakness_targets(records: DataFrame, classification: DataFrame, cwe: DataFra
     )
     counted = (
         records.filter(F.coalesce("file_change_id", F.lit("")) != "")
-        .groupBy("cve_id", "file_change_id", "repo_url")
+        .groupBy("cve_id", "file_change_id", *repo)
         .agg(F.count(F.lit(1)).alias("copies"))
     )
     return (
         counted.join(pairs, "cve_id")
-        .groupBy("file_change_id", "cwe_id", "cwe_name", "repo_url")
+        .groupBy("file_change_id", "cwe_id", "cwe_name", *repo)
         .agg(F.sum("copies").alias("copies"))
     )
 
@@ -98,12 +102,8 @@ def method_patterns(
     compared once per file, and only the method text goes on from there. The list of
     weaknesses of a file is bounded by the weakness catalogue (about 1,400 entries).
     """
-    wanted = (
-        targets.groupBy("file_change_id", "cwe_id", "cwe_name")
-        .agg(F.sum("copies").alias("copies"))
-        .groupBy("file_change_id")
-        .agg(F.collect_list(F.struct("cwe_id", "cwe_name", "copies")).alias("weaknesses"))
-    )
+    weakness = F.struct("cwe_id", "cwe_name", "copies")
+    wanted = targets.groupBy("file_change_id").agg(F.collect_list(weakness).alias("weaknesses"))
     # Only Java code can show a pattern.
     java = [name for name in languages if name.lower() == "java"]
     files = file_change.filter(
@@ -226,7 +226,8 @@ def mine_patterns(
     if fill_repo is None:
         fill_repo = bool(fixes.filter(no_repo()).take(1))
     if fill_repo:
-        rows = fill_repositories(rows, targets)
+        by_repo = weakness_targets(records, classification, cwe, by_repository=True)
+        rows = fill_repositories(rows, by_repo)
     key = pattern_key(F.col("pattern"), F.col("cwe_id"))
     rows = rows.select(
         "cwe_id",

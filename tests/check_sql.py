@@ -1,6 +1,6 @@
 """Run every registered query in Spark and its SQL twin in DuckDB, and compare the rows.
 
-Usage: python tests/check_sql.py [sf] [name ...]
+Usage: python tests/check_sql.py [sf or folder] [name ...]
 """
 
 from __future__ import annotations
@@ -67,7 +67,7 @@ def main() -> int:
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
-    sf_dir = f"/root/testdata/sf{sf}"
+    sf_dir = sf if "/" in sf else f"/root/testdata/sf{sf}"
     con = connect(sf_dir)
     sqls, failed = entry.oracle_sql(), []
     for name, build in entry.queries().items():
