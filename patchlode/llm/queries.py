@@ -9,13 +9,28 @@ from pyspark.sql import functions as F
 
 from .frames import table
 from .minhash import near_duplicates
+from .sharding import interleaved_shards
+from .superkmers import remove_repeats
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("k1", "k2", "component_group")
 
 
+def op8_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "rest.doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+def op9_interleaved_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interleaved_shards(table(spark, sf_dir, "documents"), shards=24)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op8_super_kmer_dedup": op8_super_kmer_dedup,
+    "op9_interleaved_sharding": op9_interleaved_sharding,
 }
 SQL: dict[str, str] = {}

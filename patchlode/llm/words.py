@@ -141,3 +141,22 @@ def runs(bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 def as_long(x: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit numbers as signed ones with the same bits."""
     return x.view(np.int64)
+
+
+def joined_words(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """All words, each followed by one space, as bytes; and the place of each word in them."""
+    sizes = ends - starts + 1
+    places = np.concatenate([[0], np.cumsum(sizes)])
+    if not len(starts):
+        return np.zeros(0, np.uint8), places
+    source = np.arange(places[-1]) - np.repeat(places[:-1] - starts, sizes)
+    out = data[np.minimum(source, len(data) - 1)]
+    out[places[1:] - 1] = 32
+    return out, places
+
+
+def strings(pieces: list[bytes]) -> pa.Array:
+    """UTF-8 byte strings as an Arrow string array."""
+    return pa.array(pieces, pa.binary()).cast(pa.string())
