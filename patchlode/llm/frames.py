@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage, stage_path
 
-__all__ = ["drop_staged", "held_out", "row_key", "stage", "stage_path", "table", "training"]
+__all__ = ["bitmap", "drop_staged", "has", "held_out", "row_key", "stage", "stage_path", "table", "training"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,3 +46,22 @@ def drop_staged(df: DataFrame) -> None:
     for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(conf).delete(path, True)
+
+
+def bitmap(rows: DataFrame, slot: Column, bits: int) -> np.ndarray:
+    """A bitmap of 2^bits with the slots of all rows set; its size does not depend on the rows."""
+    one = F.expr("shiftleft(1L, cast(slot & 63 as int))")
+    words = (
+        rows.select(slot.alias("slot"))
+        .groupBy(F.shiftright("slot", 6).alias("word"))
+        .agg(F.bit_or(one).alias("set"))
+        .toArrow()
+    )
+    found = np.zeros(1 << (bits - 6), np.int64)
+    found[words["word"].to_numpy()] = words["set"].to_numpy()
+    return found.view(np.uint64)
+
+
+def has(found: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    slots = slots.astype(np.uint64)
+    return (found[(slots >> np.uint64(6)).astype(np.int64)] >> (slots & np.uint64(63))) & np.uint64(1) != 0

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import drop_staged, row_key, stage
+from .frames import bitmap, drop_staged, has, row_key, stage
 from .words import U, as_long, buffers, chunks, hashed_words, joined_words, rolled, runs, strings
 
 BITS = 26
@@ -71,9 +71,8 @@ def _count(k: int, m: int):
     return run
 
 
-def _has(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
-    slot = values & U((1 << BITS) - 1)
-    return (bitmap[(slot >> U(6)).astype(np.int64)] >> (slot & U(63))) & U(1) != 0
+def _has(found: np.ndarray, values: np.ndarray) -> np.ndarray:
+    return has(found, values & U((1 << BITS) - 1))
 
 
 def _packed(k: int, m: int, seen, hot):
@@ -211,24 +210,6 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _bitmaps(counts: DataFrame, hot: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bits of the minimisers met at least twice, and of the hot ones; at most 2^20 rows arrive."""
-    slot = F.col("minimiser").bitwiseAND((1 << BITS) - 1)
-    bit = F.expr("shiftleft(1L, cast(minimiser & 63 as int))")
-    rows = (
-        counts.where("count > 1")
-        .groupBy(F.shiftright(slot, 6).alias("word"))
-        .agg(F.bit_or(bit).alias("seen"), F.bit_or(F.when(F.col("count") > hot, bit).otherwise(F.lit(0).cast("bigint"))).alias("hot"))
-        .toArrow()
-    )
-    maps = []
-    for name in ("seen", "hot"):
-        bitmap = np.zeros(1 << (BITS - 6), np.int64)
-        bitmap[rows["word"].to_numpy()] = rows[name].to_numpy()
-        maps.append(bitmap.view(U))
-    return maps[0], maps[1]
-
-
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 35, m: int = 12, hot: int = 4096
 ) -> DataFrame:
@@ -244,7 +225,10 @@ def remove_repeats(
     rows = docs.select(F.col(text_col).alias("text"), rest.alias("rest"), *row_key(id_col, text_col))
     keyed = rows.select("k1", "k2", "text")
     counts = keyed.select("text").mapInArrow(_count(k, m), "minimiser bigint").groupBy("minimiser").count()
-    seen, hot_bits = _bitmaps(counts, hot)
+    counts = stage(counts.where("count > 1"), "minimisers")
+    slot = F.col("minimiser").bitwiseAND((1 << BITS) - 1)
+    seen, hot_bits = bitmap(counts, slot, BITS), bitmap(counts.where(F.col("count") > hot), slot, BITS)
+    drop_staged(counts)
     any_hot = bool(hot_bits.any())
     seen, hot_bits = spark.sparkContext.broadcast(seen), spark.sparkContext.broadcast(hot_bits)
 
