@@ -5,16 +5,18 @@ space), or its whole word sequence if it has fewer; without words the set is emp
 nothing. Two texts are linked if 100 * |intersection| >= 75 * |union|.
 
 1. One pass hashes each text: ``bands * rows`` minima of multiply-add-shift hashes (a universal
-   family), one key per band, and one bit per minimum as a sketch.
+   family), one key per band, and a signature of eight bits per minimum.
 2. Texts with the same set form one node; copies are counted by a partial aggregate and never paired.
-3. In each band bucket every node is paired with the bucket's smallest node. Pairs whose sketches
+3. In each band bucket every node is paired with the bucket's smallest node. Pairs whose signatures
    agree well enough are confirmed on their full sets and joined to components.
-4. Buckets that still hold several components get the missing comparisons: nodes outside the
-   bucket's largest component against the bucket's nodes of other components, again sketch first.
-   So every pair that shares a bucket is either inside one component or was compared.
-
-With 32 bands of 4 rows a pair at similarity 0.75 shares no bucket with probability 5e-6; a sketch
-of one bit per minimum rejects it with probability under 1e-8 (six standard deviations).
+4. Buckets that still hold several components are searched further: ``rounds`` times every node outside
+   the bucket's largest component meets a random node of it, which grows with the bucket, not its
+   square. Then the comparisons still missing are made: nodes outside the largest component against
+   the bucket's nodes of other components. So every pair that shares a bucket is either inside one
+   component or was compared.
+
+With 32 bands of 4 rows a pair at similarity 0.75 shares no bucket with probability 5e-6; its
+signatures differ too much with probability under 1e-6 (five standard deviations).
 """
 
 from __future__ import annotations
@@ -72,8 +74,8 @@ def _fingerprints(words: int, bands: int, rows: int):
         for r in range(rows):
             band += minima[r::rows] * lanes[r]
         band = mix(band + seeds(bands, 10)[:, None])
-        bits = (mix(minima) & U(1)).reshape(-1, 64, len(texts))
-        sketch = (bits << np.arange(64, dtype=U)[None, :, None]).sum(1, dtype=U)
+        lanes_of = (mix(minima) & U(255)).reshape(-1, 8, len(texts))
+        sketch = (lanes_of << (U(8) * np.arange(8, dtype=U))[None, :, None]).sum(1, dtype=U)
         filled = np.diff(bounds) > 0
 
         def lists(x: np.ndarray) -> pa.Array:
@@ -127,6 +129,7 @@ def near_duplicates(
     percent: int = 75,
     bands: int = 32,
     rows: int = 4,
+    rounds: int = 3,
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id, kept, and (k1, k2, s1, s2, group).
 
@@ -156,36 +159,63 @@ def near_duplicates(
     hubs = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("m")).where("m > 1")
     shared = stage(members.join(hubs.drop("m"), "bucket"), "buckets")
 
-    lanes = range(bands * rows // 64)
-    likely = (1 + percent / 100) / 2
-    most_differ = bands * rows * (1 - likely) + 6 * (bands * rows * likely * (1 - likely)) ** 0.5
+    lanes = range(bands * rows // 8)
+    alike_share = percent / 100 + (1 - percent / 100) / 256
+    most_differ = bands * rows * (1 - alike_share) + 5 * (bands * rows * alike_share * (1 - alike_share)) ** 0.5
+    sketches = nodes.select("node", *(F.get("sketch", F.lit(i)).alias(f"w{i}") for i in lanes))
 
-    def sketches(node: str, prefix: str) -> DataFrame:
-        return nodes.select(F.col("node").alias(node), *(F.get("sketch", F.lit(i)).alias(f"{prefix}{i}") for i in lanes))
+    def differing_bytes(x: Column) -> Column:
+        for n in (4, 2, 1):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, n))
+        return F.bit_count(x.bitwiseAND(0x0101010101010101))
 
     def alike(a: str, b: str) -> Column:
-        return sum(F.bit_count(F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))) for i in lanes) <= most_differ
+        return sum(differing_bytes(F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))) for i in lanes) <= most_differ
+
+    def sketched(node: str, prefix: str) -> DataFrame:
+        return sketches.select(F.col("node").alias(node), *(F.col(f"w{i}").alias(f"{prefix}{i}") for i in lanes))
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        likely = pairs.distinct().join(sketched("u", "a"), "u").join(sketched("v", "b"), "v").where(alike("a", "b"))
+        return stage(_confirmed(likely.select("u", "v"), sets, percent), "links")
+
+    def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+        return stage(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(links)), "roots")
+
+    def unsettled(roots: DataFrame) -> DataFrame:
+        """Nodes of the buckets that hold several components, with their own and the largest one."""
+        placed = shared.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+        largest = (
+            placed.groupBy("bucket", "root").agg(F.count("*").alias("m"))
+            .groupBy("bucket").agg(F.max(F.struct("m", "root")).alias("top"), F.count("*").alias("parts"))
+            .where("parts > 1").select("bucket", F.col("top.root").alias("largest"))
+        )
+        return stage(placed.join(largest, "bucket"), "open")
 
     involved = shared.select("node").distinct()
     wanted = nodes.join(involved, "node").select("node", "key.k1", "key.k2")
     with_text = rows_in.join(wanted, ["k1", "k2"]).select("node", "text").dropDuplicates(["node"])
     sets = stage(with_text.mapInArrow(_sets(words), "node bigint, shingles array<bigint>"), "sets")
 
-    stars = shared.where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
-    first = stars.join(sketches("u", "a"), "u").join(sketches("v", "b"), "v").where(alike("a", "b")).select("u", "v")
-    links = stage(_confirmed(first, sets, percent), "links")
+    links = compared(shared.where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v")))
     roots = stage(components(links), "roots")
-
-    # what the stars left open
-    placed = shared.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    largest = (
-        placed.groupBy("bucket", "root").agg(F.count("*").alias("m"))
-        .groupBy("bucket").agg(F.max(F.struct("m", "root")).alias("top"), F.count("*").alias("parts"))
-        .where("parts > 1").select("bucket", F.col("top.root").alias("largest"))
-    )
-    open_ = stage(placed.join(largest, "bucket").join(sketches("node", "w"), "node"), "open")
+    for turn in range(rounds):
+        open_ = unsettled(roots)
+        pick = F.min_by("node", F.xxhash64(F.lit(turn), "bucket", "node"))
+        hub = open_.where("root = largest").groupBy("bucket").agg(pick.alias("v"))
+        more = compared(open_.where("root <> largest").join(hub, "bucket").select(F.col("node").alias("u"), "v"))
+        drop_staged(open_)
+        grown = not more.isEmpty()
+        if grown:
+            roots = merged(roots, more)
+        drop_staged(more)
+        if not grown:
+            break
+
+    open_ = unsettled(roots)
+    with_sketch = stage(open_.join(sketches, "node"), "sketched")
     rest, other = (
-        open_.select(
+        with_sketch.select(
             "bucket", F.col("node").alias(n), F.col("root").alias(f"root_{n}"),
             (F.col("root") != F.col("largest")).alias(f"out_{n}"), *(F.col(f"w{i}").alias(f"{p}{i}") for i in lanes),
         )
@@ -197,12 +227,11 @@ def near_duplicates(
         .where((F.col("root_u") != F.col("root_v")) & (~F.col("out_v") | (F.col("u") < F.col("v"))) & alike("a", "b"))
         .select("u", "v")
         .distinct()
-        .join(links.union(links.select("v", "u")), ["u", "v"], "left_anti")
     )
     more = stage(_confirmed(missing, sets, percent), "links")
     if not more.isEmpty():
-        roots = stage(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more)), "roots")
-    for table in (shared, sets, open_, links, more):
+        roots = merged(roots, more)
+    for table in (shared, sets, open_, with_sketch, links, more):
         drop_staged(table)
 
     linked = nodes.where("copies > 1").select("node").union(roots.select("node")).distinct()
