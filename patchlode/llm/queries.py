@@ -8,15 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .frames import table
+from .langid import fit_language_model, identify_languages
 from .minhash import near_duplicates
 from .sharding import interleaved_shards
 from .superkmers import remove_repeats
+from .toxicity import fit_toxicity, score_toxicity
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("k1", "k2", "component_group")
 
 
+def op3_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return score_toxicity(docs, fit_toxicity(docs, labels))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify_languages(docs, fit_language_model(docs))
+    return found.select("rest.doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op8_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select(
@@ -30,6 +43,8 @@ def op9_interleaved_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op3_kneser_ney_toxicity": op3_kneser_ney_toxicity,
+    "op5_language_id": op5_language_id,
     "op8_super_kmer_dedup": op8_super_kmer_dedup,
     "op9_interleaved_sharding": op9_interleaved_sharding,
 }
