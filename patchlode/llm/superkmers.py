@@ -11,8 +11,8 @@ equal, so a window can only repeat if its minimiser is that of two super-k-mers.
 2. A second pass sends each super-k-mer whose bit is set as one packed string of words to the bucket
    of its minimiser. There the windows are sorted and equal neighbours marked.
 3. A minimiser with more than ``hot`` super-k-mers, such as that of a passage in a third of all
-   texts, is not sent to one bucket: its windows are hashed (128 bits) and counted by an
-   aggregate that combines before the shuffle.
+   texts, is not sent to one bucket. Its equal strings are made one by an aggregate that combines before the
+   shuffle; all windows of a string met twice repeat. Windows of the others are hashed (128 bits) and counted alike.
 4. Marked windows become word intervals per text; a word in any of them is removed.
 """
 
@@ -75,8 +75,8 @@ def _has(found: np.ndarray, values: np.ndarray) -> np.ndarray:
     return has(found, values & U((1 << BITS) - 1))
 
 
-def _packed(k: int, m: int, seen, hot):
-    """Super-k-mers that may hold repeated windows, as packed strings; not the hot ones."""
+def _packed(k: int, m: int, seen, hot, want_hot: bool):
+    """Super-k-mers that may hold repeated windows, as packed strings: the hot ones or the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,7 +84,7 @@ def _packed(k: int, m: int, seen, hot):
                 data, offsets = buffers(part.column("text"))
                 hashes, starts, ends, bounds = hashed_words(data, offsets)
                 first, n, value = _super_kmers(hashes, bounds, k, m)
-                sent = _has(seen.value, value) & ~_has(hot.value, value)
+                sent = _has(seen.value, value) & (_has(hot.value, value) == want_hot)
                 first, n, value = first[sent], n[sent], value[sent]
                 out, places = joined_words(data, starts, ends)
                 raw = out.tobytes()
@@ -99,32 +99,33 @@ def _packed(k: int, m: int, seen, hot):
     return run
 
 
-def _hot_windows(k: int, m: int, hot):
-    """Windows of hot minimisers, each by its hash."""
+def _windows(k: int):
+    """The windows of packed strings, each by its 128-bit hash and its place in the string."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "text"):
-                data, offsets = buffers(part.column("text"))
-                hashes, starts, ends, bounds = hashed_words(data, offsets)
-                first, n, value = _super_kmers(hashes, bounds, k, m)
-                sent = _has(hot.value, value)
-                first, n = first[sent], n[sent]
-                places_of = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                out, places = joined_words(data, starts, ends)
-                raw = out.tobytes()
-                spans = zip(places[places_of].tolist(), (places[places_of + k] - 1).tolist(), strict=True)
-                names = np.frombuffer(b"".join(xxhash.xxh3_128_digest(raw[a:b]) for a, b in spans), np.int64).reshape(-1, 2)
-                doc = np.searchsorted(bounds, places_of, "right") - 1
+            for part in chunks(batch, "packed"):
+                rows, places, names = [], [], []
+                for i, s in enumerate(part.column("packed").cast(pa.binary()).to_pylist()):
+                    words = _word_places(s)
+                    rows += [i] * (len(words) - k)
+                    places += range(len(words) - k)
+                    names += [xxhash.xxh3_128_digest(s[words[j] + 1 : words[j + k]]) for j in range(len(words) - k)]
+                hashed = np.frombuffer(b"".join(names), np.int64).reshape(-1, 2)
+                at = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[:, 0]), pa.array(names[:, 1]), part.column("k1").take(pa.array(doc)),
-                     part.column("k2").take(pa.array(doc)), pa.array(places_of - bounds[doc])],
-                    ["w1", "w2", "k1", "k2", "start"],
+                    [part.column("g1").take(at), part.column("g2").take(at), pa.array(places, pa.int64()), pa.array(hashed[:, 0]), pa.array(hashed[:, 1])],
+                    ["g1", "g2", "place", "w1", "w2"],
                 )
 
     return run
 
 
+def _word_places(s: bytes) -> list[int]:
+    """The spaces of a packed string, with its two ends."""
+    return [-1, *np.flatnonzero(np.frombuffer(s, np.uint8) == 32).tolist(), len(s)]
+
+
 def _repeats(strings_: list[bytes], k: int) -> list[list[int]]:
     """For each packed string of one bucket, the places of its windows that are met again."""
     counts: dict[bytes, int] = {}
@@ -132,7 +133,7 @@ def _repeats(strings_: list[bytes], k: int) -> list[list[int]]:
         counts[s] = counts.get(s, 0) + 1
     windows = []
     for s in counts:
-        words = [-1, *np.flatnonzero(np.frombuffer(s, np.uint8) == 32).tolist(), len(s)]
+        words = _word_places(s)
         windows += [(s[words[j] + 1 : words[j + k]], j, s) for j in range(len(words) - k)]
     windows.sort()
     marked: dict[bytes, list[int]] = {s: [] for s in counts}
@@ -232,16 +233,32 @@ def remove_repeats(
     any_hot = bool(hot_bits.any())
     seen, hot_bits = spark.sparkContext.broadcast(seen), spark.sparkContext.broadcast(hot_bits)
 
-    packed = keyed.mapInArrow(_packed(k, m, seen, hot_bits), "minimiser bigint, k1 bigint, k2 bigint, start bigint, packed string")
+    schema = "minimiser bigint, k1 bigint, k2 bigint, start bigint, packed string"
+    packed = keyed.mapInArrow(_packed(k, m, seen, hot_bits, False), schema)
     spans = packed.repartition("minimiser").sortWithinPartitions("minimiser").mapInArrow(
         _sorted_buckets(k), "k1 bigint, k2 bigint, a bigint, b bigint")
+    staged = []
     if any_hot:
-        windows = stage(
-            keyed.mapInArrow(_hot_windows(k, m, hot_bits), "w1 bigint, w2 bigint, k1 bigint, k2 bigint, start bigint"), "windows")
+        names = [c.alias(f"g{i}") for i, c in enumerate(row_key("packed"), 1)]
+        all_hot = stage(keyed.mapInArrow(_packed(k, m, seen, hot_bits, True), schema).select("k1", "k2", "start", "packed", *names), "hot")
+        # equal strings are one; all windows of a string met twice repeat
+        strings_ = stage(all_hot.groupBy("g1", "g2").agg(F.count("*").alias("met"), F.first("packed").alias("packed")), "strings")
+        windows = stage(strings_.select("g1", "g2", "packed").mapInArrow(_windows(k), "g1 bigint, g2 bigint, place bigint, w1 bigint, w2 bigint"), "windows")
         again = windows.groupBy("w1", "w2").count().where("count > 1").drop("count")
-        spans = spans.union(windows.join(again, ["w1", "w2"], "left_semi").select("k1", "k2", F.col("start").alias("a"), (F.col("start") + k).alias("b")))
+        single = strings_.where("met = 1").select("g1", "g2")
+        marked = windows.join(single, ["g1", "g2"], "left_semi").join(again, ["w1", "w2"], "left_semi").groupBy("g1", "g2").agg(F.collect_set("place").alias("places"))
+        whole = F.sequence(F.lit(0).cast("bigint"), F.size(F.split("packed", " ")).cast("bigint") - k)
+        marked = marked.union(strings_.where("met > 1").select("g1", "g2", whole.alias("places")))
+        found = all_hot.select("k1", "k2", "start", "g1", "g2").join(marked, ["g1", "g2"])
+        # neighbouring windows become one interval
+        first = F.filter("places", lambda p: ~F.array_contains("places", p - 1))
+        last = F.filter("places", lambda p: ~F.array_contains("places", p + 1))
+        ends = F.arrays_zip(F.array_sort(first).alias("x"), F.array_sort(last).alias("y"))
+        spans = spans.union(
+            found.select("k1", "k2", "start", F.inline(ends).alias("x", "y")).select("k1", "k2", F.col("start") + F.col("x"), F.col("start") + F.col("y") + k))
+        staged = [all_hot, strings_, windows]
     cover = stage(spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")
-    if any_hot:
-        drop_staged(windows)
+    for table in staged:
+        drop_staged(table)
     schema = T.StructType([rows.schema["rest"], *T.StructType.fromDDL("text string, n_words bigint, n_removed bigint, kept_text string").fields])
     return rows.join(cover, ["k1", "k2"], "left").select("rest", "text", "spans").mapInArrow(_removed, schema)
