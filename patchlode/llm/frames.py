@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stage, stage_path
 
-__all__ = ["bitmap", "drop_staged", "has", "held_out", "row_key", "stage", "stage_path", "table", "training"]
+__all__ = ["bitmap", "drop_staged", "has", "held_out", "ranked", "row_key", "stage", "stage_path", "table", "training"]
+
+#: Most ranges that a ranking uses; bounds its tables of counts.
+MOST_RANGES = 1 << 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,3 +68,13 @@ def bitmap(rows: DataFrame, slot: Column, bits: int) -> np.ndarray:
 def has(found: np.ndarray, slots: np.ndarray) -> np.ndarray:
     slots = slots.astype(np.uint64)
     return (found[(slots >> np.uint64(6)).astype(np.int64)] >> (slots & np.uint64(63))) & np.uint64(1) != 0
+
+
+def ranked(rows: DataFrame, group: list[str], part: str, order: list[Column], name: str) -> DataFrame:
+    """Adds the place (from 0) of each row in its group by (part, order), a part at a time."""
+    counts = rows.groupBy(*group, part).agg(F.count("*").alias("rows_here"))
+    before = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*group, part, F.coalesce(F.sum("rows_here").over(before), F.lit(0)).alias("before"))
+    here = F.row_number().over(Window.partitionBy(*group, part).orderBy(*order))
+    placed = rows.withColumn("here", here)
+    return placed.join(offsets, [*group, part]).withColumn(name, F.col("before") + F.col("here") - 1).drop("before", "here")

@@ -10,11 +10,19 @@ from pyspark.sql import functions as F
 from .frames import table
 from .langid import fit_language_model, identify_languages
 from .minhash import near_duplicates
+from .packing import pack
 from .sharding import interleaved_shards
 from .superkmers import remove_repeats
 from .toxicity import fit_toxicity, score_toxicity
 
 
+def vocabulary() -> tuple[str, str]:
+    """The installed tokenizer's file, and the same vocabulary as ranks."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("k1", "k2", "component_group")
 
@@ -30,6 +38,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("rest.doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), *vocabulary())
+
+
 def op8_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select(
@@ -45,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_kneser_ney_toxicity": op3_kneser_ney_toxicity,
     "op5_language_id": op5_language_id,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op8_super_kmer_dedup": op8_super_kmer_dedup,
     "op9_interleaved_sharding": op9_interleaved_sharding,
 }

@@ -11,21 +11,10 @@ table of counts, plus the row's place in its own range. Texts are reduced to a s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MOST_RANGES = 1 << 16
-
-
-def _ranked(rows: DataFrame, group: list[str], part: str, order: list[Column], name: str) -> DataFrame:
-    """Adds the place (from 0) of each row in its group by (part, order), a part at a time."""
-    counts = rows.groupBy(*group, part).agg(F.count("*").alias("rows_here"))
-    before = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*group, part, F.coalesce(F.sum("rows_here").over(before), F.lit(0)).alias("before"))
-    here = F.row_number().over(Window.partitionBy(*group, part).orderBy(*order))
-    placed = rows.withColumn("here", here)
-    return placed.join(offsets, [*group, part]).withColumn(name, F.col("before") + F.col("here") - 1).drop("before", "here")
-
+from .frames import MOST_RANGES, ranked
 
 def interleaved_shards(
     docs: DataFrame, shards: int = 24, seed: int = 42, per_range: int = 2000,
@@ -51,12 +40,12 @@ def interleaved_shards(
     sized = mixture.join(F.broadcast(total.withColumn("ranges", ranges)))  # one row
     spread = F.conv(F.substring("digest", 1, 8), 16, 10).cast("bigint")
     parts = rows.join(sized, "source").withColumn("part", F.floor(spread * F.col("ranges") / F.lit(1 << 32)))
-    ranked = _ranked(parts, ["source"], "part", [F.col("digest"), F.col("doc_id"), F.col("size"), F.col("text_crc32")], "r")
+    ranked = ranked(parts, ["source"], "part", [F.col("digest"), F.col("doc_id"), F.col("size"), F.col("text_crc32")], "r")
 
     fraction = (2 * F.col("r") + 1) / (2 * F.col("n"))
     second = ranked.withColumn("fraction", fraction).withColumn("cut", F.floor(F.col("fraction") * F.col("ranges"))).withColumn("all", F.lit(0))
     tied = [F.col("fraction"), F.md5(F.col("source").cast("binary")), F.col("source")]
-    placed = _ranked(second.drop("part", "digest"), ["all"], "cut", tied, "place")
+    placed = ranked(second.drop("part", "digest"), ["all"], "cut", tied, "place")
     shard = F.expr(f"cast(place * {shards} div total as int)")
     begin = F.expr(f"(shard * total + {shards - 1}) div {shards}")
     return (
