@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .archives import round_trip
+from .decontaminate import find_contamination
 from .frames import table
 from .langid import fit_language_model, identify_languages
 from .minhash import near_duplicates
@@ -27,11 +29,20 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("k1", "k2", "component_group")
 
 
+def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("k1", "k2")
+
+
 def op3_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return score_toxicity(docs, fit_toxicity(docs, labels))
 
 
+def op4_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(spark, table(spark, sf_dir, "pages")).drop("payload", "url")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify_languages(docs, fit_language_model(docs))
@@ -55,7 +66,9 @@ def op9_interleaved_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_template_decontamination": op2_template_decontamination,
     "op3_kneser_ney_toxicity": op3_kneser_ney_toxicity,
+    "op4_zip_warc": op4_zip_warc,
     "op5_language_id": op5_language_id,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_super_kmer_dedup": op8_super_kmer_dedup,
