@@ -12,6 +12,7 @@ from .decontaminate import find_contamination
 from .frames import table
 from .langid import fit_language_model, identify_languages
 from .minhash import near_duplicates
+from .neighbours import nearest
 from .packing import pack
 from .sharding import interleaved_shards
 from .superkmers import remove_repeats
@@ -49,6 +50,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("rest.doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op6_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), *vocabulary())
 
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_kneser_ney_toxicity": op3_kneser_ney_toxicity,
     "op4_zip_warc": op4_zip_warc,
     "op5_language_id": op5_language_id,
+    "op6_multiprobe_neighbours": op6_multiprobe_neighbours,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_super_kmer_dedup": op8_super_kmer_dedup,
     "op9_interleaved_sharding": op9_interleaved_sharding,
