@@ -11,9 +11,9 @@ nothing. Two texts are linked if 100 * |intersection| >= 75 * |union|.
    agree well enough are confirmed on their full sets and joined to components.
 4. Buckets that still hold several components are searched further: ``rounds`` times every node outside
    the bucket's largest component meets a random node of it, which grows with the bucket, not its
-   square. Then the comparisons still missing are made: nodes outside the largest component against
-   the bucket's nodes of other components. So every pair that shares a bucket is either inside one
-   component or was compared.
+   square. Then the comparisons still missing are made inside tasks, block by block and on full sets: nodes outside the
+   largest component against the bucket's nodes of other components; only links leave a task. So every
+   pair that shares a bucket is either inside one component or was compared.
 
 With 32 bands of 4 rows a pair at similarity 0.75 shares no bucket with probability 5e-6; its
 signatures differ too much with probability under 1e-6 (five standard deviations).
@@ -121,6 +121,55 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _cross_links(percent: int):
+    """Links between the sets of two blocks, one per left node and component on the right."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+        if not left.num_rows or not right.num_rows:
+            return schema.empty_table()
+        right = right.combine_chunks()
+        lists = right["shingles"].combine_chunks()
+        sizes = lists.value_lengths().to_numpy().astype(np.int64)
+        known, ids = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        starts = np.cumsum(sizes) - sizes
+        nodes, roots = right["node"].to_numpy(), right["root"].to_numpy()
+        found: list[tuple[int, int]] = []
+        for node, root, shingles in zip(left["node"].to_pylist(), left["root"].to_pylist(), left["shingles"], strict=True):
+            own = shingles.values.to_numpy()
+            at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+            marked = np.zeros(len(known), np.int64)
+            marked[at[known[at] == own]] = 1
+            both = np.add.reduceat(marked[ids], starts)
+            near = np.flatnonzero((both * 100 >= (len(own) + sizes - both) * percent) & (roots != root))
+            _, first = np.unique(roots[near], return_index=True)
+            found += [(node, int(v)) for v in nodes[near[first]]]
+        return pa.table([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], schema=schema)
+
+    return run
+
+
+def _missing_links(open_: DataFrame, sets: DataFrame, percent: int, left_block: int = 256, right_block: int = 512) -> DataFrame:
+    """Links of nodes outside the largest components to nodes of other components that they meet in a bucket.
+
+    Buckets with the same largest component are searched together, so a pair that shares many of them is compared once.
+    Both sides come in blocks; no pairs are written but the links.
+    """
+    met = open_.groupBy("largest", "node", "root").agg(F.max(F.col("root") != F.col("largest")).alias("out"))
+    sizes = met.groupBy("largest").agg(
+        F.greatest(F.lit(1), F.ceil(F.count_if("out") / left_block)).alias("lefts"), F.ceil(F.count("*") / right_block).alias("rights"))
+    dealt = met.join(sizes, "largest").join(sets, "node")
+    key = ["largest", "l", "r"]
+
+    def blocks(df: DataFrame, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
+        salted = df.withColumn(own, F.pmod(F.xxhash64("node"), F.col(own_n)))
+        return salted.withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other_n) - 1))).select(*key, "node", "root", "shingles")
+
+    left = blocks(dealt.where("out"), "l", "lefts", "r", "rights").groupBy(*key)
+    right = blocks(dealt, "r", "rights", "l", "lefts").groupBy(*key)
+    return left.cogroup(right).applyInArrow(_cross_links(percent), "u bigint, v bigint").distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -129,7 +178,7 @@ def near_duplicates(
     percent: int = 75,
     bands: int = 32,
     rows: int = 4,
-    rounds: int = 3,
+    rounds: int = 2,
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id, kept, and (k1, k2, s1, s2, group).
 
@@ -213,25 +262,10 @@ def near_duplicates(
             break
 
     open_ = unsettled(roots)
-    with_sketch = stage(open_.join(sketches, "node"), "sketched")
-    rest, other = (
-        with_sketch.select(
-            "bucket", F.col("node").alias(n), F.col("root").alias(f"root_{n}"),
-            (F.col("root") != F.col("largest")).alias(f"out_{n}"), *(F.col(f"w{i}").alias(f"{p}{i}") for i in lanes),
-        )
-        for n, p in (("u", "a"), ("v", "b"))
-    )
-    missing = (
-        rest.where("out_u")
-        .join(other, "bucket")
-        .where((F.col("root_u") != F.col("root_v")) & (~F.col("out_v") | (F.col("u") < F.col("v"))) & alike("a", "b"))
-        .select("u", "v")
-        .distinct()
-    )
-    more = stage(_confirmed(missing, sets, percent), "links")
+    more = stage(_missing_links(open_, sets, percent), "links")
     if not more.isEmpty():
         roots = merged(roots, more)
-    for table in (shared, sets, open_, with_sketch, links, more):
+    for table in (shared, sets, open_, links, more):
         drop_staged(table)
 
     linked = nodes.where("copies > 1").select("node").union(roots.select("node")).distinct()
