@@ -126,7 +126,8 @@ def fit_language_model(
     # a share of each language slightly above what is wanted, then exactly the smallest hashes
     share = 1.5 * per_language / F.col("count") + 20 / F.col("count")
     chance = F.pmod(F.col("k1"), F.lit(1 << 40)) / float(1 << 40)
-    drawn = rows.join(counts, "lang").where(chance < share).select("lang", "text", chance.alias("chance"))
+    # one row per class of the model, which the driver holds anyway
+    drawn = rows.join(F.broadcast(counts), "lang").where(chance < share).select("lang", "text", chance.alias("chance"))
     ranked = drawn.selectExpr("*", "row_number() over (partition by lang order by chance, text) as place")
     found = ranked.where(F.col("place") <= per_language).select("lang", "text", "chance").toArrow()
     order = sorted(zip(found["chance"].to_pylist(), found["lang"].to_pylist(), found["text"].to_pylist(), strict=True))

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from .components import components
@@ -129,13 +129,13 @@ def _cross_links(percent: int):
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         right = right.combine_chunks()
-        lists = right["shingles"].combine_chunks()
+        lists = right["right_shingles"].combine_chunks()
         sizes = lists.value_lengths().to_numpy().astype(np.int64)
         known, ids = np.unique(lists.flatten().to_numpy(), return_inverse=True)
         starts = np.cumsum(sizes) - sizes
-        nodes, roots = right["node"].to_numpy(), right["root"].to_numpy()
+        nodes, roots = right["right_node"].to_numpy(), right["right_root"].to_numpy()
         found: list[tuple[int, int]] = []
-        for node, root, shingles in zip(left["node"].to_pylist(), left["root"].to_pylist(), left["shingles"], strict=True):
+        for node, root, shingles in zip(left["left_node"].to_pylist(), left["left_root"].to_pylist(), left["left_shingles"], strict=True):
             own = shingles.values.to_numpy()
             at = np.minimum(np.searchsorted(known, own), len(known) - 1)
             marked = np.zeros(len(known), np.int64)
@@ -161,12 +161,14 @@ def _missing_links(open_: DataFrame, sets: DataFrame, percent: int, left_block:
     dealt = met.join(sizes, "largest").join(sets, "node")
     key = ["largest", "l", "r"]
 
-    def blocks(df: DataFrame, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
+    def blocks(side: str, df: DataFrame, own: str, own_n: str, other: str, other_n: str) -> GroupedData:
         salted = df.withColumn(own, F.pmod(F.xxhash64("node"), F.col(own_n)))
-        return salted.withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other_n) - 1))).select(*key, "node", "root", "shingles")
+        names = [*key, "node", "root", "shingles"]
+        salted = salted.withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other_n) - 1))).select(*names)
+        return salted.toDF(*(f"{side}_{c}" for c in names)).groupBy(*(f"{side}_{c}" for c in key))
 
-    left = blocks(dealt.where("out"), "l", "lefts", "r", "rights").groupBy(*key)
-    right = blocks(dealt, "r", "rights", "l", "lefts").groupBy(*key)
+    left = blocks("left", dealt.where("out"), "l", "lefts", "r", "rights")
+    right = blocks("right", dealt, "r", "rights", "l", "lefts")
     return left.cogroup(right).applyInArrow(_cross_links(percent), "u bigint, v bigint").distinct()
 
 

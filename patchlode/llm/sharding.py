@@ -40,10 +40,10 @@ def interleaved_shards(
     sized = mixture.join(F.broadcast(total.withColumn("ranges", ranges)))  # one row
     spread = F.conv(F.substring("digest", 1, 8), 16, 10).cast("bigint")
     parts = rows.join(sized, "source").withColumn("part", F.floor(spread * F.col("ranges") / F.lit(1 << 32)))
-    ranked = ranked(parts, ["source"], "part", [F.col("digest"), F.col("doc_id"), F.col("size"), F.col("text_crc32")], "r")
+    first = ranked(parts, ["source"], "part", [F.col("digest"), F.col("doc_id"), F.col("size"), F.col("text_crc32")], "r")
 
     fraction = (2 * F.col("r") + 1) / (2 * F.col("n"))
-    second = ranked.withColumn("fraction", fraction).withColumn("cut", F.floor(F.col("fraction") * F.col("ranges"))).withColumn("all", F.lit(0))
+    second = first.withColumn("fraction", fraction).withColumn("cut", F.floor(F.col("fraction") * F.col("ranges"))).withColumn("all", F.lit(0))
     tied = [F.col("fraction"), F.md5(F.col("source").cast("binary")), F.col("source")]
     placed = ranked(second.drop("part", "digest"), ["all"], "cut", tied, "place")
     shard = F.expr(f"cast(place * {shards} div total as int)")
