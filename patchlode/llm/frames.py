@@ -76,5 +76,6 @@ def ranked(rows: DataFrame, group: list[str], part: str, order: list[Column], na
     before = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*group, part, F.coalesce(F.sum("rows_here").over(before), F.lit(0)).alias("before"))
     here = F.row_number().over(Window.partitionBy(*group, part).orderBy(*order))
-    placed = rows.withColumn("here", here)
+    # dealt by part, or a join before this would leave all rows of a group in one task
+    placed = rows.repartition(*group, part).withColumn("here", here)
     return placed.join(offsets, [*group, part]).withColumn(name, F.col("before") + F.col("here") - 1).drop("before", "here")

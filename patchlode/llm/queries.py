@@ -17,6 +17,7 @@ from .packing import pack
 from .sharding import interleaved_shards
 from .superkmers import remove_repeats
 from .toxicity import fit_toxicity, score_toxicity
+from .wrappers import extract_main_text
 
 
 def vocabulary() -> tuple[str, str]:
@@ -69,6 +70,10 @@ def op9_interleaved_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleaved_shards(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op10_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_template_decontamination": op2_template_decontamination,
@@ -79,5 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_super_kmer_dedup": op8_super_kmer_dedup,
     "op9_interleaved_sharding": op9_interleaved_sharding,
+    "op10_wrapper_extraction": op10_wrapper_extraction,
 }
 SQL: dict[str, str] = {}
