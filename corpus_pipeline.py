@@ -8,10 +8,14 @@ from patchlode.llm import stages
 from patchlode.session import stage
 
 STAGES = [
+    ("language_id", stages.language_id),
     ("near_dedup", stages.near_dedup),
+    ("substring_dedup", stages.substring_dedup),
+    ("decontamination", stages.decontamination),
+    ("packing", stages.packing),
 ]
 
-#: No SQL form: the stages hash, train and pack. Tests compare them with brute-force versions.
+#: No SQL form: the stages train, hash, align and pack. Tests compare them with brute-force versions.
 ORACLE_SQL = None
 
 
