@@ -144,7 +144,8 @@ def fit_toxicity(
     fold = F.floor(F.crc32(F.col("id").cast("string").cast("binary")) / 4) % 4 == 0
     rows = docs.where(training(id_col)).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row_key(id_col, text_col)[0])
     rows = rows.withColumn("slot", slot).mapInArrow(some, "id bigint, text string, k1 bigint, slot bigint")
-    rows = stage(rows.join(known, "id").select("text", "toxic", fold.cast("int").alias("fitted"), "k1"), "labelled")
+    # both sides grow alike, so the plan is the same at every size
+    rows = stage(rows.join(known.hint("merge"), "id").select("text", "toxic", fold.cast("int").alias("fitted"), "k1"), "labelled")
 
     names = ["o", "o_fit", "t", "t_fit"]
     pairs = rows.select("text", "toxic", "fitted").mapInArrow(_pair_counts, "pair bigint, o bigint, o_fit bigint, t bigint, t_fit bigint")
