@@ -113,7 +113,12 @@ def find_sources(
 
     usable = F.filter(
         catalogue,
-        lambda r: F.contains(categories, r["category"]) & F.contains(folded, r["anchor"]),
+        lambda r: (
+            F.array_contains(F.split(categories, r"\+"), r["category"])
+            # "all" also means the categories that only the given rules have
+            | ((categories == F.lit(ALL_CATEGORIES)) & ~r["category"].isin(*R.SOURCE_CATEGORIES))
+        )
+        & F.contains(folded, r["anchor"]),
     )
     return F.flatten(F.transform(usable, hits))
 

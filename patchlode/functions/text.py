@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-
+from collections.abc import Mapping
 from functools import wraps
 
 from pyspark import SparkContext
@@ -27,6 +27,15 @@ STRING_ARRAY = "array<string>"
 _BUILT: dict[tuple, Column] = {}
 
 
+def hashable(value):
+    """Lists and mappings as tuples, however deep."""
+    if isinstance(value, Mapping):
+        return tuple((k, hashable(v)) for k, v in value.items())
+    if isinstance(value, (list, tuple)) and not hasattr(value, "_fields"):
+        return tuple(hashable(v) for v in value)
+    return value
+
+
 def by_name(build):
     """The same expression, for columns given by name, built once per process.
 
@@ -37,7 +46,7 @@ def by_name(build):
     @wraps(build)
     def remembered(*names: str, **options) -> Column:
         jvm = id(SparkContext._gateway)
-        key = (jvm, build.__module__, build.__qualname__, names, tuple(sorted(options.items())))
+        key = (jvm, build.__module__, build.__qualname__, names, hashable(sorted(options.items())))
         if key not in _BUILT:
             _BUILT[key] = build(*[F.col(name) for name in names], **options)
         return _BUILT[key]

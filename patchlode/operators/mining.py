@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import rules as R
 from ..functions.measures import added_measures
 from ..functions.patterns import keeps, key_part, make_pattern, pattern_key, sorted_names
 from ..functions.taint import analyze_taint, source_class
@@ -94,6 +95,7 @@ def method_patterns(
     method_change: DataFrame,
     *,
     languages: Sequence[str] = ("Java",),
+    measures: Mapping[str, Sequence[str]] = R.SECURITY_MEASURES,
     **options,
 ) -> DataFrame:
     """Kept patterns per method and weakness, before fixes are attached.
@@ -110,7 +112,7 @@ def method_patterns(
         in_languages(java) & F.col("code_before").isNotNull() & (F.col("code_before") != "")
     ).select("file_change_id", "hash", "code_before", "code_after", "diff")
     files = files.join(wanted, "file_change_id").withColumn(
-        "missing", by_name(added_measures)("code_before", "code_after")
+        "missing", by_name(added_measures)("code_before", "code_after", measures=measures)
     )
     methods = usable_methods(method_change).select(
         "file_change_id",
@@ -173,9 +175,11 @@ def fill_repositories(rows: DataFrame, targets: DataFrame) -> DataFrame:
         F.col("repo_url").alias("t_repo"),
         F.col("copies").alias("t_copies"),
     )
+    # Rows that have a repository find no partner; a key of their own keeps them spread out.
+    has_one = F.concat(F.lit("has a repository: "), F.col("method_change_id"))
     joined = rows.join(
         by_repo,
-        (F.when(no_repo(), F.col("file_change_id")) == F.col("t_file"))
+        (F.when(no_repo(), F.col("file_change_id")).otherwise(has_one) == F.col("t_file"))
         & (F.col("cwe_id") == F.col("t_cwe"))
         & (F.col("cwe_name") == F.col("t_name")),
         "left",

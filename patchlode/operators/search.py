@@ -13,13 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import snippet_terms
-from ..functions.text import blank, snippet
+from ..functions.text import blank, snippet, words
 from .report import with_query_text
 
 GROUPS = ("source_kw", "sink_kw", "not_kw")
-# Up to this many distinct queries the query list travels with the plan; beyond it, postings.
-MAX_INLINE_QUERIES = 1000
-MAX_KEYWORDS = 5000
+# Queries of one block; a block is a row of the query side, so it bounds what a file meets at once.
+BLOCK = 1000
+SALTS = 64
 PAGE_SIZE = 100
 MAX_PAGES = 5
 
@@ -30,116 +30,38 @@ def distinct_queries(queries: DataFrame) -> DataFrame:
     return grouped.agg(F.min(F.struct(*GROUPS)).alias("g")).select("github_query", "g.*")
 
 
-def _any(words: Column, content: Column) -> Column:
-    return (F.size(words) == 0) | F.exists(words, lambda w: F.contains(content, w))
+def query_blocks(queries: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """The query list in blocks of about ``BLOCK`` queries: the words of a block once, and its queries."""
+    blocks = queries.agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("n")).scalar()
+    number = F.pmod(F.xxhash64("github_query"), F.greatest(blocks, F.lit(1)))
+    fields = ["github_query", *carry, *GROUPS]
+    grouped = queries.groupBy(number.alias("block")).agg(F.collect_list(F.struct(*fields)).alias("_queries"))
+    words = F.array_distinct(F.flatten(F.transform("_queries", lambda q: F.concat(*[q[g] for g in GROUPS]))))
+    return grouped.select("_queries", words.alias("_words"))
 
 
-def _matches(query: Column, content: Column) -> Column:
-    excluded = F.exists(query["not_kw"], lambda w: F.contains(content, w))
-    found = _any(query["source_kw"], content) & _any(query["sink_kw"], content)
-    return found & ~excluded
-
-
-def _inline_search(
+def _search(
     corpus: DataFrame, queries: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()
 ) -> DataFrame:
-    """Every query against every file inside one pass over the corpus; nothing is shuffled."""
-    fields = ["github_query", *carry]
-    table = queries.agg(F.collect_list(F.struct(*fields, *GROUPS)).alias("q")).scalar()
-    listed = corpus.withColumn("_queries", table)
-    hits = F.filter("_queries", lambda q: _matches(q, F.col("content")))
-    found = F.transform(hits, lambda q: F.struct(*[q[f].alias(f) for f in fields]))
-    return listed.select(*keys, F.inline(found))
-
-
-def keyword_table(queries: DataFrame) -> DataFrame:
-    """(query, group, keyword) rows. A query that only excludes words gets the empty keyword,
-    which every file holds."""
-    positive = F.concat("source_kw", "sink_kw")
-    only_excludes = F.when(F.size(positive) == 0, F.array(F.lit(""))).otherwise(
-        F.array().cast("array<string>")
-    )
-    named = F.array(
-        *[F.struct(F.lit(g).alias("grp"), F.col(g).alias("kws")) for g in GROUPS],
-        F.struct(F.lit("any_file").alias("grp"), only_excludes.alias("kws")),
-    )
-    groups = queries.select("github_query", F.inline(named))
-    return groups.select("github_query", "grp", F.explode("kws").alias("keyword"))
-
-
-def keyword_postings(
-    corpus: DataFrame, keywords: DataFrame, keys: Sequence[str], parts: int = 1
-) -> DataFrame:
-    """(file, keyword) rows for the keywords that a file holds.
-
-    Keywords of compiled queries come from fixed catalogues (fewer than a hundred words). A
-    longer list is cut into ``parts`` by hash, each looked up in a pass of its own.
-    """
-    postings = None
-    for part in range(parts):
-        chunk = keywords.filter(F.pmod(F.hash("keyword"), F.lit(parts)) == part)
-        words = chunk.agg(F.collect_set("keyword").alias("w")).scalar()
-        listed = corpus.withColumn("_words", words)
-        present = F.filter("_words", lambda w: F.contains(F.col("content"), w))
-        found = listed.select(*keys, F.explode(present).alias("keyword"))
-        postings = found if postings is None else postings.unionByName(found)
-    return postings
-
-
-def _posting_search(
-    corpus: DataFrame,
-    queries: DataFrame,
-    keys: Sequence[str],
-    carry: Sequence[str] = (),
-    parts: int = 1,
-) -> DataFrame:
-    """Equi-join of postings and query keywords; for long query lists.
+    """Every file against every block of queries, in one pass over the corpus.
 
-    Files meet only queries that share a word with them. Excluded words decide last.
+    A word is looked up once per file and block, however many queries name it; the groups of a query are then
+    decided on the words found. The corpus is neither shuffled nor grouped, rows that repeat their keys give
+    their hits each, and the same plan serves any number of queries.
     """
-    table = keyword_table(queries)
-    needs = queries.select(
-        "github_query",
-        *carry,
-        (F.size("source_kw") > 0).alias("needs_source"),
-        (F.size("sink_kw") > 0).alias("needs_sink"),
-    )
-    postings = keyword_postings(corpus, table, keys, parts)
+    present = F.filter("_words", lambda w: F.contains(F.col("content"), w))
+    met = corpus.join(query_blocks(queries, carry)).withColumn("_present", present)
 
-    def seen(group: str) -> Column:
-        return F.bool_or(F.col("grp") == group).alias(group)
+    def holds(words: Column) -> Column:
+        return (F.size(words) == 0) | F.arrays_overlap(words, F.col("_present"))
 
-    found = (
-        postings.join(table, "keyword")
-        .groupBy(*keys, "github_query")
-        .agg(*[seen(g) for g in GROUPS])
-        .join(needs, "github_query")
+    hits = F.filter(
+        "_queries",
+        lambda q: holds(q["source_kw"]) & holds(q["sink_kw"]) & ~F.arrays_overlap(q["not_kw"], F.col("_present")),
     )
-    return found.filter(
-        (F.col("source_kw") | ~F.col("needs_source"))
-        & (F.col("sink_kw") | ~F.col("needs_sink"))
-        & ~F.col("not_kw")
-    ).select(*keys, "github_query", *carry)
-
-
-def _search(
-    corpus: DataFrame,
-    distinct: DataFrame,
-    keys: Sequence[str],
-    strategy: str,
-    carry: Sequence[str] = (),
-) -> DataFrame:
-    """Search by the given strategy; ``auto`` measures the query list before choosing."""
-    parts = 1
-    if strategy == "auto":
-        many = distinct.limit(MAX_INLINE_QUERIES + 1).count() > MAX_INLINE_QUERIES
-        strategy = "postings" if many else "inline"
-        if many:
-            words = keyword_table(distinct).select("keyword").distinct().count()
-            parts = -(-words // MAX_KEYWORDS)
-    if strategy == "inline":
-        return _inline_search(corpus, distinct, keys, carry)
-    return _posting_search(corpus, distinct, keys, carry, parts)
+    fields = ["github_query", *carry]
+    found = F.transform(hits, lambda q: F.struct(*[q[f].alias(f) for f in fields]))
+    return met.select(*keys, F.inline(found))
 
 
 def search_corpus(
@@ -148,16 +70,11 @@ def search_corpus(
     *,
     language: str | None = "java",
     keys: Sequence[str] = ("repository", "path"),
-    strategy: str = "auto",
 ) -> DataFrame:
-    """All (file, query) hits. ``corpus`` has ``content`` and, for the language filter, ``lang``.
-
-    ``inline`` carries the query list to every task, ``postings`` joins on keywords; ``auto``
-    counts the queries (up to the limit) and chooses.
-    """
+    """All (file, query) hits. ``corpus`` has ``content`` and, for the language filter, ``lang``."""
     if language:
         corpus = corpus.filter(F.lower("lang") == language.lower())
-    return _search(corpus, distinct_queries(queries), keys, strategy)
+    return _search(corpus, distinct_queries(queries), keys)
 
 
 def cap_per_query(
@@ -165,15 +82,29 @@ def cap_per_query(
 ) -> DataFrame:
     """The first ``max_results`` hits of each query, numbered.
 
-    The rank limit is applied before the shuffle as well, so a query that matches much of the
-    corpus sends no more than this many rows per partition.
+    Ranked in two steps: first within ``SALTS`` parts of a query, so that no task sorts all hits of one query,
+    then what is left of the parts, at most ``SALTS * max_results`` rows.
     """
+    salt = F.pmod(F.xxhash64(*order_by), F.lit(SALTS))
+    part = Window.partitionBy("github_query", "_salt").orderBy(*order_by)
+    few = hits.withColumn("_salt", salt).withColumn("_place", F.row_number().over(part)).filter(
+        F.col("_place") <= max_results
+    )
     w = Window.partitionBy("github_query").orderBy(*order_by)
-    return hits.withColumn("hit_ord", F.row_number().over(w)).filter(
+    return few.drop("_salt", "_place").withColumn("hit_ord", F.row_number().over(w)).filter(
         F.col("hit_ord") <= max_results
     )
 
 
+def hit_counts(queries: DataFrame, hits: DataFrame) -> DataFrame:
+    """Queries with the number of all their hits."""
+    counts = hits.groupBy("github_query").agg(F.count(F.lit(1)).alias("github_result_count"))
+    joined = queries.join(counts, "github_query", "left")
+    return joined.select(
+        *queries.columns, F.coalesce("github_result_count", F.lit(0)).alias("github_result_count")
+    )
+
+
 def results_as_json(queries: DataFrame, hits: DataFrame) -> DataFrame:
     """Queries with their (capped) hits as a JSON list and the number of hits."""
     fields = [c for c in hits.columns if c not in ("github_query", "hit_ord")]
@@ -206,6 +137,21 @@ def merge_new_repositories(
     return base.unionByName(more.join(known, [*by, "repository"], "left_anti"))
 
 
+def search_texts(queries: DataFrame, keywords: Sequence[str]) -> DataFrame:
+    """The text that each search of a query would send: github_query, level, tried_query.
+
+    Level 0 adds the first keyword, each further level the next two; a level is not reached if its first
+    new keyword already occurs in the text before it.
+    """
+    text = F.concat_ws(" ", F.col("github_query"), *[F.lit(w) for w in keywords[:1]])
+    allowed, texts = F.lit(True), [F.struct(F.lit(0).alias("level"), text.alias("tried_query"))]
+    for level, n in enumerate(range(1, len(keywords), 2), 1):
+        allowed = allowed & ~F.contains(text, F.lit(keywords[n]))
+        text = F.concat_ws(" ", text, *[F.lit(w) for w in keywords[n : n + 2]])
+        texts.append(F.when(allowed, F.struct(F.lit(level).alias("level"), text.alias("tried_query"))))
+    return queries.select("github_query", F.inline(F.filter(F.array(*texts), lambda x: x.isNotNull())))
+
+
 def adaptive_search(
     corpus: DataFrame,
     queries: DataFrame,
@@ -217,48 +163,66 @@ def adaptive_search(
     max_results: int | None = 1000,
     tried: DataFrame | None = None,
     keys: Sequence[str] = ("repository", "path"),
-    strategy: str = "auto",
 ) -> DataFrame:
     """Hits per query, narrowed by further keywords as long as a search is saturated.
 
     The first search adds keyword 1 to the query, the next adds 2 and 3, then 4 and 5, and so
     on; a search that fills ``page_size * max_pages`` results leads to the next one, unless the
     next keyword already occurs in the query text. Hits of narrower searches are appended if
-    their repository is new to the wider one. At most ten keywords are used, hence six searches.
+    their repository is new to the wider one. A keyword is matched as a whole word in any letter case,
+    as term scores give it; the caller chooses how many there are (the usual ten make six searches).
 
     All searches are answered by one pass over the corpus: each hit is marked with how many of
     the keywords it holds in order, and a search keeps the hits with a long enough mark. A
-    query text already in ``tried`` (column ``tried_query``) is not searched.
+    text already in ``tried`` (column ``tried_query``) is not sent: its search gives nothing and
+    leads to no other. ``adaptive_run`` also returns the texts that were sent.
     """
-    keywords = list(keywords[:10])
+    return adaptive_run(
+        corpus, queries, keywords, language=language, page_size=page_size, max_pages=max_pages,
+        max_results=max_results, tried=tried, keys=keys,
+    )[0]
+
+
+def adaptive_run(
+    corpus: DataFrame,
+    queries: DataFrame,
+    keywords: Sequence[str],
+    *,
+    language: str | None = "java",
+    page_size: int = PAGE_SIZE,
+    max_pages: int = MAX_PAGES,
+    max_results: int | None = 1000,
+    tried: DataFrame | None = None,
+    keys: Sequence[str] = ("repository", "path"),
+) -> tuple[DataFrame, DataFrame]:
+    """The hits of ``adaptive_search``, and the texts it sent (github_query, tried_query)."""
+    keywords = list(keywords)
     limit = page_size * max_pages
     if language:
         corpus = corpus.filter(F.lower("lang") == language.lower())
     distinct = distinct_queries(queries)
-    if tried is not None and keywords:
-        first = F.concat_ws(" ", F.col("github_query"), F.lit(keywords[0]))
-        distinct = distinct.withColumn("tried_query", first).join(
-            tried.select("tried_query").distinct(), "tried_query", "left_anti"
-        )
-    # Keywords needed by search r, and the deepest search that the query text allows.
-    depths = [min(1, len(keywords))]
-    allowed = F.lit(0)
-    text = F.col("github_query")
-    open_ = F.lit(True)
-    for n, word in enumerate(keywords):
-        if n % 2 == 1:
-            open_ = open_ & ~F.contains(text, F.lit(word))
-            allowed = F.when(open_, F.lit(len(depths))).otherwise(allowed)
-            depths.append(min(n + 2, len(keywords)))
-        text = F.concat_ws(" ", text, F.lit(word))
-    distinct = distinct.withColumn("allowed", allowed)
+    texts = search_texts(distinct, keywords)
+    if tried is not None:
+        known = tried.select("tried_query", F.lit(True).alias("_known")).distinct()
+        texts = texts.join(known, "tried_query", "left")
+    else:
+        texts = texts.withColumn("_known", F.lit(None).cast("boolean"))
+    # The deepest search that the query's texts allow: the one before the first known text.
+    blocked = F.min(F.when(F.col("_known"), F.col("level")))
+    reachable = texts.groupBy("github_query").agg(
+        F.least(F.max("level"), blocked - 1).alias("allowed")
+    )
+    distinct = distinct.join(reachable.filter("allowed >= 0"), "github_query")
+    # Keywords needed by each search.
+    depths = [min(1, len(keywords)), *(min(n + 2, len(keywords)) for n in range(1, len(keywords), 2))]
 
+    tokens = F.array_distinct(words(F.lower("content")))
     held = F.lit(0)
     for word in reversed(keywords):
-        here = F.contains(F.col("content"), F.lit(word))
+        here = F.array_contains("_tokens", F.lit(word.lower()))
         held = F.when(here, held + 1).otherwise(F.lit(0))
-    marked = corpus.withColumn("held", held)
-    hits = _search(marked, distinct, (*keys, "held"), strategy, ("allowed",))
+    marked = corpus.withColumn("_tokens", tokens).withColumn("held", held).drop("_tokens")
+    hits = _search(marked, distinct, (*keys, "held"), ("allowed",))
 
     # One row per hit and search that would return it; the first page of each search.
     searches = F.array(
@@ -302,9 +266,18 @@ def adaptive_search(
                 "kept", F.col("kept") & (F.row_number().over(place) <= max_results)
             )
     final = Window.partitionBy("github_query").orderBy("level", "rank")
-    return merged.filter("kept").select(
+    found = merged.filter("kept").select(
         "github_query", *keys, F.row_number().over(final).alias("hit_ord")
     )
+    # A query without hits has sent its first text all the same.
+    depth = pages.groupBy("github_query").agg(F.max("reach").alias("reach"))
+    sent = (
+        texts.join(distinct.select("github_query", "allowed"), "github_query")
+        .join(depth, "github_query", "left")
+        .filter(F.col("level") <= F.least(F.coalesce("reach", F.lit(0)), F.col("allowed")))
+        .select("github_query", "tried_query")
+    )
+    return found, sent
 
 
 def exclude_seen(hits: DataFrame, seen: DataFrame) -> DataFrame:
@@ -374,8 +347,8 @@ def assemble_results(
     """Flat result table: one hit per popular repository that is new, with a snippet.
 
     ``queries`` gives the metadata of each query text; of several rows with the same text the
-    first in (pattern_key, cwe_id) order counts. File contents are attached to the few
-    surviving hits only.
+    first in (pattern_key, cwe_id) order counts. Hits may be numbered (``hit_ord``) or not; then the
+    order of their keys counts. File contents are joined last, to one hit per repository.
     """
     meta = queries.filter(~blank(F.col("github_query"))).groupBy("github_query").agg(
         F.min(F.struct("pattern_key", "cwe_id", "cwe_name")).alias("m")
@@ -384,7 +357,8 @@ def assemble_results(
     if seen is not None:
         hits = exclude_seen(hits, seen)
     found = popular(with_stars(hits, repositories), min_stars).join(meta, "github_query")
-    chosen = first_per_repository(found, ("pattern_key", "cwe_id", "github_query", "hit_ord"))
+    place = ("hit_ord",) if "hit_ord" in hits.columns else tuple(k for k in keys if k != "repository")
+    chosen = first_per_repository(found, ("pattern_key", "cwe_id", "github_query", *place))
     full = chosen.join(corpus.select(*keys, "content"), list(keys))
     return full.select(
         "pattern_key",

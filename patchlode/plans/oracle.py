@@ -362,4 +362,21 @@ ORACLE_SQL: dict[str, str] = {
               JOIN doc_idf j ON j.term = d.term GROUP BY d.path) n ON n.path = t.path
         WHERE length(t.term) > 2 AND t.term NOT IN ('the', 'and')
         GROUP BY t.term""",
+    "code_tokens": r"""
+        SELECT repository, path,
+               list_distinct(regexp_extract_all(lower(content), '[\p{L}\p{N}_]+')) AS tokens
+        FROM corpus_code WHERE lang = 'java'""",
+    "code_idf": """
+        SELECT term, ln((1 + (SELECT count(*) FROM code_tokens)) / (1.0 + count(*))) + 1 AS idf
+        FROM (SELECT unnest(tokens) AS term FROM code_tokens) GROUP BY term""",
+    "code_words": """
+        SELECT list(term ORDER BY round(score, 6) DESC, term)[1:5] AS w FROM (
+          SELECT t.term, sum(i.idf / n.norm) AS score
+          FROM (SELECT repository, path, unnest(tokens) AS term FROM code_tokens) t
+          JOIN code_idf i ON i.term = t.term
+          JOIN (SELECT d.repository, d.path, sqrt(sum(j.idf * j.idf)) AS norm
+                FROM (SELECT repository, path, unnest(tokens) AS term FROM code_tokens) d
+                JOIN code_idf j ON j.term = d.term GROUP BY d.repository, d.path) n
+            ON n.repository = t.repository AND n.path = t.path
+          WHERE length(t.term) > 2 GROUP BY t.term)""",
 }

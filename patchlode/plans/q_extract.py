@@ -34,7 +34,7 @@ def _(t: Tables) -> DataFrame:
     "SELECT cve_id, hash, score FROM fixes WHERE score >= 80 AND rel_type = 'CPE_DIRECT_COMMIT'",
 )
 def _(t: Tables) -> DataFrame:
-    text = "SELECT cve_id, hash, score FROM fix WHERE score >= :low AND rel_type = :kind"
+    text = "SELECT cve_id, hash, score FROM {fix} WHERE score >= :low AND rel_type = :kind"
     return run_query(t.spark, text, {"low": 80, "kind": "CPE_DIRECT_COMMIT"}, fix=t.fixes)
 
 

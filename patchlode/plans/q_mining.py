@@ -54,10 +54,11 @@ def per_method(t: Tables, result: Column) -> DataFrame:
 
 @query(
     "tnt2_source_categories",
-    f"SELECT cwe_id, {CLASS_SQL.format(cwe='cwe_id')} AS cls FROM cwe",
+    f"SELECT DISTINCT cwe_id, {CLASS_SQL.format(cwe='cwe_id')} AS cls FROM cwe_classification",
 )
 def _(t: Tables) -> DataFrame:
-    return t.cwe.select("cwe_id", source_class(F.col("cwe_id")).alias("cls"))
+    found = t.cwe_classification.select("cwe_id").distinct()
+    return found.select("cwe_id", source_class(F.col("cwe_id")).alias("cls"))
 
 
 @query(

@@ -16,18 +16,22 @@ from .registry import query
 HIT = "github_query, repository, path"
 
 
-def code_hits(t: Tables, strategy: str = "auto") -> DataFrame:
-    return Q.search_corpus(t.corpus_code, patterns(t), strategy=strategy)
+def code_hits(t: Tables) -> DataFrame:
+    return Q.search_corpus(t.corpus_code, patterns(t))
 
 
 @query("srch1_inline_search", f"SELECT {HIT} FROM code_hits")
 def _(t: Tables) -> DataFrame:
-    return code_hits(t, "inline")
+    return code_hits(t)
 
 
-@query("srch2_posting_search", f"SELECT {HIT} FROM code_hits")
+@query(
+    "srch2_posting_search",
+    f"SELECT {HIT} FROM code_hits UNION ALL SELECT {HIT} FROM code_hits",
+)
 def _(t: Tables) -> DataFrame:
-    return code_hits(t, "postings")
+    """A corpus that holds every file twice gives every hit twice."""
+    return Q.search_corpus(t.corpus_code.union(t.corpus_code), patterns(t))
 
 
 @query(
@@ -69,10 +73,11 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "agg14_total_hits",
-    f"SELECT CAST(sum(github_result_count) AS BIGINT) AS total_results FROM ({JSON_SQL})",
+    """SELECT count(*) AS total_results FROM query_rows q
+       JOIN code_hits h ON h.github_query = q.github_query""",
 )
 def _(t: Tables) -> DataFrame:
-    return Q.total_hits(json_results(t))
+    return Q.total_hits(Q.hit_counts(patterns(t).select("pattern_key", "github_query"), code_hits(t)))
 
 
 @query(
@@ -84,12 +89,12 @@ def _(t: Tables) -> DataFrame:
 
 
 STARS_SQL = """
-    SELECT h.github_query, h.repository, h.path, h.hit_ord, coalesce(r.stars_count, 0) AS stars
-    FROM capped_hits h LEFT JOIN repository r ON r.repo_url = h.repository"""
+    SELECT h.github_query, h.repository, h.path, coalesce(r.stars_count, 0) AS stars
+    FROM code_hits h LEFT JOIN repository r ON r.repo_url = h.repository"""
 
 
 def starred(t: Tables) -> DataFrame:
-    return Q.with_stars(Q.cap_per_query(code_hits(t), 100), t.repository)
+    return Q.with_stars(code_hits(t), t.repository)
 
 
 @query("join10_star_counts", STARS_SQL)
@@ -107,22 +112,22 @@ SEEN_SQL = "SELECT repo_url FROM repository WHERE stars_count % 2 = 0"
 
 @query(
     "join11_not_seen",
-    f"""SELECT github_query, repository, path, hit_ord FROM capped_hits
+    f"""SELECT {HIT} FROM code_hits
         WHERE repository NOT IN ({SEEN_SQL})""",
 )
 def _(t: Tables) -> DataFrame:
     seen = t.repository.filter("stars_count % 2 = 0").select(F.col("repo_url").alias("repository"))
-    return Q.exclude_seen(Q.cap_per_query(code_hits(t), 100), seen)
+    return Q.exclude_seen(code_hits(t), seen)
 
 
 FIRST_SQL = f"""
     SELECT * FROM ({STARS_SQL}) WHERE stars >= 100
-    QUALIFY row_number() OVER (PARTITION BY repository ORDER BY github_query, hit_ord) = 1"""
+    QUALIFY row_number() OVER (PARTITION BY repository ORDER BY github_query, path) = 1"""
 
 
 @query("win4_first_per_repository", FIRST_SQL)
 def _(t: Tables) -> DataFrame:
-    return Q.first_per_repository(Q.popular(starred(t)), ("github_query", "hit_ord"))
+    return Q.first_per_repository(Q.popular(starred(t)), ("github_query", "path"))
 
 
 TERMS_SQL = r"""list_filter(string_split_regex(replace(replace({q}, 'NOT', ' '),
@@ -178,15 +183,13 @@ RESULT_SQL = f"""
                 GROUP BY github_query) q ON q.github_query = h.github_query
           WHERE h.stars >= 100
           QUALIFY row_number() OVER (PARTITION BY h.repository
-            ORDER BY q.pattern_key, h.github_query, h.hit_ord) = 1) f
+            ORDER BY q.pattern_key, h.github_query, h.path) = 1) f
     JOIN query_rows m ON m.pattern_key = f.first_key
     JOIN corpus_code c ON c.repository = f.repository AND c.path = f.path"""
 
 
 def results(t: Tables) -> DataFrame:
-    return Q.assemble_results(
-        Q.cap_per_query(code_hits(t), 100), patterns(t), t.corpus_code, t.repository
-    )
+    return Q.assemble_results(code_hits(t), patterns(t), t.corpus_code, t.repository)
 
 
 @query(
@@ -215,20 +218,18 @@ def _(t: Tables) -> DataFrame:
     return Q.result_summary(results(t))
 
 
-PAGE, RESULTS = 20, 35
-WIDEN = ["request", "String", "HttpServletRequest", "return", "new"]
+PAGE, RESULTS, N_WORDS = 20, 35, 5
 
 
 def _search_sql() -> str:
-    """The searches one after the other, each capped, merged from the narrowest outwards."""
-    depth_words = [WIDEN[:1], WIDEN[:3], WIDEN[:5]]
-    pages, text = [], "github_query"
-    for level, words in enumerate(depth_words):
-        holds = " AND ".join(f"contains(content, '{w}')" for w in words)
+    """The searches one after the other, each capped, merged from the narrowest outwards; the words
+    that widen them are the best terms of the code corpus."""
+    pages = []
+    for level, depth in enumerate((1, 3, 5)):
+        holds = " AND ".join(f"list_contains(tokens, w[{n}])" for n in range(1, depth + 1))
         # Stop where the next keyword already occurs in the query text.
-        for n in range(1, len(words), 2):
-            before = "github_query || ' " + " ".join(WIDEN[:n]) + "'"
-            holds += f" AND NOT contains({before}, '{WIDEN[n]}')"
+        for n in range(1, depth, 2):
+            holds += f" AND NOT contains(github_query || ' ' || array_to_string(w[1:{n}], ' '), w[{n + 1}])"
         full = (
             f"AND github_query IN (SELECT github_query FROM page{level - 1} GROUP BY github_query"
             f" HAVING count(*) >= {PAGE})"
@@ -239,7 +240,7 @@ def _search_sql() -> str:
             f"""page{level} AS (
             SELECT github_query, repository, path, row_number() OVER (PARTITION BY github_query
                      ORDER BY repository, path) AS rank, {level} AS level
-            FROM code_hits JOIN corpus_code USING (repository, path)
+            FROM code_hits JOIN code_tokens USING (repository, path), code_words
             WHERE {holds} {full}
             QUALIFY row_number() OVER (PARTITION BY github_query
                      ORDER BY repository, path) <= {PAGE})"""
@@ -261,12 +262,19 @@ def _search_sql() -> str:
         FROM merge0"""
 
 
+def code_words(t: Tables) -> list[str]:
+    """The best terms of the code corpus."""
+    code = t.corpus_code.filter("lang = 'java'")
+    best = top_terms(tfidf_terms(code, ("repository", "path")), N_WORDS)
+    return [r["term"] for r in best.collect()]  # N_WORDS rows
+
+
 @query("srch3_adaptive_search", f"SELECT * FROM ({_search_sql()})")
 def _(t: Tables) -> DataFrame:
     return Q.adaptive_search(
         t.corpus_code,
         patterns(t),
-        WIDEN,
+        code_words(t),
         page_size=PAGE // 4,
         max_pages=4,
         max_results=RESULTS,

@@ -77,10 +77,11 @@ def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
 def run_query(
     spark: SparkSession, text: str, args: Mapping[str, object] | None = None, **views: DataFrame
 ) -> DataFrame:
-    """SQL with named parameters (``:name``) over the given views."""
-    for name, view in views.items():
-        view.createOrReplaceTempView(name)
-    return spark.sql(text, args=dict(args or {}))
+    """SQL with named parameters (``:name``) over the given tables, which the text names ``{table}``.
+
+    Views of the session are neither used nor replaced.
+    """
+    return spark.sql(text, args=dict(args or {}), **views)
 
 
 def read_csv(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators.search import first_per_repository, keep_last
+from ..operators.search import first_per_repository, keep_last, search_texts
 
 
 def read_new_files(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet"):
@@ -78,14 +78,17 @@ def any_hit_per_repository(stream: DataFrame) -> DataFrame:
     return stream.dropDuplicates(["repository"])
 
 
-def untried(queries: DataFrame, tried: DataFrame) -> DataFrame:
-    """Queries that no earlier run has sent."""
-    known = tried.select("tried_query").distinct()
-    return queries.join(known, queries["github_query"] == known["tried_query"], "left_anti")
+def untried(queries: DataFrame, tried: DataFrame, keywords: Sequence[str] = ()) -> DataFrame:
+    """Queries whose first search text, with these keywords, no earlier run has sent."""
+    first = search_texts(queries, keywords).filter("level = 0").select("github_query", "tried_query")
+    new = first.join(tried.select("tried_query").distinct(), "tried_query", "left_anti")
+    return queries.join(new.select("github_query").distinct(), "github_query", "left_semi").select(*queries.columns)
 
 
-def tried_after(queries: DataFrame) -> DataFrame:
-    return queries.select(F.col("github_query").alias("tried_query")).distinct()
+def tried_after(sent: DataFrame) -> DataFrame:
+    """State for the next run: the texts that an adaptive run has sent, or plain query texts."""
+    text = "tried_query" if "tried_query" in sent.columns else "github_query"
+    return sent.select(F.col(text).alias("tried_query")).distinct()
 
 
 def latest_results(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from patchlode.operators import search as Q
 from patchlode.operators.corpus import tfidf_terms, top_terms
+from patchlode.streaming.incremental import tried_after, untried
 
 TERMS = "github_query string, source_kw array<string>, sink_kw array<string>, not_kw array<string>"
 CORPUS = "repository string, path string, lang string, content string"
@@ -41,32 +42,46 @@ def matches(query, text):
     )
 
 
-def test_both_strategies_equal_brute_force(spark):
+def test_search_equals_brute_force_also_with_repeated_keys(spark, monkeypatch):
     rows = corpus_rows()
+    rows += rows[:20]
     corpus = spark.createDataFrame(rows, CORPUS)
     queries = spark.createDataFrame(QUERIES + QUERIES[:2], TERMS)
-    want = {
+    want = Counter(
         (q[0], r[0], r[1]) for q in QUERIES if q[0].strip() for r in rows
         if r[2] == "Java" and matches(q, r[3])
+    )
+    for block in (1000, 2):
+        monkeypatch.setattr(Q, "BLOCK", block)
+        hits = Q.search_corpus(corpus, queries).select("github_query", "repository", "path")
+        assert Counter(map(tuple, hits.collect())) == want
+        assert hits._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 3
+
+
+def test_long_lists_read_the_corpus_once(spark, tmp_path):
+    corpus_rows_ = [(f"r{i}", f"p{i}", "Java", f"w{i} w{i + 1} x{i % 7}") for i in range(300)]
+    spark.createDataFrame(corpus_rows_, CORPUS).write.parquet(str(tmp_path / "corpus"))
+    corpus = spark.read.parquet(str(tmp_path / "corpus"))
+    queries = [(f"w{i} AND x{i % 7}", [f"w{i}", f"y{i}", f"z{i}", f"u{i}"], [f"x{i % 7}"], []) for i in range(5000)]
+    hits = Q.search_corpus(corpus, spark.createDataFrame(queries, TERMS))
+    want = {
+        (q[0], r[0]) for r in corpus_rows_ for q in (queries[n] for w in r[3].split()[:2] for n in [*range(int(w[1:]), int(w[1:]) + 1)])
+        if q[2][0] in r[3].split()
     }
-    for strategy in ("inline", "postings", "auto"):
-        hits = Q.search_corpus(corpus, queries, strategy=strategy)
-        got = hits.select("github_query", "repository", "path").collect()
-        assert len(got) == len(want) and {tuple(r) for r in got} == want, strategy
+    # a word also counts inside another: w1 is found in w10
+    found = {(r.github_query, r.repository) for r in hits.collect()}
+    assert want <= found and all(any(w in c[3] for w in q.split(" AND ")[:1]) for q, repo in list(found)[:50] for c in corpus_rows_ if c[0] == repo)
+    assert hits._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
 
 
-def test_long_lists_use_postings_in_parts(spark, monkeypatch):
-    rows = corpus_rows()
-    corpus, queries = spark.createDataFrame(rows, CORPUS), spark.createDataFrame(QUERIES, TERMS)
-    few = Q.search_corpus(corpus, queries).select("github_query", "repository", "path")
-    narrow = Q.adaptive_search(corpus, queries, ["k0", "k1"], page_size=5, max_pages=1)
-    want, want_narrow = set(map(tuple, few.collect())), set(map(tuple, narrow.collect()))
-    monkeypatch.setattr(Q, "MAX_INLINE_QUERIES", 2)
-    monkeypatch.setattr(Q, "MAX_KEYWORDS", 2)
-    many = Q.search_corpus(corpus, queries).select("github_query", "repository", "path").collect()
-    assert len(many) == len(want) and set(map(tuple, many)) == want
-    narrow = Q.adaptive_search(corpus, queries, ["k0", "k1"], page_size=5, max_pages=1)
-    assert set(map(tuple, narrow.collect())) == want_narrow
+def test_cap_with_a_hot_query_beyond_the_limit_of_the_optimiser(spark):
+    hits = spark.range(30_000).select(
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("q"), F.col("id") % 70)).otherwise("hot").alias("github_query"),
+        F.format_string("r%05d", "id").alias("repository"), F.lit("p").alias("path"),
+    )
+    capped = Q.cap_per_query(hits, 5000).filter("github_query = 'hot'").orderBy("hit_ord").collect()
+    assert [r.hit_ord for r in capped] == list(range(1, 5001))
+    assert [r.repository for r in capped] == [f"r{i:05d}" for i in range(30_000) if i % 10][:5000]
 
 
 def plain_adaptive(rows, query, keywords, limit, most):
@@ -122,6 +137,27 @@ def test_tried_queries_are_not_sent_again(spark):
     assert {r.github_query for r in found.collect()} == {"alpha AND beta OR gamma"}
 
 
+def test_state_suppresses_exactly_the_texts_of_the_run_before(spark):
+    rows = [(r[0], r[1], r[2], r[3].upper()) if i % 2 else r for i, r in enumerate(corpus_rows(200))]
+    corpus = spark.createDataFrame(rows, CORPUS)
+    queries = spark.createDataFrame(QUERIES[:5], TERMS)
+    words = ["K0", "k1", "k2"]
+    options = {"page_size": 5, "max_pages": 1}
+    hits, sent = Q.adaptive_run(corpus, queries, words, **options)
+    texts = {tuple(r) for r in sent.collect()}
+    assert hits.count() > 0 and ("alpha", "alpha K0") in texts and ("alpha", "alpha K0 k1 k2") in texts
+    # its first text holds the next keyword already
+    assert ("k1 alpha", "k1 alpha K0") in texts and ("k1 alpha", "k1 alpha K0 k1 k2") not in texts
+    state = tried_after(sent)
+    again, none = Q.adaptive_run(corpus, queries, words, tried=state, **options)
+    assert again.count() == 0 and none.count() == 0
+    assert untried(queries, state, words).filter("trim(github_query) <> ''").count() == 0
+    # a known narrower text keeps the wider search
+    narrow = state.filter("tried_query = 'alpha K0 k1 k2'")
+    wide, sent = Q.adaptive_run(corpus, queries.filter("github_query = 'alpha'"), words, tried=narrow, **options)
+    assert wide.count() == 5 and [r.tried_query for r in sent.collect()] == ["alpha K0"]
+
+
 def test_first_per_repository_and_stars(spark):
     hits = spark.createDataFrame(
         [(0, 1, "a", "p1"), (0, 2, "b", "p2"), (1, 1, "a", "p3"), (1, 2, "c", "p4"), (2, 1, "b", "p5")],
