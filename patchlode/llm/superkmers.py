@@ -11,8 +11,9 @@ equal, so a window can only repeat if its minimiser is that of two super-k-mers.
 2. A second pass sends each super-k-mer whose bit is set as one packed string of words to the bucket
    of its minimiser. There the windows are sorted and equal neighbours marked.
 3. A minimiser with more than ``hot`` super-k-mers, such as that of a passage in a third of all
-   texts, is not sent to one bucket. Its equal strings are made one by an aggregate that combines before the
-   shuffle; all windows of a string met twice repeat. Windows of the others are hashed (128 bits) and counted alike.
+   texts, is not sent to one bucket. Neighbouring hot super-k-mers of a text are one string; equal strings are made one by
+   an aggregate that combines before the shuffle, and all windows of a string met twice repeat. Windows of the
+   others are hashed (128 bits) and counted alike.
 4. Marked windows become word intervals per text; a word in any of them is removed.
 """
 
@@ -86,9 +87,13 @@ def _packed(k: int, m: int, seen, hot, want_hot: bool):
                 first, n, value = _super_kmers(hashes, bounds, k, m)
                 sent = _has(seen.value, value) & (_has(hot.value, value) == want_hot)
                 first, n, value = first[sent], n[sent], value[sent]
+                doc = np.searchsorted(bounds, first, "right") - 1
+                if want_hot and len(first):
+                    # neighbours become one, so that copies of a text send one string
+                    new = np.append(True, (first[1:] != first[:-1] + n[:-1]) | (doc[1:] != doc[:-1]))
+                    first, doc, value, n = first[new], doc[new], value[new], np.add.reduceat(n, np.flatnonzero(new))
                 out, places = joined_words(data, starts, ends)
                 raw = out.tobytes()
-                doc = np.searchsorted(bounds, first, "right") - 1
                 spans = zip(places[first].tolist(), (places[first + n + k - 1] - 1).tolist(), strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(as_long(value)), part.column("k1").take(pa.array(doc)), part.column("k2").take(pa.array(doc)),
@@ -246,16 +251,16 @@ def remove_repeats(
         windows = stage(strings_.select("g1", "g2", "packed").mapInArrow(_windows(k), "g1 bigint, g2 bigint, place bigint, w1 bigint, w2 bigint"), "windows")
         again = windows.groupBy("w1", "w2").count().where("count > 1").drop("count")
         single = strings_.where("met = 1").select("g1", "g2")
-        marked = windows.join(single, ["g1", "g2"], "left_semi").join(again, ["w1", "w2"], "left_semi").groupBy("g1", "g2").agg(F.collect_set("place").alias("places"))
-        whole = F.sequence(F.lit(0).cast("bigint"), F.size(F.split("packed", " ")).cast("bigint") - k)
-        marked = marked.union(strings_.where("met > 1").select("g1", "g2", whole.alias("places")))
+        marked = windows.join(single, ["g1", "g2"], "left_semi").join(again, ["w1", "w2"], "left_semi").groupBy("g1", "g2").agg(
+            F.array_sort(F.collect_set("place")).alias("p"))
+        # neighbouring windows become one interval of places
+        first = F.filter("p", lambda p, i: (i == 0) | (F.get("p", i - 1) != p - 1))
+        last = F.filter("p", lambda p, i: (i == F.size("p") - 1) | (F.get("p", i + 1) != p + 1))
+        marked = marked.select("g1", "g2", F.inline(F.arrays_zip(first.alias("x"), last.alias("y"))).alias("x", "y"))
+        end = F.size(F.split("packed", " ")).cast("bigint") - k
+        marked = marked.union(strings_.where("met > 1").select("g1", "g2", F.lit(0).cast("bigint"), end))
         found = all_hot.select("k1", "k2", "start", "g1", "g2").join(marked, ["g1", "g2"])
-        # neighbouring windows become one interval
-        first = F.filter("places", lambda p: ~F.array_contains("places", p - 1))
-        last = F.filter("places", lambda p: ~F.array_contains("places", p + 1))
-        ends = F.arrays_zip(F.array_sort(first).alias("x"), F.array_sort(last).alias("y"))
-        spans = spans.union(
-            found.select("k1", "k2", "start", F.inline(ends).alias("x", "y")).select("k1", "k2", F.col("start") + F.col("x"), F.col("start") + F.col("y") + k))
+        spans = spans.union(found.select("k1", "k2", F.col("start") + F.col("x"), F.col("start") + F.col("y") + k))
         staged = [all_hot, strings_, windows]
     cover = stage(spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")
     for table in staged:
