@@ -92,20 +92,30 @@ def first_filled(first: Column, second: Column) -> Column:
     return F.coalesce(F.nullif(first, F.lit("")), second)
 
 
+def _cut(lines: Column, start: Column, end: Column) -> Column:
+    """Lines ``start``..``end`` (from 1, both included) of an array, stripped; '' if there are none."""
+    first = F.greatest(start, F.lit(1))
+    count = F.least(end, F.size(lines)) - first + 1
+    known = start.isNotNull() & end.isNotNull() & (count > 0)
+    return F.when(known, strip(F.array_join(F.slice(lines, first, F.when(known, count).otherwise(0)), "\n"))).otherwise(F.lit(""))
+
+
 def line_slice(text: Column, start: Column, end: Column) -> Column:
     """Lines ``start``..``end`` (from 1, both included), stripped; '' when the range is invalid."""
 
     def cut(lines: Column) -> Column:
-        first = F.greatest(start, F.lit(1))
-        count = F.least(end, F.size(lines)) - first + 1
-        return F.when(
-            count > 0, strip(F.array_join(F.slice(lines, first, count), "\n"))
-        ).otherwise(F.lit(""))
+        return _cut(lines, start, end)
 
     valid = text.isNotNull() & (text != "") & start.isNotNull() & end.isNotNull()
     return F.when(valid, let(F.split(text, "\n", -1), cut)).otherwise(F.lit(""))
 
 
+def line_slices(text: Column, ranges: Column) -> Column:
+    """``line_slice`` for every range (structs with start_line and end_line); the text is split once."""
+    lines = F.when(text.isNotNull() & (text != ""), F.split(text, "\n", -1)).otherwise(F.array().cast(STRING_ARRAY))
+    return let(lines, lambda own: F.transform(ranges, lambda r: _cut(own, r["start_line"], r["end_line"])))
+
+
 def commit_link(repo_url: Column, commit: Column) -> Column:
     """Web address of a commit on github.com; '' for any other host or an empty hash."""
     known = F.contains(repo_url, F.lit("github.com")) & (commit != "")

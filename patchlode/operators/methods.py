@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import line_slice
+from ..functions.text import line_slice, line_slices
 from .extract import in_languages
 
 
@@ -62,12 +62,16 @@ def method_changes(
     )
     if not unique_ids:
         files, methods = files.distinct(), methods.distinct()
+    ids = files.select("file_change_id", "hash").distinct()
     if file_change_ids is not None:
         wanted = file_change_ids.select("file_change_id").distinct()
-        files = files.join(wanted, "file_change_id", "left_semi")
+        ids = ids.join(wanted, "file_change_id", "left_semi")
+    # Ids meet on the hash before any code is attached, so code is shuffled by file only.
+    fixed = ids.join(fixes.select("cve_id", "hash", "repo_url").distinct(), "hash")
     found = (
-        files.join(methods, "file_change_id")
-        .join(fixes.select("cve_id", "hash", "repo_url").distinct(), "hash")
+        fixed.join(files.withColumnRenamed("hash", "_hash"), "file_change_id")
+        .filter("hash = _hash")
+        .join(methods, "file_change_id")
         .select(
             "cve_id",
             "hash",
@@ -95,3 +99,42 @@ def with_method_code(methods: DataFrame) -> DataFrame:
         line_slice(F.col("file_code_before"), start, end).alias("method_code"),
         line_slice(F.col("file_code_after"), start, end).alias("method_code_after"),
     )
+
+
+def methods_of_files(
+    file_change: DataFrame, method_change: DataFrame, *, languages: Sequence[str] = ("Java",)
+) -> DataFrame:
+    """Code of every usable method of every file, cut from both file versions; each file is split once.
+
+    One row per method with known lines: file_change_id, method_change_id, method_name, signature, the
+    columns of the file, and method_code, method_code_after. The methods of a file are collected as ids and lines.
+    """
+    files = file_change.filter(
+        in_languages(languages) & F.col("code_before").isNotNull() & (F.col("code_before") != "")
+    )
+    methods = usable_methods(method_change).select(
+        "file_change_id",
+        F.struct(
+            "method_change_id",
+            F.col("name").alias("method_name"),
+            "signature",
+            line_number(F.col("start_line")).alias("start_line"),
+            line_number(F.col("end_line")).alias("end_line"),
+        ).alias("m"),
+    )
+    listed = (
+        methods.filter("m.start_line IS NOT NULL AND m.end_line IS NOT NULL")
+        .groupBy("file_change_id")
+        .agg(F.collect_list("m").alias("_methods"))
+    )
+    before = line_slices(F.col("code_before"), F.col("_methods")).alias("b")
+    after = line_slices(F.col("code_after"), F.col("_methods")).alias("a")
+    cut = F.transform(
+        F.arrays_zip(F.col("_methods").alias("m"), before, after),
+        lambda x: F.struct(
+            *[x["m"][c].alias(c) for c in ("method_change_id", "method_name", "signature")],
+            x["b"].alias("method_code"),
+            x["a"].alias("method_code_after"),
+        ),
+    )
+    return files.join(listed, "file_change_id").select(*file_change.columns, F.inline(cut))

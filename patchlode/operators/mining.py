@@ -13,7 +13,7 @@ from ..functions.patterns import keeps, key_part, make_pattern, pattern_key, sor
 from ..functions.taint import analyze_taint, source_class
 from ..functions.text import by_name, commit_link, first_filled, let, line_slice
 from .extract import classification_of, frequent_cwes, in_languages
-from .methods import line_number, usable_methods
+from .methods import methods_of_files
 
 ROW_ORDER = ("hash", "file_change_id", "method_change_id", "cve_id")
 EXPANSION_STEP = 1024
@@ -108,37 +108,13 @@ def method_patterns(
     wanted = targets.groupBy("file_change_id").agg(F.collect_list(weakness).alias("weaknesses"))
     # Only Java code can show a pattern.
     java = [name for name in languages if name.lower() == "java"]
-    files = file_change.filter(
-        in_languages(java) & F.col("code_before").isNotNull() & (F.col("code_before") != "")
-    ).select("file_change_id", "hash", "code_before", "code_after", "diff")
-    files = files.join(wanted, "file_change_id").withColumn(
-        "missing", by_name(added_measures)("code_before", "code_after", measures=measures)
-    )
-    methods = usable_methods(method_change).select(
-        "file_change_id",
-        "method_change_id",
-        F.col("name").alias("method_name"),
-        "signature",
-        line_number(F.col("start_line")).alias("start_line"),
-        line_number(F.col("end_line")).alias("end_line"),
+    files = file_change.select(
+        "file_change_id", "hash", "programming_language", "code_before", "code_after", "diff"
     )
-    methods = methods.filter("start_line IS NOT NULL AND end_line IS NOT NULL")
-    cut = files.join(methods, "file_change_id").select(
-        "file_change_id",
-        "hash",
-        "method_change_id",
-        "method_name",
-        "signature",
-        "diff",
-        "missing",
-        "weaknesses",
-        line_slice(F.col("code_before"), F.col("start_line"), F.col("end_line")).alias(
-            "method_code"
-        ),
-        line_slice(F.col("code_after"), F.col("start_line"), F.col("end_line")).alias(
-            "method_code_after"
-        ),
+    files = files.filter(in_languages(java)).join(wanted, "file_change_id").withColumn(
+        "missing", by_name(added_measures)("code_before", "code_after", measures=measures)
     )
+    cut = methods_of_files(files, method_change, languages=java)
     # The generator drops rows without a kept pattern, and computes the analysis exactly once.
     found = cut.select(
         "*",

@@ -12,7 +12,7 @@ from ..functions.taint import analyze_taint, find_sink_hits, find_sources, sourc
 from ..functions.text import by_name, commit_link, fold, let, line_neighbours
 from ..operators import compile as C
 from ..operators.extract import run_statistics
-from ..operators.methods import method_changes, with_method_code
+from ..operators.methods import methods_of_files
 from ..operators.mining import instance_table, method_patterns, top_pattern_keys, weakness_targets
 from ..session import stage_path
 from ..sources import schemas
@@ -32,11 +32,15 @@ def analysed(t: Tables) -> DataFrame:
     """Every method with each set of source categories that its file's weaknesses ask for."""
     targets = weakness_targets(records(t), t.cwe_classification, t.cwe)
     classes = targets.select("file_change_id", source_class(F.col("cwe_id")).alias("cls"))
-    code = with_method_code(method_changes(t.file_change, t.fixes, t.method_change))
-    code = code.filter("method_code <> ''").select(
-        "file_change_id", "method_change_id", "method_code", "file_code_before", "file_code_after"
+    # The generator cuts each method once; no fix is needed to read a method.
+    code = methods_of_files(t.file_change, t.method_change).filter("method_code <> ''").select(
+        "file_change_id",
+        "method_change_id",
+        "method_code",
+        F.col("code_before").alias("file_code_before"),
+        F.col("code_after").alias("file_code_after"),
     )
-    return code.distinct().join(classes.distinct(), "file_change_id")
+    return code.join(classes.distinct(), "file_change_id")
 
 
 ANALYSED_SQL = f"""
@@ -175,12 +179,16 @@ def _(t: Tables) -> DataFrame:
        WHERE c.method_code <> ''""",
 )
 def _(t: Tables) -> DataFrame:
-    code = with_method_code(method_changes(t.file_change, t.fixes, t.method_change))
-    files = code.filter("method_code <> ''").select(
-        "file_change_id", "file_code_before", "file_code_after"
+    # Files of a fix with a method that can be cut, by id; the code is attached once.
+    fixed = t.file_change.join(t.fixes.select("hash").distinct(), "hash", "left_semi")
+    ids = methods_of_files(fixed, t.method_change).filter("method_code <> ''").select("file_change_id").distinct()
+    files = t.file_change.join(ids, "file_change_id", "left_semi").select(
+        "file_change_id",
+        F.col("code_before").alias("file_code_before"),
+        F.col("code_after").alias("file_code_after"),
     )
     names = by_name(added_measures)("file_code_before", "file_code_after")
-    return files.distinct().select("file_change_id", FP.sorted_names(names).alias("missing"))
+    return files.select("file_change_id", FP.sorted_names(names).alias("missing"))
 
 
 @query(
