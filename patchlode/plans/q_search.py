@@ -12,6 +12,7 @@ from ..operators.corpus import distinct_terms, files_of_language, tfidf_terms, t
 from .fixtures import Tables
 from .inputs import patterns
 from .registry import query
+from .search_run import run_search, widening_words
 
 HIT = "github_query, repository, path"
 
@@ -176,35 +177,38 @@ def _(t: Tables) -> DataFrame:
     return made.filter("s <> ''").select("path", F.size(F.split("s", "\n", -1)).alias("n_lines"))
 
 
-RESULT_SQL = f"""
+def _result_sql(stars: str, place: str) -> str:
+    return f"""
     SELECT f.*, m.pattern_key, m.cwe_id, m.cwe_name, c.content
-    FROM (SELECT h.*, q.pattern_key AS first_key FROM ({STARS_SQL}) h
+    FROM (SELECT h.*, q.pattern_key AS first_key FROM ({stars}) h
           JOIN (SELECT github_query, min(pattern_key) AS pattern_key FROM query_rows
                 GROUP BY github_query) q ON q.github_query = h.github_query
           WHERE h.stars >= 100
           QUALIFY row_number() OVER (PARTITION BY h.repository
-            ORDER BY q.pattern_key, h.github_query, h.path) = 1) f
+            ORDER BY q.pattern_key, h.github_query, h.{place}) = 1) f
     JOIN query_rows m ON m.pattern_key = f.first_key
     JOIN corpus_code c ON c.repository = f.repository AND c.path = f.path"""
 
 
-def results(t: Tables) -> DataFrame:
-    return Q.assemble_results(code_hits(t), patterns(t), t.corpus_code, t.repository)
+RESULT_SQL = _result_sql(STARS_SQL, "path")
 
 
-@query(
-    "srch4_result_table",
-    f"""SELECT r.pattern_key, r.cwe_id, r.cwe_name, r.github_query, r.repository,
+def _table_sql(result: str) -> str:
+    snippets = _snippet_sql(
+        f"SELECT repository, path, content, github_query FROM ({result})", "repository, path", TERMS_SQL.format(q="github_query"))
+    return f"""SELECT r.pattern_key, r.cwe_id, r.cwe_name, r.github_query, r.repository,
                r.repository AS repository_url, r.path,
                r.repository || '/blob/HEAD/' || r.path AS html_url, sha1(r.content) AS sha,
                r.stars, coalesce(s.code_snippet, '') AS code_snippet
-        FROM ({RESULT_SQL}) r
-        LEFT JOIN ({_snippet_sql(
-            "SELECT repository, path, content, github_query FROM (" + RESULT_SQL + ")",
-            "repository, path", TERMS_SQL.format(q="github_query")).replace(
-                "SELECT repository, path, line, n,", "SELECT repository, path, line, n,")}) s
-          ON s.repository = r.repository AND s.path = r.path""",
-)
+        FROM ({result}) r
+        LEFT JOIN ({snippets}) s ON s.repository = r.repository AND s.path = r.path"""
+
+
+def results(t: Tables) -> DataFrame:
+    return Q.assemble_results(code_hits(t), patterns(t), t.corpus_code, t.repository)
+
+
+@query("srch4_result_table", _table_sql(RESULT_SQL))
 def _(t: Tables) -> DataFrame:
     return results(t)
 
@@ -264,9 +268,7 @@ def _search_sql() -> str:
 
 def code_words(t: Tables) -> list[str]:
     """The best terms of the code corpus."""
-    code = t.corpus_code.filter("lang = 'java'")
-    best = top_terms(tfidf_terms(code, ("repository", "path")), N_WORDS)
-    return [r["term"] for r in best.collect()]  # N_WORDS rows
+    return widening_words(t.corpus_code.filter("lang = 'java'"), N_WORDS)
 
 
 @query("srch3_adaptive_search", f"SELECT * FROM ({_search_sql()})")
@@ -281,6 +283,22 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+SEARCHED_SQL = f"""
+    SELECT h.github_query, h.repository, h.path, h.hit_ord, coalesce(r.stars_count, 0) AS stars
+    FROM ({_search_sql()}) h LEFT JOIN repository r ON r.repo_url = h.repository
+    WHERE h.repository NOT IN ({SEEN_SQL})"""
+
+
+@query("srch4_search_run", _table_sql(_result_sql(SEARCHED_SQL, "hit_ord")))
+def _(t: Tables) -> DataFrame:
+    """The whole job, after a run that has seen every second repository."""
+    seen = t.repository.filter("stars_count % 2 = 0").select(F.col("repo_url").alias("repository"))
+    return run_search(
+        t.corpus_code, patterns(t), t.repository, n_words=N_WORDS, old=seen.withColumn("path", F.lit("")),
+        page_size=PAGE // 4, max_pages=4, max_results=RESULTS,
+    ).new
+
+
 @query(
     "set3_new_repositories",
     f"""SELECT {HIT} FROM code_hits WHERE contains(github_query, 'println')

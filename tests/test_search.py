@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from patchlode.operators import search as Q
 from patchlode.operators.corpus import tfidf_terms, top_terms
+from patchlode.plans.search_run import run_search
 from patchlode.streaming.incremental import tried_after, untried
 
 TERMS = "github_query string, source_kw array<string>, sink_kw array<string>, not_kw array<string>"
@@ -158,6 +159,24 @@ def test_state_suppresses_exactly_the_texts_of_the_run_before(spark):
     assert wide.count() == 5 and [r.tried_query for r in sent.collect()] == ["alpha K0"]
 
 
+def test_two_runs_of_the_whole_job(spark):
+    corpus = spark.createDataFrame([r for r in corpus_rows(200) if r[2] == "Java"], CORPUS)
+    queries = spark.createDataFrame(
+        [(q[0], *q[1:], f"key {i}", "CWE-1", "name") for i, q in enumerate(QUERIES[:4])],
+        TERMS + ", pattern_key string, cwe_id string, cwe_name string",
+    )
+    repos = spark.createDataFrame([(f"r{i}", 50 + 20 * i) for i in range(15)] + [("hot", 5000)], "repo_url string, stars_count bigint")
+    first = run_search(corpus, queries, repos, n_words=3, page_size=10, max_pages=1)
+    rows = first.new.collect()
+    assert rows and len({r.repository for r in rows}) == len(rows) and min(r.stars for r in rows) >= 100
+    assert all(r.code_snippet for r in rows) and first.tried.count() >= 4
+    again = run_search(corpus, queries, repos, n_words=3, page_size=10, max_pages=1, old=first.results, tried=first.tried)
+    assert again.new.count() == 0 and again.results.count() == len(rows)
+    # without the state of texts the repositories alone keep results apart
+    other = run_search(corpus, queries, repos, n_words=3, page_size=10, max_pages=1, old=first.results)
+    assert not {r.repository for r in other.new.collect()} & {r.repository for r in rows}
+
+
 def test_first_per_repository_and_stars(spark):
     hits = spark.createDataFrame(
         [(0, 1, "a", "p1"), (0, 2, "b", "p2"), (1, 1, "a", "p3"), (1, 2, "c", "p4"), (2, 1, "b", "p5")],

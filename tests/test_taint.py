@@ -175,3 +175,24 @@ def test_api_names(spark):
     df = spark.createDataFrame([(code,), ("",), (None,)], "code string")
     got = [r[0] for r in df.select(api_names(F.col("code"))).collect()]
     assert got == [["Cookie", "Files", "HttpSession", "Path", "Runtime"], [], []]
+
+
+def test_rules_of_the_user(spark):
+    """Lists of rules, a category and a measure of one's own."""
+    from patchlode.functions import rules as R
+    from patchlode.functions.measures import added_measures
+    from patchlode.functions.taint import ALL_CATEGORIES, analyze_taint
+    from patchlode.functions.text import by_name
+
+    code = "void m() {\n int z = 0;\n String q = readTape();\n  burn.disc(q);\n return;\n}"
+    df = spark.createDataFrame([(code, ALL_CATEGORIES, "", "x.scrubbed(y)")], "code string, cls string, before string, after string")
+    own_source = R.SourceRule("own.1", "fil", "TapeInput", "readTape(")
+    sources = [*R.SOURCE_RULES, own_source]
+    sinks = [*R.SINK_RULES, R.SinkRule("own.2", "burning", "burn.disc", "burn.disc(")]
+    found = df.select(by_name(analyze_taint)("code", "cls", source_rules=sources, sink_rules=sinks).alias("a"),
+                      by_name(added_measures)("before", "after", measures={"scrub": ["scrubbed("]}).alias("m")).first()
+    assert [s.type for s in found.a.sources] == ["TapeInput"] and [s.sink_name for s in found.a.sinks] == ["burn.disc"]
+    assert found.m == ["scrub"]
+    # a category is no part of another one's name
+    other = df.selectExpr("code", "'file+network' AS cls").select(by_name(analyze_taint)("code", "cls", source_rules=sources).alias("a")).first()
+    assert not other.a.sources
