@@ -6,7 +6,6 @@ backslash in a literal, ``~`` for a line feed in code templates, ``floor`` befor
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Callable, Mapping
 
@@ -217,7 +216,7 @@ def with_sql(final: str, *registries: Mapping[str, str]) -> str:
 
 # Derived without a shuffle: as many partitions as the input has.
 ROW_BY_ROW = ("corpus_text", "hits")
-_STAGED: dict[tuple[str, str, float, str], DataFrame] = {}
+_STAGED: dict[tuple[str, str, int, str], DataFrame] = {}
 
 
 class Tables:
@@ -241,7 +240,7 @@ class Tables:
     def staged(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """The table staged under this name, built now if this session has not done so."""
         app = self.spark.sparkContext.applicationId
-        key = (app, self.sf_dir, _changed_at(self.sf_dir), name)
+        key = (app, self.sf_dir, _changed_at(self.spark, self.sf_dir), name)
         if key not in _STAGED:
             _STAGED[key] = stage(build(), name)
         return _STAGED[key]
@@ -260,8 +259,13 @@ class Tables:
         return table
 
 
-def _changed_at(folder: str) -> float:
-    """Newest change of a local folder's files, so that new data is never read as old."""
-    if not os.path.isdir(folder):
-        return 0.0
-    return max((entry.stat().st_mtime for entry in os.scandir(folder)), default=0.0)
+def _changed_at(spark: SparkSession, folder: str) -> int:
+    """Newest change of a folder's tables in any file system, so that new data is never read as old."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    newest = 0
+    for table in system.listStatus(path):
+        newest = max(newest, table.getModificationTime())
+        if table.isDirectory():
+            newest = max([newest, *(f.getModificationTime() for f in system.listStatus(table.getPath()))])
+    return newest

@@ -49,24 +49,41 @@ def database_options(settings: Mapping[str, str] | None = None) -> dict[str, str
     }
 
 
-def split_predicates(table: str, parts: int) -> list[str]:
-    """Predicates that cut a table into ``parts`` disjoint reads; together they cover it all.
+# Split columns that hold hexadecimal digests, so that ranges of them are even.
+DIGEST_TABLES = ("file_change", "method_change", "commits")
 
-    The split is on a hash of the column, so a frequent value sits in one part only as far as
-    its own rows go. NULL goes to part 0.
+
+def split_predicates(table: str, parts: int, bounds: Sequence[str] | None = None) -> list[str]:
+    """Predicates that cut a table into disjoint reads; together they cover it all.
+
+    The large tables are cut into ranges of their digest column, which an index serves: no reader scans the whole
+    table. ``bounds`` (ascending, ``parts`` is then ignored) gives ranges for any table; without it the
+    others, which are small, are cut by a hash of the column. NULL goes to part 0.
     """
     column = SPLIT_COLUMNS[table]
-    hashed = f"MOD(ABS(HASHTEXT(COALESCE({column}, ''))::BIGINT), {parts})"
-    return [f"{hashed} = {part}" for part in range(parts)]
+    if bounds is None and table in DIGEST_TABLES:
+        bounds = [f"{(part << 32) // parts:08x}" for part in range(1, parts)]
+    if bounds is None:
+        hashed = f"MOD(ABS(HASHTEXT(COALESCE({column}, ''))::BIGINT), {parts})"
+        return [f"{hashed} = {part}" for part in range(parts)]
+    quoted = ["'" + b.replace("'", "''") + "'" for b in bounds]
+    if not quoted:
+        return ["1 = 1"]
+    between = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(quoted, quoted[1:])]
+    return [f"({column} < {quoted[0]} OR {column} IS NULL)", *between, f"{column} >= {quoted[-1]}"]
 
 
 def read_database_table(
-    spark: SparkSession, table: str, settings: Mapping[str, str] | None = None, parts: int = 64
+    spark: SparkSession,
+    table: str,
+    settings: Mapping[str, str] | None = None,
+    parts: int = 64,
+    bounds: Sequence[str] | None = None,
 ) -> DataFrame:
     """A fix table over JDBC, read in parallel."""
     options = database_options(settings)
     url = options.pop("url")
-    return spark.read.jdbc(url, table, predicates=split_predicates(table, parts), properties=options)
+    return spark.read.jdbc(url, table, predicates=split_predicates(table, parts, bounds), properties=options)
 
 
 def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:

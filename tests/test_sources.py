@@ -19,6 +19,11 @@ def test_database_options():
     parts = tables.split_predicates("fixes", 3)
     assert len(parts) == 3 and all("hash" in p for p in parts) and parts[2].endswith("= 2")
     assert set(tables.SPLIT_COLUMNS) == set(FIX_TABLES)
+    ranges = tables.split_predicates("file_change", 4)
+    assert ranges[0] == "(file_change_id < '40000000' OR file_change_id IS NULL)" and len(ranges) == 4
+    assert ranges[1] == "file_change_id >= '40000000' AND file_change_id < '80000000'"
+    assert tables.split_predicates("cwe", 9, ["a'b", "c"])[1] == "cwe_id >= 'a''b' AND cwe_id < 'c'"
+    assert tables.split_predicates("file_change", 1) == ["1 = 1"]
 
 
 def test_declared_schemas_parse(spark):
