@@ -15,8 +15,20 @@ from .registry import query
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
 
-def hit_stream(t: Tables) -> DataFrame:
-    events = I.read_new_files(t.spark, t.sf_dir, t.events.schema, "events.parquet")
+FILES, EVERY = 6, 2
+
+
+def add_files(t: Tables, folder: str, numbers: range) -> None:
+    """Some of the event files, by ranges of ids, in order: each becomes a batch of its own."""
+    low, high = t.events.agg(F.min("event_id"), F.max("event_id")).first()
+    step = (high - low) // FILES + 1
+    for n in numbers:
+        own = F.col("event_id").between(low + n * step, low + (n + 1) * step - 1)
+        t.events.filter(own).coalesce(1).write.mode("append").parquet(folder)
+
+
+def hit_stream(t: Tables, folder: str) -> DataFrame:
+    events = I.read_new_files(t.spark, folder, t.events.schema, files_per_batch=1)
     return events.select(
         F.lit(0).alias("query_ord"),
         F.col("event_id").alias("hit_ord"),
@@ -29,10 +41,11 @@ def hit_stream(t: Tables) -> DataFrame:
 HIT_SCHEMA = "query_ord int, hit_ord bigint, repository string, path string, value double"
 
 
-def _first_hits(t: Tables, runs: int) -> DataFrame:
-    state, checkpoint = stage_path(t.spark, "first_hits"), stage_path(t.spark, "progress")
-    for _ in range(runs):
-        I.first_hits(hit_stream(t), state, checkpoint)
+def _first_hits(t: Tables, runs: list[range]) -> DataFrame:
+    state, checkpoint, files = (stage_path(t.spark, n) for n in ("first_hits", "progress", "event_files"))
+    for numbers in runs:
+        add_files(t, files, numbers)
+        I.first_hits(hit_stream(t, files), state, checkpoint, every=EVERY)
     found = t.spark.read.schema(f"{HIT_SCHEMA}, batch int").parquet(state)
     return found.drop("batch")
 
@@ -43,18 +56,19 @@ FIRST_HIT_SQL = f"""SELECT {HIT_COLUMNS} FROM hits
 
 @query("inc1_resumed_run", FIRST_HIT_SQL)
 def _(t: Tables) -> DataFrame:
-    return _first_hits(t, runs=2)  # the second run finds nothing new
+    return _first_hits(t, [range(0, 4), range(4, FILES)])
 
 
 @query("inc2_first_hits", FIRST_HIT_SQL)
 def _(t: Tables) -> DataFrame:
-    return _first_hits(t, runs=1)
+    return _first_hits(t, [range(FILES)])
 
 
 @query("inc2_streamed_repositories", "SELECT DISTINCT repository FROM hits")
 def _(t: Tables) -> DataFrame:
-    out, checkpoint = stage_path(t.spark, "repositories"), stage_path(t.spark, "progress")
-    stream = I.any_hit_per_repository(hit_stream(t)).select("repository")
+    out, checkpoint, files = (stage_path(t.spark, n) for n in ("repositories", "progress", "event_files"))
+    add_files(t, files, range(FILES))
+    stream = I.any_hit_per_repository(hit_stream(t, files)).select("repository")
     run = (
         stream.writeStream.format("parquet")
         .option("path", out)
@@ -82,6 +96,7 @@ def _(t: Tables) -> DataFrame:
         QUALIFY row_number() OVER (PARTITION BY repository, path ORDER BY hit_ord DESC) = 1""",
 )
 def _(t: Tables) -> DataFrame:
-    state, checkpoint = stage_path(t.spark, "latest"), stage_path(t.spark, "progress")
-    I.latest_results(hit_stream(t), state, checkpoint)
-    return I.read_latest(t.spark, state, HIT_SCHEMA)
+    state, checkpoint, files = (stage_path(t.spark, n) for n in ("latest", "progress", "event_files"))
+    add_files(t, files, range(FILES))
+    I.latest_results(hit_stream(t, files), state, checkpoint, every=EVERY)
+    return I.read_latest(t.spark, state, HIT_SCHEMA, every=EVERY)

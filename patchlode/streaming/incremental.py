@@ -1,8 +1,8 @@
 """Incremental search results: each run takes the files that are new and goes on from there.
 
-State is a set of append-only Parquet folders, one part per batch. A batch reads only the parts
-of earlier batches and writes its own part with overwrite, so a batch that is run again after a
-failure gives the same state.
+State is a set of append-only Parquet folders, one part per batch, beside snapshots of all parts before every
+``SNAPSHOT_EVERY``-th batch. A batch reads the last snapshot and the few parts after it, and writes its own part with
+overwrite, so a batch that is run again after a failure gives the same state.
 """
 
 from __future__ import annotations
@@ -17,33 +17,71 @@ from pyspark.sql.types import StructType
 from ..operators.search import first_per_repository, keep_last, search_texts
 
 
-def read_new_files(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet"):
+SNAPSHOT_EVERY = 20
+
+Reduce = Callable[[DataFrame], DataFrame]
+SEEN = "repository string"
+
+
+def read_new_files(
+    spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet", files_per_batch: int | None = None
+):
     """Stream of the Parquet files that appear in a folder."""
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
-    )
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if files_per_batch:
+        stream = stream.option("maxFilesPerTrigger", files_per_batch)
+    return stream.parquet(folder)
 
 
 def _part(folder: str, batch: int) -> str:
     return f"{folder}/batch={batch:09d}"
 
 
+def _snapshot(folder: str, batch: int) -> str:
+    return f"{folder}-snapshots/before={batch:09d}"
+
+
+def _listed(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder of any file system; none if it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in system.listStatus(path)) if system.exists(path) else []
+
+
 def state_before(
-    spark: SparkSession, folder: str, batch: int, schema: StructType | str
+    spark: SparkSession, folder: str, batch: int, schema: StructType | str, every: int = SNAPSHOT_EVERY
 ) -> DataFrame:
-    """State as all batches before ``batch`` left it."""
-    parts = [_part(folder, n) for n in range(batch)]
-    return (
-        spark.read.schema(schema).parquet(*parts)
-        if parts
-        else spark.createDataFrame([], schema)
-    )
+    """State as all batches before ``batch`` left it, with the batch of each row: a snapshot and the parts after it."""
+    base = max(0, batch - 1) // every * every
+    empty = spark.createDataFrame([], schema)
+    fields = empty.columns
+    rows = empty.withColumn("batch", F.lit(0))
+    if base:
+        rows = spark.read.schema(rows.schema).parquet(_snapshot(folder, base))
+    for n in range(base, batch):
+        part = spark.read.schema(empty.schema).parquet(_part(folder, n))
+        rows = rows.unionByName(part.select(*fields, F.lit(n).alias("batch")))
+    return rows
+
+
+def keep_snapshot(
+    spark: SparkSession, folder: str, batch: int, schema: StructType | str, reduce: Reduce, every: int = SNAPSHOT_EVERY
+) -> None:
+    """Before every ``every``-th batch, write the reduced state of all batches before it."""
+    if batch and batch % every == 0:
+        reduce(state_before(spark, folder, batch, schema, every)).write.mode("overwrite").parquet(_snapshot(folder, batch))
 
 
 def run_available(
-    stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str
+    stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str, state: str | None = None
 ) -> StreamingQuery:
-    """Run all data that is there now through ``on_batch``, then stop."""
+    """Run all data that is there now through ``on_batch``, then stop.
+
+    State without the checkpoint that made it would be overwritten from batch 0 on, so that is refused.
+    """
+    spark = stream.sparkSession
+    if state and _listed(spark, state) and "metadata" not in _listed(spark, checkpoint):
+        raise ValueError(f"{state} holds state, but {checkpoint} is not the checkpoint of its stream")
     query = (
         stream.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
@@ -59,18 +97,22 @@ def first_hits(
     state: str,
     checkpoint: str,
     order_by: Sequence[str] = ("query_ord", "hit_ord"),
+    every: int = SNAPSHOT_EVERY,
 ) -> StreamingQuery:
     """The first hit per repository over all batches, in arrival order of the batches."""
-    schema = stream.schema
+    columns = stream.columns
 
     def on_batch(df: DataFrame, batch: int) -> None:
-        seen = state_before(df.sparkSession, state, batch, schema).select("repository")
+        spark = df.sparkSession
+        # what is seen is a set of repositories; parts are disjoint, so nothing is left to reduce
+        keep_snapshot(spark, state, batch, SEEN, lambda rows: rows, every)
+        seen = state_before(spark, state, batch, SEEN, every).select("repository")
         new = df.join(seen, "repository", "left_anti")
-        first_per_repository(new, order_by).select(*df.columns).write.mode("overwrite").parquet(
+        first_per_repository(new, order_by).select(*columns).write.mode("overwrite").parquet(
             _part(state, batch)
         )
 
-    return run_available(stream, on_batch, checkpoint)
+    return run_available(stream, on_batch, checkpoint, state)
 
 
 def any_hit_per_repository(stream: DataFrame) -> DataFrame:
@@ -97,18 +139,21 @@ def latest_results(
     checkpoint: str,
     keys: Sequence[str] = ("repository", "path"),
     order_by: Sequence[str] = ("hit_ord",),
+    every: int = SNAPSHOT_EVERY,
 ) -> StreamingQuery:
     """The last result per key, merged batch by batch.
 
-    Each batch stores its own last row per key; ``read_latest`` combines the parts. No part is
+    Each batch stores its own last row per key; ``read_latest`` combines the last snapshot and the parts after it. No part is
     ever rewritten.
     """
+    schema = stream.schema
 
     def on_batch(df: DataFrame, batch: int) -> None:
+        keep_snapshot(df.sparkSession, state, batch, schema, lambda rows: keep_last(rows, keys, ("batch", *order_by)), every)
         last = keep_last(df, keys, order_by)
         last.write.mode("overwrite").parquet(_part(state, batch))
 
-    return run_available(stream, on_batch, checkpoint)
+    return run_available(stream, on_batch, checkpoint, state)
 
 
 def read_latest(
@@ -117,7 +162,9 @@ def read_latest(
     schema: str,
     keys: Sequence[str] = ("repository", "path"),
     order_by: Sequence[str] = ("hit_ord",),
+    every: int = SNAPSHOT_EVERY,
 ) -> DataFrame:
     """Current snapshot of ``latest_results``: rows of later batches win."""
-    rows = spark.read.schema(f"{schema}, batch int").parquet(state)
+    parts = [int(name.removeprefix("batch=")) for name in _listed(spark, state) if name.startswith("batch=")]
+    rows = state_before(spark, state, max(parts, default=-1) + 1, schema, every)
     return keep_last(rows, keys, ("batch", *order_by)).drop("batch")

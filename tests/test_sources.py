@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,14 +95,40 @@ def test_first_hits_over_several_runs(spark, tmp_path):
 
 
 def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
-    data, state = f"{tmp_path}/data", f"{tmp_path}/state"
+    data, state, progress = (f"{tmp_path}/{n}" for n in ("data", "state", "progress"))
     write_part(spark, [(0, 1, "a", "p1"), (0, 2, "b", "p2")], data)
-    for attempt in ("one", "two"):  # progress lost after the state was written
-        stream = I.read_new_files(spark, data, SCHEMA)
-        I.first_hits(stream, state, f"{tmp_path}/progress-{attempt}")
+    I.first_hits(I.read_new_files(spark, data, SCHEMA), state, progress)
+    for name in ("0", ".0.crc"):  # the state was written, but the batch not yet marked as done
+        os.remove(f"{progress}/commits/{name}")
+    I.first_hits(I.read_new_files(spark, data, SCHEMA), state, progress)
     assert spark.read.parquet(state).count() == 2
 
 
+def test_state_of_another_checkpoint_is_refused(spark, tmp_path):
+    data, state = f"{tmp_path}/data", f"{tmp_path}/state"
+    write_part(spark, [(0, 1, "a", "p1")], data)
+    I.first_hits(I.read_new_files(spark, data, SCHEMA), state, f"{tmp_path}/one")
+    with pytest.raises(ValueError, match="not the checkpoint"):
+        I.first_hits(I.read_new_files(spark, data, SCHEMA), state, f"{tmp_path}/two")
+    with pytest.raises(ValueError, match="not the checkpoint"):
+        I.latest_results(I.read_new_files(spark, data, SCHEMA), state, f"{tmp_path}/two")
+
+
+def test_snapshots_replace_old_parts(spark, tmp_path):
+    data, state, progress = (f"{tmp_path}/{n}" for n in ("data", "state", "progress"))
+    latest, own = f"{tmp_path}/latest", f"{tmp_path}/own"
+    for n in range(5):
+        write_part(spark, [(0, n, "a", "p"), (0, n, f"r{n // 2}", "p")], data)
+        I.first_hits(I.read_new_files(spark, data, SCHEMA), state, progress, every=2)
+        I.latest_results(I.read_new_files(spark, data, SCHEMA), latest, own, every=2)
+    seen = I.state_before(spark, state, 5, I.SEEN, every=2)
+    assert sorted(r.repository for r in seen.collect()) == ["a", "r0", "r1", "r2"]
+    # a snapshot and one part, not five parts
+    assert len({f.rsplit("/", 2)[-2] for f in seen.inputFiles()}) == 2
+    got = I.read_latest(spark, latest, SCHEMA, every=2).collect()
+    assert {(r.repository, r.hit_ord) for r in got} == {("a", 4), ("r0", 1), ("r1", 3), ("r2", 4)}
+
+
 def test_latest_results(spark, tmp_path):
     data, state, progress = (f"{tmp_path}/{n}" for n in ("data", "state", "progress"))
     for rows in ([(0, 9, "a", "p"), (0, 8, "a", "p"), (0, 1, "b", "p")], [(0, 2, "a", "p")]):
