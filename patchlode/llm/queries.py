@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
 from .archives import round_trip
 from .decontaminate import find_contamination
 from .frames import table
@@ -86,4 +87,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_interleaved_sharding": op9_interleaved_sharding,
     "op10_wrapper_extraction": op10_wrapper_extraction,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_minhash_near_dedup": oracles.NEAR_DUPLICATES,
+    "op4_zip_warc": oracles.ARCHIVES,
+    "op8_super_kmer_dedup": oracles.SUPER_KMERS,
+    "op9_interleaved_sharding": oracles.SHARDS,
+}
