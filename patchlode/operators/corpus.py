@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import LANGUAGE_EXTENSIONS
 from ..functions.text import snippet, words
+from ..session import stage
 
 
 def language_extension(language: str) -> str:
@@ -36,10 +37,11 @@ def tfidf_terms(
     Smoothed idf = ln((1 + files) / (1 + files with the term)) + 1. Words of ``base_query`` and
     short words are left out of the result (not of the norms). ``keys`` must identify a file.
 
-    The words are joined with their idf once. The norm is a window over the words of one file
+    Texts are cut into words once: the pairs of file and word are staged, and the frequencies and
+    weights start from them. The words are joined with their idf once. The norm is a window over the words of one file
     (no larger than the file was), so it need not be joined back.
     """
-    pairs = distinct_terms(corpus, keys, content)
+    pairs = stage(distinct_terms(corpus, keys, content), "terms")
     frequency = pairs.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     total = corpus.agg(F.count(F.lit(1)).alias("n")).scalar()
     idf = frequency.select("term", (F.ln((total + 1) / (F.col("df") + 1)) + 1).alias("idf"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import blank
+from ..session import stage
 
 LABEL_LENGTH = 50
 SAMPLE_KEYS = 3
@@ -18,7 +19,7 @@ def with_query_text(instances: DataFrame) -> DataFrame:
 
 
 def _counts(instances: DataFrame) -> DataFrame:
-    """One row per combination that the report can tell apart; the only pass over all rows."""
+    """One row per combination that the report can tell apart."""
     copies = F.col("copies") if "copies" in instances.columns else F.lit(1)
     return (
         with_query_text(instances)
@@ -104,7 +105,10 @@ def query_report(
 ) -> DataFrame:
     """The most frequent queries, overall, by weakness, by sinks and by sources, in one table.
 
-    The instances are reduced to combination counts first; each combination is then placed in
-    its categories, and one window ranks all of them.
+    The instances are reduced to combination counts first, which are staged when more than one ranking
+    reads them; each combination is then placed in its categories, and one window ranks all of them.
     """
-    return _ranked(_categories(_counts(instances), kinds, top_n), top_n)
+    counts = _counts(instances)
+    if any(kind in kinds for kind, _, _ in TYPE_CATEGORIES):
+        counts = stage(counts, "query_counts")
+    return _ranked(_categories(counts, kinds, top_n), top_n)
