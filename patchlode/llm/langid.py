@@ -6,7 +6,8 @@ the average of its embeddings, times a matrix, through a softmax. Training is st
 descent in numpy on the driver over a bounded sample: ``per_language`` labelled rows of each
 language with texts of at most ``LONGEST_SAMPLE`` bytes, each also as a short piece, so that short texts are met
 in training. A fifth of the sample calibrates: a temperature for the scores, and the score below
-which a text is rejected, chosen so that ``lost`` of the texts the model gets right would go.
+which a text is rejected, chosen so that ``lost`` of the texts the model gets right would go, and never above ``ceiling``:
+texts in two languages score near a half and stay.
 """
 
 from __future__ import annotations
@@ -70,7 +71,7 @@ def _pieces(text: str, rng: np.random.Generator) -> list[str]:
 
 
 def train(
-    rows: list[tuple[str, str]], dimension: int = 16, epochs: int = 6, rate: float = 0.5, lost: float = 0.001, seed: int = 1
+    rows: list[tuple[str, str]], dimension: int = 16, epochs: int = 6, rate: float = 0.5, lost: float = 0.001, ceiling: float = 0.4, seed: int = 1
 ) -> Model:
     """Fit on (language, text) rows, in their order."""
     rng = np.random.default_rng(seed)
@@ -106,7 +107,7 @@ def train(
     temperature = max(1.0, float(temperatures[int(np.argmin(losses))]))
     p = _softmax(logits / temperature)
     right = p[np.arange(len(held)), truth][p.argmax(1) == truth] if len(held) else np.zeros(0)
-    threshold = min(0.5, float(np.quantile(right, lost, method="lower"))) if len(right) else 0.0
+    threshold = min(ceiling, float(np.quantile(right, lost, method="lower"))) if len(right) else 0.0
     return Model(labels, scores, bias, temperature, threshold)
 
 
