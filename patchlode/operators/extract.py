@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 CODE_COLUMNS = ("code_before", "code_after")
 
 
@@ -112,7 +114,8 @@ def extract_records(
 
     Commits are matched on hash and repository, files on the hash alone, so a hash that occurs
     in several repositories or CVEs gives several records. Filters sit on the scans; the code
-    columns are read only if the caller uses them.
+    columns are read only if the caller uses them. With ``top_n`` only records of CVEs that have one of the most
+    frequent weaknesses are kept (all if there is none); ids that this needs are staged.
     """
     c = commits.select("hash", "repo_url", "author_date", "msg", "merge")
     if exclude_merge:
@@ -131,30 +134,41 @@ def extract_records(
         "code_after",
         "diff",
     )
-    records = (
-        good_fixes(fixes, min_score)
-        .join(c.drop("merge"), ["hash", "repo_url"])
-        .join(files, "hash")
-        .select(
-            "cve_id",
-            "repo_url",
-            "hash",
-            "score",
-            "author_date",
-            "msg",
-            "file_change_id",
-            "filename",
-            "programming_language",
-            "code_before",
-            "code_after",
-            "diff",
+
+    def built(of: DataFrame) -> DataFrame:
+        return (
+            good_fixes(of, min_score)
+            .join(c.drop("merge"), ["hash", "repo_url"])
+            .join(files, "hash")
+            .select(
+                "cve_id",
+                "repo_url",
+                "hash",
+                "score",
+                "author_date",
+                "msg",
+                "file_change_id",
+                "filename",
+                "programming_language",
+                "code_before",
+                "code_after",
+                "diff",
+            )
         )
-    )
+
     if top_n is None or top_n <= 0:
-        return records
+        return built(fixes)
     if classification is None or cwe is None:
         raise ValueError("top_n needs the classification and cwe tables")
-    return keep_top_cwes(records, classification_of(records, classification, cwe), top_n)
+    # The CVEs of the records are found once; the wanted ones then cut the fixes down before any
+    # file is read again.
+    cves = stage(built(fixes).select("cve_id").distinct(), "record_cves")
+    classified = classification_of(cves, classification, cwe)
+    top = stage(top_cwes(classified, top_n).select("cwe_id"), "top_cwes")
+    if top.isEmpty():
+        return built(fixes)
+    wanted = classified.join(F.broadcast(top), "cwe_id", "left_semi").select("cve_id").distinct()  # at most top_n rows
+    return built(fixes.join(stage(wanted, "wanted_cves"), "cve_id", "left_semi"))
 
 
 def run_statistics(records: DataFrame, instances: DataFrame | None = None) -> DataFrame:
