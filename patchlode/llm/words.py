@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20
+PIECE = 1 << 19
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C55 | 1
 _SPACE = np.zeros(256, bool)
