@@ -10,7 +10,8 @@ subject, shrunk for short texts). A logistic curve turns it into a score.
 
 Counts cover all labelled rows that may be learned from and are summed by Spark. Stems are hashed to
 ``2**CELLS`` cells, so the tables that the scoring tasks get have a fixed size. The curve is
-fitted on a quarter of the rows against a model of the other three, on at most ``most_fitted`` rows.
+cross-fitted: the rows of each of ``FOLDS`` folds are read by a model of the others. At most ``most_fitted`` rows
+of each class are drawn for it, and the intercept is corrected for the draw.
 """
 
 from __future__ import annotations
@@ -31,6 +32,10 @@ from .words import U, chunks, hashed_words
 STEM = 4
 CELLS = 20
 _BITS = 26
+FOLDS = 4
+# where the slope starts from, and how far the rows may easily move it: few labels stay near it, many decide themselves
+DEFAULT_SLOPE = 10.0
+_SLOPE_SPREAD = 1.0
 _SHRINK = 20.0
 
 
@@ -60,8 +65,11 @@ def stems(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (hashes >> U(64 - CELLS)).astype(np.int64), own
 
 
+_KINDS = [f"{c}{f}" for c in "ot" for f in range(FOLDS)]
+
+
 def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of (stem before, stem) by class and part, over some megabytes at a time."""
+    """Counts of (stem before, stem) by class and fold, over some megabytes at a time."""
     for batch in batches:
         for part in chunks(batch, "text", 8 << 20):
             cells, bounds = stems(part.column("text"))
@@ -69,10 +77,10 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             before = np.empty_like(cells)
             before[1:] = cells[:-1]
             before[bounds[:-1][n > 0]] = 0
-            kind = part.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64) * 2 + part.column("fitted").to_numpy(zero_copy_only=False)
+            kind = part.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64) * FOLDS + part.column("fold").to_numpy(zero_copy_only=False)
             keys, inverse = np.unique((before << CELLS) | cells, return_inverse=True)
-            counts = np.bincount(inverse * 4 + np.repeat(kind, n), minlength=4 * len(keys)).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(counts[:, j]) for j in range(4))], ["pair", "o", "o_fit", "t", "t_fit"])
+            counts = np.bincount(inverse * len(_KINDS) + np.repeat(kind, n), minlength=len(_KINDS) * len(keys)).reshape(-1, len(_KINDS))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(counts[:, j]) for j in range(len(_KINDS)))], ["pair", *_KINDS])
 
 
 def _discount(counts: np.ndarray) -> float:
@@ -107,19 +115,20 @@ def _evidence(texts: pa.Array, delta: np.ndarray) -> np.ndarray:
 
 
 def _curve(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of a logistic regression with a weak penalty, by Newton's method."""
-    scale = float(np.std(z)) or 1.0
-    x = np.column_stack([z / scale, np.ones(len(z))])
-    w = np.array([1.0, np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))])
-    for _ in range(50):
+    """Slope and intercept of a logistic regression with the slope drawn to the default one, by Newton's method."""
+    x = np.column_stack([z, np.ones(len(z))])
+    level = np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
+    w = np.array([DEFAULT_SLOPE, level - DEFAULT_SLOPE * z.mean()])
+    pull = np.array([_SLOPE_SPREAD**-2, 0])
+    for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - y) + np.array([0.01 * w[0], 0])
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag([0.01, 1e-9])
+        gradient = x.T @ (p - y) + pull * (w - DEFAULT_SLOPE)
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag(pull + 1e-9)
         step = np.linalg.solve(hessian, gradient)
-        w -= np.clip(step, -5, 5)
+        w -= np.clip(step, -1, 1)
         if np.abs(step).max() < 1e-8:
             break
-    return max(0.0, float(w[0]) / scale), float(w[1])
+    return max(0.0, float(w[0])), float(w[1])
 
 
 def fit_toxicity(
@@ -128,7 +137,7 @@ def fit_toxicity(
     """Count stems of all labelled rows that may be learned from, and fit the curve.
 
     Null labels and null ids are left out. An id with several labels counts once per label, an id with several
-    texts once per text. Without labelled rows of a class every text gets the prior.
+    texts once per text. Without labelled rows with words of a class every text gets the prior.
     """
     spark = docs.sparkSession
     known = labels.where(F.col(label_col).isNotNull() & training(id_col)).select(
@@ -141,39 +150,70 @@ def fit_toxicity(
         for batch in batches:
             yield batch.filter(pa.array(has(labelled.value, batch.column("slot").to_numpy())))
 
-    fold = F.floor(F.crc32(F.col("id").cast("string").cast("binary")) / 4) % 4 == 0
+    fold = (F.floor(F.crc32(F.col("id").cast("string").cast("binary")) / 4) % FOLDS).cast("int").alias("fold")
     rows = docs.where(training(id_col)).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row_key(id_col, text_col)[0])
     rows = rows.withColumn("slot", slot).mapInArrow(some, "id bigint, text string, k1 bigint, slot bigint")
     # both sides grow alike, so the plan is the same at every size
-    rows = stage(rows.join(known.hint("merge"), "id").select("text", "toxic", fold.cast("int").alias("fitted"), "k1"), "labelled")
+    rows = stage(rows.join(known.hint("merge"), "id").select("text", "toxic", fold, "k1"), "labelled")
 
-    names = ["o", "o_fit", "t", "t_fit"]
-    pairs = rows.select("text", "toxic", "fitted").mapInArrow(_pair_counts, "pair bigint, o bigint, o_fit bigint, t bigint, t_fit bigint")
-    pairs = pairs.groupBy("pair").agg(*(F.sum(c).alias(c) for c in names))
+    pairs = rows.select("text", "toxic", "fold").mapInArrow(_pair_counts, "pair bigint, " + ", ".join(f"{c} bigint" for c in _KINDS))
+    pairs = pairs.groupBy("pair").agg(*(F.sum(c).alias(c) for c in _KINDS))
     cell = F.col("pair").bitwiseAND((1 << CELLS) - 1).alias("cell")
-    table = pairs.groupBy(cell).agg(*(F.sum(c).alias(c) for c in names), F.count("*").alias("after")).toArrow()
-    counts = {c: np.zeros(1 << CELLS) for c in [*names, "after"]}
-    for c, x in counts.items():
-        x[table["cell"].to_numpy()] = table[c].to_numpy()
-
-    whole = _differences(counts["t"] + counts["t_fit"], counts["o"] + counts["o_fit"], counts["after"])
-    part = spark.sparkContext.broadcast(_differences(counts["t"], counts["o"], counts["after"]))
+    others = [sum(F.col(c) for c in _KINDS if c[1:] != str(f)) for f in range(FOLDS)]
+    table = pairs.groupBy(cell).agg(
+        *(F.sum(c).alias(c) for c in _KINDS), F.count("*").alias("after"), *(F.count_if(x > 0).alias(f"after{f}") for f, x in enumerate(others))).toArrow()
+    at = table["cell"].to_numpy()
+
+    def spread(values: np.ndarray) -> np.ndarray:
+        found = np.zeros(1 << CELLS)
+        found[at] = values
+        return found
+
+    def counted(kind: str, but: int | None = None) -> np.ndarray:
+        return spread(sum(table[f"{kind}{f}"].to_numpy() for f in range(FOLDS) if f != but))
+
+    size = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    labelled_rows = sum(size.values())
+    prior = (size.get(1, 0) + 0.5) / (labelled_rows + 2) if labelled_rows else 0.0
+    level = float(np.log((prior + 1e-6) / (1 - prior)))
+    toxic, ordinary = counted("t"), counted("o")
+    if not toxic.any() or not ordinary.any():
+        drop_staged(rows)
+        return Model(np.zeros(1 << CELLS, np.float32), 0.0, level, prior)
+    whole = _differences(toxic, ordinary, spread(table["after"].to_numpy()))
+
+    def without(f: int) -> np.ndarray | None:
+        t, o = counted("t", f), counted("o", f)
+        return _differences(t, o, spread(table[f"after{f}"].to_numpy())) if t.any() and o.any() else None
+
+    parts = spark.sparkContext.broadcast([without(f) for f in range(FOLDS)])
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in chunks(batch, "text"):
-                z = _evidence(piece.column("text"), part.value)
-                yield pa.RecordBatch.from_arrays([pa.array(z), piece.column("toxic"), piece.column("k1")], ["z", "toxic", "k1"])
-
-    fitted = rows.where("fitted = 1").mapInArrow(evidence, "z double, toxic int, k1 bigint").orderBy("k1").limit(most_fitted).toArrow()
+                own = piece.column("fold").to_numpy()
+                z = np.full(piece.num_rows, np.nan)
+                for f, delta in enumerate(parts.value):
+                    here = np.flatnonzero(own == f)
+                    if delta is not None and len(here):
+                        z[here] = _evidence(piece.column("text").take(pa.array(here)), delta)
+                yield pa.RecordBatch.from_arrays([pa.array(z), piece.column("k1")], ["z", "k1"])
+
+    drawn = []
+    for c in range(2):
+        mine = rows.where(F.col("toxic") == c)
+        # the smallest hashes; rows that repeat the last one have its text
+        last = mine.select("k1").orderBy("k1").limit(most_fitted).agg(F.max("k1")).first()[0]
+        found = mine.where(F.col("k1") <= last).select("text", "fold", "k1").mapInArrow(evidence, "z double, k1 bigint")
+        drawn.append(found.orderBy("k1").limit(most_fitted).toArrow()["z"].to_numpy())
     drop_staged(rows)
-    z, y = fitted["z"].to_numpy(), fitted["toxic"].to_numpy().astype(float)
-    prior = float((y.sum() + 0.5) / (len(y) + 2)) if len(y) else 0.0
-    z, y = z[~np.isnan(z)], y[~np.isnan(z)]
-    if not (0 < y.sum() < len(y)):
-        return Model(np.zeros(1 << CELLS, np.float32), 0.0, float(np.log((prior + 1e-6) / (1 - prior))), prior)
-    slope, intercept = _curve(z, y)
-    return Model(whole, slope, intercept, prior)
+    share = np.log(size[1] / size[0]) - np.log(len(drawn[1]) / len(drawn[0]))
+    drawn = [z[~np.isnan(z)] for z in drawn]
+    if not len(drawn[0]) or not len(drawn[1]):
+        usual = float(drawn[0].mean()) if len(drawn[0]) else 0.0
+        return Model(whole, DEFAULT_SLOPE, level - DEFAULT_SLOPE * usual, prior)
+    slope, intercept = _curve(np.concatenate(drawn), np.repeat([0.0, 1.0], [len(z) for z in drawn]))
+    return Model(whole, slope, intercept + float(share), prior)
 
 
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
