@@ -1,7 +1,9 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 The units are word stems: the first ``STEM`` letters of each lower-cased word, so that inflected
-forms share their counts. Each class (toxic, ordinary) has an absolute-discount model of its stems;
+forms share their counts. Words end at Unicode white space, punctuation, digits and control characters. Runs of
+more than ``LONG`` letters, and scripts written without spaces at any length, are no single words: they are read
+whole, as overlapping units of ``STEM`` characters (``PAIR`` for ideographs and kana). Each class (toxic, ordinary) has an absolute-discount model of its stems;
 the discounted mass goes to one backoff that both share, the continuation counts: after how many
 different stems a stem is met in either class. A rare expression therefore gets nearly the same
 probability from both. A text's evidence is the difference of the two log-likelihoods per word, minus
@@ -16,20 +18,23 @@ of each class are drawn for it, and the intercept is corrected for the draw.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .frames import bitmap, drop_staged, has, held_out, row_key, stage, training
-from .letters import letters
-from .words import U, chunks, hashed_words
+from .words import U, buffers, chunks, mix
 
 STEM = 4
+PAIR = 2
+LONG = 16
 CELLS = 20
 _BITS = 26
 FOLDS = 4
@@ -49,20 +54,65 @@ class Model:
     prior: float
 
 
+_OUT, _LETTER, _UNSPACED, _IDEOGRAPH, _IGNORED = range(5)
+_WIDTH = np.array([0, STEM, STEM, PAIR, 0])
+# fixed values: Thai to Tibetan, Myanmar, Khmer, Tai Lue and Tai Tham, Javanese, Myanmar extensions, Tai Viet
+_NO_SPACES = ((0x0E00, 0x1000), (0x1000, 0x10A0), (0x1780, 0x1800), (0x1950, 0x1AB0), (0xA980, 0xAAE0))
+# fixed values: ideographs, kana, bopomofo
+_IDEOGRAPHS = ((0x2E80, 0x3130), (0x3190, 0xA000), (0xF900, 0xFB00), (0xFF66, 0xFFA0), (0x1AFF0, 0x1B170), (0x20000, 0x40000))
+_classes: list[np.ndarray] = []
+
+
+def _class_of() -> np.ndarray:
+    """The class of each code point; made once in a process."""
+    if not _classes:
+        found = np.full(0x110000, _LETTER, np.uint8)
+        for spans, kind in ((_NO_SPACES, _UNSPACED), (_IDEOGRAPHS, _IDEOGRAPH)):
+            for a, b in spans:
+                found[a:b] = kind
+        for c in range(0x20000):
+            group = unicodedata.category(chr(c))
+            if group[0] in "ZPN" or group == "Cc" or (c < 128 and group[0] != "L"):
+                found[c] = _OUT
+            elif group == "Cf":
+                found[c] = _IGNORED  # joiners and soft hyphens lie inside words
+        found[0x200B] = _OUT  # but this is a space
+        found[0x3007] = _IDEOGRAPH
+        found[0xFE00:0xFE10] = _IGNORED
+        found[0xE0000:0xE1000] = _IGNORED
+        _classes.append(found)
+    return _classes[0]
+
+
 def stems(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The cell of each word's stem, and the bounds of the texts in them."""
-    data, bounds = letters(texts)
-    first = (data & 0xC0) != 0x80  # the first byte of a character
-    place = np.cumsum(first)
-    space = np.flatnonzero(data == 32)
-    before = np.zeros(len(data), np.int64)
-    if len(space):
-        # characters up to the space before each byte
-        before = place[space][np.maximum(np.searchsorted(space, np.arange(len(data)), "right") - 1, 0)]
-    keep = (data == 32) | (place - before <= STEM)
-    offsets = np.concatenate([[0], np.cumsum(keep)])[bounds]
-    hashes, _, _, own = hashed_words(data[keep], offsets)
-    return (hashes >> U(64 - CELLS)).astype(np.int64), own
+    """The cell of each unit in order, and the bounds of the texts in them."""
+    texts = pc.utf8_lower(texts.fill_null(""))
+    data, offsets = buffers(texts)
+    code = np.frombuffer(data[offsets[0] : offsets[-1]].tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    bounds = np.concatenate([[0], np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)])
+    kind = _class_of()[code]
+    keep = kind != _IGNORED
+    if not keep.all():
+        bounds = np.concatenate([[0], np.cumsum(keep)])[bounds]
+        code, kind = code[keep], kind[keep]
+    if not len(code):
+        return np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
+    # runs of one class within one text
+    edge = np.ones(len(code) + 1, bool)
+    edge[1:-1] = kind[1:] != kind[:-1]
+    edge[bounds] = True
+    edges = np.flatnonzero(edge)
+    first, size, kind = edges[:-1], np.diff(edges), kind[edges[:-1]]
+    width = _WIDTH[kind]
+    whole = (kind == _LETTER) & (size <= LONG)
+    units = np.where(kind == _OUT, 0, np.where(whole, 1, np.maximum(size - width + 1, 1)))
+    total = np.concatenate([[0], np.cumsum(units)])
+    start = np.arange(total[-1]) + np.repeat(first - total[:-1], units)
+    end = np.minimum(start + np.repeat(width, units), np.repeat(first + size, units))
+    value = np.zeros(len(start), U)
+    for j in range(STEM):
+        value = value * U(0x9E3779B97F4A7C15) + np.where(start + j < end, code[np.minimum(start + j, len(code) - 1)] + 1, 0).astype(U)
+    return (mix(value) >> U(64 - CELLS)).astype(np.int64), np.searchsorted(start, bounds)
 
 
 _KINDS = [f"{c}{f}" for c in "ot" for f in range(FOLDS)]
