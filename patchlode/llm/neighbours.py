@@ -168,20 +168,34 @@ def _block(shared, k: int, everything: bool) -> Callable:
         for d in range(x.shape[1]):
             exact += q[:, d, None] * distinct[top, d]
         exact[np.isneginf(np.take_along_axis(scores, top, 1))] = -np.inf
-        members = [ids[g] for g in np.split(np.argsort(group.ravel(), kind="stable"), np.cumsum(np.bincount(group.ravel()))[:-1])]
+        members = [np.unique(ids[g]) for g in np.split(np.argsort(group.ravel(), kind="stable"), np.cumsum(np.bincount(group.ravel()))[:-1])]
         found: tuple[list, list, list] = ([], [], [])
-        for i in range(len(q)):
-            near = top[i][~np.isneginf(exact[i])]
-            value = exact[i][~np.isneginf(exact[i])]
+
+        def ranked(i: int, near: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """The first k ids, each with its best score."""
             parts = [members[u][: k + 1] for u in near]
             own = np.concatenate(parts) if parts else np.zeros(0, np.int64)
             score = np.repeat(value, [len(p) for p in parts])
             other = own != query_ids[i]
             own, score = own[other], score[other]
-            order = np.lexsort((own, -score))[:k]
-            found[0].append(np.full(len(order), query_ids[i]))
-            found[1].append(own[order])
-            found[2].append(score[order])
+            order = np.lexsort((own, -score))
+            _, best_of_id = np.unique(own[order], return_index=True)
+            order = order[np.sort(best_of_id)][:k]
+            return own[order], score[order]
+
+        for i in range(len(q)):
+            near = top[i][~np.isneginf(exact[i])]
+            own, score = ranked(i, near, exact[i][~np.isneginf(exact[i])])
+            if len(own) < k and len(near) == keep < len(distinct):
+                # vectors of few ids took all the places: all visited vectors are read
+                near = np.flatnonzero(~np.isneginf(scores[i]))
+                value = np.zeros(len(near))
+                for d in range(x.shape[1]):
+                    value += q[i, d] * distinct[near, d]
+                own, score = ranked(i, near, value)
+            found[0].append(np.full(len(own), query_ids[i]))
+            found[1].append(own)
+            found[2].append(score)
         return pa.table([np.concatenate(f) for f in found], schema=schema)
 
     return best
@@ -227,11 +241,13 @@ def nearest(
     """
     spark = vectors.sparkSession
     asked = vectors.where(queries).select(F.col(id_col).alias("id")).distinct()
-    usable = _usable(vectors, id_col, vector_col)
+    # rows repeated as a whole are one row
+    usable = stage(_usable(vectors, id_col, vector_col).distinct(), "vectors")
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
     kinds = usable.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"), F.max(length).alias("norm"))
     most = kinds.orderBy(F.desc("n"), "d").first()
     if most is None:
+        drop_staged(usable)
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     rows = usable.where(F.size("vector") == most["d"])
     sought = usable.join(asked, "id", "left_semi").where(F.size("vector") == most["d"])
@@ -260,9 +276,8 @@ def nearest(
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
     def merged(found: DataFrame) -> DataFrame:
-        # a row is found once per table and repetition at most; the first limit also runs before the shuffle
-        few = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k * tables).drop("rank")
-        once = few.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        # an id is one candidate, however often it is found
+        once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
         return once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
     found = stage(merged(blocks(placed, probes, False)), "neighbours")
@@ -274,6 +289,6 @@ def nearest(
         one = [F.lit(0).alias("t"), F.lit(0).cast("bigint").alias("cell"), "id", "vector"]
         every = merged(blocks(rows.select(*one, F.lit(b"").alias("code")), short.select(*one, F.lit(0.0).alias("cut")), True))
         result = found.join(short.select(F.col("id").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(stage(every, "neighbours"))
-    for table in (placed, probes):
+    for table in (placed, probes, usable):
         drop_staged(table)
     return result.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
