@@ -15,6 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from patchlode.plans.fixtures import FIXTURE_SQL, Tables  # noqa: E402
 from patchlode.plans.inputs import patterns  # noqa: E402
+from patchlode.plans.q_search import code_index, written_index  # noqa: E402
 from patchlode.plans.registry import queries  # noqa: E402
 from patchlode.session import build_session  # noqa: E402
 
@@ -56,6 +57,8 @@ def main() -> None:
     for name in FIXTURE_SQL:
         getattr(tables, name)
     patterns(tables)  # and the records and instances that it starts from
+    code_index(tables)
+    written_index(tables)
     prepare = time.time() - began
 
     builds, seconds = queries(), {}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import LANGUAGE_EXTENSIONS
@@ -25,27 +25,35 @@ def distinct_terms(corpus: DataFrame, keys: tuple[str, ...], content: str = "con
     return corpus.select(*keys, F.explode(terms).alias("term"))
 
 
-def tfidf_terms(
-    corpus: DataFrame,
-    keys: tuple[str, ...] = ("path",),
-    content: str = "content",
-    base_query: str | None = None,
-    min_length: int = 3,
-) -> DataFrame:
-    """Sum over all files of the L2-normalised binary TF-IDF weight of each term.
+#: Terms in more than this share of all pairs of file and term are joined by broadcast: at most its inverse of them.
+HEAVY_SHARE = 1 / 10_000
+
 
-    Smoothed idf = ln((1 + files) / (1 + files with the term)) + 1. Words of ``base_query`` and
-    short words are left out of the result (not of the norms). ``keys`` must identify a file.
+def with_idf(pairs: DataFrame, total: Column | int, heavy_share: float = HEAVY_SHARE) -> DataFrame:
+    """Pairs of file and term with the smoothed idf of the term, ln((1 + files) / (1 + files with the term)) + 1.
 
-    Texts are cut into words once: the pairs of file and word are staged, and the frequencies and
-    weights start from them. The words are joined with their idf once. The norm is a window over the words of one file
-    (no larger than the file was), so it need not be joined back.
+    A term of most files would be a hot key of a join. All counts are known before it, so terms in more than ``heavy_share`` of the pairs
+    are split off: there are at most 1 / ``heavy_share`` of them, which is the bound of their broadcast. The others meet
+    their idf by a shuffle in which no key has more than ``heavy_share`` of the rows. ``pairs`` should be staged.
     """
-    pairs = stage(distinct_terms(corpus, keys, content), "terms")
-    frequency = pairs.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    total = corpus.agg(F.count(F.lit(1)).alias("n")).scalar()
-    idf = frequency.select("term", (F.ln((total + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    weighted = pairs.join(idf, "term")
+    frequency = stage(pairs.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequency")
+    idf = frequency.select("term", "df", (F.ln((total + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    limit = (frequency.agg(F.sum("df")).first()[0] or 0) * heavy_share
+    heavy = F.broadcast(idf.filter(F.col("df") > limit).drop("df"))
+    light = idf.filter(F.col("df") <= limit).drop("df")
+    met = pairs.join(heavy, "term")
+    rest = pairs.join(heavy.select("term"), "term", "left_anti").join(light, "term")
+    return met.unionByName(rest)
+
+
+def term_scores(pairs: DataFrame, keys: tuple[str, ...], total: Column | int, base_query: str | None = None, min_length: int = 3) -> DataFrame:
+    """Sum over all files of the L2-normalised binary TF-IDF weight of each term, from staged pairs of file and term.
+
+    Words of ``base_query`` and short words are left out of the result (not of the norms). The norm is a window over the words
+    of one file (no larger than the file was), so it need not be joined back; the sum per term is partly done before its shuffle,
+    so a term of all files sends one row per task.
+    """
+    weighted = with_idf(pairs, total)
     of_file = Window.partitionBy(*keys)
     norm = F.sqrt(F.sum(F.col("idf") * F.col("idf")).over(of_file))
     weights = weighted.select("term", "idf", norm.alias("norm"))
@@ -56,6 +64,18 @@ def tfidf_terms(
     return kept
 
 
+def tfidf_terms(
+    corpus: DataFrame,
+    keys: tuple[str, ...] = ("path",),
+    content: str = "content",
+    base_query: str | None = None,
+    min_length: int = 3,
+) -> DataFrame:
+    """``term_scores`` of a corpus. ``keys`` must identify a file. Texts are cut into words once; the pairs of file and word are staged."""
+    pairs = stage(distinct_terms(corpus, keys, content), "terms")
+    return term_scores(pairs, keys, corpus.count(), base_query, min_length)
+
+
 def top_terms(scores: DataFrame, top_n: int = 10) -> DataFrame:
     """The best terms, ties in alphabetical order."""
     return scores.orderBy(F.desc(F.round("score", 6)), "term").limit(top_n)

@@ -9,16 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import snippet_terms
-from ..functions.text import blank, snippet, words
+from ..functions.text import blank, snippet
+from ..session import stage
+from .lookup import MOST_BROADCAST, late_lookup
+from .postings import GROUPS, CodeIndex, build_index, keyword_marks, search_index
 from .report import with_query_text
 
-GROUPS = ("source_kw", "sink_kw", "not_kw")
-# Queries of one block; a block is a row of the query side, so it bounds what a file meets at once.
-BLOCK = 1000
 SALTS = 64
 PAGE_SIZE = 100
 MAX_PAGES = 5
@@ -30,51 +30,26 @@ def distinct_queries(queries: DataFrame) -> DataFrame:
     return grouped.agg(F.min(F.struct(*GROUPS)).alias("g")).select("github_query", "g.*")
 
 
-def query_blocks(queries: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """The query list in blocks of about ``BLOCK`` queries: the words of a block once, and its queries."""
-    blocks = queries.agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("n")).scalar()
-    number = F.pmod(F.xxhash64("github_query"), F.greatest(blocks, F.lit(1)))
-    fields = ["github_query", *carry, *GROUPS]
-    grouped = queries.groupBy(number.alias("block")).agg(F.collect_list(F.struct(*fields)).alias("_queries"))
-    words = F.array_distinct(F.flatten(F.transform("_queries", lambda q: F.concat(*[q[g] for g in GROUPS]))))
-    return grouped.select("_queries", words.alias("_words"))
-
-
-def _search(
-    corpus: DataFrame, queries: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()
-) -> DataFrame:
-    """Every file against every block of queries, in one pass over the corpus.
-
-    A word is looked up once per file and block, however many queries name it; the groups of a query are then
-    decided on the words found. The corpus is neither shuffled nor grouped, rows that repeat their keys give
-    their hits each, and the same plan serves any number of queries.
-    """
-    present = F.filter("_words", lambda w: F.contains(F.col("content"), w))
-    met = corpus.join(query_blocks(queries, carry)).withColumn("_present", present)
-
-    def holds(words: Column) -> Column:
-        return (F.size(words) == 0) | F.arrays_overlap(words, F.col("_present"))
-
-    hits = F.filter(
-        "_queries",
-        lambda q: holds(q["source_kw"]) & holds(q["sink_kw"]) & ~F.arrays_overlap(q["not_kw"], F.col("_present")),
-    )
-    fields = ["github_query", *carry]
-    found = F.transform(hits, lambda q: F.struct(*[q[f].alias(f) for f in fields]))
-    return met.select(*keys, F.inline(found))
-
-
 def search_corpus(
     corpus: DataFrame,
     queries: DataFrame,
     *,
     language: str | None = "java",
     keys: Sequence[str] = ("repository", "path"),
+    index: CodeIndex | None = None,
 ) -> DataFrame:
-    """All (file, query) hits. ``corpus`` has ``content`` and, for the language filter, ``lang``."""
+    """All (file, query) hits. ``corpus`` has ``content`` and, for the language filter, ``lang``.
+
+    The search goes through an index of the corpus, see ``postings``: one that was written before (the corpus and
+    language are then its own), or one made for this search.
+    """
+    return search_index(index or _index_of(corpus, language, keys), distinct_queries(queries))
+
+
+def _index_of(corpus: DataFrame, language: str | None, keys: Sequence[str]) -> CodeIndex:
     if language:
         corpus = corpus.filter(F.lower("lang") == language.lower())
-    return _search(corpus, distinct_queries(queries), keys)
+    return build_index(corpus, keys)
 
 
 def cap_per_query(
@@ -163,6 +138,7 @@ def adaptive_search(
     max_results: int | None = 1000,
     tried: DataFrame | None = None,
     keys: Sequence[str] = ("repository", "path"),
+    index: CodeIndex | None = None,
 ) -> DataFrame:
     """Hits per query, narrowed by further keywords as long as a search is saturated.
 
@@ -172,14 +148,14 @@ def adaptive_search(
     their repository is new to the wider one. A keyword is matched as a whole word in any letter case,
     as term scores give it; the caller chooses how many there are (the usual ten make six searches).
 
-    All searches are answered by one pass over the corpus: each hit is marked with how many of
-    the keywords it holds in order, and a search keeps the hits with a long enough mark. A
+    All searches are answered by one search of the index: each hit is marked with how many of
+    the keywords its file holds in order, from the postings of these keywords alone, and a search keeps the hits with a long enough mark. A
     text already in ``tried`` (column ``tried_query``) is not sent: its search gives nothing and
     leads to no other. ``adaptive_run`` also returns the texts that were sent.
     """
     return adaptive_run(
         corpus, queries, keywords, language=language, page_size=page_size, max_pages=max_pages,
-        max_results=max_results, tried=tried, keys=keys,
+        max_results=max_results, tried=tried, keys=keys, index=index,
     )[0]
 
 
@@ -194,12 +170,13 @@ def adaptive_run(
     max_results: int | None = 1000,
     tried: DataFrame | None = None,
     keys: Sequence[str] = ("repository", "path"),
+    index: CodeIndex | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The hits of ``adaptive_search``, and the texts it sent (github_query, tried_query)."""
     keywords = list(keywords)
     limit = page_size * max_pages
-    if language:
-        corpus = corpus.filter(F.lower("lang") == language.lower())
+    index = index or _index_of(corpus, language, keys)
+    keys = index.keys
     distinct = distinct_queries(queries)
     texts = search_texts(distinct, keywords)
     if tried is not None:
@@ -216,13 +193,8 @@ def adaptive_run(
     # Keywords needed by each search.
     depths = [min(1, len(keywords)), *(min(n + 2, len(keywords)) for n in range(1, len(keywords), 2))]
 
-    tokens = F.array_distinct(words(F.lower("content")))
-    held = F.lit(0)
-    for word in reversed(keywords):
-        here = F.array_contains("_tokens", F.lit(word.lower()))
-        held = F.when(here, held + 1).otherwise(F.lit(0))
-    marked = corpus.withColumn("_tokens", tokens).withColumn("held", held).drop("_tokens")
-    hits = _search(marked, distinct, (*keys, "held"), ("allowed",))
+    hits = search_index(index, distinct, ("allowed",), keyword_marks(index, keywords))
+    hits = hits.withColumn("held", F.coalesce("held", F.lit(0)))
 
     # One row per hit and search that would return it; the first page of each search.
     searches = F.array(
@@ -236,9 +208,13 @@ def adaptive_run(
         *keys,
         F.explode(F.filter(searches, lambda level: level.isNotNull())).alias("level"),
     )
+    # in parts first, so that no task sorts all hits of one query
+    most = limit if max_results is None else min(limit, max_results)
+    part = Window.partitionBy("github_query", "level", "_salt").orderBy(*keys)
+    few = rows.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(SALTS))).withColumn("_place", F.row_number().over(part))
     page = Window.partitionBy("github_query", "level").orderBy(*keys)
-    pages = rows.withColumn("rank", F.row_number().over(page)).filter(
-        F.col("rank") <= (limit if max_results is None else min(limit, max_results))
+    pages = few.filter(F.col("_place") <= most).drop("_salt", "_place").withColumn("rank", F.row_number().over(page)).filter(
+        F.col("rank") <= most
     )
 
     # From here on there are at most six pages per query. A search runs if all wider ones fill.
@@ -343,12 +319,14 @@ def assemble_results(
     seen: DataFrame | None = None,
     keys: Sequence[str] = ("repository", "path"),
     context_lines: int = 3,
+    most_broadcast: int = MOST_BROADCAST,
 ) -> DataFrame:
     """Flat result table: one hit per popular repository that is new, with a snippet.
 
     ``queries`` gives the metadata of each query text; of several rows with the same text the
     first in (pattern_key, cwe_id) order counts. Hits may be numbered (``hit_ord``) or not; then the
-    order of their keys counts. File contents are joined last, to one hit per repository.
+    order of their keys counts. File contents are looked up last, for one hit per repository: texts of other files are
+    not shuffled, see ``late_lookup``.
     """
     meta = queries.filter(~blank(F.col("github_query"))).groupBy("github_query").agg(
         F.min(F.struct("pattern_key", "cwe_id", "cwe_name")).alias("m")
@@ -359,7 +337,7 @@ def assemble_results(
     found = popular(with_stars(hits, repositories), min_stars).join(meta, "github_query")
     place = ("hit_ord",) if "hit_ord" in hits.columns else tuple(k for k in keys if k != "repository")
     chosen = first_per_repository(found, ("pattern_key", "cwe_id", "github_query", *place))
-    full = chosen.join(corpus.select(*keys, "content"), list(keys))
+    full = late_lookup(stage(chosen, "chosen"), corpus, keys, ("content",), most_broadcast)
     return full.select(
         "pattern_key",
         "cwe_id",

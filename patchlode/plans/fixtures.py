@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import stage
+from ..session import stage, stage_path
 
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -217,6 +217,7 @@ def with_sql(final: str, *registries: Mapping[str, str]) -> str:
 # Derived without a shuffle: as many partitions as the input has.
 ROW_BY_ROW = ("corpus_text", "hits")
 _STAGED: dict[tuple[str, str, int, str], DataFrame] = {}
+_FOLDERS: dict[tuple[str, str, int, str], str] = {}
 
 
 class Tables:
@@ -245,6 +246,15 @@ class Tables:
             _STAGED[key] = stage(build(), name)
         return _STAGED[key]
 
+    def staged_folder(self, name: str, write: Callable[[str], object]) -> str:
+        """A folder written under this name, now if this session has not done so."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, _changed_at(self.spark, self.sf_dir), name)
+        if key not in _FOLDERS:
+            path = stage_path(self.spark, name)
+            write(path)
+            _FOLDERS[key] = path
+        return _FOLDERS[key]
+
     def _derive(self, name: str) -> DataFrame:
         used = [t for t in (*BASE_TABLES, *FIXTURE_SQL) if t != name]
         for other in used:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.patterns import snippet_terms
 from ..functions.text import snippet
+from ..operators import postings as P
 from ..operators import search as Q
 from ..operators.corpus import distinct_terms, files_of_language, tfidf_terms, top_terms
 from .fixtures import Tables
@@ -15,10 +16,20 @@ from .registry import query
 from .search_run import run_search, widening_words
 
 HIT = "github_query, repository, path"
+P_KEYS = ("repository", "path")
+
+
+def code_index(t: Tables) -> P.CodeIndex:
+    """The index of all Java files, written once per session like the tables themselves."""
+    java = t.corpus_code.filter("lang = 'java'")
+    files = t.staged("index_files", lambda: P.index_files(java, P_KEYS))
+    postings = t.staged("index_postings", lambda: P.index_postings(files))
+    grams = t.staged("index_grams", lambda: P.index_grams(postings))
+    return P.CodeIndex(files, postings, grams, P_KEYS)
 
 
 def code_hits(t: Tables) -> DataFrame:
-    return Q.search_corpus(t.corpus_code, patterns(t))
+    return Q.search_corpus(t.corpus_code, patterns(t), index=code_index(t))
 
 
 @query("srch1_inline_search", f"SELECT {HIT} FROM code_hits")
@@ -26,13 +37,43 @@ def _(t: Tables) -> DataFrame:
     return code_hits(t)
 
 
-@query(
-    "srch2_posting_search",
-    f"SELECT {HIT} FROM code_hits UNION ALL SELECT {HIT} FROM code_hits",
+def written_index(t: Tables) -> P.CodeIndex:
+    """The same index, written as a whole and opened again."""
+    folder = t.staged_folder("code_index", lambda path: P.write_index(t.corpus_code.filter("lang = 'java'"), path, P_KEYS))
+    return P.open_index(t.spark, folder, P_KEYS)
+
+
+# (sources, sinks, excluded): words that are parts of words, several words, and signs
+PHRASES = (
+    (("request.getParameter(", "getHead"), ("new File(", "execute", "out.print"), ("ps.setString",)),
+    (("HttpServletRequest request) {",), (), ("println(b)",)),
+    ((), ("Stream(", "+ a;"), ("getP",)),
+    (("=",), ("readObject();", "b6"), ()),
+    ((), (), ("String", "(")),
+    (("no such words here",), ("out",), ()),
 )
+
+
+def _phrases_sql() -> str:
+    def words(group: tuple[str, ...]) -> str:
+        return "[" + ", ".join(f"'{w}'" for w in group) + "]::VARCHAR[]"
+
+    rows = ", ".join(f"({n}, {', '.join(map(words, groups))})" for n, groups in enumerate(PHRASES))
+    return f"""
+        SELECT 'phrase ' || n AS github_query, repository, path
+        FROM corpus_code c, (VALUES {rows}) q(n, source_kw, sink_kw, not_kw)
+        WHERE lang = 'java' AND (len(source_kw) = 0 OR len(list_filter(source_kw, lambda w: contains(c.content, w))) > 0)
+          AND (len(sink_kw) = 0 OR len(list_filter(sink_kw, lambda w: contains(c.content, w))) > 0)
+          AND len(list_filter(not_kw, lambda w: contains(c.content, w))) = 0"""
+
+
+@query("srch2_posting_search", f"SELECT {HIT} FROM code_hits UNION ALL {_phrases_sql()}")
 def _(t: Tables) -> DataFrame:
-    """A corpus that holds every file twice gives every hit twice."""
-    return Q.search_corpus(t.corpus_code.union(t.corpus_code), patterns(t))
+    """Patterns, and queries of word parts, phrases and signs, through an index that was written and opened again."""
+    rows = [(f"phrase {n}", *map(list, groups)) for n, groups in enumerate(PHRASES)]
+    phrases = t.spark.createDataFrame(rows, "github_query string, source_kw array<string>, sink_kw array<string>, not_kw array<string>")
+    queries = Q.distinct_queries(patterns(t)).unionByName(phrases)
+    return P.search_index(written_index(t), queries)
 
 
 @query(
@@ -225,7 +266,7 @@ def _(t: Tables) -> DataFrame:
 PAGE, RESULTS, N_WORDS = 20, 35, 5
 
 
-def _search_sql() -> str:
+def _search_sql(page: int = PAGE, results: int = RESULTS) -> str:
     """The searches one after the other, each capped, merged from the narrowest outwards; the words
     that widen them are the best terms of the code corpus."""
     pages = []
@@ -236,7 +277,7 @@ def _search_sql() -> str:
             holds += f" AND NOT contains(github_query || ' ' || array_to_string(w[1:{n}], ' '), w[{n + 1}])"
         full = (
             f"AND github_query IN (SELECT github_query FROM page{level - 1} GROUP BY github_query"
-            f" HAVING count(*) >= {PAGE})"
+            f" HAVING count(*) >= {page})"
             if level
             else ""
         )
@@ -247,7 +288,7 @@ def _search_sql() -> str:
             FROM code_hits JOIN code_tokens USING (repository, path), code_words
             WHERE {holds} {full}
             QUALIFY row_number() OVER (PARTITION BY github_query
-                     ORDER BY repository, path) <= {PAGE})"""
+                     ORDER BY repository, path) <= {page})"""
         )
     merges, inner = [], "page2"
     for level in (1, 0):
@@ -256,7 +297,7 @@ def _search_sql() -> str:
             SELECT * FROM (SELECT * FROM page{level} UNION ALL
               SELECT m.* FROM {inner} m WHERE NOT EXISTS (SELECT 1 FROM page{level} p
                 WHERE p.github_query = m.github_query AND p.repository = m.repository))
-            QUALIFY row_number() OVER (PARTITION BY github_query ORDER BY level, rank) <= {RESULTS})"""
+            QUALIFY row_number() OVER (PARTITION BY github_query ORDER BY level, rank) <= {results})"""
         )
         inner = f"merge{level}"
     return f"""
@@ -268,7 +309,7 @@ def _search_sql() -> str:
 
 def code_words(t: Tables) -> list[str]:
     """The best terms of the code corpus."""
-    return widening_words(t.corpus_code.filter("lang = 'java'"), N_WORDS)
+    return widening_words(code_index(t), N_WORDS)
 
 
 @query("srch3_adaptive_search", f"SELECT * FROM ({_search_sql()})")
@@ -280,12 +321,14 @@ def _(t: Tables) -> DataFrame:
         page_size=PAGE // 4,
         max_pages=4,
         max_results=RESULTS,
+        index=code_index(t),
     )
 
 
+RUN_PAGE, RUN_RESULTS = 4000, 7000
 SEARCHED_SQL = f"""
     SELECT h.github_query, h.repository, h.path, h.hit_ord, coalesce(r.stars_count, 0) AS stars
-    FROM ({_search_sql()}) h LEFT JOIN repository r ON r.repo_url = h.repository
+    FROM ({_search_sql(RUN_PAGE, RUN_RESULTS)}) h LEFT JOIN repository r ON r.repo_url = h.repository
     WHERE h.repository NOT IN ({SEEN_SQL})"""
 
 
@@ -295,7 +338,7 @@ def _(t: Tables) -> DataFrame:
     seen = t.repository.filter("stars_count % 2 = 0").select(F.col("repo_url").alias("repository"))
     return run_search(
         t.corpus_code, patterns(t), t.repository, n_words=N_WORDS, old=seen.withColumn("path", F.lit("")),
-        page_size=PAGE // 4, max_pages=4, max_results=RESULTS,
+        page_size=RUN_PAGE // 4, max_pages=4, max_results=RUN_RESULTS, index=code_index(t),
     ).new
 
 

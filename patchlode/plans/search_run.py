@@ -7,7 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ..operators.corpus import tfidf_terms, top_terms
+from ..operators.corpus import term_scores, top_terms
+from ..operators.postings import CodeIndex, build_index, file_terms
 from ..operators.search import adaptive_run, append_results, assemble_results
 from ..session import stage
 from ..streaming.incremental import tried_after
@@ -22,9 +23,10 @@ class SearchRun:
     tried: DataFrame
 
 
-def widening_words(corpus: DataFrame, n: int = 10, keys: Sequence[str] = ("repository", "path")) -> list[str]:
-    """The n best terms of a corpus; n rows reach the driver."""
-    return [r["term"] for r in top_terms(tfidf_terms(corpus, tuple(keys)), n).collect()]
+def widening_words(index: CodeIndex, n: int = 10) -> list[str]:
+    """The n best terms of an indexed corpus, from its postings; n rows reach the driver."""
+    pairs = stage(file_terms(index), "terms")
+    return [r["term"] for r in top_terms(term_scores(pairs, ("file",), index.files.count()), n).collect()]
 
 
 def run_search(
@@ -39,18 +41,21 @@ def run_search(
     tried: DataFrame | None = None,
     min_stars: int = 100,
     keys: Sequence[str] = ("repository", "path"),
+    index: CodeIndex | None = None,
     **search,
 ) -> SearchRun:
     """Search a corpus with compiled queries and add what is new to the results of earlier runs.
 
+    The search goes through ``index`` if given (an index of the language's files), else through one made now.
     The words that widen the queries are the best terms of the language's files unless given. Repositories of
     ``old`` results are left out, texts in ``tried`` are not sent again. ``search`` goes to ``adaptive_run``. Hits, sent texts and
     new results are staged, since several outputs are built from each.
     """
     files = corpus.filter(f"lower(lang) = '{language.lower()}'")
+    index = index or build_index(files, keys)
     if keywords is None:
-        keywords = widening_words(files, n_words, keys)
-    hits, sent = adaptive_run(files, queries, keywords, language=None, tried=tried, keys=keys, **search)
+        keywords = widening_words(index, n_words)
+    hits, sent = adaptive_run(files, queries, keywords, language=None, tried=tried, keys=keys, index=index, **search)
     hits, sent = stage(hits, "search_hits"), stage(sent, "search_sent")
     new = stage(
         assemble_results(hits, queries, files, repositories, min_stars=min_stars, seen=old, keys=keys), "search_new"
