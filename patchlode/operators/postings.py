@@ -12,8 +12,9 @@ whole term; at its ends it may be the end or the beginning of one, or lie inside
 vocabulary by a gram, never in texts. A keyword of one piece is decided by its postings; of one with several pieces the
 files that hold all of them are verified in the text, and only their texts are read.
 
-Queries meet files on one keyword: of the groups a file must satisfy, the one with the fewest postings leads, and a file
-is tried with a query only if it holds a word of the leading group. So the work follows the hits, not files times queries.
+Sets of files are lists of places in a block. Of the groups a file must satisfy, the one with the fewest postings leads, and a
+query meets only the blocks in which its leading group has files. So there is no join of files with queries, and lists are
+spelled out as rows for hits alone.
 """
 
 from __future__ import annotations
@@ -95,78 +96,106 @@ def build_index(corpus: DataFrame, keys: Sequence[str] = ("repository", "path"))
 
 
 def keyword_pieces(keywords: DataFrame) -> DataFrame:
-    """word -> (word, n, piece_no, piece, how, verify): ``how`` a term must match a piece, and whether the text has the last word."""
+    """word -> (word, verify, n, piece_no, piece, how): what a file with the word must hold, ``how`` a term must match a piece, and
+    whether the text has the last word.
+
+    Single characters between words are left out if the keyword has words too: nearly every file holds them.
+    """
     word = F.col("word")
     parts = F.regexp_extract_all(word, F.lit(f"({WORD}+|(?!{WORD})(?s:.))"), F.lit(1))
     cut = keywords.filter(word != ANY).distinct().withColumn("parts", parts)
-    rows = cut.select("word", F.size("parts").alias("n"), F.posexplode("parts").alias("piece_no", "piece"))
-    letters = F.col("piece").rlike(f"^{WORD}")
-    left, right = letters & (F.col("piece_no") == 0), letters & (F.col("piece_no") == F.col("n") - 1)
-    how = F.when(left & right, "inside").when(left, "end").when(right, "begin").otherwise("whole")
-    return rows.withColumn("how", how).withColumn("verify", F.col("n") > 1)
+    last = F.size("parts") - 1
+
+    def piece(part: Column, place: Column) -> Column:
+        letters = part.rlike(f"^{WORD}")
+        left, right = letters & (place == 0), letters & (place == last)
+        how = F.when(left & right, "inside").when(left, "end").when(right, "begin").otherwise("whole")
+        return F.struct(part.alias("piece"), how.alias("how"), letters.alias("letters"))
+
+    every = cut.select("word", (last > 0).alias("verify"), F.transform("parts", piece).alias("pieces"))
+    named = F.filter("pieces", lambda p: p["letters"])
+    used = every.withColumn("pieces", F.when(F.size(named) > 0, named).otherwise(F.col("pieces")))
+    rows = used.select("word", "verify", F.size("pieces").alias("n"), F.posexplode("pieces").alias("piece_no", "p"))
+    return rows.select("word", "verify", "n", "piece_no", "p.piece", "p.how")
 
 
 def matching_terms(index: CodeIndex, pieces: DataFrame) -> DataFrame:
-    """(word, n, piece_no, term): the terms that a piece can stand in, by one of the piece's grams."""
+    """(word, verify, n, piece_no, term): the terms that a piece can stand in, by one of the piece's grams."""
     gram = F.substring("piece", 1, 3)
     open_ = pieces.filter("how <> 'whole'").withColumn("gram", gram).join(index.grams, "gram")
     fits = F.expr(
         "case how when 'inside' then contains(term, piece) when 'begin' then startswith(term, piece) else endswith(term, piece) end")
     whole = pieces.filter("how = 'whole'").withColumn("term", F.col("piece"))
-    names = ("word", "n", "piece_no", "term")
+    names = ("word", "verify", "n", "piece_no", "term")
     return open_.filter(fits).select(*names).unionByName(whole.select(*names))
 
 
-def keyword_postings(index: CodeIndex, keywords: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The pieces of all keywords; and (word, n, piece_no, block, places) of their terms, staged."""
-    pieces = stage(keyword_pieces(keywords), "pieces")
-    terms = matching_terms(index, pieces)
-    found = index.postings.join(terms, "term").select("word", "n", "piece_no", "block", "places")
-    return pieces, stage(found, "keyword_postings")
+def _union(lists: str) -> Column:
+    return F.array_distinct(F.flatten(F.collect_list(lists))).alias("places")
+
+
+def keyword_postings(index: CodeIndex, pieces: DataFrame) -> DataFrame:
+    """(word, verify, n, piece_no, block, places): the files that hold a term of each piece, staged."""
+    met = index.postings.join(matching_terms(index, pieces), "term")
+    return stage(met.groupBy("word", "verify", "n", "piece_no", "block").agg(_union("places")), "keyword_postings")
 
 
 def _verified(index: CodeIndex, unsure: DataFrame) -> DataFrame:
-    """(file, word) pairs whose text holds the word. Only texts of files in question leave the scan's task."""
-    asked = stage(unsure.groupBy("file").agg(F.collect_list("word").alias("asked")), "unsure")
+    """(word, block, places) of those files whose text holds the word. Only texts of files in question leave the scan's task."""
+    pairs = unsure.select("word", "block", F.explode("places").alias("place")).withColumn("file", F.expr(f"block * {BLOCK} + place"))
+    asked = stage(pairs.groupBy("file").agg(F.collect_list("word").alias("asked")), "unsure")
     rows = asked.count()
     texts = index.files.select("file", "content")
     if rows <= MOST_BROADCAST:
         met = texts.join(F.broadcast(asked), "file")
     else:
         met = may_hold(texts, asked, ["file"], rows).join(asked, "file")
-    return met.select("file", F.explode(F.filter("asked", lambda w: F.contains(F.col("content"), w))).alias("word"))
-
-
-def files_of_keywords(index: CodeIndex, pieces: DataFrame, found: DataFrame, everything: bool = False) -> DataFrame:
-    """(file, keys, present): the keywords that each file holds; with ``everything`` also files without any, and ``ANY`` in all."""
-    number = F.expr(f"block * {BLOCK} + place")
-    pairs = found.select("word", "n", "piece_no", "block", F.explode("places").alias("place")).select(number.alias("file"), "word", "n", "piece_no")
-    sure = pairs.filter("n = 1").select("file", "word").repartition("file").distinct()
-    if not pieces.filter("verify").isEmpty():
-        several = pairs.filter("n > 1").repartition("file").groupBy("file", "word", "n").agg(F.count_distinct("piece_no").alias("met"))
-        sure = sure.unionByName(_verified(index, several.filter("met = n").select("file", "word")))
-    present = sure.groupBy("file").agg(F.collect_set("word").alias("present"))
-    files = index.files.select("file", *index.keys)
-    if not everything:
-        return files.join(present, "file")
-    held = F.concat(F.coalesce("present", F.array().cast(STRING_ARRAY)), F.array(F.lit(ANY)))
-    return files.join(present, "file", "left").withColumn("present", held)
-
-
-def _leading(queries: DataFrame, found: DataFrame, carry: Sequence[str]) -> DataFrame:
-    """(github_query, carry, lead, other, not_kw): the required group with the fewest postings, and the other one."""
+    held = met.select("file", F.explode(F.filter("asked", lambda w: F.contains(F.col("content"), w))).alias("word"))
+    block, place = F.expr(f"file div {BLOCK}").alias("block"), F.expr(f"cast(file % {BLOCK} as int)")
+    return held.groupBy("word", block).agg(F.collect_list(place).alias("places"))
+
+
+def keyword_files(index: CodeIndex, found: DataFrame) -> DataFrame:
+    """(word, block, places): the files that hold each keyword."""
+    sure = found.filter("not verify").select("word", "block", "places")
+    unsure = found.filter("verify")
+    if unsure.isEmpty():
+        return sure
+    lists = unsure.groupBy("word", "n", "block").agg(F.collect_list("places").alias("lists")).filter("size(lists) = n")
+    all_ = F.aggregate(F.slice("lists", 2, F.col("n")), F.get("lists", F.lit(0)), F.array_intersect)
+    return sure.unionByName(_verified(index, lists.select("word", "block", all_.alias("places"))))
+
+
+def _group_key(group: str) -> Column:
+    return F.to_json(F.array_sort(F.array_distinct(group)))
+
+
+def _leading(queries: DataFrame, found: DataFrame) -> DataFrame:
+    """Queries with keys of the required group that has the fewest postings (``lead``), of the other one (``other``, null if there is none)
+    and of the excluded words (``excluded``, likewise)."""
     of_piece = found.groupBy("word", "piece_no").agg(F.sum(F.size("places")).alias("files"))
     of_word = of_piece.groupBy("word").agg(F.min("files").alias("files"))
     named = queries.select("github_query", F.explode(F.array(*[F.struct(F.lit(g).alias("group"), F.col(g).alias("words")) for g in GROUPS[:2]])).alias("g"))
     each = named.select("github_query", "g.group", F.explode("g.words").alias("word"))
     weights = each.join(of_word, "word", "left").groupBy("github_query").pivot("group", list(GROUPS[:2])).agg(F.sum(F.coalesce("files", F.lit(0))))
     sized = queries.join(weights.toDF("github_query", "_sources", "_sinks"), "github_query", "left")
-    sources, sinks = (F.size(g) > 0 for g in GROUPS[:2])
+    sources, sinks, excluded = (F.size(g) > 0 for g in GROUPS)
     by_source = sources & (~sinks | (F.col("_sources") <= F.col("_sinks")))
-    none = F.array().cast(STRING_ARRAY)
-    lead = F.when(by_source, F.col("source_kw")).when(sinks, F.col("sink_kw")).otherwise(F.array(F.lit(ANY)))
-    other = F.when(by_source, F.col("sink_kw")).when(sinks, F.col("source_kw")).otherwise(none)
-    return sized.select("github_query", *carry, lead.alias("lead"), other.alias("other"), "not_kw")
+    source, sink = _group_key("source_kw"), _group_key("sink_kw")
+    lead = F.when(by_source, source).when(sinks, sink).otherwise(F.to_json(F.array(F.lit(ANY))))
+    other = F.when(sources & sinks, F.when(by_source, sink).otherwise(source))
+    return sized.withColumns({"lead": lead, "other": other, "excluded": F.when(excluded, _group_key("not_kw"))}).drop("_sources", "_sinks")
+
+
+def group_files(index: CodeIndex, queries: DataFrame, words_: DataFrame) -> DataFrame:
+    """(key, block, files): the files that hold any word of each distinct group of keywords."""
+    keys = queries.select(F.explode(F.array("lead", "other", "excluded")).alias("key")).filter("key is not null").distinct()
+    each = keys.select("key", F.explode(F.from_json("key", "array<string>")).alias("word"))
+    if not each.filter(F.col("word") == ANY).isEmpty():
+        block, place = F.expr(f"file div {BLOCK}").alias("block"), F.expr(f"cast(file % {BLOCK} as int)")
+        every = index.files.groupBy(block).agg(F.collect_list(place).alias("places"))
+        words_ = words_.unionByName(every.select(F.lit(ANY).alias("word"), "block", "places"))
+    return words_.join(each, "word").groupBy("key", "block").agg(_union("places")).withColumnRenamed("places", "files")
 
 
 def search_index(
@@ -177,24 +206,29 @@ def search_index(
     ``queries`` has one row per text with its keyword arrays (a file must hold any source word, any sink word and no
     excluded word; an empty group is always satisfied). ``marks`` are further columns of files, by ``file``; files without
     them get nulls.
+
+    Sets of files stay lists of places in a block until the hits are known. Groups that queries share are made once. A query meets
+    only the blocks of its leading group.
     """
     queries = stage(queries.select("github_query", *carry, *GROUPS), "queries")
     spelled = queries.select(F.explode(F.concat(*GROUPS)).alias("word")).distinct()
-    pieces, found = keyword_postings(index, spelled)
-    led = stage(_leading(queries, found, carry), "led")
-    everything = not led.filter(F.array_contains("lead", ANY) | F.array_contains("other", ANY) | F.array_contains("not_kw", ANY)).isEmpty()
-    held = files_of_keywords(index, pieces, found, everything)
-    more: list[str] = []
+    found = keyword_postings(index, keyword_pieces(spelled))
+    led = stage(_leading(queries, found), "led")
+    groups = stage(group_files(index, led, keyword_files(index, found)), "groups")
+
+    def of(role: str) -> DataFrame:
+        return groups.select(F.col("key").alias(role), "block", F.col("files").alias(f"{role}_files"))
+
+    met = led.join(of("lead"), "lead").join(of("other"), ["other", "block"], "left").join(of("excluded"), ["excluded", "block"], "left")
+    both = F.when(F.col("other").isNull(), F.col("lead_files")).otherwise(F.array_intersect("lead_files", "other_files"))
+    left = F.when(F.col("excluded_files").isNull(), both).otherwise(F.array_except(both, "excluded_files"))
+    hits = met.select("github_query", *carry, F.col("block"), F.explode(left).alias("place"))
+    numbered = hits.withColumn("file", F.expr(f"block * {BLOCK} + place"))
+    files, more = index.files.select("file", *index.keys), []
     if marks is not None:
         more = [c for c in marks.columns if c != "file"]
-        held = held.join(marks, "file", "left")
-    by_word = led.select("*", F.explode(F.array_distinct("lead")).alias("word"))
-    tried = held.select(*index.keys, *more, "present", F.explode("present").alias("word")).join(by_word, "word")
-    # of several leading words that a file holds, the first one gives the hit
-    first = F.get(F.filter("lead", lambda w: F.array_contains("present", w)), F.lit(0))
-    other = (F.size("other") == 0) | F.arrays_overlap("other", "present")
-    hit = (F.col("word") == first) & other & ~F.arrays_overlap("not_kw", "present")
-    return tried.filter(hit).select("github_query", *index.keys, *carry, *more)
+        files = files.join(marks, "file", "left")
+    return numbered.join(files, "file").select("github_query", *index.keys, *carry, *more)
 
 
 def file_terms(index: CodeIndex) -> DataFrame:
