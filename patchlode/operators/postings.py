@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import STRING_ARRAY, WORD, words
@@ -135,9 +135,9 @@ def _union(lists: str) -> Column:
 
 
 def keyword_postings(index: CodeIndex, pieces: DataFrame) -> DataFrame:
-    """(word, verify, n, piece_no, block, places): the files that hold a term of each piece, staged."""
+    """(word, verify, n, piece_no, block, places): the files that hold a term of each piece."""
     met = index.postings.join(matching_terms(index, pieces), "term")
-    return stage(met.groupBy("word", "verify", "n", "piece_no", "block").agg(_union("places")), "keyword_postings")
+    return met.groupBy("word", "verify", "n", "piece_no", "block").agg(_union("places"))
 
 
 def _verified(index: CodeIndex, unsure: DataFrame) -> DataFrame:
@@ -155,47 +155,53 @@ def _verified(index: CodeIndex, unsure: DataFrame) -> DataFrame:
     return held.groupBy("word", block).agg(F.collect_list(place).alias("places"))
 
 
-def keyword_files(index: CodeIndex, found: DataFrame) -> DataFrame:
+def keyword_files(index: CodeIndex, keywords: DataFrame) -> DataFrame:
     """(word, block, places): the files that hold each keyword."""
-    sure = found.filter("not verify").select("word", "block", "places")
-    unsure = found.filter("verify")
-    if unsure.isEmpty():
-        return sure
-    lists = unsure.groupBy("word", "n", "block").agg(F.collect_list("places").alias("lists")).filter("size(lists) = n")
+    pieces = keyword_pieces(keywords)
+    found = keyword_postings(index, pieces)
+    if pieces.filter("verify").isEmpty():
+        return found.select("word", "block", "places")
+    found = stage(found, "keyword_postings")
+    lists = found.filter("verify").groupBy("word", "n", "block").agg(F.collect_list("places").alias("lists")).filter("size(lists) = n")
     all_ = F.aggregate(F.slice("lists", 2, F.col("n")), F.get("lists", F.lit(0)), F.array_intersect)
+    sure = found.filter("not verify").select("word", "block", "places")
     return sure.unionByName(_verified(index, lists.select("word", "block", all_.alias("places"))))
 
 
 def _group_key(group: str) -> Column:
-    return F.to_json(F.array_sort(F.array_distinct(group)))
-
-
-def _leading(queries: DataFrame, found: DataFrame) -> DataFrame:
-    """Queries with keys of the required group that has the fewest postings (``lead``), of the other one (``other``, null if there is none)
-    and of the excluded words (``excluded``, likewise)."""
-    of_piece = found.groupBy("word", "piece_no").agg(F.sum(F.size("places")).alias("files"))
-    of_word = of_piece.groupBy("word").agg(F.min("files").alias("files"))
-    named = queries.select("github_query", F.explode(F.array(*[F.struct(F.lit(g).alias("group"), F.col(g).alias("words")) for g in GROUPS[:2]])).alias("g"))
-    each = named.select("github_query", "g.group", F.explode("g.words").alias("word"))
-    weights = each.join(of_word, "word", "left").groupBy("github_query").pivot("group", list(GROUPS[:2])).agg(F.sum(F.coalesce("files", F.lit(0))))
-    sized = queries.join(weights.toDF("github_query", "_sources", "_sinks"), "github_query", "left")
-    sources, sinks, excluded = (F.size(g) > 0 for g in GROUPS)
-    by_source = sources & (~sinks | (F.col("_sources") <= F.col("_sinks")))
-    source, sink = _group_key("source_kw"), _group_key("sink_kw")
-    lead = F.when(by_source, source).when(sinks, sink).otherwise(F.to_json(F.array(F.lit(ANY))))
-    other = F.when(sources & sinks, F.when(by_source, sink).otherwise(source))
-    return sized.withColumns({"lead": lead, "other": other, "excluded": F.when(excluded, _group_key("not_kw"))}).drop("_sources", "_sinks")
-
-
-def group_files(index: CodeIndex, queries: DataFrame, words_: DataFrame) -> DataFrame:
-    """(key, block, files): the files that hold any word of each distinct group of keywords."""
-    keys = queries.select(F.explode(F.array("lead", "other", "excluded")).alias("key")).filter("key is not null").distinct()
-    each = keys.select("key", F.explode(F.from_json("key", "array<string>")).alias("word"))
+    """Names a group of keywords; null for an empty one."""
+    return F.when(F.size(group) > 0, F.to_json(F.array_sort(F.array_distinct(group))))
+
+
+def group_files(index: CodeIndex, queries: DataFrame) -> DataFrame:
+    """(key, block, files): the files that hold any word of each distinct group of keywords, staged.
+
+    ``queries`` names its groups in ``source``, ``sink`` and ``excluded``. A query that requires nothing gets a group of all files.
+    """
+    nothing = F.when(F.col("source").isNull() & F.col("sink").isNull(), F.to_json(F.array(F.lit(ANY))))
+    keys = queries.select(F.explode(F.array("source", "sink", "excluded", nothing)).alias("key")).filter("key is not null").distinct()
+    each = keys.select("key", F.explode(F.from_json("key", STRING_ARRAY)).alias("word"))
+    files = keyword_files(index, each.select("word").distinct())
     if not each.filter(F.col("word") == ANY).isEmpty():
         block, place = F.expr(f"file div {BLOCK}").alias("block"), F.expr(f"cast(file % {BLOCK} as int)")
         every = index.files.groupBy(block).agg(F.collect_list(place).alias("places"))
-        words_ = words_.unionByName(every.select(F.lit(ANY).alias("word"), "block", "places"))
-    return words_.join(each, "word").groupBy("key", "block").agg(_union("places")).withColumnRenamed("places", "files")
+        files = files.unionByName(every.select(F.lit(ANY).alias("word"), "block", "places"))
+    return stage(files.join(each, "word").groupBy("key", "block").agg(_union("places")).withColumnRenamed("places", "files"), "groups")
+
+
+def leading(queries: DataFrame, groups: DataFrame) -> DataFrame:
+    """Queries with ``lead``, the key of the required group that has the fewest files, and ``other``, that of the other one or null."""
+    sizes = groups.groupBy("key").agg(F.sum(F.size("files")).alias("n"))
+
+    def size_of(group: str) -> DataFrame:
+        return sizes.select(F.col("key").alias(group), F.col("n").alias(f"{group}_n"))
+
+    sized = queries.join(size_of("source"), "source", "left").join(size_of("sink"), "sink", "left")
+    few = F.coalesce("source_n", F.lit(0)) <= F.coalesce("sink_n", F.lit(0))
+    source, sink = F.col("source"), F.col("sink")
+    lead = F.when(source.isNotNull() & (sink.isNull() | few), source).otherwise(F.coalesce(sink, F.to_json(F.array(F.lit(ANY)))))
+    other = F.when(source.isNotNull() & sink.isNotNull(), F.when(few, sink).otherwise(source))
+    return sized.withColumns({"lead": lead, "other": other}).drop("source", "sink", "source_n", "sink_n")
 
 
 def search_index(
@@ -210,11 +216,10 @@ def search_index(
     Sets of files stay lists of places in a block until the hits are known. Groups that queries share are made once. A query meets
     only the blocks of its leading group.
     """
-    queries = stage(queries.select("github_query", *carry, *GROUPS), "queries")
-    spelled = queries.select(F.explode(F.concat(*GROUPS)).alias("word")).distinct()
-    found = keyword_postings(index, keyword_pieces(spelled))
-    led = stage(_leading(queries, found), "led")
-    groups = stage(group_files(index, led, keyword_files(index, found)), "groups")
+    names = dict(zip(("source", "sink", "excluded"), GROUPS, strict=True))
+    queries = stage(queries.select("github_query", *carry, *[_group_key(g).alias(name) for name, g in names.items()]), "queries")
+    groups = group_files(index, queries)
+    led = leading(queries, groups)
 
     def of(role: str) -> DataFrame:
         return groups.select(F.col("key").alias(role), "block", F.col("files").alias(f"{role}_files"))
@@ -231,11 +236,26 @@ def search_index(
     return numbered.join(files, "file").select("github_query", *index.keys, *carry, *more)
 
 
-def file_terms(index: CodeIndex) -> DataFrame:
-    """(file, term): the distinct lower-case words of each file, from the postings."""
+def lower_postings(index: CodeIndex) -> DataFrame:
+    """(term, block, places) of the lower-case words: lists of terms that differ in case are united before they are spelled out."""
     lowered = index.postings.filter(F.col("term").rlike(f"^{WORD}")).select("block", "places", F.explode(words(F.lower("term"))).alias("term"))
-    pairs = lowered.select("block", "term", F.explode("places").alias("place"))
-    return pairs.select(F.expr(f"block * {BLOCK} + place").alias("file"), "term").distinct()
+    return lowered.groupBy("term", "block").agg(_union("places"))
+
+
+def index_scores(index: CodeIndex, min_length: int = 3) -> DataFrame:
+    """``corpus.term_scores`` of an indexed corpus, from its postings.
+
+    A term's count and idf are found on lists, of which it has one per block, so a term of all files is no hot key. Lists travel to the task of
+    their block and are spelled out there, where the norms of the block's files are made too.
+    """
+    lists = stage(lower_postings(index), "lower_postings")
+    total = index.files.count()
+    idf = lists.groupBy("term").agg((F.ln((F.lit(total) + 1) / (F.sum(F.size("places")) + 1)) + 1).alias("idf"))
+    pairs = lists.join(idf, "term").repartition("block").select("block", "term", "idf", F.explode("places").alias("place"))
+    of_file = Window.partitionBy("block", "place")
+    share = F.col("idf") / F.sqrt(F.sum(F.col("idf") * F.col("idf")).over(of_file))
+    scores = pairs.select("term", share.alias("share")).groupBy("term").agg(F.sum("share").alias("score"))
+    return scores.filter(F.length("term") >= min_length)
 
 
 def keyword_marks(index: CodeIndex, keywords: Sequence[str]) -> DataFrame:

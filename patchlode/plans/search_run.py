@@ -7,8 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ..operators.corpus import term_scores, top_terms
-from ..operators.postings import CodeIndex, build_index, file_terms
+from ..operators.corpus import top_terms
+from ..operators.postings import CodeIndex, build_index, index_scores
 from ..operators.search import adaptive_run, append_results, assemble_results
 from ..session import stage
 from ..streaming.incremental import tried_after
@@ -25,8 +25,7 @@ class SearchRun:
 
 def widening_words(index: CodeIndex, n: int = 10) -> list[str]:
     """The n best terms of an indexed corpus, from its postings; n rows reach the driver."""
-    pairs = stage(file_terms(index), "terms")
-    return [r["term"] for r in top_terms(term_scores(pairs, ("file",), index.files.count()), n).collect()]
+    return [r["term"] for r in top_terms(index_scores(index), n).collect()]
 
 
 def run_search(
