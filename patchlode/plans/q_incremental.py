@@ -15,20 +15,21 @@ from .registry import query
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
 
-FILES, EVERY = 6, 2
+BATCHES, FAN = 4, 2
 
 
-def add_files(t: Tables, folder: str, numbers: range) -> None:
-    """Some of the event files, by ranges of ids, in order: each becomes a batch of its own."""
+def add_batch(t: Tables, folder: str, number: int) -> None:
+    """A range of the event ids as new files, written in parallel; events without an id come first."""
     low, high = t.events.agg(F.min("event_id"), F.max("event_id")).first()
-    step = (high - low) // FILES + 1
-    for n in numbers:
-        own = F.col("event_id").between(low + n * step, low + (n + 1) * step - 1)
-        t.events.filter(own).coalesce(1).write.mode("append").parquet(folder)
+    if low is None:
+        low = high = 0
+    step = (high - low) // BATCHES + 1
+    own = F.col("event_id").between(low + number * step, low + (number + 1) * step - 1)
+    t.events.filter(own | F.col("event_id").isNull() if number == 0 else own).write.mode("append").parquet(folder)
 
 
 def hit_stream(t: Tables, folder: str) -> DataFrame:
-    events = I.read_new_files(t.spark, folder, t.events.schema, files_per_batch=1)
+    events = I.read_new_files(t.spark, folder, t.events.schema)
     return events.select(
         F.lit(0).alias("query_ord"),
         F.col("event_id").alias("hit_ord"),
@@ -41,11 +42,13 @@ def hit_stream(t: Tables, folder: str) -> DataFrame:
 HIT_SCHEMA = "query_ord int, hit_ord bigint, repository string, path string, value double"
 
 
-def _first_hits(t: Tables, runs: list[range]) -> DataFrame:
+def _first_hits(t: Tables, batches: list[list[int]]) -> DataFrame:
+    """Runs one after the other, each on what is new since the one before; a run takes its files as one batch."""
     state, checkpoint, files = (stage_path(t.spark, n) for n in ("first_hits", "progress", "event_files"))
-    for numbers in runs:
-        add_files(t, files, numbers)
-        I.first_hits(hit_stream(t, files), state, checkpoint, every=EVERY)
+    for numbers in batches:
+        for number in numbers:
+            add_batch(t, files, number)
+        I.first_hits(hit_stream(t, files), state, checkpoint)
     found = t.spark.read.schema(f"{HIT_SCHEMA}, batch int").parquet(state)
     return found.drop("batch")
 
@@ -56,27 +59,29 @@ FIRST_HIT_SQL = f"""SELECT {HIT_COLUMNS} FROM hits
 
 @query("inc1_resumed_run", FIRST_HIT_SQL)
 def _(t: Tables) -> DataFrame:
-    return _first_hits(t, [range(0, 4), range(4, FILES)])
+    return _first_hits(t, [[0], [1, 2], [], [3]])
 
 
 @query("inc2_first_hits", FIRST_HIT_SQL)
 def _(t: Tables) -> DataFrame:
-    return _first_hits(t, [range(FILES)])
+    return _first_hits(t, [[0, 1], [2, 3]])
 
 
 @query("inc2_streamed_repositories", "SELECT DISTINCT repository FROM hits")
 def _(t: Tables) -> DataFrame:
     out, checkpoint, files = (stage_path(t.spark, n) for n in ("repositories", "progress", "event_files"))
-    add_files(t, files, range(FILES))
+    for number in range(BATCHES):
+        add_batch(t, files, number)
     stream = I.any_hit_per_repository(hit_stream(t, files)).select("repository")
-    run = (
-        stream.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    run.awaitTermination()
+    with I.keyed_state(t.spark):
+        run = (
+            stream.writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        run.awaitTermination()
     return t.spark.read.schema("repository string").parquet(out)
 
 
@@ -97,6 +102,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     state, checkpoint, files = (stage_path(t.spark, n) for n in ("latest", "progress", "event_files"))
-    add_files(t, files, range(FILES))
-    I.latest_results(hit_stream(t, files), state, checkpoint, every=EVERY)
-    return I.read_latest(t.spark, state, HIT_SCHEMA, every=EVERY)
+    for number in range(BATCHES):
+        add_batch(t, files, number)
+        I.latest_results(hit_stream(t, files), state, checkpoint, fan=FAN)
+    return I.read_latest(t.spark, state, HIT_SCHEMA)

@@ -10,6 +10,8 @@ from ..functions.text import snippet
 from ..operators import postings as P
 from ..operators import search as Q
 from ..operators.corpus import distinct_terms, files_of_language, tfidf_terms, top_terms
+from ..session import stage_path
+from ..sources.versioned import ResultTable
 from .fixtures import Tables
 from .inputs import patterns
 from .registry import query
@@ -437,8 +439,16 @@ def _(t: Tables) -> DataFrame:
     "snk5_append_results",
     f"""SELECT {HIT_COLUMNS} FROM hits
         QUALIFY row_number() OVER (PARTITION BY repository, path
-          ORDER BY hit_ord % 2 DESC, hit_ord DESC) = 1""",
+          ORDER BY hit_ord % 4 DESC, hit_ord DESC) = 1""",
 )
 def _(t: Tables) -> DataFrame:
-    old, new = t.hits.filter("hit_ord % 2 = 0"), t.hits.filter("hit_ord % 2 = 1")
-    return Q.append_results(old, new, ("hit_ord",))
+    """Four runs append to the written table; one of them fails after its data and is repeated, one is repeated without need."""
+    table = ResultTable(t.spark, stage_path(t.spark, "results"), t.hits.schema, order_by=("hit_ord",), fan=2)
+    for run in range(4):
+        new = t.hits.filter(F.col("hit_ord") % 4 == run)
+        if run == 2:
+            table.write_data(new.limit(1000), f"run-{run}")  # as far as a writer that is lost
+        table.commit(new, f"run-{run}")
+        if run == 1:
+            table.commit(new, f"run-{run}")
+    return table.read()

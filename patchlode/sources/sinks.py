@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.compile import output_columns, query_list
 from ..operators.extract import CODE_COLUMNS
 from ..operators.mining import instance_table
-from ..operators.search import append_results
+from .versioned import ResultTable
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -56,10 +58,14 @@ def write_statistics(report: DataFrame, folder: str) -> None:
     write_csv(report, f"{folder}/top_github_queries_statistics.csv")
 
 
-def append_result_table(old: DataFrame | None, new: DataFrame, path: str) -> None:
-    """Merge new results into a new snapshot at ``path``."""
-    merged = new if old is None else append_results(old, new)
-    write_csv(merged, path)
+def append_result_table(new: DataFrame, path: str, run: str, keys: Sequence[str] = ("repository", "path")) -> ResultTable:
+    """Add the results of a run to the versioned table at ``path``; the same run again changes nothing.
+
+    The table's columns are those of the first run; ``ResultTable.read`` gives the rows.
+    """
+    table = ResultTable.open(new.sparkSession, path, new.schema, keys)
+    table.commit(new, run)
+    return table
 
 
 def write_clustered(tables: dict[str, DataFrame], buckets: int, prefix: str = "") -> None:

@@ -3,12 +3,13 @@
 Layout of a table::
 
     data/<commit id>/part-*.parquet     written first, never changed
-    manifests/<version>.json            the runs of a version: (commit id, level), oldest first
-    commits/<commit id>                 the version that a commit made
+    schema/columns.json                 the columns, if the table was made by ``open``
+    manifests/<version>.json            the runs of a version, (name, level), oldest first, and its last commits
 
 A commit writes its data, then the manifest of the next version by renaming a finished file to its final name, which fails if that
-version exists. Readers take the newest manifest, so they see a commit whole or not at all. A commit that is repeated, after a
+version exists (so the file system's rename must not replace a file; HDFS and local ones do as asked). Readers take the newest manifest, so they see a commit whole or not at all. A commit that is repeated, after a
 failure or twice, finds its id in the newest manifest and does nothing; data that a failed commit left is written over.
+A manifest remembers its last ``REMEMBERED`` commits, so a commit can be repeated as long as no more have followed it.
 
 A run holds one row per key. Runs have levels: a commit is a run of level 0, and ``FAN`` neighbouring runs of a level are merged into one of the
 next level, so a reader merges a number of runs that grows with the logarithm of the commits, and a row is rewritten once per level.
@@ -18,6 +19,7 @@ Only manifests, a few names each, pass through the driver.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -29,6 +31,8 @@ from ..operators.search import keep_last
 
 #: Runs of one level that are merged into one of the next.
 FAN = 8
+#: Commit ids that a manifest names.
+REMEMBERED = 1000
 
 
 class Conflict(Exception):
@@ -58,6 +62,16 @@ class ResultTable:
         self.spark, self.path, self.keys, self.order_by, self.fan = spark, path.rstrip("/"), tuple(keys), tuple(order_by), fan
         self.schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
+    @classmethod
+    def open(cls, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str] = ("repository", "path"), **options) -> ResultTable:
+        """The table at ``path`` with the columns it was made with; a new one has those of ``schema``."""
+        table = cls(spark, path, schema, keys, **options)
+        if table._names("schema"):
+            table.schema = StructType.fromJson(json.loads(table._read("schema/columns.json")))
+        else:
+            table._create("schema/columns.json", table.schema.json())
+        return table
+
     # files, in any file system
 
     def _file(self, name: str):
@@ -79,7 +93,7 @@ class ResultTable:
     def _create(self, name: str, text: str) -> None:
         """Make a file that did not exist, whole or not at all."""
         target, system = self._file(name)
-        half, _ = self._file(f"{name}.{abs(hash(text)) % 10**9}.tmp")
+        half, _ = self._file(f"{name}.{uuid.uuid4().hex}.tmp")
         stream = system.create(half, True)
         stream.write(bytearray(text.encode()))
         stream.close()
@@ -102,7 +116,7 @@ class ResultTable:
         return Version(number, tuple(Run(*r) for r in found["runs"]), tuple(found["done"]))
 
     def _publish(self, old: Version, runs: Sequence[Run], done: Sequence[str]) -> Version:
-        new = Version(old.number + 1, tuple(runs), tuple(done))
+        new = Version(old.number + 1, tuple(runs), tuple(done[-REMEMBERED:]))
         text = json.dumps({"runs": [[r.commit, r.level] for r in new.runs], "done": list(new.done)})
         self._create(f"manifests/{new.number:012d}.json", text)
         return new
@@ -152,7 +166,7 @@ class ResultTable:
             if at is None:
                 return now
             level = levels[at] + 1
-            merged = Run(f"level{level}-{now.number:012d}", level)
+            merged = Run(f"level{level}-{now.number:012d}-{uuid.uuid4().hex[:8]}", level)
             self._rows(runs[at : at + self.fan]).write.mode("overwrite").parquet(f"{self.path}/data/{merged.commit}")
             try:
                 now = self._publish(now, [*runs[:at], merged, *runs[at + self.fan :]], now.done)

@@ -1,26 +1,35 @@
 """Incremental search results: each run takes the files that are new and goes on from there.
 
-State is a set of append-only Parquet folders, one part per batch, beside snapshots of all parts before every
-``SNAPSHOT_EVERY``-th batch. A batch reads the last snapshot and the few parts after it, and writes its own part with
-overwrite, so a batch that is run again after a failure gives the same state.
+What was seen is keyed state in Spark's state store, kept by RocksDB: a batch reads and writes the keys that it holds and no
+others, so its cost does not follow the size of the state. The latest results are a versioned table, see ``sources.versioned``. A batch that
+is run again after a failure writes its part over, or finds its commit done.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
-from ..operators.search import first_per_repository, keep_last, search_texts
+from ..operators.search import search_texts
+from ..sources.versioned import FAN, ResultTable
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-SNAPSHOT_EVERY = 20
 
-Reduce = Callable[[DataFrame], DataFrame]
-SEEN = "repository string"
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB: on disk, by key, beyond the executors' memory."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
 
 
 def read_new_files(
@@ -37,10 +46,6 @@ def _part(folder: str, batch: int) -> str:
     return f"{folder}/batch={batch:09d}"
 
 
-def _snapshot(folder: str, batch: int) -> str:
-    return f"{folder}-snapshots/before={batch:09d}"
-
-
 def _listed(spark: SparkSession, folder: str) -> list[str]:
     """Names in a folder of any file system; none if it does not exist."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -48,32 +53,8 @@ def _listed(spark: SparkSession, folder: str) -> list[str]:
     return sorted(f.getPath().getName() for f in system.listStatus(path)) if system.exists(path) else []
 
 
-def state_before(
-    spark: SparkSession, folder: str, batch: int, schema: StructType | str, every: int = SNAPSHOT_EVERY
-) -> DataFrame:
-    """State as all batches before ``batch`` left it, with the batch of each row: a snapshot and the parts after it."""
-    base = max(0, batch - 1) // every * every
-    empty = spark.createDataFrame([], schema)
-    fields = empty.columns
-    rows = empty.withColumn("batch", F.lit(0))
-    if base:
-        rows = spark.read.schema(rows.schema).parquet(_snapshot(folder, base))
-    for n in range(base, batch):
-        part = spark.read.schema(empty.schema).parquet(_part(folder, n))
-        rows = rows.unionByName(part.select(*fields, F.lit(n).alias("batch")))
-    return rows
-
-
-def keep_snapshot(
-    spark: SparkSession, folder: str, batch: int, schema: StructType | str, reduce: Reduce, every: int = SNAPSHOT_EVERY
-) -> None:
-    """Before every ``every``-th batch, write the reduced state of all batches before it."""
-    if batch and batch % every == 0:
-        reduce(state_before(spark, folder, batch, schema, every)).write.mode("overwrite").parquet(_snapshot(folder, batch))
-
-
 def run_available(
-    stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str, state: str | None = None
+    stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str, state: str | None = None, mode: str = "append"
 ) -> StreamingQuery:
     """Run all data that is there now through ``on_batch``, then stop.
 
@@ -82,37 +63,39 @@ def run_available(
     spark = stream.sparkSession
     if state and _listed(spark, state) and "metadata" not in _listed(spark, checkpoint):
         raise ValueError(f"{state} holds state, but {checkpoint} is not the checkpoint of its stream")
-    query = (
-        stream.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    with keyed_state(spark):
+        query = (
+            stream.writeStream.foreachBatch(on_batch)
+            .option("checkpointLocation", checkpoint)
+            .outputMode(mode)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     return query
 
 
+def new_keys(stream: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+    """Rows of keys that no batch before has had, the first of each by ``order_by``; for update mode.
+
+    The state of a key is its least row and the times of its first and last batch. A batch updates the keys that it holds; one of
+    them is new if both times are the same. Rows are reduced before they are shuffled, so a hot key sends one row per task.
+    """
+    first = F.struct(*order_by, *[c for c in stream.columns if c not in order_by])
+    seen = stream.withColumn("_at", F.current_timestamp()).groupBy(F.col(key).alias("_key")).agg(
+        F.min(first).alias("_first"), F.min("_at").alias("_from"), F.max("_at").alias("_to"))
+    return seen.filter("_from = _to").select(*[F.col("_first").getField(c).alias(c) for c in stream.columns])
+
+
 def first_hits(
-    stream: DataFrame,
-    state: str,
-    checkpoint: str,
-    order_by: Sequence[str] = ("query_ord", "hit_ord"),
-    every: int = SNAPSHOT_EVERY,
+    stream: DataFrame, state: str, checkpoint: str, order_by: Sequence[str] = ("query_ord", "hit_ord")
 ) -> StreamingQuery:
-    """The first hit per repository over all batches, in arrival order of the batches."""
-    columns = stream.columns
+    """The first hit per repository over all batches, in arrival order of the batches; one part of ``state`` per batch."""
 
     def on_batch(df: DataFrame, batch: int) -> None:
-        spark = df.sparkSession
-        # what is seen is a set of repositories; parts are disjoint, so nothing is left to reduce
-        keep_snapshot(spark, state, batch, SEEN, lambda rows: rows, every)
-        seen = state_before(spark, state, batch, SEEN, every).select("repository")
-        new = df.join(seen, "repository", "left_anti")
-        first_per_repository(new, order_by).select(*columns).write.mode("overwrite").parquet(
-            _part(state, batch)
-        )
+        df.write.mode("overwrite").parquet(_part(state, batch))
 
-    return run_available(stream, on_batch, checkpoint, state)
+    return run_available(new_keys(stream, "repository", order_by), on_batch, checkpoint, state, "update")
 
 
 def any_hit_per_repository(stream: DataFrame) -> DataFrame:
@@ -139,32 +122,15 @@ def latest_results(
     checkpoint: str,
     keys: Sequence[str] = ("repository", "path"),
     order_by: Sequence[str] = ("hit_ord",),
-    every: int = SNAPSHOT_EVERY,
+    fan: int = FAN,
 ) -> StreamingQuery:
-    """The last result per key, merged batch by batch.
-
-    Each batch stores its own last row per key; ``read_latest`` combines the last snapshot and the parts after it. No part is
-    ever rewritten.
-    """
-    schema = stream.schema
-
-    def on_batch(df: DataFrame, batch: int) -> None:
-        keep_snapshot(df.sparkSession, state, batch, schema, lambda rows: keep_last(rows, keys, ("batch", *order_by)), every)
-        last = keep_last(df, keys, order_by)
-        last.write.mode("overwrite").parquet(_part(state, batch))
-
-    return run_available(stream, on_batch, checkpoint, state)
+    """The last result per key: each batch is a commit to a versioned table, whose runs are merged by levels."""
+    table = ResultTable(stream.sparkSession, state, stream.schema, keys, order_by, fan)
+    return run_available(stream, lambda df, batch: table.commit(df, f"batch-{batch:09d}"), checkpoint, state)
 
 
 def read_latest(
-    spark: SparkSession,
-    state: str,
-    schema: str,
-    keys: Sequence[str] = ("repository", "path"),
-    order_by: Sequence[str] = ("hit_ord",),
-    every: int = SNAPSHOT_EVERY,
+    spark: SparkSession, state: str, schema: str, keys: Sequence[str] = ("repository", "path"), order_by: Sequence[str] = ("hit_ord",)
 ) -> DataFrame:
-    """Current snapshot of ``latest_results``: rows of later batches win."""
-    parts = [int(name.removeprefix("batch=")) for name in _listed(spark, state) if name.startswith("batch=")]
-    rows = state_before(spark, state, max(parts, default=-1) + 1, schema, every)
-    return keep_last(rows, keys, ("batch", *order_by)).drop("batch")
+    """Current version of ``latest_results``: rows of later batches win."""
+    return ResultTable(spark, state, schema, keys, order_by).read()

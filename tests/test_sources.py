@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from patchlode.sources import sinks, tables
 from patchlode.sources.schemas import FIX_TABLES
+from patchlode.sources.versioned import Conflict, ResultTable
 from patchlode.streaming import incremental as I
 
 SETTINGS = {
@@ -114,19 +115,88 @@ def test_state_of_another_checkpoint_is_refused(spark, tmp_path):
         I.latest_results(I.read_new_files(spark, data, SCHEMA), state, f"{tmp_path}/two")
 
 
-def test_snapshots_replace_old_parts(spark, tmp_path):
+def test_keyed_state_over_many_batches(spark, tmp_path):
     data, state, progress = (f"{tmp_path}/{n}" for n in ("data", "state", "progress"))
     latest, own = f"{tmp_path}/latest", f"{tmp_path}/own"
     for n in range(5):
-        write_part(spark, [(0, n, "a", "p"), (0, n, f"r{n // 2}", "p")], data)
-        I.first_hits(I.read_new_files(spark, data, SCHEMA), state, progress, every=2)
-        I.latest_results(I.read_new_files(spark, data, SCHEMA), latest, own, every=2)
-    seen = I.state_before(spark, state, 5, I.SEEN, every=2)
-    assert sorted(r.repository for r in seen.collect()) == ["a", "r0", "r1", "r2"]
-    # a snapshot and one part, not five parts
-    assert len({f.rsplit("/", 2)[-2] for f in seen.inputFiles()}) == 2
-    got = I.read_latest(spark, latest, SCHEMA, every=2).collect()
-    assert {(r.repository, r.hit_ord) for r in got} == {("a", 4), ("r0", 1), ("r1", 3), ("r2", 4)}
+        write_part(spark, [(0, n, "a", "p"), (0, n, f"r{n // 2}", "p"), (0, n, None, "p")], data)
+        I.first_hits(I.read_new_files(spark, data, SCHEMA), state, progress)
+        I.latest_results(I.read_new_files(spark, data, SCHEMA), latest, own, fan=2)
+    got = spark.read.schema(f"{SCHEMA}, batch int").parquet(state).collect()
+    assert {(r.repository, r.hit_ord, r.batch) for r in got} == {("a", 0, 0), ("r0", 0, 0), ("r1", 2, 2), ("r2", 4, 4), (None, 0, 0)}
+    assert len(got) == 5
+    rows = I.read_latest(spark, latest, SCHEMA).collect()
+    assert {(r.repository, r.hit_ord) for r in rows} == {("a", 4), ("r0", 1), ("r1", 3), ("r2", 4), (None, 4)}
+    # five batches are two runs: four merged by twos, and the last
+    assert [run.level for run in ResultTable(spark, latest, SCHEMA).version().runs] == [2, 0]
+    # the state is keyed: a batch that holds one key updates one row of it
+    write_part(spark, [(0, 9, "a", "p")], data)
+    query = I.first_hits(I.read_new_files(spark, data, SCHEMA), state, progress)
+    updated = [p["stateOperators"][0] for p in query.recentProgress if p["numInputRows"]]
+    assert [s["numRowsUpdated"] for s in updated] == [1] and updated[0]["numRowsTotal"] == 5
+    assert spark.conf.get(I.PROVIDER, None) in (None, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+
+
+RESULTS = "repository string, path string, n int"
+
+
+def results(spark, rows):
+    return spark.createDataFrame(rows, RESULTS)
+
+
+def plain(df):
+    return {(r.repository, r.path, r.n) for r in df.collect()}
+
+
+def test_commits_are_whole_or_not_at_all(spark, tmp_path):
+    table = ResultTable(spark, str(tmp_path / "t"), RESULTS, order_by=("n",))
+    assert plain(table.read()) == set() and table.version().number == 0
+    table.commit(results(spark, [("a", "p", 1), ("a", "p", 2), ("b", "p", 1), (None, "p", 1)]), "run-1")
+    before = table.read()
+    table.write_data(results(spark, [("a", "p", 99)]), "run-2")  # a writer is lost here
+    assert plain(table.read()) == {("a", "p", 2), ("b", "p", 1), (None, "p", 1)}
+    table.commit(results(spark, [("a", "p", 0), ("c", "p", 5)]), "run-2")
+    after = {("a", "p", 0), ("b", "p", 1), (None, "p", 1), ("c", "p", 5)}
+    number = table.version().number
+    table.commit(results(spark, [("zz", "p", 1)]), "run-2")
+    assert plain(table.read()) == after and table.version().number == number
+    # a reader that started before keeps its rows, and an old version can be read
+    assert plain(before) == plain(table.read(1)) == {("a", "p", 2), ("b", "p", 1), (None, "p", 1)}
+
+
+def test_two_writers_and_other_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    one, two = ResultTable(spark, path, RESULTS), ResultTable(spark, path, RESULTS)
+    stale = two.version()
+    one.commit(results(spark, [("a", "p", 1)]), "one")
+    with pytest.raises(Conflict):
+        two._publish(stale, [], [])
+    two.version, calls = (lambda real: lambda number=None: stale if not calls.append(1) and len(calls) == 1 else real(number))(two.version), []
+    two.commit(spark.createDataFrame([("p", "b", "more")], "path string, repository string, other string"), "two")
+    assert plain(one.read()) == {("a", "p", 1), ("b", "p", None)}
+
+
+def test_compaction_by_levels_and_vacuum(spark, tmp_path):
+    table = ResultTable(spark, str(tmp_path / "t"), RESULTS, order_by=("n",), fan=2)
+    want = {}
+    for n in range(7):
+        rows = [("hot", "p", n), (f"r{n % 3}", "p", n)]
+        want.update({r[0]: r for r in rows})
+        table.commit(results(spark, rows), f"run-{n}")
+        assert plain(table.read()) == set(want.values())
+    assert [r.level for r in table.version().runs] == [2, 1, 0]
+    gone = table.vacuum()
+    assert len(gone) >= 7 and plain(table.read()) == set(want.values()) and len(table.versions()) == 1
+    table.commit(results(spark, [("hot", "p", 50)]), "run-7")
+    assert ("hot", "p", 50) in plain(table.read()) and [r.level for r in table.version().runs] == [3]
+    assert table.vacuum() and plain(table.read()) == {*set(want.values()) - {want["hot"]}, ("hot", "p", 50)}
+
+
+def test_append_result_table_keeps_its_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.append_result_table(results(spark, [("a", "p", 1)]), path, "run-1")
+    table = sinks.append_result_table(spark.createDataFrame([("a", "q", "x")], "repository string, path string, s string"), path, "run-2")
+    assert table.read().columns == ["repository", "path", "n"] and plain(table.read()) == {("a", "p", 1), ("a", "q", None)}
 
 
 def test_latest_results(spark, tmp_path):
