@@ -200,6 +200,27 @@ def run_statistics(records: DataFrame, instances: DataFrame | None = None) -> Da
     )
 
 
+#: Columns whose distinct values a run counts, and the counter's name.
+COUNTED = {"cve_id": "unique_cves", "hash": "unique_commits", "repo_url": "unique_repositories", "filename": "unique_files"}
+#: Logarithm of a sketch's registers. The relative standard error of an estimate is 1.04 / sqrt(2^LOG_REGISTERS), 1.6 %.
+LOG_REGISTERS = 12
+
+
+def statistics_sketches(records: DataFrame, *by: str) -> DataFrame:
+    """Counters that can be merged: rows, and a HyperLogLog sketch per counted column (a few KB), for all records or for each ``by``.
+
+    A run keeps this row; the counters of any number of runs follow from their rows without the records.
+    """
+    sketches = [F.hll_sketch_agg(c, F.lit(LOG_REGISTERS)).alias(c) for c in COUNTED]
+    return records.groupBy(*by).agg(F.count(F.lit(1)).alias("total_records"), *sketches)
+
+
+def merged_statistics(sketches: DataFrame, *by: str) -> DataFrame:
+    """The counters of ``run_statistics`` from kept sketches: rows exactly, distinct values within the stated error."""
+    merged = [F.hll_sketch_estimate(F.hll_union_agg(c)).alias(name) for c, name in COUNTED.items()]
+    return sketches.groupBy(*by).agg(F.coalesce(F.sum("total_records"), F.lit(0)).alias("total_records"), *merged)
+
+
 def last_diff(records: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """One diff per file change: that of the last record in the given order."""
     w = Window.partitionBy("file_change_id").orderBy(*[F.desc(c) for c in order_by])

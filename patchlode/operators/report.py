@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import blank
@@ -11,7 +11,10 @@ from ..session import stage
 LABEL_LENGTH = 50
 SAMPLE_KEYS = 3
 KINDS = ("overall", "cwe", "sinks", "sources")
-TYPE_CATEGORIES = (("sinks", "Sink-", "sink_types"), ("sources", "Source-", "source_types"))
+#: Of each kind of category: the column it is named by, and what stands before its name.
+CATEGORIES = {"overall": (None, "Overall"), "cwe": ("cwe_id", "CWE-"), "sinks": ("sink_types", "Sink-"), "sources": ("source_types", "Source-")}
+#: Kinds of which only the most frequent categories are reported, by a shortened name.
+LIMITED = ("sinks", "sources")
 
 
 def with_query_text(instances: DataFrame) -> DataFrame:
@@ -28,23 +31,38 @@ def _counts(instances: DataFrame) -> DataFrame:
     )
 
 
-def _frequent(counts: DataFrame, column: str, top_n: int) -> DataFrame:
-    """The most frequent values of a column, at most ``top_n`` rows."""
-    return (
-        counts.filter(F.coalesce(column, F.lit("")) != "")
-        .groupBy(column)
-        .agg(F.sum("n").alias("total"))
-        .orderBy(F.desc("total"), column)
-        .limit(top_n)
-        .select(column)
-    )
-
-
-def _ranked(groups: DataFrame, top_n: int) -> DataFrame:
+def _grouped(counts: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """Counts and weaknesses per kind, category, query and pattern key: one pass over the combinations, by grouping sets."""
+    own = {kind: CATEGORIES[kind][0] for kind in KINDS if kind in kinds}
+    # the weakness is a grouping column and also counted, so it is grouped by a copy
+    rows = counts.withColumn("_cwe", F.col("cwe_id"))
+    sets = [["github_query", "pattern_key", *([column] if column else [])] for column in own.values()]
+    columns = ["github_query", "pattern_key", *filter(None, own.values())]
+    grouped = rows.groupingSets(sets, *columns).agg(
+        F.grouping_id().alias("gid"), F.sum("n").alias("n"), F.collect_set("_cwe").alias("cwes"))
+    # a bit of the grouping id is set for each column that a set leaves out
+    named = columns[2:]
+    ids = {kind: sum(1 << (len(named) - 1 - i) for i, column in enumerate(named) if column != own[kind]) for kind in own}
+    kind = F.coalesce(*[F.when(F.col("gid") == gid, F.lit(name)) for name, gid in ids.items()])
+    name = F.coalesce(*[F.when(F.col("gid") == ids[k], F.col(c) if c else F.lit("")) for k, c in own.items()])
+    return grouped.select(kind.alias("kind"), name.alias("name"), "github_query", "pattern_key", "n", "cwes").filter("name is not null")
+
+
+def _categories(grouped: DataFrame, top_n: int) -> DataFrame:
+    """Of the limited kinds the ``top_n`` most frequent categories, of the others all; with their names in the report."""
+    limited = F.col("kind").isin(*LIMITED)
+    totals = grouped.filter(limited & (F.col("name") != "")).groupBy("kind", "name").agg(F.sum("n").alias("total"))
+    best = Window.partitionBy("kind").orderBy(F.desc("total"), "name")
+    few = totals.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= top_n).select("kind", "name")
+    # at most top_n rows of each limited kind
+    kept = grouped.filter(~limited).unionByName(grouped.join(F.broadcast(few), ["kind", "name"], "left_semi"))
+    prefix = F.coalesce(*[F.when(F.col("kind") == k, F.lit(p)) for k, (_, p) in CATEGORIES.items()])
+    label = F.when(limited, F.substring("name", 1, LABEL_LENGTH)).otherwise(F.col("name"))
+    return kept.withColumns({"category_key": F.concat(prefix, F.col("name")), "category": F.concat(prefix, label)})
+
+
+def _ranked(per_key: DataFrame, top_n: int) -> DataFrame:
     """Details per (category, query), and the ``top_n`` queries of each category."""
-    per_key = groups.groupBy("category_key", "category", "github_query", "pattern_key").agg(
-        F.sum("n").alias("n"), F.collect_set("cwe_id").alias("cwes")
-    )
     order = Window.partitionBy("category_key", "github_query").orderBy("pattern_key")
     numbered = per_key.withColumn("pos", F.row_number().over(order))
     sample = F.when(F.col("pos") <= SAMPLE_KEYS, F.struct("pos", "pattern_key"))
@@ -73,42 +91,12 @@ def _ranked(groups: DataFrame, top_n: int) -> DataFrame:
     )
 
 
-def _entry(prefix: str, key: Column, label: Column) -> Column:
-    return F.struct(
-        F.concat(F.lit(prefix), key).alias("category_key"),
-        F.concat(F.lit(prefix), label).alias("category"),
-    )
-
-
-def _categories(counts: DataFrame, kinds: tuple[str, ...], top_n: int) -> DataFrame:
-    """Each combination once per category it falls into."""
-    entries = []
-    if "overall" in kinds:
-        entries.append(_entry("Overall", F.lit(""), F.lit("")))
-    if "cwe" in kinds:
-        entries.append(_entry("CWE-", F.col("cwe_id"), F.col("cwe_id")))
-    for kind, prefix, column in TYPE_CATEGORIES:
-        if kind in kinds:
-            # At most top_n rows are broadcast.
-            best = F.broadcast(_frequent(counts, column, top_n).withColumn(kind, F.lit(True)))
-            counts = counts.join(best, column, "left")
-            value = F.when(F.col(kind), F.col(column))
-            entries.append(_entry(prefix, value, F.substring(value, 1, LABEL_LENGTH)))
-    known = F.filter(F.array(*entries), lambda e: e["category_key"].isNotNull())
-    return counts.select(
-        "github_query", "cwe_id", "pattern_key", "n", F.inline(known)
-    )
-
-
 def query_report(
     instances: DataFrame, top_n: int = 10, kinds: tuple[str, ...] = KINDS
 ) -> DataFrame:
     """The most frequent queries, overall, by weakness, by sinks and by sources, in one table.
 
-    The instances are reduced to combination counts first, which are staged when more than one ranking
-    reads them; each combination is then placed in its categories, and one window ranks all of them.
+    The instances are reduced to combination counts and grouped by all four at once, with grouping sets, in one pass. The
+    groups are staged, since frequent categories are chosen from them and one window ranks the queries of all.
     """
-    counts = _counts(instances)
-    if any(kind in kinds for kind, _, _ in TYPE_CATEGORIES):
-        counts = stage(counts, "query_counts")
-    return _ranked(_categories(counts, kinds, top_n), top_n)
+    return _ranked(_categories(stage(_grouped(_counts(instances), kinds), "query_groups"), top_n), top_n)

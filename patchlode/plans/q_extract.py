@@ -12,7 +12,7 @@ from ..operators.corpus import files_of_language
 from ..operators.methods import method_changes, usable_methods, with_method_code
 from ..sources import sinks as S
 from ..sources.tables import flatten_hits, read_csv, run_query
-from ..session import stage_path
+from ..session import stage, stage_path
 from .fixtures import Tables
 from .inputs import classified, full_records, records
 from .registry import query
@@ -339,6 +339,26 @@ def _(t: Tables) -> DataFrame:
     return X.run_statistics(records(t))
 
 
+@query(
+    "agg2_merged_statistics",
+    """SELECT count(*) AS total_records, count(DISTINCT cve_id) AS unique_cves,
+              count(DISTINCT hash) AS unique_commits, count(DISTINCT repo_url) AS unique_repositories,
+              count(DISTINCT filename) AS unique_files, TRUE AS cves_near, TRUE AS commits_near,
+              TRUE AS repositories_near, TRUE AS files_near FROM extract_rows""",
+)
+def _(t: Tables) -> DataFrame:
+    """Five runs keep a sketch row each, which are merged; estimates stand within four standard errors of the exact counts."""
+    runs = records(t).withColumn("run", F.pmod(F.xxhash64("hash"), F.lit(5)))
+    kept = stage(X.statistics_sketches(runs, "run"), "statistics")
+    merged, exact = X.merged_statistics(kept), X.run_statistics(records(t))
+    error = 4 * 1.04 / 2 ** (X.LOG_REGISTERS / 2)
+    both = exact.join(F.broadcast(merged.select(*[F.col(c).alias(f"about_{c}") for c in merged.columns])))  # one row each
+    near = [
+        (F.abs(F.col(f"about_{c}") - F.col(c)) <= F.greatest(F.lit(1), error * F.col(c))).alias(f"{c.removeprefix('unique_')}_near")
+        for c in X.COUNTED.values()]
+    return both.select(F.col("about_total_records").alias("total_records"), *X.COUNTED.values(), *near)
+
+
 @query(
     "agg16_relation_types",
     """SELECT 'fixes' AS table_name, coalesce(rel_type, 'Total') AS rel_type,

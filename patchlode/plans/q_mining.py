@@ -31,16 +31,17 @@ INSTANCE_SQL = """pattern_key, cwe_id, cwe_name, sink_types, source_types, missi
 def analysed(t: Tables) -> DataFrame:
     """Every method with each set of source categories that its file's weaknesses ask for."""
     targets = weakness_targets(records(t), t.cwe_classification, t.cwe)
-    classes = targets.select("file_change_id", source_class(F.col("cwe_id")).alias("cls"))
-    # The generator cuts each method once; no fix is needed to read a method.
-    code = methods_of_files(t.file_change, t.method_change).filter("method_code <> ''").select(
+    wanted = targets.groupBy("file_change_id").agg(F.collect_set(source_class(F.col("cwe_id"))).alias("classes"))
+    # Only the files asked for are read on; a file's classes (four at most) travel with it.
+    cut = methods_of_files(t.file_change.join(wanted, "file_change_id"), t.method_change).filter("method_code <> ''")
+    return cut.select(
         "file_change_id",
         "method_change_id",
         "method_code",
         F.col("code_before").alias("file_code_before"),
         F.col("code_after").alias("file_code_after"),
+        F.explode("classes").alias("cls"),
     )
-    return code.join(classes.distinct(), "file_change_id")
 
 
 ANALYSED_SQL = f"""
