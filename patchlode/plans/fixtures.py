@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import rules as R
 from ..session import stage, stage_path
 
 BASE_TABLES = (
@@ -61,8 +62,41 @@ TEMPLATES = (
 )
 
 
+# What stands where a source shape needs more than the call: by source type.
+SOURCE_ENDS = {"newFile": "p)", "fileParam": '"path"', "fileHeader": '"X-Path"', "args": "0]"}
+RULE_WEAKNESSES = ("NVD-CWE-noinfo", "CWE-79", "CWE-22", "CWE-502")
+
+
+def _call(shape: str) -> str:
+    """The shortest usual text of a call shape."""
+    return "".join({" ": "", "~": " ", "*": "", "…": " x = y"}.get(c, c) for c in shape)
+
+
+def _rule_templates() -> tuple[tuple[int, str, str, str], ...]:
+    """One method per measure, with each source, sink and measure of the catalogue in at least one of them."""
+    measures = [shape for shapes in R.SECURITY_MEASURES.values() for shape in shapes]
+    rows = []
+    for n, measure in enumerate(measures):
+        source, sink = R.SOURCE_RULES[n % len(R.SOURCE_RULES)], _call(R.SINK_RULES[n % len(R.SINK_RULES)].shape)
+        if source.kind == "annotation":
+            head = f"void f({source.shape} String u, {source.shape} String v) {{"
+        else:
+            end = SOURCE_ENDS.get(source.type, '"q")')
+            head = f"void f(HttpServletRequest request, Input y) {{~  String v = {_call(source.shape)}{end};"
+        body = f"~  String w = v;~  keep(w);~  x{sink if sink[0] == '.' else ' ' + sink}"
+        # a source without a weakness of its own is looked for with all categories
+        cwe = RULE_WEAKNESSES[n % 4] if source.category == "http" else "NVD-CWE-noinfo"
+        rows.append((len(TEMPLATES) + n, cwe, f"{head}{body};~}}", f"{head}~  {_call(measure)};{body};~}}"))
+    return tuple(rows)
+
+
+RULE_TEMPLATES = _rule_templates()
+# Two thirds of the parts have a hand-written method, the others one of the catalogue.
+TEMPLATE_OF = f"CASE WHEN pk % 3 = 0 THEN {len(TEMPLATES)} + CAST(floor(pk / 3) AS BIGINT) % {len(RULE_TEMPLATES)} ELSE pk % {len(TEMPLATES)} END"
+
+
 def _template_rows() -> str:
-    return ",\n".join(f"({t}, '{cwe}', '{old}', '{new}')" for t, cwe, old, new in TEMPLATES)
+    return ",\n".join(f"({t}, '{cwe}', '{old}', '{new}')" for t, cwe, old, new in TEMPLATES + RULE_TEMPLATES)
 
 
 FIXTURE_SQL: dict[str, str] = {
@@ -118,7 +152,7 @@ FIXTURE_SQL: dict[str, str] = {
                     ELSE '@@ ' || CAST(ok * 10 + ln AS STRING) END AS diff,
                CASE pk % 6 WHEN 0 THEN 'nan' WHEN 1 THEN 'None' WHEN 2 THEN NULL
                     WHEN 3 THEN CAST(ln AS STRING) ELSE CAST(ln AS STRING) || '.0' END AS complexity
-        FROM fx_line JOIN fx_tmpl ON tid = pk % 8""",
+        FROM fx_line JOIN fx_tmpl ON tid = template_of(pk)""",
     "method_change": """
         SELECT CAST(ok * 10 + ln AS STRING) || '-' || sfx AS method_change_id,
                CAST(ok * 10 + ln AS STRING) AS file_change_id,
@@ -127,7 +161,7 @@ FIXTURE_SQL: dict[str, str] = {
                CASE (ok * 10 + ln) % 23 WHEN 0 THEN '2.0' WHEN 1 THEN NULL ELSE '2' END
                  AS start_line,
                CAST(nl + 1 AS STRING) AS end_line, before_change
-        FROM fx_line JOIN fx_tmpl ON tid = pk % 8
+        FROM fx_line JOIN fx_tmpl ON tid = template_of(pk)
         CROSS JOIN (VALUES ('b', 'True'), ('a', 'False')) AS s(sfx, before_change)""",
     "cwe": """
         SELECT * FROM (VALUES
@@ -143,7 +177,7 @@ FIXTURE_SQL: dict[str, str] = {
         FROM (SELECT DISTINCT pk,
                 'CVE-' || CAST(2000 + pk % 25 AS STRING) || '-' || CAST(pk AS STRING) AS cve_id
               FROM fx_line JOIN fx_repo ON fx_line.sk = fx_repo.sk) AS p
-        JOIN fx_tmpl ON tid = pk % 8 WHERE cwe_id <> ''
+        JOIN fx_tmpl ON tid = template_of(pk) WHERE cwe_id <> ''
         UNION ALL
         SELECT DISTINCT 'CVE-' || CAST(2000 + pk % 25 AS STRING) || '-' || CAST(pk AS STRING),
                'CWE-20'
@@ -193,6 +227,9 @@ FIXTURE_SQL: dict[str, str] = {
 }
 
 
+FIXTURE_SQL = {name: text.replace("template_of(pk)", TEMPLATE_OF) for name, text in FIXTURE_SQL.items()}
+
+
 def with_sql(final: str, *registries: Mapping[str, str]) -> str:
     """``final`` preceded by the named tables it needs, directly or through others, in order."""
     tables = {**FIXTURE_SQL}

@@ -354,6 +354,33 @@ def _(t: Tables) -> DataFrame:
     return run_mining({n: getattr(t, n) for n in names}, top_n=None).instance_file
 
 
+TOP_SQL = "SELECT cwe_id FROM cwe_counts ORDER BY fix_count DESC, cwe_id, cwe_name LIMIT 3"
+
+
+@query(
+    "pip4_top_run",
+    f"""SELECT * FROM (
+        WITH kept AS (
+          SELECT e.* FROM extract_rows e WHERE e.cve_id IN (SELECT cve_id FROM class_rows WHERE cwe_id IN ({TOP_SQL}))),
+        kept_classes AS (SELECT * FROM class_rows WHERE cve_id IN (SELECT cve_id FROM kept)),
+        wanted AS (
+          SELECT k.file_change_id, c.cwe_id, count(*) AS copies FROM kept k
+          JOIN (SELECT DISTINCT cve_id, cwe_id FROM kept_classes WHERE cwe_id IN (
+                  SELECT cwe_id FROM kept_classes WHERE cwe_name IS NOT NULL GROUP BY cwe_id HAVING count(*) > 1)) c ON c.cve_id = k.cve_id
+          GROUP BY k.file_change_id, c.cwe_id),
+        runs AS (
+          SELECT r.* EXCLUDE (copies), w.copies FROM counted_rows r
+          JOIN wanted w ON w.file_change_id = r.file_change_id AND w.cwe_id = r.cwe_id)
+        SELECT pattern_key, cve_id, method_change_id, count(*) AS n
+        FROM (SELECT *, unnest(range(copies)) AS i FROM runs) GROUP BY ALL)""",
+)
+def _(t: Tables) -> DataFrame:
+    """The run as it is by default, for the three most frequent weaknesses."""
+    names = ("fixes", "commits", "file_change", "method_change", "cwe_classification", "cwe")
+    run = run_mining({n: getattr(t, n) for n in names})
+    return run.instances.groupBy("pattern_key", "cve_id", "method_change_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "src3_instance_csv",
     f"SELECT {INSTANCE_SQL}, github_query FROM queried_rows",

@@ -14,10 +14,10 @@ from .versioned import ResultTable
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with header; arrays and structs become JSON at this edge only."""
+    """CSV with header; arrays and structs become JSON at this edge only. Blanks around a value stay."""
     nested = [f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "struct")]
     flat = df.withColumns({name: F.to_json(name) for name in nested}) if nested else df
-    flat.write.csv(path, header=True, escape='"')
+    flat.write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def extract_output(records: DataFrame) -> DataFrame:

@@ -179,3 +179,27 @@ def test_label_is_cut_but_groups_are_not_mixed(spark):
         (f"Sink-{long}", 1, "q1", 2),
         (f"Sink-{long}", 1, "q2", 1),
     ]
+
+
+def test_methods_of_the_fixtures_meet_every_rule(spark):
+    """Each source, sink and measure of the catalogue is found in a method, so rows and their SQL compare them all."""
+    from patchlode.functions import rules as R
+    from patchlode.functions.measures import added_measures, measures_in
+    from patchlode.functions.taint import ALL_CATEGORIES, analyze_taint, find_sink_hits, find_sources
+    from patchlode.functions.text import by_name, fold
+    from patchlode.plans.fixtures import RULE_TEMPLATES, TEMPLATES
+
+    rows = [(n, old.replace("~", "\n"), new.replace("~", "\n"), ALL_CATEGORIES) for n, _, old, new in TEMPLATES + RULE_TEMPLATES]
+    df = spark.createDataFrame(rows, "n int, old string, new string, cls string")
+    code = F.col("old")
+    sources = {r[0] for r in df.select(F.explode(find_sources(code, fold(code), F.col("cls"))).alias("s")).select("s.rule_id").collect()}
+    sinks = {r[0] for r in df.select(F.explode(find_sink_hits(code, fold(code))).alias("s")).select("s.rule_id").collect()}
+    assert sources == {r.rule_id for r in R.SOURCE_RULES} and len(sources) == 33
+    assert sinks == {r.rule_id for r in R.SINK_RULES} and len(sinks) == 34
+    shapes = [(name, shape) for name, own in R.SECURITY_MEASURES.items() for shape in own]
+    met = {shape for _, shape in shapes if df.filter(F.size(measures_in(F.col("new"), {"m": [shape]})) > 0).limit(1).count()}
+    assert len(met) == len({shape for _, shape in shapes}) and len(shapes) == 48
+    added = {r[0] for r in df.select(F.explode(by_name(added_measures)("old", "new"))).collect()}
+    assert added == set(R.SECURITY_MEASURES)
+    flows = df.select(by_name(analyze_taint)("old", "cls").alias("a")).filter("size(a.taint_flows) > 0").count()
+    assert flows >= 40

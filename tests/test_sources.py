@@ -137,6 +137,14 @@ def test_keyed_state_over_many_batches(spark, tmp_path):
     assert spark.conf.get(I.PROVIDER, None) in (None, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
 
 
+def test_blanks_around_values_survive_a_file(spark, tmp_path):
+    rows = [(" NOT escape", "a, b "), ("\ttab", ' "q" '), ("", "x")]
+    path = str(tmp_path / "f.csv")
+    sinks.write_csv(spark.createDataFrame(rows, "github_query string, note string"), path)
+    got = tables.read_csv(spark, path, "github_query string, note string").collect()
+    assert {(r.github_query or "", r.note) for r in got} == set(rows)
+
+
 RESULTS = "repository string, path string, n int"
 
 
