@@ -24,14 +24,9 @@ from .text import (
 MEASURE_RULE_TYPE = "array<struct<regex:string,name:string,anchor:string>>"
 
 
-def measures_in(text: Column, measures: Mapping[str, Sequence[str]]) -> Column:
-    """Names of the measures whose call shapes occur, in catalogue order.
-
-    A regular expression runs only where its literal part occurs; a shape that is a plain
-    literal needs none.
-    """
+def measure_catalogue(measures: Mapping[str, Sequence[str]] = R.SECURITY_MEASURES) -> Column:
     pairs = [(name, shape) for name, shapes in measures.items() for shape in shapes]
-    catalogue = constant(
+    return constant(
         [
             {
                 "regex": None if is_literal(shape) else FLAGS + shape_regex(shape),
@@ -43,6 +38,15 @@ def measures_in(text: Column, measures: Mapping[str, Sequence[str]]) -> Column:
         MEASURE_RULE_TYPE,
     )
 
+
+def measures_in(text: Column, measures: Mapping[str, Sequence[str]] | str) -> Column:
+    """Names of the measures whose call shapes occur, in catalogue order.
+
+    A regular expression runs only where its literal part occurs; a shape that is a plain
+    literal needs none. ``measures`` may be the name of a column that holds the rules.
+    """
+    catalogue = F.col(measures) if isinstance(measures, str) else measure_catalogue(measures)
+
     def search(folded: Column) -> Column:
         hits = F.filter(
             catalogue,
@@ -57,7 +61,7 @@ def measures_in(text: Column, measures: Mapping[str, Sequence[str]]) -> Column:
 def added_measures(
     before: Column,
     after: Column,
-    measures: Mapping[str, Sequence[str]] = R.SECURITY_MEASURES,
+    measures: Mapping[str, Sequence[str]] | str = R.SECURITY_MEASURES,
 ) -> Column:
     """Names of the measures found in ``after`` but not in ``before``, in catalogue order."""
     nothing = empty_array(STRING_ARRAY)

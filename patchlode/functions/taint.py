@@ -65,20 +65,8 @@ def _source_regex(rule: R.SourceRule, annotation_mode: str) -> str:
     return rf"{rule.regex}(?=((?s:.{{0,{R.ANNOTATION_REACH}}})))"
 
 
-def find_sources(
-    code: Column,
-    folded: Column,
-    categories: Column,
-    rules: Sequence[R.SourceRule] = R.SOURCE_RULES,
-    annotation_mode: str = "compat",
-) -> Column:
-    """All source hits in rule order, then text order; repeated hits are kept.
-
-    Annotations in ``compat`` mode: within the next 100 characters another annotation must
-    follow, and the name behind that one is taken. ``direct``: the name behind the annotation
-    itself.
-    """
-    catalogue = constant(
+def source_catalogue(rules: Sequence[R.SourceRule] = R.SOURCE_RULES, annotation_mode: str = "compat") -> Column:
+    return constant(
         [
             {
                 "regex": _source_regex(r, annotation_mode),
@@ -92,6 +80,38 @@ def find_sources(
         ],
         SOURCE_RULE_TYPE,
     )
+
+
+def sink_catalogue(rules: Sequence[R.SinkRule] = R.SINK_RULES) -> Column:
+    return constant(
+        [
+            {
+                "regex": r.regex,
+                "rule_id": r.rule_id,
+                "vuln_type": r.vuln_type,
+                "name": r.name,
+                "anchor": r.anchor,
+            }
+            for r in rules
+        ],
+        SINK_RULE_TYPE,
+    )
+
+
+def find_sources(
+    code: Column,
+    folded: Column,
+    categories: Column,
+    rules: Sequence[R.SourceRule] | str = R.SOURCE_RULES,
+    annotation_mode: str = "compat",
+) -> Column:
+    """All source hits in rule order, then text order; repeated hits are kept.
+
+    Annotations in ``compat`` mode: within the next 100 characters another annotation must
+    follow, and the name behind that one is taken. ``direct``: the name behind the annotation
+    itself. ``rules`` may be the name of a column that holds them, see ``rule_table``.
+    """
+    catalogue = F.col(rules) if isinstance(rules, str) else source_catalogue(rules, annotation_mode)
     second = rf"{FLAGS}@{WORD}+{SPACE}+{WORD}+{SPACE}+({WORD}+)"
 
 
@@ -235,23 +255,10 @@ def match_offsets(code: Column, found: Column) -> Column:
 
 
 def find_sink_hits(
-    code: Column, folded: Column, rules: Sequence[R.SinkRule] = R.SINK_RULES
+    code: Column, folded: Column, rules: Sequence[R.SinkRule] | str = R.SINK_RULES
 ) -> Column:
-    """Every match of every sink rule, in rule order, then text order."""
-    catalogue = constant(
-        [
-            {
-                "regex": r.regex,
-                "rule_id": r.rule_id,
-                "vuln_type": r.vuln_type,
-                "name": r.name,
-                "anchor": r.anchor,
-            }
-            for r in rules
-        ],
-        SINK_RULE_TYPE,
-    )
-
+    """Every match of every sink rule, in rule order, then text order; ``rules`` may be a column's name."""
+    catalogue = F.col(rules) if isinstance(rules, str) else sink_catalogue(rules)
 
     def hits(rule: Column) -> Column:
         return F.transform(
@@ -324,8 +331,8 @@ def analyze_taint(
     code: Column,
     categories: Column,
     *,
-    source_rules: Sequence[R.SourceRule] = R.SOURCE_RULES,
-    sink_rules: Sequence[R.SinkRule] = R.SINK_RULES,
+    source_rules: Sequence[R.SourceRule] | str = R.SOURCE_RULES,
+    sink_rules: Sequence[R.SinkRule] | str = R.SINK_RULES,
     annotation_mode: str = "compat",
     sink_context: str = "compat",
 ) -> Column:

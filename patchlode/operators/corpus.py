@@ -87,3 +87,36 @@ def with_snippet(
     return files.withColumn(
         "code_snippet", snippet(F.col(content), F.col(terms), context_lines)
     )
+
+
+#: Lines of a piece of a file.
+PIECE_LINES = 10_000
+
+
+def line_snippets(
+    files: DataFrame, keys: tuple[str, ...], terms: Column, content: str = "content", context_lines: int = 3, piece: int = PIECE_LINES
+) -> DataFrame:
+    """``keys`` and ``code_snippet`` of files with a match, as ``text.snippet`` gives them, by frames over single lines.
+
+    For files of very many lines: the text is spread over rows, one per line, in pieces of ``piece`` lines that repeat the last lines of
+    the piece before and the first of the next, so that no task needs all lines of a file in one frame. Only lines that are kept come together
+    again. ``keys`` must identify a file; null and empty texts have no lines.
+    """
+    k = context_lines
+    # a line is near a match up to k lines away; the line kept before it may lie 2k + 1 lines back and be near a match k lines before that
+    back, ahead = 3 * k + 1, k
+    lines = files.filter(F.coalesce(F.col(content), F.lit("")) != "").select(
+        *keys, F.transform(terms, F.lower).alias("_terms"), F.posexplode(F.split(content, "\n", -1)).alias("_n", "_line"))
+    hit = F.exists("_terms", lambda t: F.contains(F.lower("_line"), t))
+    own = F.expr(f"_n div {piece}")
+    numbered = lines.select(*keys, "_n", "_line", hit.cast("int").alias("_hit"), own.alias("_own"))
+    # lines at the edges of a piece are in its neighbour as well
+    before, after = F.expr(f"greatest(_n - {ahead}, 0) div {piece}"), F.expr(f"(_n + {back}) div {piece}")
+    spread = numbered.withColumn("_piece", F.explode(F.sequence(before, after)))
+    ordered = Window.partitionBy(*keys, "_piece").orderBy("_n")
+    near = spread.withColumn("_near", F.max("_hit").over(ordered.rowsBetween(-k, k))).filter("_near = 1")
+    gap = F.col("_n") - F.lag("_n").over(ordered)
+    kept = near.withColumn("_gap", F.coalesce(gap > 2 * k + 1, F.lit(True))).filter("_piece = _own")
+    found = kept.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_n", "_gap", "_line"))).alias("_kept"))
+    text = F.transform("_kept", lambda x, i: F.concat(F.when((i > 0) & x["_gap"], F.lit("...\n")).otherwise(F.lit("")), x["_line"]))
+    return found.select(*keys, F.array_join(text, "\n").alias("code_snippet"))

@@ -12,8 +12,10 @@ from ..functions.measures import added_measures
 from ..functions.patterns import keeps, key_part, make_pattern, pattern_key, sorted_names
 from ..functions.taint import analyze_taint, source_class
 from ..functions.text import by_name, commit_link, first_filled, let, line_slice
+from ..session import stage
 from .extract import classification_of, frequent_cwes, in_languages
 from .methods import methods_of_files
+from .rule_table import MEASURES, SINKS, SOURCES, rule_catalogue
 
 ROW_ORDER = ("hash", "file_change_id", "method_change_id", "cve_id")
 EXPANSION_STEP = 1024
@@ -96,10 +98,15 @@ def method_patterns(
     *,
     languages: Sequence[str] = ("Java",),
     measures: Mapping[str, Sequence[str]] = R.SECURITY_MEASURES,
+    rules: DataFrame | None = None,
+    usual_rules: bool = True,
     **options,
 ) -> DataFrame:
     """Kept patterns per method and weakness, before fixes are attached.
 
+    ``rules`` is a table of own rules, see ``rule_table``, beside the usual ones or, without ``usual_rules``, instead of them. It is one
+    row of arrays that every task has, and no part of the plan's expressions.
+
     All three inputs meet on ``file_change_id``: file code is shuffled once, measures are
     compared once per file, and only the method text goes on from there. The list of
     weaknesses of a file is bounded by the weakness catalogue (about 1,400 entries).
@@ -111,10 +118,17 @@ def method_patterns(
     files = file_change.select(
         "file_change_id", "hash", "programming_language", "code_before", "code_after", "diff"
     )
-    files = files.filter(in_languages(java)).join(wanted, "file_change_id").withColumn(
-        "missing", by_name(added_measures)("code_before", "code_after", measures=measures)
-    )
-    cut = methods_of_files(files, method_change, languages=java)
+    files = files.filter(in_languages(java)).join(wanted, "file_change_id")
+    if rules is not None:
+        catalogue = stage(rule_catalogue(rules, usual_rules, options.get("annotation_mode", "compat")), "rules")
+        # one row; the rules do not travel with the files
+        files = files.join(F.broadcast(catalogue.select(MEASURES)))
+        measures = MEASURES
+        options = {**options, "source_rules": SOURCES, "sink_rules": SINKS}
+    files = files.withColumn("missing", by_name(added_measures)("code_before", "code_after", measures=measures))
+    cut = methods_of_files(files.drop(MEASURES), method_change, languages=java)
+    if rules is not None:
+        cut = cut.join(F.broadcast(catalogue.select(SOURCES, SINKS)))
     # The generator drops rows without a kept pattern, and computes the analysis exactly once.
     found = cut.select(
         "*",

@@ -381,6 +381,33 @@ def _(t: Tables) -> DataFrame:
     return run.instances.groupBy("pattern_key", "cve_id", "method_change_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+OWN_RULES = (
+    ("Opened", "source", r"(\w+)\s*=\s*open\s*\(", "stream", "open"),
+    ("read", "sink", r"\.readObject\s*\(", "Own", None),
+    ("filtered", "measure", r"\.set\w*Filter\s*\(", None, "filter"),
+)
+
+
+@query(
+    "rul1_own_rules",
+    f"""SELECT DISTINCT w.cwe_id || '|read|Opened' AS pattern_key, c.method_change_id,
+               CASE WHEN regexp_matches(coalesce(c.code_after, ''), '\\.set\\w*Filter\\s*\\(')
+                     AND NOT regexp_matches(c.code_before, '\\.set\\w*Filter\\s*\\(') THEN 'filtered' ELSE '' END AS missing
+        FROM cut_rows c JOIN wanted_rows w ON w.file_change_id = c.file_change_id
+        JOIN fixes f ON f.hash = c.hash
+        WHERE contains(c.method_code, 'in = open(request)') AND {CLASS_SQL.format(cwe="w.cwe_id")} = 'http+file+deserialization+env'
+          AND w.cwe_id = 'NVD-CWE-noinfo'""",
+)
+def _(t: Tables) -> DataFrame:
+    """A run with rules from a table alone: a source of an own category, a sink and a measure."""
+    rules = t.spark.createDataFrame(list(OWN_RULES), "name string, kind string, regex string, category string, anchor string")
+    names = ("fixes", "commits", "file_change", "method_change", "cwe_classification", "cwe")
+    run = run_mining(
+        {n: getattr(t, n) for n in names}, top_n=None, multiplicity="distinct", rules=rules, usual_rules=False)
+    found = run.instances.filter("cwe_id = 'NVD-CWE-noinfo'")
+    return found.select("pattern_key", "method_change_id", F.col("missing_sanitizers").alias("missing")).distinct()
+
+
 @query(
     "src3_instance_csv",
     f"SELECT {INSTANCE_SQL}, github_query FROM queried_rows",

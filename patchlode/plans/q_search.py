@@ -9,7 +9,7 @@ from ..functions.patterns import snippet_terms
 from ..functions.text import snippet
 from ..operators import postings as P
 from ..operators import search as Q
-from ..operators.corpus import distinct_terms, files_of_language, tfidf_terms, top_terms
+from ..operators.corpus import distinct_terms, files_of_language, line_snippets, tfidf_terms, top_terms
 from ..session import stage_path
 from ..sources.versioned import ResultTable
 from .fixtures import Tables
@@ -209,6 +209,15 @@ def _(t: Tables) -> DataFrame:
     return made.filter("code_snippet <> ''")
 
 
+@query(
+    "win6_line_frames",
+    _snippet_sql("SELECT path, content FROM corpus_text", "path", str(DOC_TERMS)),
+)
+def _(t: Tables) -> DataFrame:
+    """The same snippets by frames over single lines, as very long files need them."""
+    return line_snippets(t.corpus_text, ("path",), F.array(*[F.lit(w) for w in DOC_TERMS]))
+
+
 @query(
     "win6_context_lines",
     f"""SELECT path, CAST(len(string_split(code_snippet, chr(10))) AS INTEGER) AS n_lines

@@ -196,3 +196,38 @@ def test_rules_of_the_user(spark):
     # a category is no part of another one's name
     other = df.selectExpr("code", "'file+network' AS cls").select(by_name(analyze_taint)("code", "cls", source_rules=sources).alias("a")).first()
     assert not other.a.sources
+
+
+def test_rule_table(spark):
+    """The usual rules from a table's column find what they find as constants, beside own ones."""
+    import pytest
+
+    from patchlode.functions.measures import added_measures
+    from patchlode.functions.taint import ALL_CATEGORIES, analyze_taint
+    from patchlode.functions.text import by_name
+    from patchlode.operators.rule_table import MEASURES, SINKS, SOURCES, rule_catalogue
+    from patchlode.plans.fixtures import RULE_TEMPLATES, TEMPLATES
+
+    schema = "name string, kind string, regex string, category string"
+    own = spark.createDataFrame(
+        [("Tape", "source", r"(\w+)\s*=\s*readTape\(", "tape"), ("burn", "sink", r"burn\.disc", "Own"), ("scrub", "measure", r"scrubbed\(", None),
+         ("Own", "annotation", "@Own", "tape"), ("burn", "sink", r"burn\.disc", "Own")], schema)
+    rows = [(old.replace("~", "\n"), new.replace("~", "\n"), ALL_CATEGORIES) for _, _, old, new in TEMPLATES + RULE_TEMPLATES]
+    rows.append(("void m(@Own String a, @Own String b) {\n int z = 0;\n String q = READTAPE();\n  burn.disc(q);\n return;\n}", "x.scrubbed(y)", ALL_CATEGORIES))
+    df = spark.createDataFrame(rows, "old string, new string, cls string")
+    analysis, names = by_name(analyze_taint), by_name(added_measures)
+    plain = df.select(analysis("old", "cls").alias("a"), names("old", "new").alias("m")).collect()
+    every = df.crossJoin(rule_catalogue(own))
+    got = every.select(
+        analysis("old", "cls", source_rules=SOURCES, sink_rules=SINKS).alias("a"), names("old", "new", measures=MEASURES).alias("m")).collect()
+    assert got[:-1] == plain[:-1] and not plain[-1].a.sources
+    last = got[-1]
+    assert [(s.variable, s.type) for s in last.a.sources] == [("b", "Own"), ("q", "Tape")]
+    assert [(f.source, f.sink) for f in last.a.taint_flows] == [("q", "burn")] and last.m == ["scrub"]
+    alone = rule_catalogue(own, defaults=False).first()
+    assert [len(alone[c]) for c in (SOURCES, SINKS, MEASURES)] == [2, 1, 1]
+    for bad in ([("x", "rule", "a", None)], [(None, "sink", "a", None)]):
+        with pytest.raises(ValueError):
+            rule_catalogue(spark.createDataFrame(bad, schema))
+    empty = rule_catalogue(spark.createDataFrame([], schema), defaults=False).first()
+    assert [len(empty[c]) for c in (SOURCES, SINKS, MEASURES)] == [0, 0, 0]

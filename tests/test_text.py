@@ -116,3 +116,32 @@ def test_rule_catalogue():
     assert len({r.rule_id for r in (*SOURCE_RULES, *SINK_RULES)}) == 67
     for rule in (*SOURCE_RULES, *SINK_RULES):
         assert rule.anchor and rule.anchor in rule.shape.lower()
+
+
+def test_snippets_by_line_frames(spark):
+    """Frames over single lines, also over pieces of a few lines, give what the array form gives."""
+    import random
+
+    from patchlode.functions.text import snippet
+    from patchlode.operators.corpus import line_snippets
+
+    rng = random.Random(5)
+    rows = [(n, "\n".join(rng.choice(["Hit one", "", "x", "y", "z", "w"][: 1 + rng.randrange(6)] or ["x"]) if rng.random() < 0.2 else "plain"
+             for _ in range(rng.randrange(1, 90)))) for n in range(60)]
+    rows += [(100, None), (101, ""), (102, "hit"), (103, "\n\nHIT\n"), (104, "\n".join("hit" if i % 8 == 0 else "q" for i in range(100)))]
+    df = spark.createDataFrame(rows, "id int, content string")
+    terms = F.array(F.lit("hit"), F.lit("X"))
+    want = {r.id: r.s for r in df.select("id", snippet(F.col("content"), terms).alias("s")).collect() if r.s}
+    for piece in (1, 5, 17, 10_000):
+        got = {r.id: r.code_snippet for r in line_snippets(df, ("id",), terms, piece=piece).collect()}
+        assert got == want, piece
+
+
+def test_snippet_of_a_file_of_two_million_lines(spark):
+    from patchlode.operators.corpus import line_snippets
+
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2_000_000)), lambda i: F.when(i % 500_000 == 0, F.concat(F.lit("needle "), i)).otherwise("x")), "\n")
+    df = spark.range(1).select("id", text.alias("content"))
+    found = line_snippets(df, ("id",), F.array(F.lit("needle"))).first().code_snippet.split("\n")
+    assert [line for line in found if "needle" in line] == [f"needle {n}" for n in (500_000, 1_000_000, 1_500_000, 2_000_000)]
+    assert found.count("...") == 3 and len(found) == 3 * 7 + 4 + 3
