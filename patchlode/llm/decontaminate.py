@@ -2,8 +2,11 @@
 
 Texts become templates: tokens that hold a digit are numbers, a unit word after a number is a unit, a
 capitalised word inside a sentence is a name; these are slots and only their type counts. Other tokens are
-literals: lower-cased, without ASCII punctuation. Windows of ``window`` template tokens (the whole item, if shorter) with at least half literals
-are hashed and joined: each match aligns an item with a document. Matches of one alignment
+literals: lower-cased, without ASCII punctuation. Windows of ``window`` template tokens (the whole item, if shorter) are hashed and
+joined: each match aligns an item with a document. A window with at least half literals is named by its template. One with more slots says
+too little without them (arithmetic, tables), so it is named by its words as they are and finds copies only. A capital at the
+beginning of an item may stand inside a sentence of a document, or behind a colon or quote, where it reads as a name: the item's first window is looked for
+both ways. Matches of one alignment
 are put together; the document is contaminated if they cover ``least_cover`` of the item and the slots are
 consistent: one value of the item always stands for one value in the document. So a question with other
 numbers or names is found, and a text that only resembles the template is not.
@@ -46,7 +49,7 @@ _SLOT = np.array([0, 0x1F3D5B79A1C3E5F7, 0x2B4D6F8193A5C7E9, 0x3C5E708294B6D8FA]
 
 
 def templates(texts: pa.Array):
-    """Template hash and kind of each token, where it lies in the kept bytes, and the bounds of the texts."""
+    """Hash, kind and template hash of each token, whether it could be a name, where it lies in the kept bytes, and the bounds of the texts."""
     data, offsets = buffers(texts)
     raw = data[offsets[0] : offsets[-1]]
     keep = _KEEP[raw]
@@ -56,7 +59,7 @@ def templates(texts: pa.Array):
     hashes, starts, ends, bounds = hashed_words(kept, bounds_in, lower=True)
     kind = np.full(len(hashes), LITERAL)
     if not len(hashes):
-        return hashes, kind, kept, starts, ends, bounds
+        return hashes, kind, hashes, np.zeros(0, bool), kept, starts, ends, bounds
     digits = np.concatenate([[0], np.cumsum(_DIGIT[kept])])
     number = digits[ends] > digits[starts]
     second = kept[np.minimum(starts + 1, len(kept) - 1)]
@@ -74,35 +77,57 @@ def templates(texts: pa.Array):
     for i in follows:
         if kept[starts[i] : ends[i]].tobytes().lower().decode("utf-8", "replace") in _UNITS:
             kind[i] = UNIT
-    return np.where(kind == LITERAL, hashes, _SLOT[kind]), kind, kept, starts, ends, bounds
+    return hashes, kind, _template(hashes, kind), upper & ~shouted & ~number, kept, starts, ends, bounds
+
+
+def _template(hashes: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    return np.where(kind == LITERAL, hashes, _SLOT[kind])
+
+
+#: Tokens of a window that is named by its words, at least: a number or two are no copy.
+LEAST_WORDS = 3
 
 
 def _windows(lengths: list[int], wanted):
-    """(h, k1, k2, place, slots) of windows with enough literals, and if a bitmap is given, in it."""
+    """(h, k1, k2, place, slots) of all windows, and if a bitmap is given, of those in it; without one, of items: both readings of their
+    first word. Windows named by their words have no slots to compare."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
-                hashes, kind, kept, starts, ends, bounds = templates(part.column("text"))
-                literal = np.concatenate([[0], np.cumsum(kind == LITERAL)])
-                for n in lengths:
-                    at, _ = runs(bounds, n)
-                    h = rolled(hashes, n, 77 + n)
-                    at = at[2 * (literal[at + n] - literal[at]) >= n]
-                    if wanted is not None:
-                        at = at[has(wanted.value, h[at] & U((1 << _BITS) - 1))]
-                    doc = np.searchsorted(bounds, at, "right") - 1
-                    slots = [
-                        [f"{kind[j]}{kept[starts[j] : ends[j]].tobytes().lower().decode('utf-8', 'replace')}" for j in range(i, i + n) if kind[j] != LITERAL]
-                        for i in at.tolist()
-                    ]
-                    names = [c for c in part.schema.names if c != "text"]
-                    rows = pa.array(doc, pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(as_long(h[at])), *(part.column(c).take(rows) for c in names), pa.array(at - bounds[doc], pa.int64()),
-                         pa.array(slots, pa.list_(pa.string())), pa.array(np.full(len(at), n), pa.int64())],
-                        ["h", *names, "place", "slots", "n"],
-                    )
+                hashes, kind, plain, capital, kept, starts, ends, bounds = templates(part.column("text"))
+                readings = [(kind, plain, None)]
+                if wanted is None:
+                    first = bounds[:-1][np.diff(bounds) > 0]
+                    first = first[capital[first] & (kind[first] == LITERAL)]
+                    other = kind.copy()
+                    other[first] = NAME
+                    readings.append((other, _template(hashes, other), first))
+                for kinds, template, begins in readings:
+                    literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
+                    for n in lengths:
+                        at, _ = runs(bounds, n)
+                        if begins is not None:
+                            at = at[np.isin(at, begins)]
+                        rich = 2 * (literal[at + n] - literal[at]) < n
+                        h = np.where(rich, rolled(hashes, n, 1077 + n)[at], rolled(template, n, 77 + n)[at])
+                        keep = ~rich | (n >= LEAST_WORDS)
+                        if wanted is not None:
+                            keep &= has(wanted.value, h & U((1 << _BITS) - 1))
+                        at, h, rich = at[keep], h[keep], rich[keep]
+                        doc = np.searchsorted(bounds, at, "right") - 1
+                        slots = [
+                            [] if words else
+                            [f"{kinds[j]}{kept[starts[j] : ends[j]].tobytes().lower().decode('utf-8', 'replace')}" for j in range(i, i + n) if kinds[j] != LITERAL]
+                            for i, words in zip(at.tolist(), rich.tolist(), strict=True)
+                        ]
+                        names = [c for c in part.schema.names if c != "text"]
+                        rows = pa.array(doc, pa.int64())
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(as_long(h)), *(part.column(c).take(rows) for c in names), pa.array(at - bounds[doc], pa.int64()),
+                             pa.array(slots, pa.list_(pa.string())), pa.array(np.full(len(at), n), pa.int64())],
+                            ["h", *names, "place", "slots", "n"],
+                        )
 
     return run
 
@@ -121,8 +146,8 @@ def find_contamination(
 
     cover is the share of the item's tokens under matched windows of the best alignment; reparameterised says
     that some slot has another value than in the item. (k1, k2) is ``row_key(id, text)`` of the
-    document; repeated rows give one row. Null or empty texts match nothing, nor do items without any window of
-    enough literals. Rows with a null id are found like others. Other columns are not read. Empty tables give an empty result.
+    document; repeated rows give one row. Null or empty texts match nothing, nor do items of one or two slots alone. Very long texts are read
+    whole. Of equally good alignments the one nearest the document's beginning counts. Rows with a null id are found like others. Other columns are not read. Empty tables give an empty result.
     """
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")).distinct()
     items = stage(items.mapInArrow(_sizes, "item_id bigint, text string, tokens bigint").where("tokens > 0"), "items")

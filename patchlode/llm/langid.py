@@ -4,10 +4,14 @@ Subwords are the runs of 2, 3 and 4 bytes of a text reduced to lower-case letter
 so they see word beginnings and ends. Each is hashed to one of ``BUCKETS`` embeddings; a text is
 the average of its embeddings, times a matrix, through a softmax. Training is stochastic gradient
 descent in numpy on the driver over a bounded sample: ``per_language`` labelled rows of each
-language with texts of at most ``LONGEST_SAMPLE`` bytes, each also as a short piece, so that short texts are met
-in training. A fifth of the sample calibrates: a temperature for the scores, and the score below
-which a text is rejected, chosen so that ``lost`` of the texts the model gets right would go, and never above ``ceiling``:
-texts in two languages score near a half and stay.
+language, ``MOST_SAMPLED`` rows in all, a stretch of at most ``LONGEST_SAMPLE`` characters of each; each also as a short piece, so that short texts are met
+in training. A fifth of the sample calibrates a temperature for the scores, and the rejection.
+
+Rejection asks whether the text is written in what was learned at all, which the scores of a softmax cannot say: they only compare the
+learned languages. The evidence is the share of a text's runs of four bytes that the sample holds, kept as a bitmap of fixed size; a short
+text gets ``BENEFIT`` known runs on top. Rows of the calibration fifth say how low that share is for texts of the learned languages: the bound
+lies as far below their median as makes ``lost`` of them go, and at least ``MARGIN`` below it, so a single odd row moves nothing. A text in two learned
+languages is known as well as one in either, so it stays; it does not matter how many languages there are.
 """
 
 from __future__ import annotations
@@ -18,17 +22,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import held_out, row_key, training
+from .frames import has, held_out, row_key, training
 from .letters import grams, letters
 from .words import U, chunks, mix
 
 ORDERS = (2, 3, 4)
 BUCKETS = 1 << 16
 LONGEST_SAMPLE = 20_000
+#: Rows of the sample in all, and languages that are learned: the most frequent ones, if there are more.
+MOST_SAMPLED, MOST_LANGUAGES = 100_000, 1_000
+#: Bits of the bitmap of known runs.
+KNOWN_BITS = 22
+BENEFIT, MARGIN = 12, 0.25
 _HAS_LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -41,6 +50,8 @@ class Model:
     bias: np.ndarray
     temperature: float
     threshold: float
+    known: np.ndarray
+
 
 
 def _buckets(data: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
@@ -61,6 +72,34 @@ def _subwords(text: str) -> tuple[np.ndarray, np.ndarray]:
     return ids, (counts / max(1, counts.sum())).astype(np.float32)
 
 
+def _runs_of_four(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slot of the run of four bytes at each place in the bitmap, and whether the run lies in one text."""
+    value = grams(data, 4)
+    slots = np.zeros(len(data), U)
+    slots[: len(value)] = mix(value + U(0x51)) >> U(64 - KNOWN_BITS)
+    inside = np.zeros(len(data), bool)
+    inside[: len(value)] = True
+    for j in range(1, 4):
+        at = bounds[1:] - j
+        inside[at[at >= bounds[:-1]]] = False
+    return slots, inside
+
+
+def _known_share(data: np.ndarray, bounds: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Of each text the share of known runs, with ``BENEFIT`` known ones on top."""
+    slots, inside = _runs_of_four(data, bounds)
+    met = np.add.reduceat(has(known, slots) & inside, bounds[:-1], dtype=np.int64)
+    return (met + BENEFIT) / (np.add.reduceat(inside, bounds[:-1], dtype=np.int64) + BENEFIT)
+
+
+def _known_runs(texts: list[str]) -> np.ndarray:
+    found = np.zeros(1 << KNOWN_BITS, bool)
+    for text in texts:
+        slots, inside = _runs_of_four(*letters(pa.array([text])))
+        found[slots[inside].astype(np.int64)] = True
+    return np.packbits(found, bitorder="little").view(np.uint64)
+
+
 def _pieces(text: str, rng: np.random.Generator) -> list[str]:
     words = text.split()
     if len(words) < 8:
@@ -71,14 +110,15 @@ def _pieces(text: str, rng: np.random.Generator) -> list[str]:
 
 
 def train(
-    rows: list[tuple[str, str]], dimension: int = 16, epochs: int = 6, rate: float = 0.5, lost: float = 0.001, ceiling: float = 0.4, seed: int = 1
+    rows: list[tuple[str, str]], dimension: int = 16, epochs: int = 6, rate: float = 0.5, lost: float = 0.002, seed: int = 1
 ) -> Model:
     """Fit on (language, text) rows, in their order."""
     rng = np.random.default_rng(seed)
     labels = sorted({lang for lang, _ in rows})
     if not labels:
-        return Model([], np.zeros((BUCKETS + 1, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
-    examples = [(labels.index(lang), i % 5 == 0, *_subwords(piece)) for i, (lang, text) in enumerate(rows) for piece in _pieces(text, rng)]
+        return Model([], np.zeros((BUCKETS + 1, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0, _known_runs([]))
+    cut = [(labels.index(lang), i % 5 == 0, piece) for i, (lang, text) in enumerate(rows) for piece in _pieces(text, rng)]
+    examples = [(label, spare, *_subwords(piece)) for label, spare, piece in cut]
     examples = [e for e in examples if len(e[2])]
     embedding = rng.uniform(-1 / dimension, 1 / dimension, (BUCKETS, dimension)).astype(np.float32)
     matrix, bias = np.zeros((dimension, len(labels)), np.float32), np.zeros(len(labels), np.float32)
@@ -105,10 +145,13 @@ def train(
     losses = [-np.log(_softmax(logits / t)[np.arange(len(held)), truth] + 1e-12).mean() if len(held) else 0 for t in temperatures]
     # never sharper than the model itself: beyond that the held-out rows hold no evidence
     temperature = max(1.0, float(temperatures[int(np.argmin(losses))]))
-    p = _softmax(logits / temperature)
-    right = p[np.arange(len(held)), truth][p.argmax(1) == truth] if len(held) else np.zeros(0)
-    threshold = min(ceiling, float(np.quantile(right, lost, method="lower"))) if len(right) else 0.0
-    return Model(labels, scores, bias, temperature, threshold)
+    known = _known_runs([piece for _, spare, piece in cut if not spare])
+    aside = [piece for _, spare, piece in cut if spare]
+    shares = _known_share(*letters(pa.array(aside, pa.string())), known) if aside else np.ones(1)
+    median = float(np.median(shares))
+    threshold = min(median - MARGIN, float(np.quantile(shares, lost, method="lower")))
+    # all that was learned from counts as known afterwards
+    return Model(labels, scores, bias, temperature, max(threshold, median / 2), _known_runs([text for _, text in rows]))
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -119,18 +162,27 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 def fit_language_model(
     docs: DataFrame, per_language: int = 400, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> Model:
-    """Sample by a hash of the row, ``per_language`` rows of each language, and train on the driver."""
-    rows = docs.select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), training(id_col).alias("learn"), row_key(id_col, text_col)[0]
-    ).where(F.col("learn") & F.col("lang").isNotNull() & (F.octet_length("text") <= LONGEST_SAMPLE) & (F.length("text") > 0))
-    counts = rows.groupBy("lang").count()
+    """Sample by a hash of the row, ``per_language`` rows of each language, and train on the driver.
+
+    Of a text longer than ``LONGEST_SAMPLE`` characters a stretch is read whose place follows from the row's hash, so a language of long texts alone
+    is learned like others. With more than ``MOST_SAMPLED`` / ``per_language`` languages each gets an equal share of that bound; of more than
+    ``MOST_LANGUAGES`` the most frequent are learned (ties by name).
+    """
+    k1 = row_key(id_col, text_col)[0]
+    last = F.greatest(F.length("text") - LONGEST_SAMPLE, F.lit(0)) + 1
+    stretch = F.col("text").substr((F.pmod(F.col("k1"), last) + 1).cast("int"), F.lit(LONGEST_SAMPLE))
+    rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), training(id_col).alias("learn"), k1).where(
+        F.col("learn") & F.col("lang").isNotNull() & (F.length("text") > 0))
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    each = F.least(F.lit(per_language), F.floor(MOST_SAMPLED / F.count("*").over(Window.partitionBy())))
+    counts = counts.withColumn("each", each)
     # a share of each language slightly above what is wanted, then exactly the smallest hashes
-    share = 1.5 * per_language / F.col("count") + 20 / F.col("count")
-    chance = F.pmod(F.col("k1"), F.lit(1 << 40)) / float(1 << 40)
-    # one row per class of the model, which the driver holds anyway
-    drawn = rows.join(F.broadcast(counts), "lang").where(chance < share).select("lang", "text", chance.alias("chance"))
+    share = (1.5 * F.col("each") + 20) / F.col("count")
+    chance = F.pmod(F.xxhash64("k1"), F.lit(1 << 40)) / float(1 << 40)
+    # at most MOST_LANGUAGES rows
+    drawn = rows.join(F.broadcast(counts), "lang").where(chance < share).select("lang", stretch.alias("text"), chance.alias("chance"), "each")
     ranked = drawn.selectExpr("*", "row_number() over (partition by lang order by chance, text) as place")
-    found = ranked.where(F.col("place") <= per_language).select("lang", "text", "chance").toArrow()
+    found = ranked.where(F.col("place") <= F.col("each")).select("lang", "text", "chance").toArrow()
     order = sorted(zip(found["chance"].to_pylist(), found["lang"].to_pylist(), found["text"].to_pylist(), strict=True))
     return train([(lang, text) for _, lang, text in order])
 
@@ -151,7 +203,7 @@ def predict(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.nd
     best = p.argmax(1)
     score = np.where(blank, 0.0, p[np.arange(len(best)), best])
     langs = ["und" if b else model.labels[i] for b, i in zip(blank, best, strict=True)]
-    return langs, score, blank | (score < model.threshold)
+    return langs, score, blank | (_known_share(data, bounds, model.known) < model.threshold)
 
 
 def identify_languages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -50,6 +50,28 @@ def test_languages(spark):
     assert sum(r["rejected"] for r in found) <= 3 + 0.02 * len(rows)
 
 
+def test_rejection_with_two_learned_languages_and_long_labelled_texts(spark):
+    """What was not learned is rejected however few languages there are; mixes of two stay; a language of long texts alone is learned."""
+    rows = [r for r in texts(900, 5) if r[2] != "cc"]
+    long = [(5000 + i, " ".join(random.Random(i).choices(WORDS["cc"], k=9000)), "cc") for i in range(60)]
+    strange = ["zqx vvk qqj wkx zzq pqx jjv kkz xqz vqj wqq", "Πλην του λόγου αυτού δεν υπάρχει κάτι άλλο"]
+    mix = "the house with windows stands der zug fährt über brücken nach osten where the wind goes"
+    schema = "doc_id bigint, text string, lang string"
+    two = spark.createDataFrame([(i, t, l) for i, t, l, _ in rows] + [(7000 + i, t, None) for i, t in enumerate([*strange, mix])], schema)
+    model = fit_language_model(two)
+    assert model.labels == ["aa", "bb"]
+    found = {r["text"]: r["rejected"] for r in identify_languages(two, model).select("text", "rejected").collect()}
+    assert all(found[t] for t in strange) and not found[mix]
+    assert sum(found[t] for _, t, _, _ in rows) <= 0.02 * len(rows)
+    foreign = spark.createDataFrame([(1, " ".join(WORDS["cc"] * 3), None), (2, "the house", None)], schema)
+    assert {r["doc_id"]: r["rejected"] for r in identify_languages(foreign, model).select("rest.doc_id", "rejected").collect()} == {1: True, 2: False}
+    three = spark.createDataFrame([(i, t, l) for i, t, l, _ in rows] + long, schema)
+    model = fit_language_model(three)
+    assert model.labels == ["aa", "bb", "cc"] and min(len(t) for _, t, _ in long) > 20_000
+    found = identify_languages(three, model).where("rest.doc_id >= 5000").select("lang_pred", "rejected").collect()
+    assert {tuple(r) for r in found} == {("cc", False)}
+
+
 def test_no_labels_and_no_rows(spark):
     docs = spark.createDataFrame([(1, "some text", None)], "doc_id bigint, text string, lang string")
     model = fit_language_model(docs)
