@@ -6,9 +6,11 @@ histogram of at most ``capacity`` entries, whatever the number of documents:
 1. Lengths over a quarter of a sequence are large. In descending order they are cut into groups of equal
    cardinality and rounded up to the largest of their group.
 2. A linear program over configurations (at most three large lengths fit a sequence) covers the groups with fewest
-   sequences: column generation with the revised simplex method. Counts are rounded down.
-3. Actual lengths take the places of the rounded ones, run by run. Sequences that rounding left more than ``slack``
-   tokens short are taken apart again.
+   sequences: column generation with the revised simplex method.
+3. Actual lengths take the places of the rounded ones, in runs of equal sequences: the first places take the longest
+   length left in their group or below, the last place the longest length left that fits. A longer
+   length there leaves a shorter one for later, so no configuration gets worse. Then configurations get one sequence more by falling
+   fractions, up to the program's own total.
 4. What is left, large or small, is placed by best fit in descending order into the smallest gap that holds it, in
    counts of equal gaps and lengths.
 
@@ -59,29 +61,29 @@ def _groups(hist: dict[int, int], sizes: list[int], groups: int) -> list[list[li
     return joined
 
 
-def _cover(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Configurations (group numbers) and whole counts: the linear program's basis, rounded down."""
+def _cover(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], float]]:
+    """Configurations (group numbers, longest first) and counts: the linear program's basis."""
     k = len(sizes)
-    # rows of three group numbers; k stands for an empty place
-    two = np.array([(i, j, k) for i in range(k) for j in range(i, k) if sizes[i] + sizes[j] <= capacity], np.int64).reshape(-1, 3)
-    three = [np.zeros((0, 3), np.int64)]
-    for i, j, _ in two:
-        last = np.arange(j, k)
-        last = last[sizes[last] <= capacity - sizes[i] - sizes[j]]
-        three.append(np.column_stack([np.full(len(last), i), np.full(len(last), j), last]))
-    one = np.column_stack([np.arange(k), np.full(k, k), np.full(k, k)])
-    table = np.concatenate([one, two, *three])
+    # two group numbers, k for an empty place; the third is the dearest one that fits the room they leave and is no longer
+    two = np.array([(i, j) for i in range(k) for j in range(i, k + 1) if j == k or sizes[i] + sizes[j] <= capacity], np.int64)
+    room = capacity - np.append(sizes, 0)[two].sum(1)
+    room = np.minimum(room, np.append(sizes, 0)[two[:, 1]])
+    # groups run from long to short: those that fit a room start here
+    fits = np.searchsorted(-sizes, -room)
     most = np.minimum(3, capacity // sizes).astype(int)
     basis = [(i,) * most[i] for i in range(k)]
     inverse = np.diag(1 / most)
     x = demand / most
     for _ in range(20 * k + 100):
         dual = np.append(inverse.sum(0), 0.0)
-        price = dual[table].sum(1)
+        third = np.maximum.accumulate(dual[::-1])[::-1]
+        price = dual[two].sum(1) + third[fits]
         best = int(price.argmax())
         if price[best] <= 1 + 1e-7:
             break
-        column = np.bincount(table[best], minlength=k + 1)[:k]
+        start = fits[best]
+        chosen = [*two[best], start + int(dual[start:].argmax())]
+        column = np.bincount(chosen, minlength=k + 1)[:k]
         direction = inverse @ column
         ratio = np.where(direction > 1e-9, x / np.where(direction > 1e-9, direction, 1), np.inf)
         out = int(ratio.argmin())
@@ -91,15 +93,59 @@ def _cover(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[t
         pivot = inverse[out] / direction[out]
         inverse -= np.outer(direction, pivot)
         inverse[out] = pivot
-        basis[out] = tuple(int(i) for i in table[best] if i < k)
-    return [(config, int(v + 1e-6)) for config, v in zip(basis, x, strict=True) if int(v + 1e-6) > 0]
+        basis[out] = tuple(int(i) for i in chosen if i < k)
+    return [(config, float(v)) for config, v in zip(basis, x, strict=True) if v > 1e-6]
 
 
-def plan(hist: dict[int, int], capacity: int, groups: int = 256, slack: int = 1) -> list[tuple[int, list[tuple[int, int]]]]:
+def configured(hist: dict[int, int], capacity: int, groups: int = 512) -> tuple[list[list], dict[int, int]]:
+    """Sequences made by configurations of large lengths, as [how many, [(length, times), ...]], and what they leave."""
+    left = dict(hist)
+    large = [s for s in sorted(hist, reverse=True) if capacity // 4 < s < capacity and hist[s]]
+    if not large:
+        return [], left
+    queues = _groups(hist, large, groups)
+    sizes, demand = np.array([g[0][0] for g in queues]), np.array([sum(n for _, n in g) for g in queues], float)
+    covered = _cover(sizes, demand, capacity)
+
+    def longest(s: int) -> int:
+        return next((x for x in range(min(s, capacity - 1), capacity // 4, -1) if left.get(x)), 0)
+
+    bins: list[list] = []
+
+    def place(config: tuple[int, ...], count: int) -> bool:
+        while count:
+            items: dict[int, int] = {}
+            room = capacity
+            for i, g in enumerate(config):
+                s = longest(room if i == len(config) - 1 else min(room, int(sizes[g])))
+                while s and left[s] <= items.get(s, 0):
+                    s = longest(s - 1)
+                if not s:
+                    break
+                items[s] = items.get(s, 0) + 1
+                room -= s
+            if sum(items.values()) < len(config):
+                return False
+            run = min(count, *(left[s] // t for s, t in items.items()))
+            for s, t in items.items():
+                left[s] -= run * t
+            bins.append([run, list(items.items())])
+            count -= run
+        return True
+
+    for config, v in sorted(covered, key=lambda c: -int(sizes[c[0][0]])):
+        place(config, int(v + 1e-6))
+    more = round(sum(v - int(v + 1e-6) for _, v in covered))
+    for config, _ in sorted(covered, key=lambda c: int(c[1] + 1e-6) - c[1]):
+        if more > 0:
+            more -= place(config, 1)
+    return bins, left
+
+
+def plan(hist: dict[int, int], capacity: int, groups: int = 512) -> list[tuple[int, list[tuple[int, int]]]]:
     """Kinds of sequence: (how many, [(length, times), ...]); together they hold the histogram exactly."""
     bins: list[list] = []
     gaps: dict[int, list[int]] = {}
-    left = dict(hist)
 
     def add(count: int, items: list[tuple[int, int]]) -> None:
         gap = capacity - sum(s * n for s, n in items)
@@ -107,31 +153,9 @@ def plan(hist: dict[int, int], capacity: int, groups: int = 256, slack: int = 1)
         if gap:
             gaps.setdefault(gap, []).append(len(bins) - 1)
 
-    large = [s for s in sorted(hist, reverse=True) if capacity // 4 < s < capacity and hist[s]]
-    queues = _groups(hist, large, groups) if large else []
-    sizes, demand = np.array([g[0][0] for g in queues]), np.array([sum(n for _, n in g) for g in queues], float)
-    for config, count in _cover(sizes, demand, capacity) if queues else []:
-        while count:
-            times = {g: config.count(g) for g in config}
-            if not all(sum(n for _, n in queues[g]) >= t for g, t in times.items()):
-                break
-            run = min(count, *(queues[g][0][1] // t for g, t in times.items()))
-            items: list[tuple[int, int]] = []
-            for g, t in times.items():
-                need = t
-                while need:
-                    head = queues[g][0]
-                    take = need if run else min(need, head[1])
-                    items.append((head[0], take))
-                    head[1] -= take * max(1, run)
-                    need -= take
-                    if not head[1]:
-                        queues[g].pop(0)
-            if capacity - sum(s * n for s, n in items) <= slack:
-                add(max(1, run), items)
-                for s, n in items:
-                    left[s] -= n * max(1, run)
-            count -= max(1, run)
+    made, left = configured(hist, capacity, groups)
+    for count, items in made:
+        add(count, items)
 
     for s in sorted(left, reverse=True):
         n = left[s]

@@ -7,7 +7,7 @@ import public_tokenizers as P
 import pytest
 from tokenizers import Tokenizer
 
-from patchlode.llm.packing import _encoder, _places, pack, plan
+from patchlode.llm.packing import _encoder, _places, configured, pack, plan
 
 JSON, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken")
 
@@ -39,6 +39,39 @@ def test_plan_holds_every_piece_and_is_short(kind):
     assert ends == dict(hist)
 
 
+def test_configurations_place_the_large_pieces():
+    rng = random.Random(3)
+    for lengths in ([rng.randrange(1, 1025) for _ in range(30_000)], [rng.randrange(257, 512) for _ in range(9000)], [rng.randrange(257, 800) for _ in range(700)]):
+        hist = Counter(lengths)
+        made, left = configured(dict(hist), 1024)
+        placed = Counter()
+        for count, items in made:
+            assert count > 0 and sum(s * n for s, n in items) <= 1024
+            for s, n in items:
+                placed[s] += count * n
+        large = sum(256 < s < 1024 for s in lengths)
+        assert all(256 < s < 1024 for s in placed) and sum(placed.values()) >= 0.95 * large
+        assert placed + Counter(left) == hist
+
+
+def test_plan_against_all_partitions():
+    rng = random.Random(5)
+
+    def fewest(items, bins):
+        if not items:
+            return len(bins)
+        best, seen = len(items) + len(bins), set()
+        for i, gap in enumerate(bins):
+            if gap >= items[0] and gap not in seen:
+                seen.add(gap)
+                best = min(best, fewest(items[1:], [*bins[:i], gap - items[0], *bins[i + 1 :]]))
+        return min(best, fewest(items[1:], [*bins, 20 - items[0]]))
+
+    for _ in range(60):
+        lengths = sorted((rng.randrange(1, 21) for _ in range(rng.randrange(1, 8))), reverse=True)
+        assert sum(c for c, _ in plan(dict(Counter(lengths)), 20)) <= fewest(lengths, []) + 1
+
+
 def test_fast_ids_equal_the_tokenizer():
     rng = random.Random(2)
     texts = ["", " ", "a\r\n\tb  c", "naïve café ½ 1234 '’s don't I'LL", "<|endoftext|> x", "x" * 5000, "日本語 text ́ ​ \x00 ﻿"]
