@@ -68,15 +68,17 @@ def tokens(page: str) -> Iterator[tuple[str, str, tuple, bool]]:
     while at < len(page):
         m = _TOKEN.match(page, at)
         at = m.end()
-        name = m.group(2) or m.group(5)
+        slash, name, rest, other_slash, other_name, other_rest = m.groups()
+        name = name or other_name
         if name is None:
-            if not m.group().startswith(("<!", "<?")):
-                if m.group().strip():
-                    yield "#", m.group(), (*stack, block), links > 0
+            text = m.group()
+            if not text.startswith(("<!", "<?")):
+                if text.isspace():
+                    yield "", text, (), False
                 else:
-                    yield "", m.group(), (), False
+                    yield "#", text, (*stack, block), links > 0
             continue
-        name, closing, rest = name.lower(), bool(m.group(1) or m.group(4)), m.group(3) or m.group(6) or ""
+        name, closing, rest = name.lower(), bool(slash or other_slash), rest or other_rest or ""
         if name in _RAW:
             if not closing and not rest.endswith("/"):
                 end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -121,25 +123,28 @@ def fold(stream: list[str]) -> tuple[tuple, list[list[int]]]:
         keys.append(token)
         held.append([[text]] if token == "#" else [])
         text += token == "#"
-        g = 1
-        while g <= GROUP and g < len(keys):
-            last, before = keys[-1], keys[-g - 1]
-            if type(before) is tuple and len(before) == g and before[-1] == last and before == tuple(keys[-g:]):
-                for old, new in zip(held[-g - 1], joined(g), strict=True):
-                    old += new
-                del keys[-g:], held[-g:]
-                g = 1
-            elif before == last and (g > 1 or last != "#") and 2 * g <= len(keys) and keys[-g:] == keys[-2 * g : -g]:
-                new = joined(g)
-                group = tuple(keys[-g:])
-                del keys[-g:], held[-g:]
-                slots = [a + b for a, b in zip(joined(g), new, strict=True)]
-                del keys[-g:], held[-g:]
-                keys.append(group)
-                held.append(slots)
-                g = 1
-            else:
-                g += 1
+        folded = True
+        while folded:
+            folded = False
+            last = keys[-1]
+            for g in range(1, min(GROUP, len(keys) - 1) + 1):
+                before = keys[-g - 1]
+                if type(before) is tuple and len(before) == g and before[-1] == last and before == tuple(keys[-g:]):
+                    for old, new in zip(held[-g - 1], joined(g), strict=True):
+                        old += new
+                    del keys[-g:], held[-g:]
+                    folded = True
+                    break
+                if before == last and (g > 1 or last != "#") and 2 * g <= len(keys) and keys[-g:] == keys[-2 * g : -g]:
+                    new = joined(g)
+                    group = tuple(keys[-g:])
+                    del keys[-g:], held[-g:]
+                    slots = [a + b for a, b in zip(joined(g), new, strict=True)]
+                    del keys[-g:], held[-g:]
+                    keys.append(group)
+                    held.append(slots)
+                    folded = True
+                    break
     return tuple(keys), [s for own in held for s in own]
 
 
@@ -219,6 +224,12 @@ def furniture(path: tuple) -> bool:
     return path[-1] in _FURNITURE or path[-1] in ("title", "option", "legend")
 
 
+@lru_cache(1 << 14)
+def _place(path: tuple) -> str:
+    return json.dumps(path)
+
+
+@lru_cache(1 << 14)
 def in_main(path: tuple) -> bool:
     return any(p.split(" ", 1)[0] in _MAIN or p.split(" ")[1:].count("main") for p in path[:-1] if p.split(" ", 1)[0] != "body")
 
@@ -325,17 +336,20 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own: dict[str, list[int]] = {}
                 hashes: dict[str, xxhash.xxh3_64] = {}
                 plain: dict[str, bool] = {}
+                texts = []
                 for kind, text, path, link in found:
                     if kind == "#":
-                        p, n = json.dumps(path), len(text.split())
+                        words = text.split()
+                        p, n, said = _place(path), len(words), " ".join(words).encode("utf-8", "replace")
+                        texts.append((p, n, n * link, said))
                         x = own.setdefault(p, [0, 0])
                         x[0] += n
                         x[1] += n * link
                         plain[p] = not furniture(path)
-                        hashes.setdefault(p, xxhash.xxh3_64()).update(" ".join(text.split()).encode("utf-8", "replace"))
+                        hashes.setdefault(p, xxhash.xxh3_64()).update(said)
                 content = sorted((p, hashes[p].intdigest()) for p, (n, linked) in own.items() if plain[p] and 2 * linked <= n)
                 page_hash = xxhash.xxh3_64_intdigest(json.dumps(content).encode()) >> 1
-                _add_slots(slots.setdefault(key, [{} for _ in held]), held, [t for t in found if t[0] == "#"], page_hash)
+                _add_slots(slots.setdefault(key, [{} for _ in held]), held, texts, page_hash)
                 for p, (n, linked) in own.items():
                     _add_page(different.setdefault((host, p), set()), page_hash)
                     h = hashes[p].intdigest() >> 1
@@ -356,16 +370,15 @@ def _add_page(known: set[int], page_hash: int) -> None:
 
 
 def _add_slots(facts: list[dict], held: list[list[int]], texts: list[tuple], page_hash: int) -> None:
-    """Add one page to the facts of its pattern's slots."""
+    """Add one page to the facts of its pattern's slots. Texts: place, words, words in links, text."""
     for x, numbers in zip(facts, held, strict=True):
-        words = [texts[i][1].split() for i in numbers]
-        h = xxhash.xxh3_64_intdigest(" ".join(" ".join(w) for w in words).encode("utf-8", "replace")) >> 1
+        h = xxhash.xxh3_64_intdigest(b" ".join(texts[i][3] for i in numbers)) >> 1
         if not x:
-            x.update(path=json.dumps(texts[numbers[0]][2]), pages=0, texts=0, words=0, linked=0, low=h, high=h, different=set())
+            x.update(path=texts[numbers[0]][0], pages=0, texts=0, words=0, linked=0, low=h, high=h, different=set())
         x["pages"] += 1
         x["texts"] += len(numbers)
-        x["words"] += sum(map(len, words))
-        x["linked"] += sum(len(w) for w, i in zip(words, numbers, strict=True) if texts[i][3])
+        x["words"] += sum(texts[i][1] for i in numbers)
+        x["linked"] += sum(texts[i][2] for i in numbers)
         x["low"], x["high"] = min(x["low"], h), max(x["high"], h)
         _add_page(x["different"], page_hash)
 
@@ -471,7 +484,7 @@ def main_text(
     role: dict[int, bool] = {}
     for number, held in zip(known[key], slots, strict=True):
         for i in held:
-            place = json.dumps(paths[i])
+            place = _place(paths[i])
             role[i] = not furniture(paths[i]) and (place not in bad if number is None else number not in off and place not in fixed)
     if any(role[i] and in_main(paths[i]) for i in role):
         role = {i: good and in_main(paths[i]) for i, good in role.items()}
