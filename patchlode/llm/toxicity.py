@@ -1,17 +1,19 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-The units are word stems: the first ``STEM`` letters of each lower-cased word, so that inflected
-forms share their counts. Words end at Unicode white space, punctuation, digits and control characters. Runs of
+The units are lower-cased words. Words end at Unicode white space, punctuation, digits and control characters. Runs of
 more than ``LONG`` letters, and scripts written without spaces at any length, are no single words: they are read
-whole, as overlapping units of ``STEM`` characters (``PAIR`` for ideographs and kana). Each class (toxic, ordinary) has an absolute-discount model of its stems;
-the discounted mass goes to one backoff that both share, the continuation counts: after how many
-different stems a stem is met in either class. A rare expression therefore gets nearly the same
-probability from both. A text's evidence is the difference of the two log-likelihoods per word, minus
-what is typical of the text (the median over its words, which carries its language or
-subject, shrunk for short texts). A logistic curve turns it into a score.
-
-Counts cover all labelled rows that may be learned from and are summed by Spark. Stems are hashed to
-``2**CELLS`` cells, so the tables that the scoring tasks get have a fixed size. The curve is
+whole, as overlapping units of ``STEM`` characters (``PAIR`` for ideographs and kana). Each class (toxic, ordinary) has an
+absolute-discount model of its words; the discounted mass goes to one backoff that both share, the continuation counts: after
+how many different words a word is met in either class. A rare expression therefore gets nearly the same
+probability from both. A word that was met in neither class is read by its stem, its first ``STEM`` letters, in a
+second pair of models, whose backoff counts the different words of a stem.
+
+A text's evidence is the difference of the two log-likelihoods over its words, normalised by their number. Of a word's difference
+only what exceeds ``MARGIN`` counts: the many small differences of words that both classes use tell subject and language, and
+in a long text their sum would hide a few plain expressions. A logistic curve over the root of that mean turns it into a score.
+
+Counts cover all labelled rows that may be learned from and are summed by Spark. Words and stems are hashed to
+``2**CELLS`` cells each, so the tables that the scoring tasks get have a fixed size. The curve is
 cross-fitted: the rows of each of ``FOLDS`` folds are read by a model of the others. At most ``most_fitted`` rows
 of each class are drawn for it, and the intercept is corrected for the draw.
 """
@@ -36,17 +38,19 @@ STEM = 4
 PAIR = 2
 LONG = 16
 CELLS = 20
+_WIDE = CELLS + 1  # bits of a cell with the one that tells stems from words
 _BITS = 26
 FOLDS = 4
 # where the slope starts from, and how far the rows may easily move it: few labels stay near it, many decide themselves
-DEFAULT_SLOPE = 10.0
+DEFAULT_SLOPE = 25.0
 _SLOPE_SPREAD = 1.0
-_SHRINK = 20.0
+#: What a word's log-likelihood difference must exceed to count.
+MARGIN = 1.0
 
 
 @dataclass
 class Model:
-    """Log-likelihood difference of each cell, and the curve: slope, intercept, score without words."""
+    """Log-likelihood difference of each cell, words (nan where never met) before stems, and the curve: slope, intercept, score without words."""
 
     delta: np.ndarray
     slope: float
@@ -84,8 +88,8 @@ def _class_of() -> np.ndarray:
     return _classes[0]
 
 
-def stems(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The cell of each unit in order, and the bounds of the texts in them."""
+def units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The cell of each unit in order, the cell of its stem, and the bounds of the texts in them."""
     texts = pc.utf8_lower(texts.fill_null(""))
     data, offsets = buffers(texts)
     code = np.frombuffer(data[offsets[0] : offsets[-1]].tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
@@ -96,7 +100,7 @@ def stems(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         bounds = np.concatenate([[0], np.cumsum(keep)])[bounds]
         code, kind = code[keep], kind[keep]
     if not len(code):
-        return np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
     # runs of one class within one text
     edge = np.ones(len(code) + 1, bool)
     edge[1:-1] = kind[1:] != kind[:-1]
@@ -105,32 +109,44 @@ def stems(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     first, size, kind = edges[:-1], np.diff(edges), kind[edges[:-1]]
     width = _WIDTH[kind]
     whole = (kind == _LETTER) & (size <= LONG)
-    units = np.where(kind == _OUT, 0, np.where(whole, 1, np.maximum(size - width + 1, 1)))
-    total = np.concatenate([[0], np.cumsum(units)])
-    start = np.arange(total[-1]) + np.repeat(first - total[:-1], units)
-    end = np.minimum(start + np.repeat(width, units), np.repeat(first + size, units))
+    number = np.where(kind == _OUT, 0, np.where(whole, 1, np.maximum(size - width + 1, 1)))
+    total = np.concatenate([[0], np.cumsum(number)])
+    start = np.arange(total[-1]) + np.repeat(first - total[:-1], number)
+    end = np.minimum(start + np.repeat(np.where(whole, size, width), number), np.repeat(first + size, number))
     value = np.zeros(len(start), U)
     for j in range(STEM):
         value = value * U(0x9E3779B97F4A7C15) + np.where(start + j < end, code[np.minimum(start + j, len(code) - 1)] + 1, 0).astype(U)
-    return (mix(value) >> U(64 - CELLS)).astype(np.int64), np.searchsorted(start, bounds)
+    stem = (mix(value) >> U(64 - CELLS)).astype(np.int64)
+    longer = np.arange(len(start))
+    for j in range(STEM, LONG):
+        longer = longer[start[longer] + j < end[longer]]
+        value[longer] = value[longer] * U(0x9E3779B97F4A7C15) + code[start[longer] + j].astype(U) + U(1)
+    return (mix(value) >> U(64 - CELLS)).astype(np.int64), stem, np.searchsorted(start, bounds)
+
+
+def stems(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The cell of each unit's stem in order, and the bounds of the texts in them."""
+    return units(texts)[1:]
 
 
 _KINDS = [f"{c}{f}" for c in "ot" for f in range(FOLDS)]
 
 
 def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of (stem before, stem) by class and fold, over some megabytes at a time."""
+    """Counts of (word before, word) and (word, stem) by class and fold, over some megabytes at a time."""
     for batch in batches:
         for part in chunks(batch, "text", 8 << 20):
-            cells, bounds = stems(part.column("text"))
+            cells, stem, bounds = units(part.column("text"))
             n = np.diff(bounds)
             before = np.empty_like(cells)
             before[1:] = cells[:-1]
             before[bounds[:-1][n > 0]] = 0
             kind = part.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64) * FOLDS + part.column("fold").to_numpy(zero_copy_only=False)
-            keys, inverse = np.unique((before << CELLS) | cells, return_inverse=True)
-            counts = np.bincount(inverse * len(_KINDS) + np.repeat(kind, n), minlength=len(_KINDS) * len(keys)).reshape(-1, len(_KINDS))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(counts[:, j]) for j in range(len(_KINDS)))], ["pair", *_KINDS])
+            kind = np.repeat(kind, n)
+            for here in ((before << _WIDE) | cells, (cells << _WIDE) | stem | 1 << CELLS):
+                keys, inverse = np.unique(here, return_inverse=True)
+                counts = np.bincount(inverse * len(_KINDS) + kind, minlength=len(_KINDS) * len(keys)).reshape(-1, len(_KINDS))
+                yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(counts[:, j]) for j in range(len(_KINDS)))], ["pair", *_KINDS])
 
 
 def _discount(counts: np.ndarray) -> float:
@@ -139,7 +155,12 @@ def _discount(counts: np.ndarray) -> float:
 
 
 def _differences(toxic: np.ndarray, ordinary: np.ndarray, continuation: np.ndarray) -> np.ndarray:
-    """ln P(stem | toxic) - ln P(stem | ordinary); cells met in neither class give no evidence."""
+    """ln P(unit | toxic) - ln P(unit | ordinary), words before stems. Words met in neither class are nan, stems give no evidence."""
+    words, rest = (slice(0, 1 << CELLS), np.nan), (slice(1 << CELLS, None), 0.0)
+    return np.concatenate([_ratio(toxic[s], ordinary[s], continuation[s], unmet) for s, unmet in (words, rest)])
+
+
+def _ratio(toxic: np.ndarray, ordinary: np.ndarray, continuation: np.ndarray, unmet: float) -> np.ndarray:
     shared = (continuation + 1) / (continuation + 1).sum()
 
     def likelihood(counts: np.ndarray) -> np.ndarray:
@@ -149,19 +170,18 @@ def _differences(toxic: np.ndarray, ordinary: np.ndarray, continuation: np.ndarr
         d = _discount(counts)
         return np.maximum(counts - d, 0) / total + d * (counts > 0).sum() / total * shared
 
-    return np.where(toxic + ordinary > 0, np.log(likelihood(toxic) / likelihood(ordinary)), 0).astype(np.float32)
+    return np.where(toxic + ordinary > 0, np.log(likelihood(toxic) / likelihood(ordinary)), unmet).astype(np.float32)
 
 
 def _evidence(texts: pa.Array, delta: np.ndarray) -> np.ndarray:
     """Evidence of each text; nan without words."""
-    cells, bounds = stems(texts)
-    values = delta[cells].astype(np.float64)
-    found = np.full(len(texts), np.nan)
-    for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-        if b > a:
-            own = values[a:b]
-            found[i] = own.mean() - np.median(own) * (b - a) / (b - a + _SHRINK)
-    return found
+    words, stem, bounds = units(texts)
+    values = delta[words].astype(np.float64)
+    unmet = np.isnan(values)
+    values[unmet] = delta[stem[unmet] | 1 << CELLS]
+    n = np.diff(bounds)
+    total = np.diff(np.concatenate([[0], np.cumsum(np.maximum(values - MARGIN, 0))])[bounds])
+    return np.where(n > 0, np.sqrt(np.maximum(total, 0) / np.maximum(n, 1)), np.nan)
 
 
 def _curve(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -184,7 +204,7 @@ def _curve(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, most_fitted: int = 20_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"
 ) -> Model:
-    """Count stems of all labelled rows that may be learned from, and fit the curve.
+    """Count words of all labelled rows that may be learned from, and fit the curve.
 
     Null labels and null ids are left out. An id with several labels counts once per label, an id with several
     texts once per text. Without labelled rows with words of a class every text gets the prior.
@@ -208,14 +228,15 @@ def fit_toxicity(
 
     pairs = rows.select("text", "toxic", "fold").mapInArrow(_pair_counts, "pair bigint, " + ", ".join(f"{c} bigint" for c in _KINDS))
     pairs = pairs.groupBy("pair").agg(*(F.sum(c).alias(c) for c in _KINDS))
-    cell = F.col("pair").bitwiseAND((1 << CELLS) - 1).alias("cell")
+    cell = F.col("pair").bitwiseAND((1 << _WIDE) - 1).alias("cell")
     others = [sum(F.col(c) for c in _KINDS if c[1:] != str(f)) for f in range(FOLDS)]
     table = pairs.groupBy(cell).agg(
-        *(F.sum(c).alias(c) for c in _KINDS), F.count("*").alias("after"), *(F.count_if(x > 0).alias(f"after{f}") for f, x in enumerate(others))).toArrow()
+        *(F.sum(c).cast("float").alias(c) for c in _KINDS), F.count("*").cast("float").alias("after"),
+        *(F.count_if(x > 0).cast("float").alias(f"after{f}") for f, x in enumerate(others))).toArrow()
     at = table["cell"].to_numpy()
 
     def spread(values: np.ndarray) -> np.ndarray:
-        found = np.zeros(1 << CELLS)
+        found = np.zeros(1 << _WIDE)
         found[at] = values
         return found
 
@@ -229,7 +250,7 @@ def fit_toxicity(
     toxic, ordinary = counted("t"), counted("o")
     if not toxic.any() or not ordinary.any():
         drop_staged(rows)
-        return Model(np.zeros(1 << CELLS, np.float32), 0.0, level, prior)
+        return Model(np.zeros(1 << _WIDE, np.float32), 0.0, level, prior)
     whole = _differences(toxic, ordinary, spread(table["after"].to_numpy()))
 
     def without(f: int) -> np.ndarray | None:
