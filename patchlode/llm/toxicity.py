@@ -135,7 +135,7 @@ _KINDS = [f"{c}{f}" for c in "ot" for f in range(FOLDS)]
 def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of (word before, word) and (word, stem) by class and fold, over some megabytes at a time."""
     for batch in batches:
-        for part in chunks(batch, "text", 8 << 20):
+        for part in chunks(batch, "text", 2 << 20):
             cells, stem, bounds = units(part.column("text"))
             n = np.diff(bounds)
             before = np.empty_like(cells)
