@@ -132,21 +132,35 @@ def stems(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 _KINDS = [f"{c}{f}" for c in "ot" for f in range(FOLDS)]
 
 
-def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of (word before, word) and (word, stem) by class and fold, over some megabytes at a time."""
+def _told(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Word cells, stem cells, class and fold of each unit, and bounds of the texts, over some megabytes at a time."""
+    for part in chunks(batch, "text", 2 << 20):
+        cells, stem, bounds = units(part.column("text"))
+        kind = part.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64) * FOLDS + part.column("fold").to_numpy(zero_copy_only=False)
+        yield cells, stem | 1 << CELLS, np.repeat(kind, np.diff(bounds)), bounds
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each word and stem stands in each class and fold."""
+    for batch in batches:
+        for cells, stem, kind, _ in _told(batch):
+            keys, inverse = np.unique(np.concatenate([cells, stem]), return_inverse=True)
+            counts = np.bincount(inverse * len(_KINDS) + np.tile(kind, 2), minlength=len(_KINDS) * len(keys)).reshape(-1, len(_KINDS))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(counts[:, j]) for j in range(len(_KINDS)))], ["cell", *_KINDS])
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different pairs (word before, word) and (word, stem), and the folds they stand in as bits."""
     for batch in batches:
-        for part in chunks(batch, "text", 2 << 20):
-            cells, stem, bounds = units(part.column("text"))
-            n = np.diff(bounds)
+        for cells, stem, kind, bounds in _told(batch):
             before = np.empty_like(cells)
             before[1:] = cells[:-1]
-            before[bounds[:-1][n > 0]] = 0
-            kind = part.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64) * FOLDS + part.column("fold").to_numpy(zero_copy_only=False)
-            kind = np.repeat(kind, n)
-            for here in ((before << _WIDE) | cells, (cells << _WIDE) | stem | 1 << CELLS):
-                keys, inverse = np.unique(here, return_inverse=True)
-                counts = np.bincount(inverse * len(_KINDS) + kind, minlength=len(_KINDS) * len(keys)).reshape(-1, len(_KINDS))
-                yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(counts[:, j]) for j in range(len(_KINDS)))], ["pair", *_KINDS])
+            before[bounds[:-1][np.diff(bounds) > 0]] = 0
+            for here in ((before << _WIDE) | cells, (cells << _WIDE) | stem):
+                keys, fold = np.divmod(np.unique(here * FOLDS + kind % FOLDS), FOLDS)
+                first = np.flatnonzero(np.diff(keys, prepend=-1))
+                seen = np.bitwise_or.reduceat(1 << fold, first) if len(first) else fold
+                yield pa.RecordBatch.from_arrays([pa.array(keys[first]), pa.array(seen.astype(np.int32))], ["pair", "seen"])
 
 
 def _discount(counts: np.ndarray) -> float:
@@ -226,22 +240,23 @@ def fit_toxicity(
     # both sides grow alike, so the plan is the same at every size
     rows = stage(rows.join(known.hint("merge"), "id").select("text", "toxic", fold, "k1"), "labelled")
 
-    pairs = rows.select("text", "toxic", "fold").mapInArrow(_pair_counts, "pair bigint, " + ", ".join(f"{c} bigint" for c in _KINDS))
-    pairs = pairs.groupBy("pair").agg(*(F.sum(c).alias(c) for c in _KINDS))
+    told = rows.select("text", "toxic", "fold")
+    counts = told.mapInArrow(_counts, "cell bigint, " + ", ".join(f"{c} bigint" for c in _KINDS))
+    counts = counts.groupBy("cell").agg(*(F.sum(c).cast("float").alias(c) for c in _KINDS)).toArrow()
+    pairs = told.mapInArrow(_pairs, "pair bigint, seen int").groupBy("pair").agg(F.bit_or("seen").alias("seen"))
     cell = F.col("pair").bitwiseAND((1 << _WIDE) - 1).alias("cell")
-    others = [sum(F.col(c) for c in _KINDS if c[1:] != str(f)) for f in range(FOLDS)]
-    table = pairs.groupBy(cell).agg(
-        *(F.sum(c).cast("float").alias(c) for c in _KINDS), F.count("*").cast("float").alias("after"),
-        *(F.count_if(x > 0).cast("float").alias(f"after{f}") for f, x in enumerate(others))).toArrow()
-    at = table["cell"].to_numpy()
+    elsewhere = [F.col("seen").bitwiseAND((1 << FOLDS) - 1 - (1 << f)) != 0 for f in range(FOLDS)]
+    after = pairs.groupBy(cell).agg(
+        F.count("*").cast("float").alias("after"), *(F.count_if(x).cast("float").alias(f"after{f}") for f, x in enumerate(elsewhere))).toArrow()
 
-    def spread(values: np.ndarray) -> np.ndarray:
+    def spread(table: pa.Table, *columns: str) -> np.ndarray:
         found = np.zeros(1 << _WIDE)
-        found[at] = values
+        for c in columns:
+            found[table["cell"].to_numpy()] += table[c].to_numpy()
         return found
 
     def counted(kind: str, but: int | None = None) -> np.ndarray:
-        return spread(sum(table[f"{kind}{f}"].to_numpy() for f in range(FOLDS) if f != but))
+        return spread(counts, *(f"{kind}{f}" for f in range(FOLDS) if f != but))
 
     size = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     labelled_rows = sum(size.values())
@@ -251,11 +266,11 @@ def fit_toxicity(
     if not toxic.any() or not ordinary.any():
         drop_staged(rows)
         return Model(np.zeros(1 << _WIDE, np.float32), 0.0, level, prior)
-    whole = _differences(toxic, ordinary, spread(table["after"].to_numpy()))
+    whole = _differences(toxic, ordinary, spread(after, "after"))
 
     def without(f: int) -> np.ndarray | None:
         t, o = counted("t", f), counted("o", f)
-        return _differences(t, o, spread(table[f"after{f}"].to_numpy())) if t.any() and o.any() else None
+        return _differences(t, o, spread(after, f"after{f}")) if t.any() and o.any() else None
 
     parts = spark.sparkContext.broadcast([without(f) for f in range(FOLDS)])
 
