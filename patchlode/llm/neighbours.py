@@ -1,26 +1,29 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
-Largest inner product becomes smallest distance first: vectors are divided by the largest norm and get one
-more coordinate that makes them unit vectors, queries are scaled to length one. Each of ``tables`` tables cuts ``functions``
-Gaussian projections into slots of a width; a row's bucket is its slots in a table.
+Largest inner product becomes smallest distance first: rows are put into bands by the power of two of their norm, divided by
+the largest norm of their band and given one more coordinate that makes them unit vectors; queries get the length one and
+the last coordinate of likely neighbours. A few very long vectors therefore do not press all others into one place. Each of
+``tables`` tables cuts Gaussian projections, centred on the sample, into slots of a width; a row's bucket is its band
+and its slots in a table. There are more projections the more rows there are.
 
 A query visits perturbed buckets in the order of their estimated success: the probability that a neighbour at the
 radius lies there, from the query's place in its own slots. It stops once the visited buckets of
 all tables together hold such a neighbour with probability ``target``; the success of the last one is its
-cut-off, and a bucket is visited if its success reaches that. The radius is where a row in the sample
-would be one of the k nearest of all rows.
+cut-off, found on drawn neighbours, and a bucket is visited if its success reaches that. The radius of a band is where a row of it
+would, by the inner products of the sample, be one of the k nearest of all rows, also for queries that lie less well than most.
 
-Rows are grouped by table and coarse cell (the first ``coarse`` slots) and queries sent to the
+Rows are grouped by table and coarse cell (the band and the first slots) and queries sent to the
 cells that hold a bucket above their cut-off. Large cells are split on both sides into blocks of ``block`` rows, so no task
-holds an unbounded group. Each block gives its best k per query, exactly scored; tables are merged.
-Queries that found fewer than k rows are compared with all rows, in blocks.
+holds an unbounded group. In a block only rows of visited buckets are scored; the best k per query are scored exactly, and
+tables are merged. Queries that found fewer than k rows are compared with all rows, in blocks.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -29,21 +32,29 @@ from pyspark.sql import functions as F
 
 from .frames import drop_staged, stage
 
-CLIP = 4
+CLIP = 2
+BANDS = 16
+#: The most slots that name a cell: at most BANDS * (2 * CLIP + 1) ** MOST_COARSE cells a table.
+MOST_COARSE = 6
+_DRAWS = 2048
 _erf = np.vectorize(math.erf, otypes=[float])
 
 
 @dataclass
 class Index:
-    """Projections (tables, functions, dimension + 1), shifts, slot width, radius, largest norm, cut share of a table."""
+    """Projections (tables, functions, dimension + 1), shifts, slot width, inner product with the last of
+    the k nearest, mean squared length and variance of the last coordinate of each band, largest norm, cut share of a table, slots that name a cell, bands that hold rows."""
 
     a: np.ndarray
     b: np.ndarray
     width: float
-    radius: float
+    near: float
+    level: np.ndarray
+    uneven: np.ndarray
     norm: float
     share: float
     coarse: int
+    bands: list[int] = field(default_factory=list)
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:
@@ -51,13 +62,21 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
     return flat.reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 0))
 
 
-def _lifted(x: np.ndarray, norm: float) -> np.ndarray:
-    x = x / norm
-    return np.column_stack([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(1)))])
+def _band(lengths: np.ndarray, norm: float) -> np.ndarray:
+    """Band 0 reaches from the largest norm down to its half, and so on; the last one holds all shorter vectors."""
+    with np.errstate(divide="ignore"):
+        return np.clip(np.floor(np.log2(norm) - np.log2(lengths)), 0, BANDS - 1).astype(np.int64)
 
 
-def _aimed(q: np.ndarray) -> np.ndarray:
-    return np.column_stack([q / np.linalg.norm(q, axis=1, keepdims=True), np.zeros(len(q))])
+def _lifted(x: np.ndarray, norm: float) -> tuple[np.ndarray, np.ndarray]:
+    """The rows as unit vectors, and their bands."""
+    band = _band(np.linalg.norm(x, axis=1), norm)
+    x = x / (norm * 0.5**band)[:, None]
+    return np.column_stack([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(1)))]), band
+
+
+def _unit(q: np.ndarray) -> np.ndarray:
+    return q / np.linalg.norm(q, axis=1, keepdims=True)
 
 
 def _slots(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -67,28 +86,49 @@ def _slots(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return slot.astype(np.int8), spot - slot
 
 
-def _success(index: Index, inside: np.ndarray) -> np.ndarray:
-    """Log success of the slot below, the own one and the one above, for each function."""
-    s = index.radius / index.width * math.sqrt(2)
+def aimed(index: Index, q: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where a query looks for its neighbours in a band, and how far off the last of them lies.
+
+    A row of squared length l whose inner product with the query at length one is s lies at s along the query, at
+    sqrt(1 - l) along the last coordinate and at sqrt(l - s * s) across; the query gets the last coordinate of such rows. s
+    is that of the last of the k nearest. In bands too short for it, where only unusual queries find a neighbour, it is a half.
+    """
+    level, radius = _reach(index.near, index.norm, index.level[band], index.uneven[band], band)
+    return np.column_stack([_unit(q), np.full(len(q), math.sqrt(1 - level))]), np.full(len(q), radius)
+
+
+def _reach(near: float, norm: float, level: float, uneven: float, band: int) -> tuple[float, float]:
+    """Squared length of likely neighbours in a band, and their distance."""
+    s = max(-1.0, near / (norm * 0.5**band))
+    s = s if s < 1 else 0.5
+    level = min(1.0, max(level, (1 + s * s) / 2))
+    return level, math.sqrt(max(0.0025, 1 - 2 * s + level) + uneven)
+
+
+def _success(index: Index, inside: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """Log success of the slot below, the own one and the one above, for each query and function."""
+    s = radius / index.width * math.sqrt(2)
     edges = np.stack([-1 - inside, -inside, 1 - inside, 2 - inside], -1)
-    cumulative = 0.5 * (1 + _erf(edges / s)) if np.isfinite(s) and s > 0 else np.cumsum(np.ones_like(edges), -1) / 4
+    cumulative = 0.5 * (1 + _erf(edges / s[:, None, None]))
     return np.log(np.maximum(np.diff(cumulative, axis=-1), 1e-300))
 
 
 def _cut_offs(index: Index, log_success: np.ndarray) -> np.ndarray:
-    """Success of the last visited bucket of each query in one table."""
-    total = np.zeros((len(log_success), 1))
+    """Success of the last visited bucket of each query in one table: drawn neighbours reach it with the share of a table."""
+    u = np.random.default_rng(0).random((_DRAWS, log_success.shape[1]))
+    total = np.zeros((len(log_success), _DRAWS))
     for f in range(log_success.shape[1]):
-        total = (total[:, :, None] + log_success[:, f, None, :]).reshape(len(log_success), -1)
-    total = -np.sort(-total, axis=1)
-    held = np.cumsum(np.exp(total), axis=1)
-    last = np.argmax(held >= index.share, axis=1)
-    last[held[:, -1] < index.share] = total.shape[1] - 1
-    return total[np.arange(len(total)), last]
+        here = log_success[:, f]
+        # slot below, own, above, or further away
+        step = (u[None, :, f, None] >= np.cumsum(np.exp(here), -1)[:, None]).sum(-1)
+        total += np.take_along_axis(np.column_stack([here, np.full(len(here), -np.inf)]), step, 1)
+    place = math.ceil(index.share * _DRAWS)
+    last = -np.partition(-total, place - 1, axis=1)[:, place - 1]
+    return np.where(np.isneginf(last), log_success.min(-1).sum(-1), last)
 
 
-def _cell(slots: np.ndarray) -> np.ndarray:
-    cell = np.zeros(slots.shape[:-1], np.int64)
+def _cell(slots: np.ndarray, band: np.ndarray | int) -> np.ndarray:
+    cell = np.zeros(slots.shape[:-1], np.int64) + band
     for j in range(slots.shape[-1]):
         cell = cell * (2 * CLIP + 1) + slots[..., j] + CLIP
     return cell
@@ -98,10 +138,13 @@ def _rows(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            slots, _ = _slots(index, _lifted(_matrix(batch.column("vector")), index.norm))
-            for t in range(slots.shape[1] if len(slots) else 0):
+            if not batch.num_rows:
+                continue
+            points, band = _lifted(_matrix(batch.column("vector")), index.norm)
+            slots, _ = _slots(index, points)
+            for t in range(slots.shape[1]):
                 codes = [x.tobytes() for x in np.ascontiguousarray(slots[:, t])]
-                cell = _cell(slots[:, t, : index.coarse])
+                cell = _cell(slots[:, t, : index.coarse], band)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(cell), t, np.int32)), pa.array(cell), batch.column("id"), batch.column("vector"), pa.array(codes, pa.binary())],
                     ["t", "cell", "id", "vector", "code"])
@@ -116,9 +159,12 @@ def _probes(shared):
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                slots, inside = _slots(index, _aimed(_matrix(batch.column("vector"))))
-                for t in range(slots.shape[1]):
-                    success = _success(index, inside[:, t])
+                q = _matrix(batch.column("vector"))
+                aims = {band: aimed(index, q, band) for band in index.bands}
+                placed = {band: _slots(index, points) for band, (points, _) in aims.items()}
+                for t, band in itertools.product(range(len(index.a)), index.bands):
+                    slots, inside = placed[band]
+                    success = _success(index, inside[:, t], aims[band][1])
                     cut = _cut_offs(index, success)
                     rest = success[:, index.coarse :].max(-1).sum(1)
                     best = rest[:, None] + sum(success[:, f, steps[:, f] + 1] for f in range(index.coarse))
@@ -128,12 +174,25 @@ def _probes(shared):
                     query, there = query[real], there[real]
                     rows = pa.array(query)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(query), t, np.int32)), pa.array(_cell(there)), batch.column("id").take(rows), batch.column("vector").take(rows), pa.array(cut[query])],
+                        [pa.array(np.full(len(query), t, np.int32)), pa.array(_cell(there, band)), batch.column("id").take(rows),
+                         batch.column("vector").take(rows), pa.array(cut[query])],
                         ["t", "cell", "id", "vector", "cut"])
 
     return run
 
 
+def visited(index: Index, t: int, band: int, q: np.ndarray, cut: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Which buckets of a table and band (rows of slots) each query visits."""
+    points, radius = aimed(index, q, band)
+    slots, inside = _slots(index, points)
+    slots, success = slots[:, t], _success(index, inside[:, t], radius)
+    total = np.zeros((len(q), len(kinds)))
+    for f in range(kinds.shape[1]):
+        step = kinds[None, :, f].astype(np.int16) - slots[:, f, None]
+        total += np.where(np.abs(step) <= 1, np.take_along_axis(success[:, f], np.clip(step + 1, 0, 2).astype(np.int64), 1), -np.inf)
+    return total >= cut[:, None] - 1e-9
+
+
 def _block(shared, k: int, everything: bool) -> Callable:
     """The best k rows of a block for each of its queries, exactly scored."""
 
@@ -149,19 +208,19 @@ def _block(shared, k: int, everything: bool) -> Callable:
         raw = np.ascontiguousarray(x).view(np.dtype((np.void, 8 * x.shape[1]))).ravel()
         _, first, group = np.unique(raw, return_index=True, return_inverse=True)
         distinct = x[first]
-        scores = q @ distinct.T
-        if not everything:
-            t = int(queries["t"][0].as_py())
+        if everything:
+            scores = q @ distinct.T
+        else:
             code = np.frombuffer(b"".join(rows["code"].to_pylist()), np.int8).reshape(len(ids), -1)[first]
             kinds, kind = np.unique(code, axis=0, return_inverse=True)
-            slots, inside = _slots(index, _aimed(q))
-            slots, success = slots[:, t], _success(index, inside[:, t])
-            total = np.zeros((len(q), len(kinds)))
-            for f in range(kinds.shape[1]):
-                step = kinds[None, :, f].astype(np.int16) - slots[:, f, None]
-                total += np.where(np.abs(step) <= 1, np.take_along_axis(success[:, f], np.clip(step + 1, 0, 2).astype(np.int64), 1), -np.inf)
-            visited = total >= queries["cut"].to_numpy()[:, None] - 1e-9
-            scores = np.where(visited[:, kind.ravel()], scores, -np.inf)
+            band = int(rows["cell"][0].as_py()) // (2 * CLIP + 1) ** index.coarse
+            reached = visited(index, int(queries["t"][0].as_py()), band, q, queries["cut"].to_numpy(), kinds)
+            scores = np.full((len(q), len(distinct)), -np.inf)
+            buckets = np.split(np.argsort(kind.ravel(), kind="stable"), np.cumsum(np.bincount(kind.ravel()))[:-1])
+            for j, bucket in enumerate(buckets):
+                who = np.flatnonzero(reached[:, j])
+                if len(who):
+                    scores[np.ix_(who, bucket)] = q[who] @ distinct[bucket].T
         keep = min(len(distinct), k + 8)
         top = np.argpartition(-scores, keep - 1, axis=1)[:, :keep] if keep < len(distinct) else np.tile(np.arange(keep), (len(q), 1))
         exact = np.zeros(top.shape)
@@ -209,27 +268,38 @@ def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & ~bad & some)
 
 
-def build_index(rows: DataFrame, queries: DataFrame, dimension: int, norm: float, n: int, k: int, tables: int, functions: int, coarse: int,
-                target: float, sample: int, seed: int) -> Index:
+def fitted(points: np.ndarray, aims: np.ndarray, norm: float, n: int, k: int, tables: int, block: int, target: float, seed: int) -> Index:
+    """An index for ``n`` rows from a sample of them and of the queries."""
+    coarse = int(np.clip(3 + math.floor(math.log(max(1.0, n / (16 * block)), 3)), 3, MOST_COARSE))
+    rng = np.random.default_rng(seed)
+    a = rng.standard_normal((tables, coarse + 9, points.shape[1] + 1))
+    lifted, band = _lifted(points, norm)
+    projected = np.einsum("nd,tfd->ntf", lifted, a)
+    spread = float((projected - projected.mean(0)).std()) or 1.0
+    products = _unit(aims) @ points.T if len(aims) else np.ones((1, 1))
+    place = min(1.0, (k + 1) / max(1, n))
+    # less by the spread among queries, for those whose neighbours lie further off
+    own = np.quantile(products, 1 - max(place, 1 / products.shape[1]), axis=1)
+    near = float(np.quantile(products, 1 - place)) - float(own.std())
+    level, uneven = np.full(BANDS, 0.5), np.full(BANDS, 0.05)
+    for i in np.unique(band):
+        level[i], uneven[i] = (lifted[band == i, :-1] ** 2).sum(1).mean(), lifted[band == i, -1].var()
+    width = max(2.0 * spread, 1.9 * float(np.median([_reach(near, norm, level[i], uneven[i], i)[1] for i in np.unique(band)])))
+    b = rng.uniform(0, width, a.shape[:2]) - projected.mean(0)
+    return Index(a, b, width, near, level, uneven, norm, 1 - (1 - target) ** (1 / tables), coarse)
+
+
+def build_index(rows: DataFrame, queries: DataFrame, norm: float, n: int, k: int, tables: int, block: int, target: float,
+                sample: int, seed: int) -> Index:
     """Fit the width and the radius on at most ``sample`` rows and 256 queries."""
     def drawn(df: DataFrame, most: int) -> np.ndarray:
         return _matrix(df.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(most).toArrow()["vector"].combine_chunks())
 
-    points, aims = drawn(rows, sample), drawn(queries, 256)
-    rng = np.random.default_rng(seed)
-    a = rng.standard_normal((tables, functions, dimension + 1))
-    points = _lifted(points, norm)
-    spread = float(np.einsum("nd,tfd->ntf", points, a).std()) or 1.0
-    distances = np.sort(np.sqrt(np.maximum(0, 2 - 2 * _aimed(aims) @ points.T)).ravel()) if len(aims) else np.ones(1)
-    place = min(1.0, (k + 1) / max(1, n))
-    radius = max(float(np.quantile(distances, place)), 0.05)
-    width = max(2.4 * spread, 2.2 * radius)
-    b = rng.uniform(0, width, (tables, functions))
-    return Index(a, b, width, radius, norm, 1 - (1 - target) ** (1 / tables), coarse)
+    return fitted(drawn(rows, sample), drawn(queries, 256), norm, n, k, tables, block, target, seed)
 
 
 def nearest(
-    vectors: DataFrame, queries: Column, k: int = 20, tables: int = 3, functions: int = 8, coarse: int = 3, target: float = 0.96,
+    vectors: DataFrame, queries: Column, k: int = 20, tables: int = 3, target: float = 0.96,
     block: int = 4096, sample: int = 4096, seed: int = 6, id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows with the largest inner product found for each query.
@@ -251,15 +321,18 @@ def nearest(
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     rows = usable.where(F.size("vector") == most["d"])
     sought = usable.join(asked, "id", "left_semi").where(F.size("vector") == most["d"])
-    index = build_index(rows, sought, most["d"], most["norm"], most["n"], k, tables, functions, coarse, target, sample, seed)
+    index = build_index(rows, sought, most["norm"], most["n"], k, tables, block, target, sample, seed)
     shared = spark.sparkContext.broadcast(index)
 
     vector = rows.schema["vector"].dataType.simpleString()
     placed = stage(rows.mapInArrow(_rows(shared), f"t int, cell bigint, id bigint, vector {vector}, code binary"), "hashed")
+    band = F.expr(f"cast(cell div {(2 * CLIP + 1) ** index.coarse} as int)").alias("band")
+    index = replace(index, bands=sorted(r["band"] for r in placed.select(band).distinct().collect()))
+    shared = spark.sparkContext.broadcast(index)
     probes = stage(sought.mapInArrow(_probes(shared), f"t int, cell bigint, id bigint, vector {vector}, cut double"), "probes")
 
     def blocks(rows: DataFrame, queries: DataFrame, everything: bool) -> DataFrame:
-        # at most tables * (2 * CLIP + 1) ** coarse cells
+        # at most tables * BANDS * (2 * CLIP + 1) ** MOST_COARSE cells
         here = rows.groupBy("t", "cell").agg(F.ceil(F.count("*") / block).alias("parts"))
         there = queries.groupBy("t", "cell").agg(F.ceil(F.count("*") / block).alias("query_parts"))
         cells = F.broadcast(here.join(there, ["t", "cell"]))

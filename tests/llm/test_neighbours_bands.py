@@ -1,0 +1,59 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from patchlode.llm import neighbours
+from patchlode.llm.neighbours import nearest
+
+
+def clusters(n, seed=0):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((n // 50, 32))
+    return centres[rng.integers(0, len(centres), n)] + 0.3 * rng.standard_normal((n, 32))
+
+
+def measured(x, k=20, tables=3):
+    """Recall, and scored pairs as a share of all pairs, of an index over the rows of ``x``."""
+    q = x[::20]
+    exact = q @ x.T
+    norm = np.linalg.norm(x, axis=1).max()
+    index = neighbours.fitted(x[:4096], q[:256], norm, len(x), k, tables, 4096, 0.96, 6)
+    lifted, bands = neighbours._lifted(x, norm)
+    slots, _ = neighbours._slots(index, lifted)
+    seen, pairs = np.zeros(exact.shape, bool), 0
+    for t in range(tables):
+        for band in np.unique(bands):
+            rows = np.flatnonzero(bands == band)
+            points, radius = neighbours.aimed(index, q, band)
+            cut = neighbours._cut_offs(index, neighbours._success(index, neighbours._slots(index, points)[1][:, t], radius))
+            reached = neighbours.visited(index, t, band, q, cut, slots[rows, t])
+            seen[:, rows] |= reached
+            pairs += reached.sum()
+    exact[np.arange(len(q)), np.arange(0, len(x), 20)] = -np.inf
+    top = np.argsort(-exact, axis=1)[:, :k]
+    return np.take_along_axis(seen, top, 1).mean(), pairs / exact.size
+
+
+def test_few_pairs_are_scored_where_rows_form_clusters():
+    recall, share = measured(clusters(8000))
+    assert recall >= 0.95 and share < 0.4
+
+
+def test_a_very_long_vector_changes_little():
+    x = clusters(8000)
+    x[5] *= 1000
+    recall, share = measured(x)
+    assert recall >= 0.9 and share < 0.6
+
+
+def test_lengths_over_many_powers_of_two(spark):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((800, 8)) * 10.0 ** rng.uniform(-8, 8, (800, 1))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    found = {}
+    for r in nearest(frame, F.col("vec_id") % 20 == 0).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    exact = x[::20] @ x.T
+    exact[np.arange(40), np.arange(0, 800, 20)] = -np.inf
+    top = np.argsort(-exact, axis=1)[:, :20]
+    assert all(len(found[20 * i]) == 20 for i in range(40))
+    assert np.mean([len(found[20 * i] & set(row.tolist())) / 20 for i, row in enumerate(top)]) >= 0.9
