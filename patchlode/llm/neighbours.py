@@ -7,8 +7,8 @@ Gaussian projections into slots of a width; a row's bucket is its slots in a tab
 A query visits perturbed buckets in the order of their estimated success: the probability that a neighbour at the
 radius lies there, from the query's place in its own slots. It stops once the visited buckets of
 all tables together hold such a neighbour with probability ``target``; the success of the last one is its
-cut-off, and a bucket is visited if its success reaches that. The radius is where a row in the sample
-would be one of the k nearest of all rows.
+cut-off, and a bucket is visited if its success reaches that. Each query has a radius of its own, since rows may lie
+dense in one place and scattered in another: the distance of the drawn row that is hardly ever nearer than its k-th neighbour.
 
 Rows are grouped by table and coarse cell (the first ``coarse`` slots) and queries sent to the
 cells that hold a bucket above their cut-off. Large cells are split on both sides into blocks of ``block`` rows, so no task
@@ -30,20 +30,24 @@ from pyspark.sql import functions as F
 from .frames import drop_staged, stage
 
 CLIP = 4
+LEAST_RADIUS = 0.05
 _erf = np.vectorize(math.erf, otypes=[float])
 
 
 @dataclass
 class Index:
-    """Projections (tables, functions, dimension + 1), shifts, slot width, radius, largest norm, cut share of a table."""
+    """Projections (tables, functions, dimension + 1), shifts, slot width, largest norm, cut share of a table; drawn rows by id,
+    where each id starts, and which of the ids, by distance, gives a query its radius."""
 
     a: np.ndarray
     b: np.ndarray
     width: float
-    radius: float
     norm: float
     share: float
     coarse: int
+    points: np.ndarray
+    starts: np.ndarray
+    place: int
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:
@@ -67,11 +71,28 @@ def _slots(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return slot.astype(np.int8), spot - slot
 
 
-def _success(index: Index, inside: np.ndarray) -> np.ndarray:
+def _distances(points: np.ndarray, starts: np.ndarray, aims: np.ndarray) -> np.ndarray:
+    """Distance of each query to each drawn id, the least over the rows of the id."""
+    far = np.sqrt(np.maximum(0, 2 - 2 * aims @ points.T))
+    return np.minimum.reduceat(far, starts, axis=1)
+
+
+def _radii(index: Index, aims: np.ndarray) -> np.ndarray:
+    far = _distances(index.points, index.starts, aims)
+    return np.maximum(np.partition(far, index.place - 1, axis=1)[:, index.place - 1], LEAST_RADIUS)
+
+
+def _place(k: int, drawn: int, ids: int) -> int:
+    """Of the k + 1 nearest ids, the query's own among them, this many are drawn at most, beyond two standard deviations."""
+    mean = (k + 1) * drawn / ids
+    return min(drawn, max(1, math.ceil(mean + 2 * math.sqrt(mean * (1 - drawn / ids)))))
+
+
+def _success(index: Index, inside: np.ndarray, radius: np.ndarray) -> np.ndarray:
     """Log success of the slot below, the own one and the one above, for each function."""
-    s = index.radius / index.width * math.sqrt(2)
+    s = (radius / index.width * math.sqrt(2))[:, None, None]
     edges = np.stack([-1 - inside, -inside, 1 - inside, 2 - inside], -1)
-    cumulative = 0.5 * (1 + _erf(edges / s)) if np.isfinite(s) and s > 0 else np.cumsum(np.ones_like(edges), -1) / 4
+    cumulative = 0.5 * (1 + _erf(edges / s))
     return np.log(np.maximum(np.diff(cumulative, axis=-1), 1e-300))
 
 
@@ -116,9 +137,11 @@ def _probes(shared):
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                slots, inside = _slots(index, _aimed(_matrix(batch.column("vector"))))
+                aims = _aimed(_matrix(batch.column("vector")))
+                slots, inside = _slots(index, aims)
+                radius = _radii(index, aims)
                 for t in range(slots.shape[1]):
-                    success = _success(index, inside[:, t])
+                    success = _success(index, inside[:, t], radius)
                     cut = _cut_offs(index, success)
                     rest = success[:, index.coarse :].max(-1).sum(1)
                     best = rest[:, None] + sum(success[:, f, steps[:, f] + 1] for f in range(index.coarse))
@@ -128,8 +151,8 @@ def _probes(shared):
                     query, there = query[real], there[real]
                     rows = pa.array(query)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(query), t, np.int32)), pa.array(_cell(there)), batch.column("id").take(rows), batch.column("vector").take(rows), pa.array(cut[query])],
-                        ["t", "cell", "id", "vector", "cut"])
+                        [pa.array(np.full(len(query), t, np.int32)), pa.array(_cell(there)), batch.column("id").take(rows), batch.column("vector").take(rows), pa.array(radius[query]), pa.array(cut[query])],
+                        ["t", "cell", "id", "vector", "radius", "cut"])
 
     return run
 
@@ -155,7 +178,7 @@ def _block(shared, k: int, everything: bool) -> Callable:
             code = np.frombuffer(b"".join(rows["code"].to_pylist()), np.int8).reshape(len(ids), -1)[first]
             kinds, kind = np.unique(code, axis=0, return_inverse=True)
             slots, inside = _slots(index, _aimed(q))
-            slots, success = slots[:, t], _success(index, inside[:, t])
+            slots, success = slots[:, t], _success(index, inside[:, t], queries["radius"].to_numpy())
             total = np.zeros((len(q), len(kinds)))
             for f in range(kinds.shape[1]):
                 step = kinds[None, :, f].astype(np.int16) - slots[:, f, None]
@@ -209,23 +232,26 @@ def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & ~bad & some)
 
 
-def build_index(rows: DataFrame, queries: DataFrame, dimension: int, norm: float, n: int, k: int, tables: int, functions: int, coarse: int,
+def build_index(rows: DataFrame, queries: DataFrame, dimension: int, norm: float, ids: int, k: int, tables: int, functions: int, coarse: int,
                 target: float, sample: int, seed: int) -> Index:
-    """Fit the width and the radius on at most ``sample`` rows and 256 queries."""
-    def drawn(df: DataFrame, most: int) -> np.ndarray:
-        return _matrix(df.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(most).toArrow()["vector"].combine_chunks())
-
-    points, aims = drawn(rows, sample), drawn(queries, 256)
+    """Fit the width on at most ``sample`` rows and 256 queries; the drawn rows stay in the index for the radius of each query."""
+    def drawn(df: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+        # ids are drawn, each with its rows
+        found = df.select("id", "vector").orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(most).toArrow().sort_by("id").combine_chunks()
+        return found["id"].to_numpy(), _matrix(found["vector"].combine_chunks())
+
+    (own, points), (_, aims) = drawn(rows, sample), drawn(queries, 256)
+    starts = np.unique(own, return_index=True)[1]
     rng = np.random.default_rng(seed)
     a = rng.standard_normal((tables, functions, dimension + 1))
     points = _lifted(points, norm)
     spread = float(np.einsum("nd,tfd->ntf", points, a).std()) or 1.0
-    distances = np.sort(np.sqrt(np.maximum(0, 2 - 2 * _aimed(aims) @ points.T)).ravel()) if len(aims) else np.ones(1)
-    place = min(1.0, (k + 1) / max(1, n))
-    radius = max(float(np.quantile(distances, place)), 0.05)
+    distances = _distances(points, starts, _aimed(aims)) if len(aims) else np.ones(1)
+    radius = max(float(np.quantile(distances, min(1.0, (k + 1) / ids))), LEAST_RADIUS)
     width = max(2.4 * spread, 2.2 * radius)
     b = rng.uniform(0, width, (tables, functions))
-    return Index(a, b, width, radius, norm, 1 - (1 - target) ** (1 / tables), coarse)
+    share = 1 - (1 - target) ** (1 / tables)
+    return Index(a, b, width, norm, share, coarse, points, starts, _place(k, len(starts), max(ids, len(starts))))
 
 
 def nearest(
@@ -251,12 +277,12 @@ def nearest(
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     rows = usable.where(F.size("vector") == most["d"])
     sought = usable.join(asked, "id", "left_semi").where(F.size("vector") == most["d"])
-    index = build_index(rows, sought, most["d"], most["norm"], most["n"], k, tables, functions, coarse, target, sample, seed)
+    index = build_index(rows, sought, most["d"], most["norm"], most["ids"], k, tables, functions, coarse, target, sample, seed)
     shared = spark.sparkContext.broadcast(index)
 
     vector = rows.schema["vector"].dataType.simpleString()
     placed = stage(rows.mapInArrow(_rows(shared), f"t int, cell bigint, id bigint, vector {vector}, code binary"), "hashed")
-    probes = stage(sought.mapInArrow(_probes(shared), f"t int, cell bigint, id bigint, vector {vector}, cut double"), "probes")
+    probes = stage(sought.mapInArrow(_probes(shared), f"t int, cell bigint, id bigint, vector {vector}, radius double, cut double"), "probes")
 
     def blocks(rows: DataFrame, queries: DataFrame, everything: bool) -> DataFrame:
         # at most tables * (2 * CLIP + 1) ** coarse cells
