@@ -19,7 +19,7 @@ from ..sources import schemas
 from ..sources import sinks as S
 from ..sources.tables import read_csv, read_queries
 from .fixtures import Tables
-from .inputs import instances, mined, patterns, queried, records
+from .inputs import first_patterns, instance_rows, instances, mined, patterns, queried, records
 from .mine import run_mining
 from .oracle import CLASS_SQL
 from .registry import joined, query
@@ -246,7 +246,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     key = F.col("pattern_key")
-    return instances(t).select(
+    return instance_rows(t).select(
         key, FP.key_part(key, 1).alias("sink_types"), FP.key_part(key, 2).alias("source_types")
     ).distinct()
 
@@ -435,7 +435,7 @@ def _(t: Tables) -> DataFrame:
               (SELECT count(DISTINCT pattern_key) FROM counted_rows) AS queries""",
 )
 def _(t: Tables) -> DataFrame:
-    return run_statistics(records(t), instances(t))
+    return run_statistics(records(t), instance_rows(t))
 
 
 @query(
@@ -444,7 +444,7 @@ def _(t: Tables) -> DataFrame:
        ORDER BY instance_count DESC, pattern_key LIMIT 10""",
 )
 def _(t: Tables) -> DataFrame:
-    return top_pattern_keys(instances(t))
+    return top_pattern_keys(instance_rows(t))
 
 
 @query(
@@ -454,7 +454,7 @@ def _(t: Tables) -> DataFrame:
        FROM first_rows""",
 )
 def _(t: Tables) -> DataFrame:
-    found = C.representatives(instances(t))
+    found = first_patterns(t)
     return found.select(
         "pattern_key", "cwe_id", "cwe_name",
         FP.sorted_names(F.col("pattern.missing_sanitizers")).alias("missing"),
@@ -471,7 +471,7 @@ TOP_PATTERN_SQL = """
 
 @query("agg5_top_pattern_per_cwe", TOP_PATTERN_SQL)
 def _(t: Tables) -> DataFrame:
-    counted = C.with_commit_count(patterns(t), instances(t))
+    counted = C.with_commit_count(patterns(t), instance_rows(t))
     return C.top_pattern_per_cwe(counted).select("cwe_id", "pattern_key", "commit_count")
 
 
@@ -481,7 +481,7 @@ def _(t: Tables) -> DataFrame:
         JOIN ({TOP_PATTERN_SQL}) p ON p.pattern_key = q.pattern_key""",
 )
 def _(t: Tables) -> DataFrame:
-    counted = C.with_commit_count(C.representatives(instances(t)), instances(t))
+    counted = C.with_commit_count(first_patterns(t), instance_rows(t))
     return C.compile_queries(counted, top_n=1).select("cwe_id", "pattern_key", "github_query")
 
 
@@ -495,7 +495,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("qry1_compiled", "SELECT pattern_key, cwe_id, cwe_name, github_query FROM query_rows")
 def _(t: Tables) -> DataFrame:
-    compiled = C.compile_queries(C.representatives(instances(t)))
+    compiled = C.compile_queries(first_patterns(t))
     return compiled.select("pattern_key", "cwe_id", "cwe_name", "github_query")
 
 
@@ -540,7 +540,7 @@ def _(t: Tables) -> DataFrame:
         F.size(FP.source_keywords(F.transform(p["sources"], lambda s: s["type"]))) == 0
     ) & (F.size(FP.not_keywords(p["missing_sanitizers"], F.col("cwe_id"))) == 0)
     sinks = FP.sink_keywords(F.transform(p["sinks"], lambda s: s["sink_name"]), F.col("cwe_id"))
-    found = C.representatives(instances(t)).filter(empty & (F.size(sinks) == 0))
+    found = first_patterns(t).filter(empty & (F.size(sinks) == 0))
     return C.compile_queries(found).select("pattern_key", "github_query")
 
 
@@ -581,7 +581,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("prj5_without_pattern", "SELECT pattern_key, cwe_id, cwe_name FROM query_rows")
 def _(t: Tables) -> DataFrame:
-    return C.representatives(instances(t)).drop("pattern")
+    return first_patterns(t).drop("pattern")
 
 
 @query(
@@ -616,7 +616,7 @@ def _(t: Tables) -> DataFrame:
     "set4_distinct_keys", "SELECT DISTINCT pattern_key FROM counted_rows"
 )
 def _(t: Tables) -> DataFrame:
-    return instances(t).select("pattern_key").distinct()
+    return instance_rows(t).select("pattern_key").distinct()
 
 
 @query(
