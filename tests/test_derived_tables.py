@@ -24,10 +24,25 @@ def tables(spark, folder):
     return X.Tables(spark, str(folder))
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def rows(df):
     return Counter(map(tuple, df.collect()))
 
 
+def test_code_is_made_after_the_lines_have_met(spark, tmp_path):
+    t = tables(spark, tmp_path)
+    plan = plan_of(t._derive("corpus_code"))
+    joins = [line for line in plan.split("\n") if "Join Inner" in line]
+    assert len(joins) == 3 and "(file#" in joins[-1]  # the deepest; templates are met in the first
+    for name in ("fx_line", "fx_repo", "file_change"):
+        getattr(t, name).createOrReplaceTempView(name)
+    want = rows(spark.sql(X.FIXTURE_SQL["corpus_code"]))
+    assert rows(t.corpus_code) == want and want and max(want.values()) > 1
+
+
 def test_files_and_methods_are_made_from_the_lines(spark, tmp_path):
     t = tables(spark, tmp_path)
     for name in X.VIEWS:
