@@ -495,12 +495,11 @@ def _(t: Tables) -> DataFrame:
               length(file_code_after) AS n_after FROM method_rows""",
 )
 def _(t: Tables) -> DataFrame:
-    found = method_changes(t.file_change, t.fixes, t.method_change)
+    sizes = {f"n_{side}": F.length(f"file_code_{side}").cast("bigint") for side in ("before", "after")}
+    found = method_changes(t.file_change, t.fixes, t.method_change, of_file=sizes)
     return found.select(
         "cve_id", "hash", "repo_url", "file_change_id", "method_change_id", "method_name",
-        "signature", "start_line", "end_line",
-        F.length("file_code_before").cast("bigint").alias("n_before"),
-        F.length("file_code_after").cast("bigint").alias("n_after"),
+        "signature", "start_line", "end_line", "n_before", "n_after",
     )
 
 
