@@ -13,11 +13,11 @@ from ..operators.mining import instance_table
 from .versioned import ResultTable
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with header; arrays and structs become JSON at this edge only. Blanks around a value stay."""
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """CSV with header; arrays and structs become JSON at this edge only. Blanks around a value stay. Compressed files are read as they are, see ``read_csv``."""
     nested = [f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "struct")]
     flat = df.withColumns({name: F.to_json(name) for name in nested}) if nested else df
-    flat.write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    flat.write.csv(path, compression=compression, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def extract_output(records: DataFrame) -> DataFrame:
@@ -38,8 +38,9 @@ def write_top_cwes(top: DataFrame, folder: str, top_n: int) -> None:
     write_csv(top_cwe_output(top), f"{folder}/top_cwe_top{top_n}.csv")
 
 
-def write_instances(instances: DataFrame, folder: str) -> None:
-    write_csv(instance_table(instances), f"{folder}/pattern_instances.csv")
+def write_instances(instances: DataFrame, folder: str, compression: str = "gzip") -> None:
+    """Each row repeats its link, diff and query as text, so the files are far larger than what they are made from: they are compressed unless asked otherwise."""
+    write_csv(instance_table(instances), f"{folder}/pattern_instances.csv", compression)
 
 
 def pattern_file_name(top_n: int | None) -> str:

@@ -46,6 +46,21 @@ def test_csv_round_trip(spark, tmp_path):
         tables.read_queries(spark, f"{tmp_path}/u.csv", "k string, n string")
 
 
+def test_instances_are_compressed_and_read_back(spark, tmp_path):
+    code = 'if (a) {\n  x("\\n");\r\n}'
+    rows = [(f"key {n % 3}", "CWE-79", None, "", f"v{n}", code * 20, "a AND b") for n in range(500)]
+    columns = "pattern_key string, cwe_id string, cwe_name string, sink_types string, cve_id string, code_diff string, github_query string"
+    df = spark.createDataFrame(rows, columns)
+    sizes = {}
+    for name, options in (("usual", {}), ("plain", {"compression": "none"})):
+        sinks.write_instances(df, f"{tmp_path}/{name}", **options)
+        folder = tmp_path / name / "pattern_instances.csv"
+        back = tables.read_csv(spark, str(folder), ", ".join(f"{c} string" for c in sinks.instance_table(df).columns))
+        assert sorted(map(str, back.select(df.columns).collect())) == sorted(map(str, df.collect()))
+        sizes[name] = sum(f.stat().st_size for f in folder.glob("part-*"))
+    assert sizes["usual"] < sizes["plain"] / 3
+
+
 def test_nested_columns_become_json(spark, tmp_path):
     df = spark.range(1).select(F.array(F.lit("a")).alias("x"))
     sinks.write_csv(df, f"{tmp_path}/n.csv")
